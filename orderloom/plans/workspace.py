@@ -100,7 +100,7 @@ class Workspace:
 
     def register(self, spark: SparkSession, database: str = "default", replace: bool = False) -> None:
         """Make the tables and views known to the session's catalog, so that they can be queried in SQL."""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}/catalog'")
         for name, path, schema, partitions in self._tables():
             if replace:
                 spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
