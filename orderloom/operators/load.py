@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom import storage
@@ -133,8 +133,11 @@ def record_load(
         load_ts.alias("last_load_time"),
     )
     folder = f"{table.history_path}/schema_name={table.schema_name}/table_name={table.name}/load_id={load_id}"
-    history.write.mode("overwrite").parquet(folder)
-    total = spark.read.parquet(folder).agg(F.sum("row_count").alias("rows"), F.count(F.lit(1)).alias("files")).first()
+    written = Observation()
+    history.observe(
+        written, F.sum("row_count").alias("rows"), F.count(F.lit(1)).alias("files")
+    ).write.mode("overwrite").parquet(folder)
+    total = written.get
     return LoadResult(load_id, total["rows"] or 0, total["files"])
 
 
