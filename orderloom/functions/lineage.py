@@ -6,12 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def relative_file_name(file_path: Column, root_uri: str, delivery: str | None = None) -> Column:
+def relative_file_name(file_path: Column, root: str, delivery: str | None = None) -> Column:
     """Path below the stage root, decoded.
 
-    Files come as ``_metadata.file_path``, an encoded URI in which only ``+`` is left as it is. ``delivery`` is a
-    pattern for stages where one delivered file is a folder of part files; its match is the name then.
+    Files come as ``_metadata.file_path``, an encoded URI in which only ``+`` is left as it is; the root is the encoded
+    path of the stage. Scheme and host are cut off, as they are spelt in more than one way. ``delivery`` is a pattern
+    for stages where one delivered file is a folder of part files; its match is the name then.
     """
-    below = F.substring(file_path, len(root_uri.rstrip("/")) + 2, 1 << 30)
+    path = F.regexp_replace(file_path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    below = F.substring(path, len(root.rstrip("/")) + 2, 1 << 30)
     name = F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B")))
     return name if delivery is None else F.regexp_extract(name, delivery, 0)

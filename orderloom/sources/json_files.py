@@ -32,10 +32,10 @@ def scan_json(
         return empty_scan(spark, "customer_orders variant")
     reader = spark.readStream if streaming else spark.read
     whole = str(layout == DOCUMENT_PER_FILE).lower()
-    text = reader.options(**stage.options(), wholetext=whole, **extra).text(location)
+    text = reader.format("text").options(**stage.options(), wholetext=whole, **extra).load(location)
     # The parser stops after the first value, so a second one would be lost unseen. In brackets it is either a
     # syntax error or a second element, and both abort.
-    parsed = text.filter(F.trim("value") != "").select(
+    parsed = text.filter(F.col("value").rlike(r"\S")).select(
         F.parse_json(F.concat(F.lit("["), "value", F.lit("]"))).alias("listed"), *stage.lineage(spark)
     )
     single = F.when(F.expr("variant_get(listed, '$[1]', 'variant')").isNull(), F.expr("variant_get(listed, '$[0]', 'variant')"))

@@ -16,10 +16,10 @@ def _file_system(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path as a URI, in the form that ``_metadata.file_path`` has."""
+def encoded_path(spark: SparkSession, path: str) -> str:
+    """The path without scheme and host, encoded as in a URI."""
     fs, jvm_path = _file_system(spark, path)
-    return fs.makeQualified(jvm_path).toUri().toString()
+    return fs.makeQualified(jvm_path).toUri().getRawPath()
 
 
 def glob_matches(spark: SparkSession, pattern: str) -> bool:
