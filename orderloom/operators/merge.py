@@ -133,19 +133,23 @@ def plan_merge(
 
     touched = target.read_partitioned(spark).filter(storage.in_periods(periods, has_null))
     hit = matched_keys(touched, winners)
-    fresh = winners
     if duplicates:
-        # All rows of a crowded key are inserted, so the anti join below has them on its left. Reading the keys from a
-        # table leaves AQE a plain shuffle on both sides, which it can split, or a broadcast if they are few.
-        keys_path = scratch(spark, "merge-keys")
+        # All rows of a crowded key are inserted, so the anti join has them on its left. Reading the keys from a table
+        # leaves AQE a plain shuffle on both sides, which it can split, or a broadcast if they are few. Without any keys
+        # the rows need no join, hence no shuffle by key either.
+        keys_path, found = scratch(spark, "merge-keys"), Observation()
         paths += (keys_path,)
-        hit.write.parquet(keys_path)
+        hit.observe(found, F.count(F.lit(1)).alias("keys")).write.parquet(keys_path)
         hit = spark.read.parquet(keys_path)
         clashes = hit.join(winners.filter("copies > 1"), MERGE_KEYS, "left_semi").count()
         if clashes:
             drop_scratch(spark, paths)
             raise MergeCardinalityError(f"{clashes} keys of the target are matched by more than one source row")
         fresh = rows.filter(_matchable())
+        if found.get["keys"]:
+            fresh = fresh.join(hit, MERGE_KEYS, "left_anti")
+    else:
+        fresh = winners.join(hit, MERGE_KEYS, "left_anti")
 
     kept_columns = ["customer", "order_date", "delivery_date", "baked_good_type"]
     incoming = winners.select(
@@ -167,7 +171,7 @@ def plan_merge(
             period.alias(PERIOD.name), F.lit(INSERT).alias(OPERATION),
         )
 
-    merged = updates.unionByName(inserts(fresh.join(hit, MERGE_KEYS, "left_anti")))
+    merged = updates.unionByName(inserts(fresh))
     if seen.get["no_key"]:
         merged = merged.unionByName(inserts(rows.filter(~_matchable())))
     return MergePlan(merged, periods, has_null, paths)
