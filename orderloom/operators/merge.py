@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from orderloom import storage
 from orderloom.schema import MERGE_KEYS, ORDER_COLUMNS, PERIOD
-from orderloom.session import scratch
+from orderloom.session import scratch, shuffles_sized_for
 from orderloom.storage import OrderTable
 
 UPDATE, INSERT, KEEP = "update", "insert", "keep"
@@ -36,12 +36,16 @@ class MergeCardinalityError(ValueError):
 
 @dataclass(frozen=True)
 class MergePlan:
-    """New content of the touched periods, each row tagged with what the merge does to it."""
+    """New content of the touched periods, each row tagged with what the merge does to it.
+
+    The rows are read from ``scratch_paths``, to be dropped when they are no longer needed.
+    """
 
     rows: DataFrame
     periods: list = field(default_factory=list)
     has_null_period: bool = False
     scratch_paths: tuple[str, ...] = ()
+    inputs: tuple[DataFrame, ...] = ()
 
     @property
     def empty(self) -> bool:
@@ -126,7 +130,9 @@ def plan_merge(
         F.count_if(period.isNull()).alias("no_period"),
         F.count_if(~_matchable()).alias("no_key"),
     )
-    reduce_to_winners(observed, order_by).observe(reduced, F.max("copies").alias("copies")).write.parquet(winners_path)
+    with shuffles_sized_for(spark, rows):
+        one_per_key = reduce_to_winners(observed, order_by).observe(reduced, F.max("copies").alias("copies"))
+        one_per_key.write.parquet(winners_path)
     winners = spark.read.parquet(winners_path)
     periods, has_null = sorted(seen.get["periods"]), seen.get["no_period"] > 0
     duplicates = on_duplicate == "error" and (reduced.get["copies"] or 0) > 1
@@ -139,7 +145,8 @@ def plan_merge(
         # the rows need no join, hence no shuffle by key either.
         keys_path, found = scratch(spark, "merge-keys"), Observation()
         paths += (keys_path,)
-        hit.observe(found, F.count(F.lit(1)).alias("keys")).write.parquet(keys_path)
+        with shuffles_sized_for(spark, touched, winners):
+            hit.observe(found, F.count(F.lit(1)).alias("keys")).write.parquet(keys_path)
         hit = spark.read.parquet(keys_path)
         clashes = hit.join(winners.filter("copies > 1"), MERGE_KEYS, "left_semi").count()
         if clashes:
@@ -174,7 +181,7 @@ def plan_merge(
     merged = updates.unionByName(inserts(fresh))
     if seen.get["no_key"]:
         merged = merged.unionByName(inserts(rows.filter(~_matchable())))
-    return MergePlan(merged, periods, has_null, paths)
+    return MergePlan(merged, periods, has_null, paths, (touched, rows))
 
 
 def merge_orders(spark: SparkSession, target: OrderTable, source: DataFrame, **options) -> MergeResult:
@@ -184,16 +191,22 @@ def merge_orders(spark: SparkSession, target: OrderTable, source: DataFrame, **o
     AQE splits a period that is too large for one task.
     """
     plan = plan_merge(spark, target, source, **options)
-    if plan.empty:
+    try:
+        return _apply(spark, target, plan)
+    finally:
         drop_scratch(spark, plan.scratch_paths)
+
+
+def _apply(spark: SparkSession, target: OrderTable, plan: MergePlan) -> MergeResult:
+    if plan.empty:
         return MergeResult()
     # Counted in the writing stage, where a repeated task is not counted again.
     counts = Observation()
     rows = plan.rows.hint("rebalance", F.col(PERIOD.name)).observe(
         counts, *(F.count_if(F.col(OPERATION) == op).alias(op) for op in (UPDATE, INSERT, KEEP))
     )
-    storage.overwrite_partitions(rows.drop(OPERATION), target.path, PERIOD.name)
-    drop_scratch(spark, plan.scratch_paths)
+    with shuffles_sized_for(spark, *plan.inputs):
+        storage.overwrite_partitions(rows.drop(OPERATION), target.path, PERIOD.name)
     done = counts.get
     return MergeResult(done[UPDATE], done[INSERT], done[KEEP], plan.periods, plan.has_null_period)
 

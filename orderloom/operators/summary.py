@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom import storage
 from orderloom.schema import PERIOD, SUMMARY
+from orderloom.session import shuffles_sized_for
 from orderloom.storage import OrderTable, SummaryTable
 
 GROUPS = ["delivery_date", "baked_good_type"]
@@ -26,7 +27,7 @@ def summarise_group_by_all(orders: DataFrame) -> DataFrame:
     )
 
 
-def _write(summary: DataFrame, table: SummaryTable) -> tuple[int, set]:
+def _write(summary: DataFrame, table: SummaryTable, orders: DataFrame) -> tuple[int, set]:
     """Replace the years of the frame; returns rows and years written (None for rows without a day)."""
     written = Observation()
     period = F.col(PERIOD.name)
@@ -40,7 +41,8 @@ def _write(summary: DataFrame, table: SummaryTable) -> tuple[int, set]:
             F.count_if(period.isNull()).alias("undated"),
         )
     )
-    storage.overwrite_partitions(rows, table.path, PERIOD.name)
+    with shuffles_sized_for(summary.sparkSession, orders):
+        storage.overwrite_partitions(rows, table.path, PERIOD.name)
     seen = written.get
     return seen["rows"], set(seen["years"]) | ({None} if seen["undated"] else set())
 
@@ -53,7 +55,7 @@ def refresh_summary(spark: SparkSession, orders: DataFrame, table: SummaryTable)
     """
     table.create(spark)
     before = {row[0] for row in table.read_partitioned(spark).select(PERIOD.name).distinct().collect()}
-    rows, years = _write(summarise(orders), table)
+    rows, years = _write(summarise(orders), table, orders)
     for year in before - years:
         name = "__HIVE_DEFAULT_PARTITION__" if year is None else year.isoformat()
         storage.delete(spark, f"{table.path}/{PERIOD.name}={name}")
@@ -69,7 +71,8 @@ def refresh_touched(spark: SparkSession, target: OrderTable, table: SummaryTable
     table.create(spark)
     if not periods and not has_null:
         return 0
-    anew = summarise(target.read_partitioned(spark).filter(storage.in_periods(periods, has_null)))
+    orders = target.read_partitioned(spark).filter(storage.in_periods(periods, has_null))
+    anew = summarise(orders)
     years = sorted({period.replace(month=1, day=1) for period in periods})
     of_target = storage.period_of(F.col("delivery_date"), target.grain)
     untouched = (
@@ -77,4 +80,4 @@ def refresh_touched(spark: SparkSession, target: OrderTable, table: SummaryTable
         .filter(storage.in_periods(years, False) & ~of_target.isin(periods))
         .select(*SUMMARY.fieldNames())
     )
-    return _write(anew.unionByName(untouched), table)[0]
+    return _write(anew.unionByName(untouched), table, orders)[0]

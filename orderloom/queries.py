@@ -26,7 +26,7 @@ from orderloom.operators.load import (
     write_load,
 )
 from orderloom.operators.merge import INSERT, OPERATION, UPDATE, matched_keys, merge_orders, plan_merge, reduce_to_winners
-from orderloom.operators.ordering import orders_newest_first
+from orderloom.operators.ordering import newest_first, orders_newest_first
 from orderloom.operators.summary import refresh_summary, refresh_touched, summarise, summarise_group_by_all
 from orderloom.plans.event_log import scan_events
 from orderloom.plans.feed import (
@@ -270,7 +270,7 @@ def load_history_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_delivery = files.groupBy("schema_name", "table_name", "source_file_name", "status", "last_load_time").agg(
         F.sum("row_count").alias("row_count")
     )
-    return portable(by_delivery.orderBy(F.col("last_load_time").desc()))
+    return portable(newest_first(by_delivery, "last_load_time", "source_file_name"))
 
 
 @query

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only settings whose defaults would be wrong for this workload. AQE does the sizing: partitions
 # start many and are coalesced, skewed join and rebalance partitions are split.
@@ -20,6 +22,11 @@ DEFAULTS = {
 }
 
 
+# Input per shuffle partition. Files are compressed, so a partition holds a few times this much in memory.
+SHUFFLE_BYTES = 64 << 20
+MOST_PARTITIONS = 100_000
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A local session for tests and the bench. On a cluster use the session it gives you."""
     builder = (
@@ -53,3 +60,24 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, purpose: str) -> str:
     """A new path (not yet created) in the shared folder, unique to this call."""
     return f"{shared_folder(spark)}/orderloom/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def shuffles_sized_for(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
+    """Within this block, shuffles have as many partitions as the inputs' size asks for.
+
+    AQE merges partitions that are too small and splits those that stand out, but it does not split partitions that are
+    all too large. So the session's number is raised, never lowered, by Catalyst's estimate of the inputs.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    estimates = (frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() for frame in inputs)
+    needed = min(sum(int(str(estimate)) for estimate in estimates) // SHUFFLE_BYTES, MOST_PARTITIONS)
+    if needed <= int(before):
+        yield
+        return
+    spark.conf.set(name, str(needed))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from orderloom import session
 from orderloom.operators.flatten import flatten_orders
 from orderloom.operators.merge import MERGE_KEYS, matched_keys, merge_orders, plan_merge, reduce_to_winners
 from orderloom.operators.summary import summarise
@@ -177,3 +178,20 @@ def test_crowded_delivery_becomes_several_part_files(spark, tmp_path):
     parts = list((tmp_path / "csv").rglob("part-*.csv"))
     assert len(parts) > 1
     assert spark.read.csv(path, header=True).count() == 20800
+
+
+def test_shuffles_grow_with_the_inputs(spark, target, monkeypatch):
+    merge_orders(spark, target, many_orders(spark, 5000, 0))
+    number = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(number)
+    with session.shuffles_sized_for(spark, target.read(spark)):
+        assert spark.conf.get(number) == before  # a small table needs no more
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 1 << 10)
+    with session.shuffles_sized_for(spark, target.read(spark)):
+        assert int(spark.conf.get(number)) > int(before)
+    assert spark.conf.get(number) == before
+    assert merge_orders(spark, target, many_orders(spark, 5000, 0)).updated == 5000
+    monkeypatch.setattr(session, "MOST_PARTITIONS", 50)
+    joined = target.read(spark).crossJoin(target.read(spark))  # estimated at the product of both
+    with session.shuffles_sized_for(spark, joined):
+        assert spark.conf.get(number) == "50"
