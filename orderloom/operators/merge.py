@@ -75,13 +75,13 @@ def reduce_to_winners(rows: DataFrame, order_by: Sequence[str] = DEFAULT_ORDER)
 
     Quantity and file end the order, so rows that tie on all of it are equal in what the merge takes from them.
     """
-    taken = F.struct("order_date", "quantity", "source_file_name")
+    taken = ["order_date", "quantity", "source_file_name"]
     rank = F.struct(*dict.fromkeys([*order_by, "quantity", "source_file_name", "order_date"]))
     return (
         rows.filter(_matchable())
         .groupBy(*MERGE_KEYS)
-        .agg(F.max_by(taken, rank).alias("winner"), F.count(F.lit(1)).alias("copies"))
-        .select(*MERGE_KEYS, "winner.*", "copies")
+        .agg(F.max(rank).alias("winner"), F.count(F.lit(1)).alias("copies"))
+        .select(*MERGE_KEYS, *(f"winner.{name}" for name in taken), "copies")
     )
 
 

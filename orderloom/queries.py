@@ -100,7 +100,9 @@ def portable(rows: DataFrame) -> DataFrame:
 def _delivery(application: str, sf_dir: str) -> str:
     spark = SparkSession.active()
     path = scratch(spark, "delivery")
-    feed = order_feed(spark, sf_dir)
+    # Both deliveries, and the line counts of the documents, are made of the feed: it is joined once.
+    order_feed(spark, sf_dir).write.parquet(f"{path}/feed")
+    feed = spark.read.parquet(f"{path}/feed")
     write_csv_delivery(feed, f"{path}/csv")
     write_json_delivery(feed, f"{path}/json")
     return path
