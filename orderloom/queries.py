@@ -199,9 +199,10 @@ def prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan_json(spark, json_stage(spark, sf_dir), DOCUMENT_PER_LINE)
-    size = F.expr("try_variant_get(customer_orders, '$.Orders', 'array<variant>')")
+    days = F.expr("variant_get(customer_orders, '$.Orders', 'array<struct<`Orders by day`: array<variant>>>')")
+    items = F.aggregate(days, F.lit(0), lambda sum_, day: sum_ + F.size(day["Orders by day"]))
     return rows.groupBy("source_file_name").agg(
-        F.count("customer_orders").alias("documents"), F.sum(F.size(size)).cast("bigint").alias("days")
+        F.count("customer_orders").alias("documents"), F.sum(items).alias("items")
     )
 
 
@@ -327,8 +328,8 @@ def json_top_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def flatten_one_level(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = flatten.flatten_days(scan_json(spark, json_stage(spark, sf_dir), DOCUMENT_PER_LINE))
-    per_day = rows.groupBy("customer", "order_date", "delivery_date").agg(F.count("orders_by_day").alias("documents"))
-    return portable(per_day)
+    items = F.size(F.col("orders_by_day").cast("array<variant>"))
+    return portable(rows.groupBy("customer", "order_date", "delivery_date").agg(F.sum(items).alias("items")))
 
 
 @query
