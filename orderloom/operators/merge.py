@@ -71,15 +71,15 @@ def _matchable() -> Column:
 
 
 def reduce_to_winners(rows: DataFrame, order_by: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
-    """One row per key, the last in the given order, with the number of rows that had the key.
+    """One row per key, the last in the given order, with the number of rows that had the key. Keys lacking a column are
+    grouped as well; they match nothing.
 
     Quantity and file end the order, so rows that tie on all of it are equal in what the merge takes from them.
     """
     taken = ["order_date", "quantity", "source_file_name"]
     rank = F.struct(*dict.fromkeys([*order_by, "quantity", "source_file_name", "order_date"]))
     return (
-        rows.filter(_matchable())
-        .groupBy(*MERGE_KEYS)
+        rows.groupBy(*MERGE_KEYS)
         .agg(F.max(rank).alias("winner"), F.count(F.lit(1)).alias("copies"))
         .select(*MERGE_KEYS, *(f"winner.{name}" for name in taken), "copies")
     )
@@ -117,25 +117,24 @@ def plan_merge(
     period = storage.period_of(F.col("delivery_date"), target.grain)
     columns = list(dict.fromkeys([*ORDER_COLUMNS, *order_by]))
 
-    # The source is evaluated into one row per key, once, in the shared folder. Its size is known from then on, which
-    # is what decides about broadcasts. What is observed on the way in may count a row twice if a lost task is
-    # repeated; it is used only as "is there any" and as a set.
+    # The source is evaluated into one row per key in the shared folder, and again only if it has repeated or incomplete
+    # keys, whose rows are all needed. The size of what is written there decides about broadcasts.
     winners_path = scratch(spark, "merge-winners")
     paths = (winners_path,)
-    seen, reduced = Observation(), Observation()
     rows = source.select(*columns)
-    observed = rows.observe(
-        seen,
-        F.collect_set(period).alias("periods"),
-        F.count_if(period.isNull()).alias("no_period"),
-        F.count_if(~_matchable()).alias("no_key"),
-    )
     with shuffles_sized_for(spark, rows):
-        one_per_key = reduce_to_winners(observed, order_by).observe(reduced, F.max("copies").alias("copies"))
-        one_per_key.write.parquet(winners_path)
-    winners = spark.read.parquet(winners_path)
-    periods, has_null = sorted(seen.get["periods"]), seen.get["no_period"] > 0
-    duplicates = on_duplicate == "error" and (reduced.get["copies"] or 0) > 1
+        reduce_to_winners(rows, order_by).write.parquet(winners_path)
+    reduced = spark.read.parquet(winners_path)
+    found = (
+        reduced.groupBy(period.alias("period"))
+        .agg(F.max(F.when(_matchable(), F.col("copies"))).alias("copies"), F.max(~_matchable()).alias("incomplete"))
+        .collect()
+    )
+    periods = sorted(row["period"] for row in found if row["period"] is not None)
+    has_null = len(periods) < len(found)
+    duplicates = on_duplicate == "error" and any((row["copies"] or 0) > 1 for row in found)
+    incomplete = any(row["incomplete"] for row in found)
+    winners = reduced.filter(_matchable())
 
     touched = target.read_partitioned(spark).filter(storage.in_periods(periods, has_null))
     hit = matched_keys(touched, winners)
@@ -143,17 +142,17 @@ def plan_merge(
         # All rows of a crowded key are inserted, so the anti join has them on its left. Reading the keys from a table
         # leaves AQE a plain shuffle on both sides, which it can split, or a broadcast if they are few. Without any keys
         # the rows need no join, hence no shuffle by key either.
-        keys_path, found = scratch(spark, "merge-keys"), Observation()
+        keys_path, common = scratch(spark, "merge-keys"), Observation()
         paths += (keys_path,)
         with shuffles_sized_for(spark, touched, winners):
-            hit.observe(found, F.count(F.lit(1)).alias("keys")).write.parquet(keys_path)
+            hit.observe(common, F.count(F.lit(1)).alias("keys")).write.parquet(keys_path)
         hit = spark.read.parquet(keys_path)
         clashes = hit.join(winners.filter("copies > 1"), MERGE_KEYS, "left_semi").count()
         if clashes:
             drop_scratch(spark, paths)
             raise MergeCardinalityError(f"{clashes} keys of the target are matched by more than one source row")
         fresh = rows.filter(_matchable())
-        if found.get["keys"]:
+        if common.get["keys"]:
             fresh = fresh.join(hit, MERGE_KEYS, "left_anti")
     else:
         fresh = winners.join(hit, MERGE_KEYS, "left_anti")
@@ -179,7 +178,7 @@ def plan_merge(
         )
 
     merged = updates.unionByName(inserts(fresh))
-    if seen.get["no_key"]:
+    if incomplete:
         merged = merged.unionByName(inserts(rows.filter(~_matchable())))
     return MergePlan(merged, periods, has_null, paths, (touched, rows))
 
