@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,18 @@ def with_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark send texts to Python a few megabytes at a time, also where rows are long.
+
+    A setting of the session, as it counts when the returned frame runs. Smaller values are left as they are.
+    """
+    for name, most in (("maxRecordsPerBatch", 1000), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(spark.conf.get(key, "0"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
+
+
 def row_key() -> list[Column]:
     """``doc_id`` (null: NO_ID) and a hash of the text.
 
@@ -59,15 +72,15 @@ def text_batches(
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with at most BATCH_BYTES of text (or one row), and their texts; null is empty."""
     for batch in batches:
-        texts = [text or b"" for text in batch.column(column).cast(pa.binary()).to_pylist()]
-        start, size = 0, 0
-        for i, text in enumerate(texts):
-            if size and size + len(text) > BATCH_BYTES:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(text)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        texts = batch.column(column).cast(pa.binary())
+        sizes = pc.binary_length(texts).to_pylist()
+        start, total = 0, 0
+        for i, size in enumerate([*sizes, None]):
+            if i == len(sizes) or (total and total + (size or 0) > BATCH_BYTES):
+                if i > start:
+                    yield batch.slice(start, i - start), [text or b"" for text in texts.slice(start, i - start).to_pylist()]
+                start, total = i, 0
+            total += size or 0
 
 
 def sha256(data: bytes) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from orderloom.llm.licences import LEAST, TEMPLATES
+
 _SPACE = "'[\\x20\\x09-\\x0D]'"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -112,3 +114,42 @@ SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS comp
        r.doc_id = min(r.other) AS kept
 FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id
 """
+
+_TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in sorted(TEMPLATES.items()))
+
+
+def _bigrams(words: str) -> str:
+    return f"list_distinct(list_transform(range(1, len({words})), i -> {words}[i] || ' ' || {words}[i + 1]))"
+
+
+LICENCES = f"""
+WITH templates AS (
+  SELECT licence, {_bigrams("w")} AS b
+  FROM (SELECT licence, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM (VALUES {_TEMPLATE_ROWS}) v(licence, t))
+),
+units AS (
+  SELECT doc_id, 0 AS unit, coalesce(text, '') AS part FROM documents
+  UNION ALL
+  SELECT doc_id, unnest(range(1, len(lines) + 1)), unnest(lines)
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE contains(text, chr(10)))
+),
+cut AS (
+  SELECT doc_id, unit, {_bigrams("w")} AS b
+  FROM (SELECT doc_id, unit, regexp_extract_all({_lower("part")}, '[a-z0-9]+') AS w FROM units)
+),
+scored AS (
+  SELECT doc_id, unit, licence, 2.0::DOUBLE * len(list_intersect(c.b, t.b)) / (len(c.b) + len(t.b)) AS dice
+  FROM cut c JOIN templates t ON len(c.b) BETWEEN 1 AND 5 * len(t.b)
+),
+matches AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, licence) AS place
+  FROM scored WHERE dice >= {LEAST}::DOUBLE
+),
+best AS (
+  SELECT doc_id, unit, licence, dice, count(*) OVER (PARTITION BY doc_id) AS n_matched,
+         row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, unit) AS place
+  FROM matches WHERE place = 1
+)
+SELECT d.doc_id, coalesce(b.n_matched, 0) AS n_matched, b.licence, b.dice, CAST(b.unit AS INTEGER) AS unit
+FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id AND b.place = 1
+"""
