@@ -37,13 +37,10 @@ def with_checkpoint_dir(spark: SparkSession) -> None:
 def small_batches(spark: SparkSession) -> None:
     """Have Spark send texts to Python a few megabytes at a time, also where rows are long.
 
-    A setting of the session, as it counts when the returned frame runs. Smaller values are left as they are.
+    Settings of the session, as they count when the returned frame runs.
     """
-    for name, most in (("maxRecordsPerBatch", 1000), ("maxBytesPerBatch", BATCH_BYTES)):
-        key = f"spark.sql.execution.arrow.{name}"
-        now = int(spark.conf.get(key, "0"))
-        if now <= 0 or now > most:
-            spark.conf.set(key, str(most))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def row_key() -> list[Column]:

@@ -91,14 +91,12 @@ def _spots(docs: DataFrame, shingled: DataFrame) -> DataFrame:
     hashed = docs.select(
         *row_key(), "text", F.transform(_words(F.lower("text")), lambda w: F.xxhash64(w)).alias("h")
     ).where("size(h) > 0")
-    found = [
-        F.filter(
-            F.transform("h", lambda _, i, size=size: F.struct(i.alias("position"), _shingle(F.col("h"), i, size).alias("shingle"))),
-            lambda x: _passes(bloom, x["shingle"]),
-        )
-        for size in sizes
-    ]
-    some = hashed.select("doc_id", "text_hash", "text", F.concat(*found).alias("found")).where("size(found) > 0")
+
+    def found(size: int) -> Column:
+        shingle = lambda _, i: F.struct(i.alias("position"), _shingle(F.col("h"), i, size).alias("shingle"))
+        return F.filter(F.transform("h", shingle), lambda x: _passes(bloom, x["shingle"]))
+
+    some = hashed.select("doc_id", "text_hash", "text", F.concat(*map(found, sizes)).alias("found")).where("size(found) > 0")
     words = some.select("doc_id", "text_hash", "found", _words(F.col("text")).alias("words"))
     spots = words.select("doc_id", "text_hash", "words", F.explode("found").alias("spot"))
     first = F.greatest(F.col("spot.position") - reach, F.lit(0))

@@ -51,7 +51,7 @@ def _round(labels: DataFrame, quotas: list[int]) -> tuple[DataFrame, int]:
         .agg(F.max(F.struct("here", F.xxhash64("g1", "shard").alias("tie"), "shard")).alias("best"))
         .select("g1", "g2", F.col("best.shard").alias("home"))
     )
-    asked = labels.join(best, ["g1", "g2"]).select("row", "g1", "g2", "size", "shard", "home")
+    asked = labels.select("row", "g1", "g2", "shard").join(best, ["g1", "g2"])
     asked = stored(asked.withColumn("step", F.pmod(F.xxhash64("g1", "g2", F.lit(7)), F.lit(STEPS)).cast("int")), "asked")
     fill = {row["shard"]: row["n"] for row in asked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     demand = (
@@ -99,7 +99,7 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     groups = base.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     linked = base.select("row", "g1", "g2").join(groups, ["g1", "g2"])
     first = F.pmod(F.xxhash64("row", F.lit(3)), F.lit(shards)).cast("int")
-    labels = stored(linked.select("row", "g1", "g2", F.col("members").alias("size"), first.alias("shard")), "labels")
+    labels = stored(linked.select("row", "g1", "g2", first.alias("shard")), "labels")
     for _ in range(ROUNDS):
         labels, moving = _round(labels, quotas)
         if not moving:
