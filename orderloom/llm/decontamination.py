@@ -90,15 +90,18 @@ def _spots(docs: DataFrame, shingled: DataFrame) -> DataFrame:
     reach = WINDOW - 1
     hashed = docs.select(
         *row_key(), "text", F.transform(_words(F.lower("text")), lambda w: F.xxhash64(w)).alias("h")
-    ).where("size(h) > 0")
+    )
 
     def found(size: int) -> Column:
         shingle = lambda _, i: F.struct(i.alias("position"), _shingle(F.col("h"), i, size).alias("shingle"))
         return F.filter(F.transform("h", shingle), lambda x: _passes(bloom, x["shingle"]))
 
-    some = hashed.select("doc_id", "text_hash", "text", F.concat(*map(found, sizes)).alias("found")).where("size(found) > 0")
-    words = some.select("doc_id", "text_hash", "found", _words(F.col("text")).alias("words"))
-    spots = words.select("doc_id", "text_hash", "words", F.explode("found").alias("spot"))
+    # No filter on ``found`` before it is exploded: it would be pushed down, and the words cut anew for every position.
+    some = hashed.select("doc_id", "text_hash", "text", F.concat(*map(found, sizes)).alias("found"))
+    words = some.select(
+        "doc_id", "text_hash", "found", F.when(F.size("found") > 0, _words(F.col("text"))).alias("words")
+    )
+    spots = words.select("doc_id", "text_hash", "words", F.explode_outer("found").alias("spot")).where("spot is not null")
     first = F.greatest(F.col("spot.position") - reach, F.lit(0))
     around = spots.select(
         "doc_id",

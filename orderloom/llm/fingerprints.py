@@ -30,11 +30,8 @@ def _shingles(hashes: str, n: int) -> Column:
     )
 
 
-def _kept(shingles: str, fraction: int) -> Column:
-    below = F.filter(shingles, lambda v: v < F.lit(-(2**63) + 2**64 // fraction))
-    return F.when(F.size(below) > 0, F.array_sort(F.array_distinct(below))).when(
-        F.size(shingles) > 0, F.array(F.array_min(shingles))
-    ).otherwise(F.array().cast("array<bigint>"))
+def _below(fraction: int) -> Column:
+    return F.lit(-(2**63) + 2**64 // fraction)
 
 
 def with_sketch(frame: DataFrame, text: str, name: str, n: int = 5, fraction: int = 8) -> DataFrame:
@@ -45,13 +42,20 @@ def with_sketch(frame: DataFrame, text: str, name: str, n: int = 5, fraction: in
     others = [c for c in frame.columns if c != name]
     hashed = frame.select(*others, _hashes(F.coalesce(text, F.lit(""))).alias("_hashes"))
     shingled = hashed.select(*others, _shingles("_hashes", n).alias("_shingles"))
-    return shingled.select(*others, _kept("_shingles", fraction).alias(name))
+    kept = shingled.select(
+        *others,
+        F.array_distinct(F.filter("_shingles", lambda v: v < _below(fraction))).alias("_kept"),
+        F.array_min("_shingles").alias("_least"),
+    )
+    none = F.array().cast("array<bigint>")
+    sketch = F.when(F.size("_kept") > 0, F.array_sort("_kept")).when(F.col("_least").isNull(), none).otherwise(F.array("_least"))
+    return kept.select(*others, sketch.alias(name))
 
 
 def merged(a: Column, b: Column, fraction: int = 8) -> Column:
     """The sketch of both texts' shingles together."""
     union = F.array_union(a, b)
-    below = F.filter(union, lambda v: v < F.lit(-(2**63) + 2**64 // fraction))
+    below = F.filter(union, lambda v: v < _below(fraction))
     return F.when(F.size(below) > 0, F.array_sort(below)).when(F.size(union) > 0, F.array(F.array_min(union))).otherwise(union)
 
 

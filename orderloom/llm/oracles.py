@@ -119,7 +119,7 @@ _TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in sorted(TEMP
 
 
 def _bigrams(words: str) -> str:
-    return f"list_distinct(list_transform(range(1, len({words})), i -> {words}[i] || ' ' || {words}[i + 1]))"
+    return f"list_distinct(list_transform(range(1, len({words})), lambda i: {words}[i] || ' ' || {words}[i + 1]))"
 
 
 LICENCES = f"""
