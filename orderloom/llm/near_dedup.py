@@ -5,10 +5,13 @@ pairs are never all made:
 
 1. every node is compared with the least node it shares a bucket with, and the links found are joined to components;
 2. in buckets that still hold several components, every node is compared with the least node of the bucket;
-3. what is then left is compared in blocks: small buckets pair by pair, others as pairs of chunks of bounded size, each a
-   task's work of its own. Only pairs of different components whose signatures agree well enough come out of it.
+3. what is then left is compared in blocks: small buckets at once, others as pairs of chunks of bounded size, each a task's
+   work of its own.
 
-So a pair goes unconfirmed only if its ends are in one component already, or its signatures are too far apart.
+In steps 2 and 3 only pairs of different components whose signatures allow it come out to be confirmed. The signature has,
+besides the bands, the parities of the set's hashes in PARITIES places: two sets differ in as many elements at least as
+their parities differ, so no pair that is alike is refused. A pair goes unconfirmed only if its ends are in one component
+already, or can't be alike.
 """
 
 from __future__ import annotations
@@ -18,16 +21,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import keyed, public_id, row_key, small_batches, stored, text_batches
 from orderloom.llm.components import components
-from orderloom.llm.words import shingle_set, split_words
+from orderloom.llm.words import mix, shingle_set, split_words
 
 MISS = 1e-6  # chance that a pair at the threshold shares no band
 MOST_HASHES = 160
-SLACK = 0.18  # over five standard deviations of the signatures' estimate
+PARITIES = 2048
 SMALL_BUCKET = 16
 CHUNK = 512  # nodes of a bucket that a block has from each side, about
 
@@ -50,24 +53,42 @@ def _family(count: int) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def signature(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> bytes:
-    """The low 16 bits of each hash function's minimum over the set."""
+def minima(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Each hash function's least value over the set."""
     a, b = family
     folded = (shingles >> np.uint64(32)).astype(np.uint32)
     least = np.full(len(a), 2**32 - 1, np.uint32)
     for start in range(0, len(folded), 4096):
         least = np.minimum(least, (a * folded[start : start + 4096] + b).min(axis=1))
-    return least.astype(np.uint16).tobytes()
+    return least
 
 
-def _signatures(words_each: int, hashes: int):
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the set's elements falls on each place, as bits of longs."""
+    counts = np.bincount((shingles % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def _long_lists(rows: list[np.ndarray]) -> pa.Array:
+    offsets = np.cumsum([0] + [len(row) for row in rows])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(rows).astype(np.int64)))
+
+
+def _signatures(words_each: int, bands: int, rows_each: int):
+    none = np.empty(0, np.int64)
+
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = _family(hashes)
+        family = _family(bands * rows_each)
         for batch, texts in text_batches(batches):
             words = split_words(texts, lower=True)
             sets = [shingle_set(words.hashes[words.of(i)], words_each) for i in range(len(texts))]
             sums = [(int(s.sum()), int((s * s | np.uint64(1)).sum())) if len(s) else (0, 0) for s in sets]
             digests = np.array(sums, np.uint64).reshape(-1, 2)
+            least = np.array([minima(s, family) for s in sets], np.uint64).reshape(len(sets), bands, rows_each)
+            keys = np.zeros((len(sets), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
+            for i in range(rows_each):
+                keys = mix(keys + least[:, :, i])
+            keys = keys.view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -75,15 +96,18 @@ def _signatures(words_each: int, hashes: int):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(digests[:, 0].view(np.int64)),
                     pa.array(digests[:, 1].view(np.int64)),
-                    pa.array([signature(s, family) if len(s) else None for s in sets], pa.binary()),
+                    _long_lists([keys[i] if len(s) else none for i, s in enumerate(sets)]),
+                    _long_lists([parities(s) if len(s) else none for s in sets]),
                 ],
-                ["doc_id", "text_hash", "n_shingles", "set_high", "set_low", "signature"],
+                ["doc_id", "text_hash", "n_shingles", "set_high", "set_low", "bands", "parity"],
             )
 
     return rows
 
 
-_SIGNED = "doc_id long, text_hash int, n_shingles long, set_high long, set_low long, signature binary"
+_SIGNED = (
+    "doc_id long, text_hash int, n_shingles long, set_high long, set_low long, bands array<long>, parity array<long>"
+)
 
 
 def _confirmed(words_each: int, percent: int):
@@ -112,20 +136,28 @@ def _confirmed(words_each: int, percent: int):
     return rows
 
 
-def _close_in_blocks(hashes: int, least: float):
-    """Of each block (a bucket's chunks i and j): pairs across, or within if i = j, with like signatures."""
-    need = math.ceil(least * hashes)
+def _could_be_alike(percent: int, prefix: str) -> Column:
+    """For columns size and parity and those of another node with a prefix: whether the sets may be alike enough."""
+    differing = F.aggregate(
+        F.zip_with("parity", f"{prefix}parity", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    return differing * (100 + percent) <= (100 - percent) * (F.col("size") + F.col(f"{prefix}size"))
+
+
+def _close_in_blocks(percent: int):
+    """Of each block (a bucket's chunks i and j): pairs across, or within if i = j, that may be alike enough."""
 
     def rows(group: pa.Table) -> pa.Table:
-        node, comp = group.column("node").to_numpy(), group.column("comp").to_numpy()
+        node, comp, size = (group.column(name).to_numpy() for name in ("node", "comp", "size"))
         own = group.column("chunk").to_numpy()
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        sketch = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(-1, hashes)
+        parity = np.array(group.column("parity").to_pylist(), np.int64)
         right = np.flatnonzero(own == high)
         us, vs = [], []
         for i in np.flatnonzero(own == low):
             other = right[(comp[right] != comp[i]) & ((node[right] > node[i]) | (low != high))]
-            close = other[(sketch[other] == sketch[i]).sum(axis=1) >= need]
+            differing = np.bitwise_count(parity[other] ^ parity[i]).sum(axis=1, dtype=np.int64)
+            close = other[differing * (100 + percent) <= (100 - percent) * (size[other] + size[i])]
             us.append(np.maximum(node[close], node[i]))
             vs.append(np.minimum(node[close], node[i]))
         empty = [np.empty(0, np.int64)]
@@ -138,12 +170,8 @@ class _Candidates:
     """Nodes, their buckets and texts, and the rounds of comparison."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, percent: int, words_each: int):
-        bands, rows = bands_for(percent / 100)
-        self.hashes, self.words_each, self.percent = bands * rows, words_each, percent
-        width = 2 * rows
-        keys = [F.xxhash64(F.substring("signature", 1 + i * width, width), F.lit(i)) for i in range(bands)]
-        self.nodes = nodes
-        banded = nodes.select("node", F.explode(F.array(*keys)).alias("bucket"))
+        self.nodes, self.words_each, self.percent = nodes.drop("bands"), words_each, percent
+        banded = nodes.select("node", F.explode("bands").alias("bucket"))
         shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
         self.buckets = stored(banded.join(shared, "bucket", "left_semi"), "buckets")
         wanted = self.buckets.select(F.col("node").alias("doc_id")).distinct()
@@ -157,19 +185,8 @@ class _Candidates:
         texts = pairs.join(u, "u").join(v, "v")
         return stored(texts.mapInArrow(_confirmed(self.words_each, self.percent), "u long, v long"), "links")
 
-    def alike(self, pairs: DataFrame) -> DataFrame:
-        """Of the pairs, those whose signatures could be of sets as alike as asked for."""
-        size, need = self.hashes, math.ceil((self.percent / 100 - SLACK) * self.hashes)
-        u = self.nodes.select(F.col("node").alias("u"), F.col("signature").alias("su"))
-        v = self.nodes.select(F.col("node").alias("v"), F.col("signature").alias("sv"))
-        same = F.lit(0)
-        for i in range(size):
-            at = 1 + 2 * i
-            same = same + (F.substring("su", at, 2) == F.substring("sv", at, 2)).cast("int")
-        return pairs.join(u, "u").join(v, "v").where(same >= need).select("u", "v")
-
     def with_components(self, found: DataFrame) -> DataFrame:
-        """``bucket``, ``node`` and ``comp`` of the buckets that hold several components."""
+        """The nodes, with ``comp``, ``size`` and ``parity``, of buckets that hold several components."""
         comps = found.select(F.col("u").alias("node"), F.col("v").alias("comp"))
         rows = self.buckets.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
         several = (
@@ -178,7 +195,7 @@ class _Candidates:
             .where("least < most")
             .select("bucket", "pivot", "n")
         )
-        return rows.join(several, "bucket")
+        return stored(rows.join(several, "bucket").join(self.nodes, "node"), "open-buckets")
 
     def star_pairs(self) -> DataFrame:
         """Every node with the least node that any of its buckets has."""
@@ -191,49 +208,49 @@ class _Candidates:
         )
 
     def pivot_pairs(self, open_buckets: DataFrame) -> DataFrame:
-        """Nodes with the least node of each open bucket, unless that is in their component."""
-        pivot = open_buckets.where("node = pivot").select("bucket", F.col("comp").alias("pivot_comp"))
+        """Nodes with the least node of each open bucket, if that is in another component and they may be alike."""
+        pivot = open_buckets.where("node = pivot").select(
+            "bucket", F.col("comp").alias("p_comp"), F.col("size").alias("p_size"), F.col("parity").alias("p_parity")
+        )
+        may_be = _could_be_alike(self.percent, "p_")
         return (
-            open_buckets.join(pivot, "bucket")
-            .where("comp <> pivot_comp")
+            open_buckets.join(pivot, (open_buckets["bucket"] == pivot["bucket"]) & (F.col("comp") != F.col("p_comp")) & may_be)
             .select(F.col("node").alias("u"), F.col("pivot").alias("v"))
             .distinct()
         )
 
     def block_pairs(self, open_buckets: DataFrame) -> DataFrame:
-        """The pairs of different components that are left in open buckets."""
-        small = open_buckets.where(F.col("n") <= SMALL_BUCKET).select("bucket", "node", "comp")
-        other = small.select("bucket", F.col("node").alias("v"), F.col("comp").alias("other"))
+        """The pairs of different components that are left in open buckets and may be alike."""
+        small = open_buckets.where(F.col("n") <= SMALL_BUCKET).select("bucket", "node", "comp", "size", "parity")
+        other = small.select(*(F.col(name).alias(f"o_{name}") for name in small.columns))
+        across = (F.col("bucket") == F.col("o_bucket")) & (F.col("node") > F.col("o_node")) & (F.col("comp") != F.col("o_comp"))
         few = (
-            small.join(other, "bucket")
-            .where("node > v and comp <> other")
-            .select(F.col("node").alias("u"), "v")
+            small.join(other, across & _could_be_alike(self.percent, "o_"))
+            .select(F.col("node").alias("u"), F.col("o_node").alias("v"))
             .distinct()
         )
         chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+        values = ["bucket", "node", "comp", "size", "parity", "chunk"]
         large = (
             open_buckets.where(F.col("n") > SMALL_BUCKET)
-            .select("bucket", "node", "comp", chunks.alias("chunks"), F.pmod(F.xxhash64("node"), chunks).cast("int").alias("chunk"))
-            .select("bucket", "node", "comp", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
-            .select("bucket", "node", "comp", "chunk", F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"))
-        )
-        many = (
-            large.join(self.nodes.select("node", "signature"), "node")
-            .groupBy("bucket", "low", "high")
-            .applyInArrow(_close_in_blocks(self.hashes, self.percent / 100 - SLACK), "u long, v long")
+            .withColumn("chunks", chunks)
+            .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+            .select(*values, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
+            .select(*values, F.least("chunk", "with").alias("low"), F.greatest("chunk", "with").alias("high"))
         )
-        return self.alike(few).union(many).distinct()
+        many = large.groupBy("bucket", "low", "high").applyInArrow(_close_in_blocks(self.percent), "u long, v long")
+        return few.union(many).distinct()
 
     def links(self) -> DataFrame:
         """Enough confirmed links to connect every component."""
         first = stored(self.star_pairs(), "pairs")
         links = self.confirm(first)
         found = components(links)
-        open_buckets = stored(self.with_components(found), "open-buckets")
-        second = stored(self.alike(self.pivot_pairs(open_buckets).join(first, ["u", "v"], "left_anti")), "pairs")
+        open_buckets = self.with_components(found)
+        second = stored(self.pivot_pairs(open_buckets).join(first, ["u", "v"], "left_anti"), "pairs")
         links = links.union(self.confirm(second))
         found = components(links)
-        open_buckets = stored(self.with_components(found), "open-buckets")
+        open_buckets = self.with_components(found)
         tested = first.union(second)
         third = stored(self.block_pairs(open_buckets).join(tested, ["u", "v"], "left_anti"), "pairs")
         return links.union(self.confirm(third))
@@ -248,11 +265,12 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
     """
     small_batches(docs.sparkSession)
     bands, rows = bands_for(percent / 100)
-    signed = stored(keyed(docs).mapInArrow(_signatures(words_each, bands * rows), _SIGNED), "signatures")
+    signed = stored(keyed(docs).mapInArrow(_signatures(words_each, bands, rows), _SIGNED), "signatures")
     filled = signed.where("n_shingles > 0")
     classes = filled.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("node"))
-    of_class = filled.select("doc_id", "set_high", "set_low", "signature").join(classes, ["set_high", "set_low"])
-    nodes = stored(of_class.where("doc_id = node").select("node", "signature").distinct(), "nodes")
+    of_class = filled.join(classes, ["set_high", "set_low"])
+    own = of_class.where("doc_id = node").select("node", F.col("n_shingles").alias("size"), "bands", "parity")
+    nodes = stored(own.distinct(), "nodes")
     links = _Candidates(docs, nodes, percent, words_each).links()
     same_set = of_class.select(F.col("doc_id").alias("u"), F.col("node").alias("v")).where("u <> v")
     found = components(links.union(same_set)).select(F.col("u").alias("doc_id"), F.col("v").alias("component"))
