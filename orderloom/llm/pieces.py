@@ -34,7 +34,7 @@ CHUNK = 16_384  # characters; longer texts are cut
 BLOCK = 64  # chunks whose matrices are combined in one task
 CACHED = 200_000  # words whose paths a worker keeps
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-NEVER = -(1 << 120)
+NEVER = -(1 << 400)  # below any sum
 
 
 class Vocabulary:

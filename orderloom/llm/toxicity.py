@@ -4,7 +4,7 @@ Words of a clause become symbols: insults, threats, targets, negations, reportin
 a cascade of transducers, which were composed into one: negation marks the insults and threats in its scope, reported
 speech those of its clause, and the target transducer those that are aimed at somebody. What comes out of a clause are
 matched patterns. Insults are learned: words, and beginnings of words, that toxic training texts have much more often
-than others; how much each pattern counts is learned too, from other training texts.
+than others; how much each pattern counts is learned too, each half of the texts being read with the words of the other.
 """
 
 from __future__ import annotations
@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import small_batches, text_batches
+from orderloom.llm.common import small_batches, stored, text_batches
 from orderloom.llm.language import held_out
 
-SAMPLE = 20_000  # labelled rows that the grammar is fitted to at most, about; half for words, half for patterns
+SAMPLE = 20_000  # labelled rows that the grammar is fitted to at most, about
 LEXICON = 20_000  # learned words and beginnings at most, which go to the driver
 STEMS = (4, 5, 6, 7)
-LEAST_WEIGHT = 2.0
-CAUTION = 2.0  # standard errors that a word's log odds are lowered by
+LEAST_WEIGHT = 1.0
+CAUTION = 1.5  # standard errors that a word's log odds are lowered by
 SCOPE = 3  # words that a negation reaches
 CACHED = 200_000
 
@@ -248,11 +248,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = known.where(lot < int((1 << 30) * min(1.0, sample / max(total, 1))))
     # The broadcast side has about ``sample`` rows of two numbers.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id").where("text is not null")
-    half = F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(2))
     # A text with many copies counts once.
-    words = rows.where(half == 0).groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
-    lexicon = learn_lexicon(words)
-    found = rows.where(half == 1).select("text", "toxic").mapInArrow(_feature_rows(lexicon), "toxic long, x array<double>").collect()
+    fold = F.pmod(F.xxhash64("text", F.lit(13)), F.lit(2)).alias("fold")
+    rows = rows.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    rows = stored(rows.select("text", "toxic", fold), "training")
+    # What the patterns count for is learned from texts that their words weren't learned from.
+    found = []
+    for own in (0, 1):
+        other = learn_lexicon(rows.where(F.col("fold") != own))
+        found += rows.where(F.col("fold") == own).mapInArrow(_feature_rows(other), "toxic long, x array<double>").collect()
+    lexicon = learn_lexicon(rows)
     if not found:
         return Model(lexicon, np.zeros(FEATURES + 1))
     x, y = np.array([row["x"] for row in found]), np.array([row["toxic"] for row in found], float)
