@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.session import scratch, shared_folder
@@ -27,6 +27,13 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def stored_with(frame: DataFrame, purpose: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """The same, and aggregates of its rows, taken while they are written."""
+    seen = Observation()
+    rows = stored(frame.observe(seen, *(measure.alias(name) for name, measure in measures.items())), purpose)
+    return rows, seen.get
+
+
 def with_checkpoint_dir(spark: SparkSession) -> None:
     """Make sure that ``checkpoint()`` has a folder: the session's own, or for a local session one of its own."""
     folder = shared_folder(spark)
@@ -82,7 +89,3 @@ def text_batches(
 
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
-
-
-def longs(frame: DataFrame, column: str) -> list[int]:
-    return [row[0] for row in frame.select(column).collect()]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import stored
+from orderloom.llm.common import stored_with
 
 
 def _with_least(links: DataFrame) -> DataFrame:
@@ -37,10 +37,12 @@ def components(edges: DataFrame) -> DataFrame:
     edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     state = None
     while True:
-        edges = stored(_small_star(_large_star(edges)), "component-edges")
-        found = edges.agg(
-            F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")
-        ).first()
+        edges, found = stored_with(
+            _small_star(_large_star(edges)),
+            "component-edges",
+            n=F.count(F.lit(1)),
+            sum=F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
+        )
         if found == state or not found["n"]:
             return edges
         state = found

@@ -3,15 +3,14 @@
 Documents with equal shingle sets are one node from the start. Nodes that share a band are candidates, but a bucket's
 pairs are never all made:
 
-1. every node is compared with the least node it shares a bucket with, and the links found are joined to components;
-2. in buckets that still hold several components, every node is compared with the least node of the bucket;
-3. what is then left is compared in blocks: small buckets at once, others as pairs of chunks of bounded size, each a task's
-   work of its own.
-
-In steps 2 and 3 only pairs of different components whose signatures allow it come out to be confirmed. The signature has,
-besides the bands, the parities of the set's hashes in PARITIES places: two sets differ in as many elements at least as
-their parities differ, so no pair that is alike is refused. A pair goes unconfirmed only if its ends are in one component
-already, or can't be alike.
+1. of the least nodes of its buckets, every node is compared with the least that it may be like, and the links found are
+   joined to components;
+2. what then still shares a bucket across components is compared in blocks: small buckets at once, others as pairs of
+   chunks of bounded size, each a task's work of its own.
+
+Only pairs whose signatures allow it come out to be confirmed. The signature has, besides the bands, the parities of the
+set's hashes in PARITIES places: two sets differ in as many elements at least as their parities differ, so no pair that
+is alike is refused. A pair goes unconfirmed only if its ends are in one component already, or can't be alike.
 """
 
 from __future__ import annotations
@@ -191,32 +190,20 @@ class _Candidates:
         rows = self.buckets.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
         several = (
             rows.groupBy("bucket")
-            .agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n"))
+            .agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count(F.lit(1)).alias("n"))
             .where("least < most")
-            .select("bucket", "pivot", "n")
+            .select("bucket", "n")
         )
         return stored(rows.join(several, "bucket").join(self.nodes, "node"), "open-buckets")
 
     def star_pairs(self) -> DataFrame:
-        """Every node with the least node that any of its buckets has."""
+        """Every node with the least of its buckets' least nodes that it may be like."""
         pivots = self.buckets.groupBy("bucket").agg(F.min("node").alias("pivot"))
+        pairs = self.buckets.join(pivots, "bucket").where("node <> pivot").select("node", "pivot").distinct()
+        other = self.nodes.select(*(F.col(name).alias(f"p_{name}") for name in self.nodes.columns))
+        near = (F.col("pivot") == F.col("p_node")) & _could_be_alike(self.percent, "p_")
         return (
-            self.buckets.join(pivots, "bucket")
-            .groupBy(F.col("node").alias("u"))
-            .agg(F.min("pivot").alias("v"))
-            .where("v < u")
-        )
-
-    def pivot_pairs(self, open_buckets: DataFrame) -> DataFrame:
-        """Nodes with the least node of each open bucket, if that is in another component and they may be alike."""
-        pivot = open_buckets.where("node = pivot").select(
-            "bucket", F.col("comp").alias("p_comp"), F.col("size").alias("p_size"), F.col("parity").alias("p_parity")
-        )
-        may_be = _could_be_alike(self.percent, "p_")
-        return (
-            open_buckets.join(pivot, (open_buckets["bucket"] == pivot["bucket"]) & (F.col("comp") != F.col("p_comp")) & may_be)
-            .select(F.col("node").alias("u"), F.col("pivot").alias("v"))
-            .distinct()
+            pairs.join(self.nodes, "node").join(other, near).groupBy(F.col("node").alias("u")).agg(F.min("pivot").alias("v"))
         )
 
     def block_pairs(self, open_buckets: DataFrame) -> DataFrame:
@@ -246,14 +233,8 @@ class _Candidates:
         first = stored(self.star_pairs(), "pairs")
         links = self.confirm(first)
         found = components(links)
-        open_buckets = self.with_components(found)
-        second = stored(self.pivot_pairs(open_buckets).join(first, ["u", "v"], "left_anti"), "pairs")
-        links = links.union(self.confirm(second))
-        found = components(links)
-        open_buckets = self.with_components(found)
-        tested = first.union(second)
-        third = stored(self.block_pairs(open_buckets).join(tested, ["u", "v"], "left_anti"), "pairs")
-        return links.union(self.confirm(third))
+        second = self.block_pairs(self.with_components(found)).join(first, ["u", "v"], "left_anti")
+        return links.union(self.confirm(stored(second, "pairs")))
 
 
 def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) -> DataFrame:
