@@ -97,7 +97,7 @@ def _spots(docs: DataFrame, shingled: DataFrame) -> DataFrame:
         return F.filter(F.transform("h", shingle), lambda x: _passes(bloom, x["shingle"]))
 
     # No filter on ``found`` before it is exploded: it would be pushed down, and the words cut anew for every position.
-    some = hashed.select("doc_id", "text_hash", "text", F.concat(*map(found, sizes)).alias("found"))
+    some = hashed.select("doc_id", "text_hash", "text", F.concat(*map(found, sizes or [SHINGLE])).alias("found"))
     words = some.select(
         "doc_id", "text_hash", "found", F.when(F.size("found") > 0, _words(F.col("text"))).alias("words")
     )
