@@ -17,3 +17,10 @@ def relative_file_name(file_path: Column, root: str, delivery: str | None = None
     below = F.substring(path, len(root.rstrip("/")) + 2, 1 << 30)
     name = F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B")))
     return name if delivery is None else F.regexp_extract(name, delivery, 0)
+
+
+def relative_file_name_sql(file_path: str, root: str, delivery: str | None = None) -> str:
+    """The same as SQL, for views."""
+    below = f"substring(regexp_replace({file_path}, '^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?', ''), {len(root.rstrip('/')) + 2})"
+    name = f"url_decode(replace({below}, '+', '%2B'))"
+    return name if delivery is None else f"regexp_extract({name}, r'{delivery}', 0)"

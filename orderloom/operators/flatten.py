@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from orderloom.functions.casts import strict_cast
 from orderloom.schema import ORDER_COLUMNS, QUANTITY
 
 
@@ -13,12 +15,17 @@ def _field(document: str, name: str, as_type: str, outer: bool = False) -> Colum
     return F.variant_get(column, f'$["{name}"]', as_type)
 
 
+def _date(document: str, name: str) -> Column:
+    # By way of text: a variant's own cast to date takes damaged dates.
+    return strict_cast(_field(document, name, "string"), T.DateType(), name)
+
+
 def top_level(raw: DataFrame) -> DataFrame:
     """Scalars of the document, its orders still nested. A missing field is NULL."""
     kept = [c for c in raw.columns if c != "customer_orders"]
     return raw.select(
         _field("customer_orders", "Customer", "string").alias("customer"),
-        _field("customer_orders", "Order date", "date").alias("order_date"),
+        _date("customer_orders", "Order date").alias("order_date"),
         _field("customer_orders", "Orders", "variant").alias("orders"),
         *kept,
     )
@@ -32,7 +39,7 @@ def flatten_days(raw: DataFrame) -> DataFrame:
     return days.select(
         "customer",
         "order_date",
-        _field("value", "Delivery date", "date").alias("delivery_date"),
+        _date("value", "Delivery date").alias("delivery_date"),
         _field("value", "Orders by day", "variant").alias("orders_by_day"),
         *kept,
     )

@@ -2,7 +2,8 @@
 
 A staging table is a folder with one ``load_id=..`` partition per load. A load writes its own partition only, as one
 job: if any row is bad the job fails and nothing is published, and a load repeated under its id replaces
-itself instead of adding its rows again.
+itself instead of adding its rows again. Files that another load has taken, by path, size and time, are left out unless
+asked for with ``force``.
 """
 
 from __future__ import annotations
@@ -12,16 +13,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom import storage
 from orderloom.functions.casts import typed_order_columns
-from orderloom.schema import FILE_COLUMNS, FILE_PATH, LOAD_HISTORY, LOAD_ID, ORDERS, RAW_DOCUMENTS, with_fields
+from orderloom.schema import FILE_COLUMNS, FILE_FIELDS, LOAD_HISTORY, LOAD_ID, ORDERS, RAW_DOCUMENTS, with_fields
 from orderloom.sources.csv_files import CsvFormat, ordinals, scan_csv
 from orderloom.sources.json_files import DOCUMENT_PER_FILE, scan_json
 from orderloom.sources.listing import list_stage
 from orderloom.sources.stage import Stage
 
 
+_STAGED_FILES = T.StructType([ORDERS["source_file_name"], *FILE_FIELDS, LOAD_ID])
+
+
 @dataclass(frozen=True)
 class StagingTable:
     """``schema_name`` and ``name`` identify the table in the load history kept under ``history_path``."""
@@ -39,16 +44,20 @@ class LoadResult:
     files: int
 
 
+def _file_columns() -> list[str]:
+    return [field.name for field in FILE_FIELDS]
+
+
 def order_rows(scanned: DataFrame, load_ts: Column) -> DataFrame:
     """Scanned text ordinals -> typed order rows with lineage and load time."""
     columns = [F.col(c) for c in ordinals(len(FILE_COLUMNS))]
     return scanned.select(
-        *typed_order_columns(columns), "source_file_name", load_ts.alias("load_ts"), FILE_PATH.name
+        *typed_order_columns(columns), "source_file_name", load_ts.alias("load_ts"), *_file_columns()
     )
 
 
 def raw_documents(scanned: DataFrame, load_ts: Column) -> DataFrame:
-    return scanned.select("customer_orders", "source_file_name", load_ts.alias("load_ts"), FILE_PATH.name)
+    return scanned.select("customer_orders", "source_file_name", load_ts.alias("load_ts"), *_file_columns())
 
 
 def read_staged_orders(spark: SparkSession, table: StagingTable, load_id: str | None = None) -> DataFrame:
@@ -67,11 +76,13 @@ def _read_staged(spark, table, schema, load_id) -> DataFrame:
     return rows.select(*schema.fieldNames())
 
 
-def write_load(rows: DataFrame, table: StagingTable, load_id: str) -> None:
-    """Materialise all columns of every row; this is what makes bad rows abort."""
+def write_load(rows: DataFrame, table: StagingTable, load_id: str) -> int:
+    """Materialise all columns of every row; this is what makes bad rows abort. The rows of a former load of this id are
+    there until the new ones are committed."""
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", load_id):
         raise ValueError(f"load id {load_id!r} cannot name a folder")
-    rows.write.mode("overwrite").parquet(f"{table.path}/{LOAD_ID.name}={load_id}")
+    tagged = rows.withColumn(LOAD_ID.name, F.lit(load_id))
+    return storage.overwrite_all_of(tagged, table.path, **{LOAD_ID.name: load_id})
 
 
 def load_csv(
@@ -82,11 +93,12 @@ def load_csv(
     fmt: CsvFormat = CsvFormat(),
     prefix: str | None = None,
     load_ts: Column | None = None,
+    force: bool = False,
 ) -> LoadResult:
-    """Append the stage's files to a staging table, or fail as a whole."""
+    """Append the stage's new files to a staging table, or fail as a whole."""
     load_ts = F.current_timestamp() if load_ts is None else load_ts
-    listed = _snapshot_listing(spark, stage, prefix)
-    write_load(order_rows(scan_csv(spark, stage, fmt, prefix), load_ts), table, load_id)
+    listed, paths = _new_files(spark, stage, prefix, table, load_id, force)
+    write_load(order_rows(scan_csv(spark, stage, fmt, prefix, paths=paths), load_ts), table, load_id)
     return record_load(spark, table, load_id, listed, load_ts)
 
 
@@ -98,31 +110,45 @@ def load_json(
     layout: str = DOCUMENT_PER_FILE,
     prefix: str | None = None,
     load_ts: Column | None = None,
+    force: bool = False,
 ) -> LoadResult:
-    """Append the stage's documents, unflattened, to a raw staging table, or fail as a whole."""
+    """Append the stage's new documents, unflattened, to a raw staging table, or fail as a whole."""
     load_ts = F.current_timestamp() if load_ts is None else load_ts
-    listed = _snapshot_listing(spark, stage, prefix)
-    write_load(raw_documents(scan_json(spark, stage, layout, prefix), load_ts), table, load_id)
+    listed, paths = _new_files(spark, stage, prefix, table, load_id, force)
+    write_load(raw_documents(scan_json(spark, stage, layout, prefix, paths=paths), load_ts), table, load_id)
     return record_load(spark, table, load_id, listed, load_ts)
 
 
-def _snapshot_listing(spark: SparkSession, stage: Stage, prefix: str | None) -> DataFrame:
-    # A file scan lists its files when it is defined. Listing before the scan means that a file without rows is
-    # recorded, hence purged, only if it was there before.
-    return list_stage(spark, stage, prefix)
+def _new_files(
+    spark: SparkSession, stage: Stage, prefix: str | None, table: StagingTable, load_id: str, force: bool
+) -> tuple[DataFrame, list[str] | None]:
+    """The files to load, and their paths if they are not simply all that are there.
+
+    A file scan lists its files when it is defined. Listing before the scan means that a file without rows is recorded,
+    hence purged, only if it was there before. The paths that reach the driver are those of one delivery.
+    """
+    listed = list_stage(spark, stage, prefix)
+    if force:
+        return listed, None
+    known = load_history(spark, table.history_path, table.schema_name, table.name).where(F.col("load_id") != load_id)
+    if known.isEmpty():
+        return listed, None
+    new = listed.join(known.select(*_file_columns()), _file_columns(), "left_anti")
+    return new, [row["file_path"] for row in new.select("file_path").collect()]
 
 
 def record_load(
     spark: SparkSession, table: StagingTable, load_id: str, listed: DataFrame | None, load_ts: Column
 ) -> LoadResult:
-    """Write the history of one load: a row per file, counted from what was written."""
-    staged = spark.read.parquet(f"{table.path}/{LOAD_ID.name}={load_id}")
-    counted = staged.groupBy("source_file_name", FILE_PATH.name).agg(F.count(F.lit(1)).alias("counted"))
-    if listed is None:
-        files = counted.withColumns({"file_size": F.lit(None), "file_modification_time": F.lit(None)})
-    else:
-        # A file has one name, so joining on both is joining on the path.
-        files = listed.join(counted, ["source_file_name", FILE_PATH.name], "full_outer")
+    """Write the history of one load: a row per file, counted from what was written.
+
+    A stream knows no listing, so files without rows are in the history of batch loads only.
+    """
+    columns = ["source_file_name", *_file_columns()]
+    staged_rows = storage.read_table(spark, table.path, _STAGED_FILES).where(F.col(LOAD_ID.name) == load_id)
+    counted = staged_rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("counted"))
+    # A file has one name, size and time, so joining on all is joining on the path.
+    files = counted if listed is None else listed.join(counted, columns, "full_outer")
     history = files.select(
         "file_path",
         "source_file_name",
@@ -132,13 +158,13 @@ def record_load(
         F.lit("LOADED").alias("status"),
         load_ts.alias("last_load_time"),
     )
-    folder = f"{table.history_path}/schema_name={table.schema_name}/table_name={table.name}/load_id={load_id}"
+    place = {"schema_name": table.schema_name, "table_name": table.name, "load_id": load_id}
     written = Observation()
-    history.observe(
-        written, F.sum("row_count").alias("rows"), F.count(F.lit(1)).alias("files")
-    ).write.mode("overwrite").parquet(folder)
-    total = written.get
-    return LoadResult(load_id, total["rows"] or 0, total["files"])
+    observed = history.observe(written, F.sum("row_count").alias("rows"))
+    files_written = storage.overwrite_all_of(
+        observed.withColumns({name: F.lit(value) for name, value in place.items()}), table.history_path, **place
+    )
+    return LoadResult(load_id, written.get["rows"] or 0, files_written)
 
 
 def load_history(spark: SparkSession, history_path: str, schema_name: str, table_name: str) -> DataFrame:
@@ -155,7 +181,8 @@ def purge_loaded(spark: SparkSession, table: StagingTable, load_id: str) -> int:
     The names come from the history a partition at a time; files delivered since the load are not in it.
     """
     files = load_history(spark, table.history_path, table.schema_name, table.name).filter(F.col("load_id") == load_id)
-    return sum(storage.delete_file_uri(spark, row["file_path"]) for row in files.select("file_path").toLocalIterator())
+    uris = (row["file_path"] for row in files.select("file_path").toLocalIterator())
+    return storage.delete_file_uris(spark, uris)
 
 
 def truncate_staging(spark: SparkSession, table: StagingTable) -> None:

@@ -112,6 +112,25 @@ def plan_merge(
     """
     if on_duplicate not in ("error", "last"):
         raise ValueError(f"unknown duplicate rule {on_duplicate!r}")
+    paths: list[str] = []
+    try:
+        return _planned(spark, target, source, merge_ts, insert_ts, on_duplicate, order_by, paths)
+    except BaseException:
+        drop_scratch(spark, paths)
+        raise
+
+
+def _planned(
+    spark: SparkSession,
+    target: OrderTable,
+    source: DataFrame,
+    merge_ts: Column | None,
+    insert_ts: Column | None,
+    on_duplicate: str,
+    order_by: Sequence[str],
+    paths: list[str],
+) -> MergePlan:
+    """``paths`` gets the scratch folders as they are made."""
     merge_ts = F.current_timestamp() if merge_ts is None else merge_ts
     insert_ts = merge_ts if insert_ts is None else insert_ts
     period = storage.period_of(F.col("delivery_date"), target.grain)
@@ -120,7 +139,7 @@ def plan_merge(
     # The source is evaluated into one row per key in the shared folder, and again only if it has repeated or incomplete
     # keys, whose rows are all needed. The size of what is written there decides about broadcasts.
     winners_path = scratch(spark, "merge-winners")
-    paths = (winners_path,)
+    paths.append(winners_path)
     rows = source.select(*columns)
     with shuffles_sized_for(spark, rows):
         reduce_to_winners(rows, order_by).write.parquet(winners_path)
@@ -143,13 +162,12 @@ def plan_merge(
         # leaves AQE a plain shuffle on both sides, which it can split, or a broadcast if they are few. Without any keys
         # the rows need no join, hence no shuffle by key either.
         keys_path, common = scratch(spark, "merge-keys"), Observation()
-        paths += (keys_path,)
+        paths.append(keys_path)
         with shuffles_sized_for(spark, touched, winners):
             hit.observe(common, F.count(F.lit(1)).alias("keys")).write.parquet(keys_path)
         hit = spark.read.parquet(keys_path)
         clashes = hit.join(winners.filter("copies > 1"), MERGE_KEYS, "left_semi").count()
         if clashes:
-            drop_scratch(spark, paths)
             raise MergeCardinalityError(f"{clashes} keys of the target are matched by more than one source row")
         fresh = rows.filter(_matchable())
         if common.get["keys"]:
@@ -180,15 +198,16 @@ def plan_merge(
     merged = updates.unionByName(inserts(fresh))
     if incomplete:
         merged = merged.unionByName(inserts(rows.filter(~_matchable())))
-    return MergePlan(merged, periods, has_null, paths, (touched, rows))
+    return MergePlan(merged, periods, has_null, tuple(paths), (touched, rows))
 
 
 def merge_orders(spark: SparkSession, target: OrderTable, source: DataFrame, **options) -> MergeResult:
     """Merge the source into the target; options as for ``plan_merge``.
 
-    The touched periods are replaced at commit. Rows are spread by period first, so that a period gets few large files;
+    The touched periods are replaced all or none, after all rows have been written. Rows are spread by period first, so that a period gets few large files;
     AQE splits a period that is too large for one task.
     """
+    storage.recover(spark, target.path)
     plan = plan_merge(spark, target, source, **options)
     try:
         return _apply(spark, target, plan)
@@ -205,7 +224,7 @@ def _apply(spark: SparkSession, target: OrderTable, plan: MergePlan) -> MergeRes
         counts, *(F.count_if(F.col(OPERATION) == op).alias(op) for op in (UPDATE, INSERT, KEEP))
     )
     with shuffles_sized_for(spark, *plan.inputs):
-        storage.overwrite_partitions(rows.drop(OPERATION), target.path, PERIOD.name)
+        storage.publish_partitions(rows.drop(OPERATION), target.path, PERIOD.name)
     done = counts.get
     return MergeResult(done[UPDATE], done[INSERT], done[KEEP], plan.periods, plan.has_null_period)
 

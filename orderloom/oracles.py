@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from orderloom.plans.feed import CHANNELS, DOCUMENTS, EXTERNAL, INTERNAL, ITEMS_PER_DOCUMENT
+from orderloom.plans.feed import CHANNELS, DOCUMENTS, EXTERNAL, INTERNAL, LINES_PER_DOCUMENT
 from orderloom.queries import FIRST_MERGE_TS, LOAD_TS, SECOND_INSERT_TS, SECOND_MERGE_TS
 
 _CASES = " ".join(f"WHEN '{segment}' THEN '{channel}'" for segment, channel in CHANNELS.items())
 
-# All order lines as feed rows. One more than the printed columns: the order, for counting documents.
+# All order lines as feed rows, with the line's place in its order, for counting documents.
 FEED = f"""feed AS (
   SELECT n_name AS customer, CAST(o_orderdate AS DATE) AS order_date, CAST(l_shipdate AS DATE) AS delivery_date,
          p_type AS baked_good_type, CAST(l_quantity AS BIGINT) AS quantity,
-         CASE c_mktsegment {_CASES} ELSE '{DOCUMENTS}' END AS channel, l_orderkey
+         CASE c_mktsegment {_CASES} ELSE '{DOCUMENTS}' END AS channel, l_orderkey, l_linenumber
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
        JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey)"""
 
@@ -22,11 +22,11 @@ STAGED = f"""{FEED}, staged AS (
            AS source_file_name
   FROM feed)"""
 
-# The feed as documents: one per order, more for an order of very many lines.
+# The feed as documents: one for each window of an order's line numbers.
 DOCUMENTS_OF = f"""documents_of AS (
-  SELECT l_orderkey, customer, order_date, count(*) AS lines,
-         CASE WHEN count(*) > {ITEMS_PER_DOCUMENT} THEN ceil(count(*) / {ITEMS_PER_DOCUMENT}.0) ELSE 1 END AS documents
-  FROM feed GROUP BY l_orderkey, customer, order_date)"""
+  SELECT l_orderkey, customer, order_date, channel, count(*) AS lines,
+         count(DISTINCT (l_linenumber - 1) // {LINES_PER_DOCUMENT}) AS documents
+  FROM feed GROUP BY l_orderkey, customer, order_date, channel)"""
 
 KEYS = "customer, delivery_date, baked_good_type"
 
@@ -62,20 +62,23 @@ def _texts(where: str) -> str:
   'Orders_' || CAST(year(order_date) AS VARCHAR) || '.csv' AS source_file_name FROM feed {where}"""
 
 
-def _merged(update_ts: str, insert_ts: str, keep_ts: str) -> str:
-    """All rows of t after s was merged in. Each has a key once."""
-    return f"""SELECT COALESCE(t.customer, s.customer) AS customer,
-  CAST(COALESCE(t.order_date, s.order_date) AS VARCHAR) AS order_date,
-  CAST(COALESCE(t.delivery_date, s.delivery_date) AS VARCHAR) AS delivery_date,
+def _merged_rows(t: str, s: str, update_ts: str, insert_ts: str, keep_ts: str) -> str:
+    """All rows of t after s was merged in; s has each key once."""
+    return f"""SELECT COALESCE(t.customer, s.customer) AS customer, COALESCE(t.order_date, s.order_date) AS order_date,
+  COALESCE(t.delivery_date, s.delivery_date) AS delivery_date,
   COALESCE(t.baked_good_type, s.baked_good_type) AS baked_good_type,
   CASE WHEN s.customer IS NULL THEN t.quantity ELSE s.quantity END AS quantity,
   CASE WHEN s.customer IS NULL THEN t.source_file_name ELSE s.source_file_name END AS source_file_name,
   CASE WHEN s.customer IS NULL THEN '{keep_ts}' WHEN t.customer IS NULL THEN '{insert_ts}' ELSE '{update_ts}' END
     AS load_ts
-FROM t FULL JOIN s ON t.customer = s.customer AND t.delivery_date = s.delivery_date
+FROM {t} t FULL JOIN {s} s ON t.customer = s.customer AND t.delivery_date = s.delivery_date
   AND t.baked_good_type = s.baked_good_type"""
 
 
+def _merged(update_ts: str, insert_ts: str, keep_ts: str, t: str = "t", s: str = "s") -> str:
+    return f"SELECT {_ROW}, load_ts FROM ({_merged_rows(t, s, update_ts, insert_ts, keep_ts)}) AS merged_rows"
+
+
 def _summary(rows: str) -> str:
     return f"""SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, baked_good_type,
   CAST(sum(quantity) AS BIGINT) AS total_quantity FROM {rows} GROUP BY delivery_date, baked_good_type"""
@@ -83,7 +86,10 @@ def _summary(rows: str) -> str:
 
 _MATCHED = "t.customer = s.customer AND t.delivery_date = s.delivery_date AND t.baked_good_type = s.baked_good_type"
 _EXTERNAL_ROWS = f"WITH {FEED} SELECT {_row()} FROM feed"
-_DELIVERIES = "SELECT DISTINCT 'Orders_' || CAST(year(order_date) AS VARCHAR) || '{}' AS name FROM feed"
+# Bytes of a delivery's rows: the printed columns, the commas between them and a line end each.
+_BYTES = f"""WITH {FEED} SELECT 'Orders_' || CAST(year(order_date) AS VARCHAR) || '.csv' AS {{}},
+  CAST(sum(strlen(customer) + 20 + strlen(baked_good_type) + strlen(CAST(quantity AS VARCHAR)) + 5) AS BIGINT) AS row_bytes
+FROM feed GROUP BY year(order_date)"""
 _FLAT = f"WITH {FEED} SELECT {_row('.json')} FROM feed"
 _COMBINED = f"WITH {STAGED} SELECT {_ROW}, '{LOAD_TS}' AS load_ts FROM staged"
 
@@ -96,24 +102,33 @@ ORACLES: dict[str, str] = {
   count(*) AS file_rows FROM feed GROUP BY year(order_date)""",
     "typed_casts": f"WITH {FEED} SELECT customer, {_DATES}, baked_good_type, quantity FROM feed",
     "bulk_load": f"WITH {FEED} SELECT {_row()}, '{LOAD_TS}' AS load_ts FROM feed",
-    "load_abort": f"""WITH {FEED} SELECT FALSE AS ok, count(*) AS rows_before, count(*) AS rows_after
-FROM feed WHERE channel = '{INTERNAL}'""",
-    "stage_purge": f"""WITH {FEED} SELECT CAST(0 AS BIGINT) AS files_left, count(*) AS order_rows
-FROM (SELECT DISTINCT {KEYS} FROM feed WHERE channel = '{INTERNAL}')""",
-    "stage_listing": f"""WITH {FEED} SELECT name AS source_file_name, TRUE AS has_content
-FROM ({_DELIVERIES.format('.csv')})""",
-    "directory_table": f"""WITH {FEED} SELECT name AS relative_path, CAST(32 AS BIGINT) AS checksum_length,
-  TRUE AS has_content FROM ({_DELIVERIES.format('.json')})""",
+    "load_abort": f"""WITH {FEED}, {DOCUMENTS_OF}, counts AS (
+  SELECT (SELECT count(*) FROM feed) AS order_rows, (SELECT CAST(sum(documents) AS BIGINT) FROM documents_of) AS raw_rows)
+SELECT 'row' AS bad, FALSE AS ok, 'row' AS kind, order_rows AS staged_rows, order_rows AS history_rows FROM counts
+UNION ALL SELECT 'date', FALSE, 'date', order_rows, order_rows FROM counts
+UNION ALL SELECT 'documents', FALSE, 'documents', raw_rows, raw_rows FROM counts""",
+    "load_again": f"""WITH {FEED} SELECT 'first' AS load_id, count(*) AS load_rows FROM feed WHERE channel = '{INTERNAL}'
+UNION ALL SELECT 'second', count(*) FROM feed WHERE channel <> '{INTERNAL}'
+UNION ALL SELECT 'third', count(*) FROM feed""",
+    "stage_purge": f"""WITH {FEED} SELECT 'files_left' AS counted, CAST(0 AS BIGINT) AS n
+UNION ALL SELECT 'order_rows', count(*) FROM (SELECT DISTINCT {KEYS} FROM feed)""",
+    "stage_listing": _BYTES.format("source_file_name"),
+    "directory_table": _BYTES.format("relative_path"),
     "load_history_of_table": f"""WITH {STAGED} SELECT 'external_orders' AS schema_name, 'orders_external_stg' AS table_name,
   source_file_name, 'LOADED' AS status, '{LOAD_TS}' AS last_load_time, count(*) AS row_count
 FROM staged WHERE channel = '{EXTERNAL}' GROUP BY source_file_name""",
     "external_table": _EXTERNAL_ROWS,
     "external_refresh": f"""WITH {FEED}, counts AS (
-  SELECT count(*) FILTER (WHERE channel = '{INTERNAL}') AS internal_rows,
-         count(*) FILTER (WHERE channel = '{EXTERNAL}') AS external_rows FROM feed)
+  SELECT count(*) FILTER (WHERE channel = '{INTERNAL}') AS internal_rows, count(*) AS all_rows FROM feed)
 SELECT 'created' AS state, internal_rows AS file_rows FROM counts
 UNION ALL SELECT 'added', internal_rows FROM counts
-UNION ALL SELECT 'refreshed', internal_rows + external_rows FROM counts""",
+UNION ALL SELECT 'refreshed', all_rows FROM counts""",
+    "external_by_name": f"""WITH {STAGED}, seen AS (
+  SELECT 'created' AS state, * FROM staged WHERE channel = '{INTERNAL}'
+  UNION ALL SELECT 'refreshed' AS state, * FROM staged)
+SELECT state, via, CAST(year(delivery_date) AS INTEGER) AS delivery_year, source_file_name,
+  CAST(sum(quantity) AS BIGINT) AS total_quantity, count(*) AS order_rows
+FROM seen, (SELECT unnest(['external', 'stored']) AS via) GROUP BY ALL""",
     "materialized_projection": _EXTERNAL_ROWS,
     "json_top_level": f"""WITH {FEED}, {DOCUMENTS_OF} SELECT customer, CAST(order_date AS VARCHAR) AS order_date,
   CAST(sum(documents) AS BIGINT) AS documents FROM documents_of GROUP BY customer, documents_of.order_date""",
@@ -123,6 +138,10 @@ FROM feed GROUP BY customer, feed.order_date, feed.delivery_date""",
     "flatten_typed": _FLAT,
     "raw_documents_staged": f"""WITH {STAGED} SELECT {_ROW}, '{LOAD_TS}' AS load_ts FROM staged
 WHERE channel = '{DOCUMENTS}'""",
+    "json_document_files": f"""WITH {FEED} SELECT r_name AS customer, {_DATES}, count(*) AS items,
+  CAST(sum(quantity) AS BIGINT) AS total_quantity
+FROM feed JOIN nation ON n_name = customer JOIN region ON n_regionkey = r_regionkey
+WHERE channel = '{DOCUMENTS}' GROUP BY r_name, feed.order_date, feed.delivery_date""",
     "combined_union": _COMBINED,
     "registered_views": f"""WITH {STAGED} SELECT source_file_name, CAST(delivery_date AS VARCHAR) AS delivery_date,
   count(*) AS order_rows, CAST(sum(quantity) AS BIGINT) AS total_quantity
@@ -142,29 +161,34 @@ WHERE NOT EXISTS (SELECT 1 FROM t WHERE {_MATCHED})""",
 SELECT FALSE AS ok, 'Load failed with error message: ' || CAST((SELECT count(*) FROM repeated) AS VARCHAR)
   || ' keys of the target are matched by more than one source row' AS message, count(*) AS order_rows FROM staged""",
     "truncate_table": f"""WITH {FEED} SELECT 'filled' AS state, count(*) AS staged_rows FROM feed
-WHERE channel = '{INTERNAL}' UNION ALL SELECT 'truncated', CAST(0 AS BIGINT)""",
+UNION ALL SELECT 'truncated', CAST(0 AS BIGINT)""",
     "summary_by_day_type": f"WITH {STAGED} {_summary('staged')}",
     "summary_group_by_all": f"""WITH {STAGED}, grouped AS (
   SELECT delivery_date, baked_good_type, CAST(sum(quantity) AS BIGINT) AS total_quantity FROM staged GROUP BY ALL)
 SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, baked_good_type, total_quantity FROM grouped""",
-    "summary_refresh": f"WITH {STAGED}, {_last('t', (INTERNAL, EXTERNAL))} {_summary('t')}",
-    "summary_incremental": f"{FROM_BOTH_CSV}, merged AS ({_merged('', '', '')}) {_summary('merged')}",
+    "summary_refresh": f"WITH {STAGED} {_summary('staged')}",
+    "summary_incremental": f"{FROM_BOTH_CSV}, merged AS ({_merged_rows('t', 's', '', '', '')}) {_summary('merged')}",
     "orders_sorted": f"{_COMBINED} ORDER BY staged.delivery_date DESC",
     "event_log_scan": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value
 FROM events ORDER BY events.ts DESC""",
+    "job_log": f"""WITH {STAGED}, repeated AS (SELECT {KEYS} FROM staged GROUP BY {KEYS} HAVING count(*) > 1)
+SELECT 'DEBUG' AS severity, 'LOAD_CUSTOMER_ORDERS' AS procedure_name, 'LOAD_CUSTOMER_ORDERS begin' AS message
+UNION ALL SELECT 'DEBUG', 'LOAD_CUSTOMER_ORDERS', 'LOAD_CUSTOMER_ORDERS begin'
+UNION ALL SELECT 'ERROR', 'LOAD_CUSTOMER_ORDERS', 'Load failed with error message: ' || CAST((SELECT count(*) FROM repeated) AS VARCHAR)
+  || ' keys of the target are matched by more than one source row'
+UNION ALL SELECT 'DEBUG', 'LOAD_CUSTOMER_SUMMARY_ORDERS', 'LOAD_CUSTOMER_SUMMARY_ORDERS begin'""",
+    "insert_day": f"""WITH {FEED} SELECT TRUE AS on_the_day, count(*) AS order_rows FROM (SELECT DISTINCT {KEYS} FROM feed)""",
     "load_status": f"""WITH {STAGED}, s AS (SELECT DISTINCT {KEYS} FROM staged),
 g AS (SELECT DISTINCT delivery_date, baked_good_type FROM staged)
 SELECT 'merge' AS job, 'Load Completed. ' || CAST(count(*) AS VARCHAR) || ' rows affected.' AS message FROM s
 UNION ALL SELECT 'summary', 'Load completed. ' || CAST(count(*) AS VARCHAR) || ' rows inserted.' FROM g""",
-    "ingest_to_summary": f"""WITH {STAGED}, {_last('s', (EXTERNAL,))},
+    "ingest_to_summary": f"""WITH {STAGED}, {_last('s', (EXTERNAL,))}, {_last('d', (DOCUMENTS,))},
 t AS (SELECT * FROM staged WHERE channel = '{INTERNAL}'),
-merged AS (
-  SELECT t.delivery_date, t.baked_good_type, CASE WHEN s.customer IS NULL THEN t.quantity ELSE s.quantity END AS quantity
-  FROM t LEFT JOIN s ON {_MATCHED}
-  UNION ALL
-  SELECT s.delivery_date, s.baked_good_type, s.quantity FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE {_MATCHED}))
+twice AS ({_merged_rows('t', 's', '', '', '')}),
+merged AS ({_merged_rows('twice', 'd', '', '', '')})
 {_summary('merged')}""",
     "feeds_to_summary": f"WITH {STAGED}, {_last('s', ALL)} {_summary('s')}",
-    "stream_ingest": f"""WITH {STAGED}, {_last('t', (EXTERNAL,))}, {_last('s', (DOCUMENTS,))}
-{_merged(SECOND_MERGE_TS, SECOND_MERGE_TS, FIRST_MERGE_TS)}""",
+    "stream_ingest": f"""WITH {STAGED}, {_last('i', (INTERNAL,))}, {_last('e', (EXTERNAL,))}, {_last('d', (DOCUMENTS,))},
+csv_feeds AS ({_merged_rows('i', 'e', '', '', '')})
+{_merged(SECOND_MERGE_TS, SECOND_MERGE_TS, FIRST_MERGE_TS, 'csv_feeds', 'd')}""",
 }

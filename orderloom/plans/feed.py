@@ -22,7 +22,7 @@ CHANNELS = {
 
 # Name of a delivered file, which Spark writes as a folder of part files.
 DELIVERY = r"Orders_[0-9]{4}\.(csv|json)"
-ITEMS_PER_DOCUMENT = 500
+LINES_PER_DOCUMENT = 4  # a document has one such window of its order's line numbers
 
 # Seven years of deliveries, all of which every channel touches.
 GRAIN = "year"
@@ -40,9 +40,8 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, assigned in CHANNELS.items():
         channel = F.when(segment == name, assigned).otherwise(channel)
     return (
-        # Row numbers are given on the file scan, where a repeated task gives the same ones.
         table("lineitem")
-        .select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate", F.monotonically_increasing_id().alias("line_id"))
+        .select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate", "l_linenumber")
         .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -55,7 +54,7 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_quantity").cast(QUANTITY).alias("quantity"),
             channel.alias("channel"),
             "l_orderkey",
-            "line_id",
+            "l_linenumber",
         )
     )
 
@@ -79,21 +78,13 @@ def write_csv_delivery(feed: DataFrame, path: str) -> None:
 
 
 def documents(feed: DataFrame) -> DataFrame:
-    """One nested document per order; an order of very many lines becomes several documents.
-
-    The number of documents of an order comes from its line count, and row numbers deal the lines out to them, so no
-    document and no group grows with the data.
-    """
-    crowded = (
-        feed.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") > ITEMS_PER_DOCUMENT)
-        .select("l_orderkey", F.ceil(F.col("lines") / ITEMS_PER_DOCUMENT).alias("parts"))
-    )
+    """One nested document per order and window of LINES_PER_DOCUMENT line numbers, so that no document and no group grows
+    with the data."""
     # One shuffle serves both groupings, as their keys contain the two it goes by.
     document = ["l_orderkey", "part", "channel", "customer", "order_date"]
     item = F.struct(F.col("baked_good_type").alias("Baked good type"), F.col("quantity").alias("Quantity"))
     return (
-        feed.join(crowded, "l_orderkey", "left")
-        .withColumn("part", F.pmod(F.col("line_id"), F.coalesce("parts", F.lit(1))))
+        feed.withColumn("part", F.floor((F.col("l_linenumber") - 1) / LINES_PER_DOCUMENT))
         .repartition("l_orderkey", "part")
         .groupBy(*document, "delivery_date")
         .agg(F.collect_list(item).alias("items"))
@@ -120,6 +111,28 @@ def write_json_delivery(feed: DataFrame, path: str) -> None:
     spread.write.mode("overwrite").partitionBy("channel", "file").text(path)
 
 
+def write_document_files(spark: SparkSession, sf_dir: str, orders: DataFrame, path: str) -> None:
+    """One file, of one document, for each region and order date.
+
+    A document is bounded by what a customer, here a region, orders in a day. Larger deliveries go one document per line.
+    """
+    nations, regions = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("nation", "region"))
+    customers = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("customer"), F.col("r_name").alias("region")
+    )
+    item = F.struct(F.col("baked_good_type").alias("Baked good type"), F.col("quantity").alias("Quantity"))
+    days = orders.join(customers, "customer").groupBy("region", "order_date", "delivery_date").agg(
+        F.collect_list(item).alias("items")
+    )
+    day = F.struct(F.col("delivery_date").alias("Delivery date"), F.col("items").alias("Orders by day"))
+    whole = days.groupBy("region", "order_date").agg(F.collect_list(day).alias("days"))
+    body = F.struct(
+        F.col("region").alias("Customer"), F.col("order_date").alias("Order date"), F.col("days").alias("Orders")
+    )
+    rows = whole.select(F.to_json(body).alias("value"), "region", "order_date")
+    rows.write.partitionBy("region", "order_date").text(path)
+
+
 def stage_of(path: str, channel: str | None = None) -> Stage:
     """The delivery as a stage: of one channel, or whole."""
     root = path if channel is None else f"{path}/channel={channel}"

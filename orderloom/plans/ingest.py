@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 from orderloom.operators.load import LoadResult, load_csv, load_json, purge_loaded, read_staged_orders, truncate_staging
 from orderloom.operators.merge import MergeResult, merge_orders
@@ -33,9 +34,11 @@ def process_orders(
     purge: bool = True,
     load_ts: Column | None = None,
     summary: str = "full",
+    force: bool = False,
     **merge_options,
 ) -> IngestResult:
-    """One run over the internal stage; whatever scheduler there is calls it.
+    """One run over the internal stage; whatever scheduler there is calls it. Inserted rows are stamped with the day, unless
+    ``insert_ts`` says otherwise.
 
     Files are purged last, when their rows are in the order table: a run that fails before can be repeated under the
     same load id.
@@ -43,8 +46,9 @@ def process_orders(
     if summary not in ("full", "touched"):
         raise ValueError(f"unknown summary refresh {summary!r}")
     table, target = workspace.internal_staging, workspace.customer_orders
+    merge_options.setdefault("insert_ts", F.current_date().cast("timestamp"))
     truncate_staging(spark, table)
-    loaded = load_csv(spark, stage, table, load_id, fmt, load_ts=load_ts)
+    loaded = load_csv(spark, stage, table, load_id, fmt, load_ts=load_ts, force=force)
     merged = merge_orders(spark, target, read_staged_orders(spark, table, load_id), **merge_options)
     if summary == "full":
         rows = refresh_summary(spark, target.read(spark), workspace.summary_orders)
@@ -64,12 +68,14 @@ def load_feeds(
     layout: str = DOCUMENT_PER_FILE,
     fmt: CsvFormat = CsvFormat(),
     load_ts: Column | None = None,
+    force: bool = False,
 ) -> dict[str, LoadResult]:
-    """Load all three feeds into their staging tables."""
+    """Load the new files of all three feeds into their staging tables."""
+    common = {"load_ts": load_ts, "force": force}
     return {
-        "internal": load_csv(spark, internal, workspace.internal_staging, load_id, fmt, load_ts=load_ts),
-        "external": load_csv(spark, external, workspace.external_staging, load_id, fmt, load_ts=load_ts),
-        "documents": load_json(spark, documents, workspace.document_staging, load_id, layout, load_ts=load_ts),
+        "internal": load_csv(spark, internal, workspace.internal_staging, load_id, fmt, **common),
+        "external": load_csv(spark, external, workspace.external_staging, load_id, fmt, **common),
+        "documents": load_json(spark, documents, workspace.document_staging, load_id, layout, **common),
     }
 
 

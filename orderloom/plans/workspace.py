@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom import storage
+from orderloom.functions.casts import strict_sql
 from orderloom.operators.combine import combine_feeds
 from orderloom.operators.flatten import flattened_view
 from orderloom.operators.load import StagingTable, read_staged_documents, read_staged_orders
@@ -108,11 +109,14 @@ class Workspace:
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
             spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {by} LOCATION '{path}'")
         columns = "customer, order_date, delivery_date, baked_good_type, quantity, source_file_name, load_ts"
+        date = ORDERS["order_date"].dataType
+        order_date = strict_sql("variant_get(r.customer_orders, '$[\"Order date\"]', 'string')", date, "Order date")
+        delivery_date = strict_sql("variant_get(d.value, '$[\"Delivery date\"]', 'string')", date, "Delivery date")
         spark.sql(
             f"""CREATE OR REPLACE VIEW {database}.orders_json_stg AS
             SELECT variant_get(r.customer_orders, '$.Customer', 'string') AS customer,
-                   variant_get(r.customer_orders, '$["Order date"]', 'date') AS order_date,
-                   variant_get(d.value, '$["Delivery date"]', 'date') AS delivery_date,
+                   {order_date} AS order_date,
+                   {delivery_date} AS delivery_date,
                    variant_get(i.value, '$["Baked good type"]', 'string') AS baked_good_type,
                    variant_get(i.value, '$.Quantity', 'decimal(38,0)') AS quantity,
                    r.source_file_name, r.load_ts

@@ -18,8 +18,10 @@ from orderloom.functions.casts import typed_order_columns
 from orderloom.functions.status import rows_affected
 from orderloom.operators import flatten
 from orderloom.operators.load import (
+    StagingTable,
     load_csv,
     load_history,
+    load_json,
     read_staged_documents,
     read_staged_orders,
     truncate_staging,
@@ -37,24 +39,27 @@ from orderloom.plans.feed import (
     order_feed,
     stage_of,
     write_csv_delivery,
+    write_document_files,
     write_json_delivery,
 )
 from orderloom.plans.ingest import load_feeds, process_combined, process_orders
 from orderloom.plans.jobs import load_customer_orders, load_customer_summary_orders, run_job
 from orderloom.plans.workspace import Workspace
-from orderloom.schema import FILE_COLUMNS, ORDER_COLUMNS
-from orderloom.session import scratch
+from orderloom.schema import FILE_COLUMNS, FILE_FIELDS, ORDER_COLUMNS
+from orderloom.session import scratch, size_session, stored
 from orderloom.sources.csv_files import ordinals, scan_csv
 from orderloom.sources.external import (
     create_external_table,
+    drop_external_table,
     read_external_table,
     read_snapshot,
     refresh_external_table,
     refresh_snapshot,
+    register_snapshot,
 )
 from orderloom.sources.json_files import DOCUMENT_PER_LINE, scan_json, scan_json_typed
 from orderloom.sources.listing import list_stage, read_directory, refresh_directory
-from orderloom.sources.stage import Stage
+from orderloom.sources.stage import LINEAGE, Stage
 from orderloom.storage import OrderTable, SummaryTable
 from orderloom.streaming.ingest import ingest_csv, ingest_json
 
@@ -100,8 +105,11 @@ def portable(rows: DataFrame) -> DataFrame:
 def _delivery(application: str, sf_dir: str) -> str:
     spark = SparkSession.active()
     path = scratch(spark, "delivery")
-    # Both deliveries, and the line counts of the documents, are made of the feed: it is joined once.
-    order_feed(spark, sf_dir).write.parquet(f"{path}/feed")
+    feed = order_feed(spark, sf_dir)
+    # Results run after their query has returned, so the session itself is sized, for the largest input of all.
+    size_session(spark, feed)
+    # Both deliveries are made of the feed: it is joined once.
+    feed.write.parquet(f"{path}/feed")
     feed = spark.read.parquet(f"{path}/feed")
     write_csv_delivery(feed, f"{path}/csv")
     write_json_delivery(feed, f"{path}/json")
@@ -163,6 +171,13 @@ def deliver_copy(spark: SparkSession, sf_dir: str, channel: str, path: str) -> S
     return stage_of(path)
 
 
+def deliver_all(spark: SparkSession, sf_dir: str, path: str) -> Stage:
+    """A copy of all channels' rows as CSV files."""
+    for channel in (INTERNAL, EXTERNAL, DOCUMENTS):
+        stage = deliver_copy(spark, sf_dir, channel, path)
+    return stage
+
+
 def first_target(spark: SparkSession, sf_dir: str) -> OrderTable:
     """Both CSV feeds, merged into a new order table."""
     target = OrderTable(scratch(spark, "orders"), GRAIN).create(spark)
@@ -186,14 +201,14 @@ def shared_first_target(spark: SparkSession, sf_dir: str) -> OrderTable:
 
 @query
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_csv(spark, csv_stage(spark, sf_dir)).drop("file_path")
+    return scan_csv(spark, csv_stage(spark, sf_dir)).drop(*LINEAGE[1:])
 
 
 @query
 def prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deliveries of the nineties: all paths that start so."""
     rows = scan_csv(spark, csv_stage(spark, sf_dir, EXTERNAL), prefix="file=Orders_199")
-    return rows.drop("file_path")
+    return rows.drop(*LINEAGE[1:])
 
 
 @query
@@ -225,43 +240,83 @@ def bulk_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(read_staged_orders(spark, workspace.internal_staging))
 
 
+def _kind(message: str) -> str:
+    """What a failed load complains of."""
+    signs = {"date": "as date in column", "documents": "more than one document", "row": "MALFORMED"}
+    return next((kind for kind, sign in signs.items() if sign in message), "other")
+
+
 @query
 def load_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A load of files that are not of the format fails whole; the rows loaded before stay."""
-    table = new_workspace(spark).internal_staging
-    load_csv(spark, csv_stage(spark, sf_dir, INTERNAL), table, "good", load_ts=at(LOAD_TS))
-    before = read_staged_orders(spark, table).agg(F.count(F.lit(1)).alias("rows_before"))
-    wrong = json_stage(spark, sf_dir, INTERNAL)
-    status = run_job(spark, "load", lambda: rows_affected(load_csv(spark, wrong, table, "bad").rows))
-    after = read_staged_orders(spark, table).agg(F.count(F.lit(1)).alias("rows_after"))
-    return before.join(after).select(F.lit(status.ok).alias("ok"), "rows_before", "rows_after")
+    """Loads with bad files, repeated under the id of a good one, fail whole; rows and history stay as they were."""
+    workspace, path = new_workspace(spark), scratch(spark, "bad")
+    orders, raw = workspace.external_staging, workspace.document_staging
+    load_csv(spark, csv_stage(spark, sf_dir), orders, "load", load_ts=at(LOAD_TS))
+    load_json(spark, json_stage(spark, sf_dir), raw, "load", DOCUMENT_PER_LINE, load_ts=at(LOAD_TS))
+    cut_off = read_staged_orders(spark, orders).withColumn("order_date", F.date_format("order_date", "yyyy-MM"))
+    cut_off.select(*FILE_COLUMNS).write.option("header", True).csv(f"{path}/date")
+    lines = spark.read.options(**json_stage(spark, sf_dir).options()).text(json_stage(spark, sf_dir).root)
+    lines.select(F.concat("value", F.lit(',"more":'), "value")).write.text(f"{path}/documents")
+
+    def state(table: StagingTable) -> tuple[int, int]:
+        rows = read_staged_orders(spark, table) if table is orders else read_staged_documents(spark, table)
+        history = load_history(spark, table.history_path, table.schema_name, table.name)
+        return rows.count(), history.agg(F.sum("row_count")).first()[0]
+
+    attempts = {
+        "row": (orders, lambda: load_csv(spark, json_stage(spark, sf_dir), orders, "load")),
+        "date": (orders, lambda: load_csv(spark, Stage(f"{path}/date"), orders, "load")),
+        "documents": (raw, lambda: load_json(spark, Stage(f"{path}/documents"), raw, "load", DOCUMENT_PER_LINE)),
+    }
+    found = []
+    for bad, (table, attempt) in attempts.items():
+        status = run_job(spark, "load", lambda attempt=attempt: rows_affected(attempt().rows))
+        found.append((bad, status.ok, _kind(status.message), *state(table)))
+    return spark.createDataFrame(found, "bad string, ok boolean, kind string, staged_rows long, history_rows long")
+
+
+@query
+def load_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second load takes the files that came since the first; a third, forced, takes all."""
+    workspace, path = new_workspace(spark), scratch(spark, "again")
+    table = workspace.internal_staging
+    stage = deliver_copy(spark, sf_dir, INTERNAL, path)
+    load_csv(spark, stage, table, "first", load_ts=at(LOAD_TS))
+    deliver_copy(spark, sf_dir, EXTERNAL, path)
+    deliver_copy(spark, sf_dir, DOCUMENTS, path)
+    load_csv(spark, stage, table, "second", load_ts=at(LOAD_TS))
+    load_csv(spark, stage, table, "third", load_ts=at(LOAD_TS), force=True)
+    files = load_history(spark, workspace.history_path, table.schema_name, table.name)
+    return files.groupBy("load_id").agg(F.sum("row_count").alias("load_rows"))
 
 
 @query
 def stage_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files are gone from the stage after the run; their rows are in the order table."""
     workspace = new_workspace(spark)
-    stage = deliver_copy(spark, sf_dir, INTERNAL, scratch(spark, "purged"))
+    stage = deliver_all(spark, sf_dir, scratch(spark, "purged"))
     process_orders(spark, workspace, stage, "run", on_duplicate="last")
-    files = list_stage(spark, stage).agg(F.count(F.lit(1)).alias("files_left"))
-    rows = workspace.customer_orders.read(spark).agg(F.count(F.lit(1)).alias("order_rows"))
-    return files.join(rows)
+    counted = {"files_left": list_stage(spark, stage), "order_rows": workspace.customer_orders.read(spark)}
+    parts = [rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("counted"), "n") for name, rows in counted.items()]
+    return parts[0].union(parts[1])
+
+
+def _content(files: DataFrame, name: str, size: str) -> DataFrame:
+    """Bytes of a delivery's rows: what its files hold beyond a header each."""
+    header = len("Customer,Order date,Delivery date,Baked good type,Quantity\n")
+    return files.groupBy(name).agg((F.sum(size) - header * F.count(F.lit(1))).alias("row_bytes"))
 
 
 @query
 def stage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = list_stage(spark, csv_stage(spark, sf_dir))
-    return files.groupBy("source_file_name").agg((F.sum("file_size") > 0).alias("has_content"))
+    return _content(list_stage(spark, csv_stage(spark, sf_dir)), "source_file_name", "file_size")
 
 
 @query
 def directory_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "directory")
-    refresh_directory(spark, json_stage(spark, sf_dir), path, checksums=True)
-    files = read_directory(spark, path)
-    return files.groupBy("relative_path").agg(
-        F.max(F.length("md5")).cast("bigint").alias("checksum_length"), (F.sum("size") > 0).alias("has_content")
-    )
+    refresh_directory(spark, csv_stage(spark, sf_dir), path)
+    return _content(read_directory(spark, path), "relative_path", "size")
 
 
 @query
@@ -279,39 +334,57 @@ def load_history_of_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "external_" + scratch(spark, "t")[-32:]
-    stage = csv_stage(spark, sf_dir)
-    create_external_table(spark, name, stage)
-    return portable(read_external_table(spark, name, stage))
+    create_external_table(spark, name, csv_stage(spark, sf_dir))
+    return portable(read_external_table(spark, name))
 
 
 @query
 def external_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files added to the location count after a refresh."""
     name, path = "external_" + scratch(spark, "t")[-32:], scratch(spark, "external")
-    stage = deliver_copy(spark, sf_dir, INTERNAL, path)
-    create_external_table(spark, name, stage)
+    create_external_table(spark, name, deliver_copy(spark, sf_dir, INTERNAL, path))
+    counts = {"created": read_external_table(spark, name).count()}
+    deliver_copy(spark, sf_dir, EXTERNAL, path)
+    deliver_copy(spark, sf_dir, DOCUMENTS, path)
+    counts["added"] = read_external_table(spark, name).count()
+    refresh_external_table(spark, name)
+    counts["refreshed"] = read_external_table(spark, name).count()
+    drop_external_table(spark, name)
+    return spark.createDataFrame(list(counts.items()), "state string, file_rows long")
 
-    def rows() -> int:
-        return read_external_table(spark, name, stage).count()
 
-    counts = {"created": rows()}
+@query
+def external_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """External table and stored snapshot in SQL, by name and typed, before and after files were added."""
+    name, path = "external_" + scratch(spark, "t")[-32:], scratch(spark, "external")
+    snapshot = scratch(spark, "snapshot")
+    create_external_table(spark, name, deliver_copy(spark, sf_dir, INTERNAL, path))
+
+    def totals(state: str) -> DataFrame:
+        refresh_snapshot(spark.table(name), snapshot)
+        register_snapshot(spark, f"{name}_stored", snapshot)
+        columns = "year(delivery_date) AS delivery_year, source_file_name, sum(quantity) AS total_quantity, count(*) AS order_rows"
+        rows = spark.sql(
+            f"""SELECT '{state}' AS state, 'external' AS via, {columns} FROM {name} GROUP BY ALL
+            UNION ALL SELECT '{state}', 'stored', {columns} FROM {name}_stored GROUP BY ALL"""
+        )
+        return stored(rows, "totals")
+
+    before = totals("created")
     deliver_copy(spark, sf_dir, EXTERNAL, path)
-    counts["added"] = rows()
+    deliver_copy(spark, sf_dir, DOCUMENTS, path)
     refresh_external_table(spark, name)
-    counts["refreshed"] = rows()
-    return spark.createDataFrame(list(counts.items()), "state string, file_rows long")
+    return portable(before.union(totals("refreshed")))
 
 
 @query
 def materialized_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored twice, to see the second snapshot replace the first."""
     name, path = "external_" + scratch(spark, "t")[-32:], scratch(spark, "snapshot")
-    first, whole = csv_stage(spark, sf_dir, INTERNAL), csv_stage(spark, sf_dir)
-    create_external_table(spark, name, first)
-    refresh_snapshot(read_external_table(spark, name, first), path)
-    spark.sql(f"DROP TABLE {name}")
-    create_external_table(spark, name, whole)
-    refresh_snapshot(read_external_table(spark, name, whole), path)
+    for stage in (csv_stage(spark, sf_dir, INTERNAL), csv_stage(spark, sf_dir)):
+        create_external_table(spark, name, stage)
+        refresh_snapshot(read_external_table(spark, name), path)
+        drop_external_table(spark, name)
     return portable(read_snapshot(spark, path))
 
 
@@ -335,13 +408,13 @@ def flatten_one_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def flatten_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan_json(spark, json_stage(spark, sf_dir), DOCUMENT_PER_LINE)
-    return portable(flatten.flatten_orders(rows).drop("file_path"))
+    return portable(flatten.flatten_orders(rows).drop(*LINEAGE[1:]))
 
 
 @query
 def flatten_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scan_json_typed(spark, json_stage(spark, sf_dir), DOCUMENT_PER_LINE)
-    return portable(flatten.flatten_typed(rows).drop("file_path"))
+    return portable(flatten.flatten_typed(rows).drop(*LINEAGE[1:]))
 
 
 @query
@@ -351,6 +424,19 @@ def raw_documents_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(flatten.flattened_view(raw))
 
 
+@query
+def json_document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are one document each, as the samples are: of a region's order day, loaded and flattened."""
+    workspace, path = new_workspace(spark), scratch(spark, "documents")
+    write_document_files(spark, sf_dir, feed_of(spark, sf_dir, DOCUMENTS), path)
+    load_json(spark, Stage(path), workspace.document_staging, "files", load_ts=at(LOAD_TS))
+    rows = workspace.document_orders(spark)
+    per_day = rows.groupBy("customer", "order_date", "delivery_date").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("quantity").alias("total_quantity")
+    )
+    return portable(per_day)
+
+
 # Union and merge
 
 
@@ -447,8 +533,8 @@ def merge_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def truncate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = new_workspace(spark).internal_staging
-    rows = feed_of(spark, sf_dir, INTERNAL).withColumn("file_path", F.lit(None).cast("string"))
-    write_load(rows, table, "all")
+    rows = staged(spark, sf_dir).combined_staging(spark)
+    write_load(rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in FILE_FIELDS}), table, "all")
     counts = {"filled": read_staged_orders(spark, table).count()}
     truncate_staging(spark, table)
     counts["truncated"] = read_staged_orders(spark, table).count()
@@ -472,8 +558,8 @@ def summary_group_by_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summary_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full refresh replaces what an earlier one has left."""
     table = SummaryTable(scratch(spark, "summary"))
-    refresh_summary(spark, staged(spark, sf_dir).combined_staging(spark), table)
     refresh_summary(spark, shared_first_target(spark, sf_dir).read(spark), table)
+    refresh_summary(spark, staged(spark, sf_dir).combined_staging(spark), table)
     return portable(table.read(spark))
 
 
@@ -502,6 +588,31 @@ def event_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Jobs and whole runs
 
 
+@query
+def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the jobs have logged: a merge, the same again, which is refused, and a summary."""
+    workspace = new_workspace(spark)
+    combined, log = staged(spark, sf_dir).combined_staging(spark), workspace.event_log
+    target = workspace.customer_orders_combined
+    load_customer_orders(spark, combined, target, log)
+    load_customer_orders(spark, combined, target, log)
+    load_customer_summary_orders(spark, target, workspace.summary_orders_combined, log)
+    return log.read(spark).select("severity", "procedure_name", "message")
+
+
+@query
+def insert_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over the internal stage stamps the rows that it inserts with the day."""
+    workspace = new_workspace(spark)
+    day = spark.sql("SELECT current_date() AS day").first()["day"]
+    process_orders(spark, workspace, deliver_all(spark, sf_dir, scratch(spark, "day")), "run", on_duplicate="last")
+    later = spark.sql("SELECT current_date() AS day").first()["day"]
+    stamp = F.col("load_ts")
+    on_the_day = (stamp == F.date_trunc("day", stamp)) & stamp.cast("date").between(F.lit(day), F.lit(later))
+    rows = workspace.customer_orders.read(spark)
+    return rows.groupBy(on_the_day.alias("on_the_day")).agg(F.count(F.lit(1)).alias("order_rows"))
+
+
 @query
 def load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status texts of both jobs."""
@@ -517,15 +628,15 @@ def load_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ingest_to_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs over the internal stage, each with new files: load, merge, summary, purge.
+    """Three runs over the internal stage, each with new files: load, merge, summary, purge.
 
-    The first is literal and leaves repeated keys, all of which the second one's updates reach.
+    The first is literal and leaves repeated keys, all of which the later ones' updates reach.
     """
     workspace, path = new_workspace(spark), scratch(spark, "deliveries")
     process_orders(spark, workspace, deliver_copy(spark, sf_dir, INTERNAL, path), "first")
-    process_orders(
-        spark, workspace, deliver_copy(spark, sf_dir, EXTERNAL, path), "second", on_duplicate="last", summary="touched"
-    )
+    for channel in (EXTERNAL, DOCUMENTS):
+        stage = deliver_copy(spark, sf_dir, channel, path)
+        process_orders(spark, workspace, stage, channel, on_duplicate="last", summary="touched")
     return portable(workspace.summary_orders.read(spark))
 
 
@@ -542,19 +653,20 @@ def feeds_to_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incremental runs over the files of two channels into one order table."""
+    """Incremental runs over the files of all channels into one order table."""
     workspace, checkpoints = new_workspace(spark), scratch(spark, "streams")
     target, summary = workspace.customer_orders, workspace.summary_orders
-    ingest_csv(
-        spark,
-        csv_stage(spark, sf_dir, EXTERNAL),
-        workspace.external_staging,
-        target,
-        f"{checkpoints}/csv",
-        summary,
-        merge_ts=at(FIRST_MERGE_TS),
-        on_duplicate="last",
-    )
+    for channel, table in ((INTERNAL, workspace.internal_staging), (EXTERNAL, workspace.external_staging)):
+        ingest_csv(
+            spark,
+            csv_stage(spark, sf_dir, channel),
+            table,
+            target,
+            f"{checkpoints}/{channel}",
+            summary,
+            merge_ts=at(FIRST_MERGE_TS),
+            on_duplicate="last",
+        )
     ingest_json(
         spark,
         json_stage(spark, sf_dir, DOCUMENTS),

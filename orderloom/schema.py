@@ -69,6 +69,11 @@ SUMMARY = T.StructType(
 
 # Staging tables keep the physical file of each row for the load history; readers do not see it.
 FILE_PATH = T.StructField("file_path", T.StringType())
+FILE_FIELDS = [
+    FILE_PATH,
+    T.StructField("file_size", T.LongType()),
+    T.StructField("file_modification_time", T.TimestampType()),
+]
 LOAD_ID = T.StructField("load_id", T.StringType())
 
 # Merge targets and summaries are partitioned by the first day of the delivery period.

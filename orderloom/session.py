@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import tempfile
 import uuid
@@ -24,7 +25,8 @@ DEFAULTS = {
 
 # Input per shuffle partition. Files are compressed, so a partition holds a few times this much in memory.
 SHUFFLE_BYTES = 64 << 20
-MOST_PARTITIONS = 100_000
+
+_TO_DROP: set[str] = set()
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
@@ -58,8 +60,44 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, purpose: str) -> str:
-    """A new path (not yet created) in the shared folder, unique to this call."""
-    return f"{shared_folder(spark)}/orderloom/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+    """A new path (not yet created) in the shared folder, unique to this call. It is gone when Python ends."""
+    folder = f"{shared_folder(spark)}/orderloom/{spark.sparkContext.applicationId}"
+    if folder not in _TO_DROP:
+        _TO_DROP.add(folder)
+        atexit.register(_drop, spark._jvm, folder)
+    return f"{folder}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame written to and read back from the shared folder, which cuts its lineage."""
+    path = scratch(frame.sparkSession, purpose)
+    frame.write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _drop(jvm, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+
+
+def partitions_for(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Shuffle partitions for these inputs: the session's number, or more if the sizes of the tables read add up to more.
+
+    Only the leaves of the plans are counted, as Catalyst takes a join's size for the product of its inputs'. Rows that the
+    driver itself has made have no estimate, and count nothing.
+    """
+    total, unknown = 0, 1 << 60
+    for frame in inputs:
+        leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        total += sum(size for size in sizes if size < unknown)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // SHUFFLE_BYTES)
+
+
+def size_session(spark: SparkSession, *inputs: DataFrame) -> None:
+    """Raise the session's number of shuffle partitions to what the inputs ask for, for results that run later."""
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions_for(spark, *inputs)))
 
 
 @contextlib.contextmanager
@@ -67,16 +105,11 @@ def shuffles_sized_for(spark: SparkSession, *inputs: DataFrame) -> Iterator[None
     """Within this block, shuffles have as many partitions as the inputs' size asks for.
 
     AQE merges partitions that are too small and splits those that stand out, but it does not split partitions that are
-    all too large. So the session's number is raised, never lowered, by Catalyst's estimate of the inputs.
+    all too large. So the session's number is raised, never lowered.
     """
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    estimates = (frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() for frame in inputs)
-    needed = min(sum(int(str(estimate)) for estimate in estimates) // SHUFFLE_BYTES, MOST_PARTITIONS)
-    if needed <= int(before):
-        yield
-        return
-    spark.conf.set(name, str(needed))
+    size_session(spark, *inputs)
     try:
         yield
     finally:

@@ -46,15 +46,16 @@ def scan_csv(
     prefix: str | None = None,
     width: int = 5,
     streaming: bool = False,
+    paths: list[str] | None = None,
     **extra: str,
 ) -> DataFrame:
     """Untyped text columns ``c1..cN`` by position, with the lineage of each row.
 
     FAILFAST checks a row only when all of its columns are read, so whoever relies on the abort must use them all,
-    as the load does.
+    as the load does. ``paths``, file URIs, read only some of the stage's files.
     """
-    location = stage.location(spark, prefix)
-    if location is None:
+    location = stage.location(spark, prefix) if paths is None else stage.readable(paths)
+    if not location:
         return empty_scan(spark, text_schema(width))
     reader = spark.readStream if streaming else spark.read
     rows = reader.schema(text_schema(width)).options(**stage.options(), **fmt.options(), **extra).csv(location)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom import storage
-from orderloom.functions.casts import typed_order_columns
+from orderloom.functions.casts import strict_sql
+from orderloom.functions.lineage import relative_file_name_sql
 from orderloom.schema import FILE_COLUMNS, ORDER_COLUMNS, ORDERS
 from orderloom.sources.csv_files import CsvFormat, ordinals, text_schema
 from orderloom.sources.stage import Stage
@@ -20,42 +21,60 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _files_of(name: str) -> str:
+    return f"{name}_files"
+
+
 def create_external_table(spark: SparkSession, name: str, stage: Stage, fmt: CsvFormat = CsvFormat()) -> None:
-    """Register the files of a stage as a table of text columns; nothing is loaded.
+    """Register the files of a stage under a SQL name, with typed columns; nothing is loaded.
 
-    The catalog remembers the file listing, so new files are seen after ``refresh_external_table`` only.
+    ``name`` is a view over a table of the files' text columns. The catalog remembers the file listing, so new files are seen after ``refresh_external_table`` only.
     """
     options = {**stage.options(), **fmt.options()}
     listed = ", ".join(f"{_literal(key)} {_literal(value)}" for key, value in options.items())
     spark.sql(
-        f"CREATE TABLE {name} ({text_schema(len(FILE_COLUMNS))}) USING csv OPTIONS ({listed}) "
+        f"CREATE TABLE {_files_of(name)} ({text_schema(len(FILE_COLUMNS))}) USING csv OPTIONS ({listed}) "
         f"LOCATION {_literal(stage.root)}"
     )
+    typed = [
+        f"{strict_sql(c, ORDERS[column].dataType, column)} AS {column}"
+        for c, column in zip(ordinals(len(FILE_COLUMNS)), FILE_COLUMNS, strict=True)
+    ]
+    file_name = relative_file_name_sql("_metadata.file_path", storage.encoded_path(spark, stage.root), stage.delivery)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(typed)}, {file_name} AS source_file_name FROM {_files_of(name)}")
 
 
-def read_external_table(spark: SparkSession, name: str, stage: Stage) -> DataFrame:
-    """Typed virtual columns over the text columns, cast only where they are used."""
-    columns = [F.col(c) for c in ordinals(len(FILE_COLUMNS))]
-    return spark.table(name).select(
-        *typed_order_columns(columns), stage.source_file_name(spark).alias("source_file_name")
-    )
+def read_external_table(spark: SparkSession, name: str) -> DataFrame:
+    """The typed columns, cast only where they are used."""
+    return spark.table(name)
 
 
 def refresh_external_table(spark: SparkSession, name: str) -> None:
+    spark.catalog.refreshTable(_files_of(name))
     spark.catalog.refreshTable(name)
 
 
-def refresh_snapshot(frame: DataFrame, path: str) -> None:
-    """Store a projection as parquet, replacing the former snapshot.
+def drop_external_table(spark: SparkSession, name: str) -> None:
+    """Forget the names; the files stay."""
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {_files_of(name)}")
 
-    One constant partition makes this a dynamic overwrite: the old snapshot is there until the new one is
-    committed. An empty result writes no partition, so that case empties the table instead.
-    """
-    written = Observation()
+
+def register_snapshot(spark: SparkSession, name: str, path: str) -> None:
+    """Give a stored snapshot a SQL name; called again after a refresh, it shows the new one."""
+    columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in SNAPSHOT.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, snapshot string) USING parquet PARTITIONED BY (snapshot) "
+        f"LOCATION {_literal(path)}"
+    )
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
+def refresh_snapshot(frame: DataFrame, path: str) -> None:
+    """Store a projection as parquet; the former snapshot is there until the new one is committed."""
     rows = frame.select(*EXTERNAL_COLUMNS, F.lit("current").alias("snapshot"))
-    storage.overwrite_partitions(rows.observe(written, F.count(F.lit(1)).alias("rows")), path, "snapshot")
-    if written.get["rows"] == 0:
-        storage.truncate(frame.sparkSession, path)
+    storage.overwrite_all_of(rows, path, snapshot="current")
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:

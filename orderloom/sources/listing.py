@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom import storage
-from orderloom.sources.stage import Stage
+from orderloom.sources.stage import Stage, empty_scan
 
 DIRECTORY = T.StructType(
     [
@@ -24,31 +24,34 @@ def list_stage(spark: SparkSession, stage: Stage, prefix: str | None = None) ->
     """One row per file, with size and time. Only file metadata is read, never the content."""
     location = stage.location(spark, prefix)
     if location is None:
-        return spark.createDataFrame(
-            [], "source_file_name string, file_path string, file_size long, file_modification_time timestamp"
-        )
+        return empty_scan(spark, "listed boolean").drop("listed")
     return (
         spark.read.format("binaryFile")
         .options(**stage.options())
         .load(location)
-        .select(*stage.lineage(spark), "_metadata.file_size", "_metadata.file_modification_time")
+        .select(*stage.lineage(spark))
     )
 
 
 def refresh_directory(spark: SparkSession, stage: Stage, path: str, checksums: bool = False) -> None:
-    """Rewrite the file catalog of a stage. Checksums read every file, so they are asked for."""
+    """Rewrite the file catalog of a stage; the former one is there until the new one is committed.
+
+    Checksums read every file, each as one row, so they are asked for and are for files of moderate size.
+    """
     location = stage.location(spark)
     files = spark.read.format("binaryFile").options(**stage.options()).load(location)
     md5 = F.md5("content") if checksums else F.lit(None).cast("string")
-    files.select(
+    rows = files.select(
         stage.source_file_name(spark).alias("relative_path"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
         md5.alias("md5"),
-    ).write.mode("overwrite").parquet(path)
+        F.lit("current").alias("snapshot"),
+    )
+    storage.overwrite_all_of(rows, path, snapshot="current")
 
 
 def read_directory(spark: SparkSession, path: str) -> DataFrame:
     """The catalog as of its last refresh."""
-    return storage.read_table(spark, path, DIRECTORY)
+    return storage.read_table(spark, path, DIRECTORY).select(*DIRECTORY.fieldNames())

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from fnmatch import fnmatch
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +31,22 @@ def glob_matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def hidden_files(spark: SparkSession, root: str, pattern: str, levels: int) -> list[str]:
+    """Files below the folder, to some levels, that match the pattern but begin with ``_`` or ``.``.
+
+    Marks of Spark's own writers are none: ``_SUCCESS`` and checksums.
+    """
+    fs, _ = _file_system(spark, root)
+    found = []
+    for level in range(levels + 1):
+        path = root.rstrip("/") + "/*" * level + "/[_.]*"
+        for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path)) or []:
+            name = status.getPath().getName()
+            if status.isFile() and name != "_SUCCESS" and not name.endswith(".crc") and fnmatch(name[1:], pattern):
+                found.append(name)
+    return found
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, jvm_path = _file_system(spark, path)
     fs.mkdirs(jvm_path)
@@ -44,6 +63,12 @@ def delete_file_uri(spark: SparkSession, uri: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, False)
 
 
+def delete_file_uris(spark: SparkSession, uris, at_once: int = 16) -> int:
+    """Delete files, several at a time; the number that were there."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return sum(pool.map(lambda uri: delete_file_uri(spark, uri), uris))
+
+
 def truncate(spark: SparkSession, path: str) -> None:
     """Empty a table; the table itself stays."""
     delete(spark, path)
@@ -121,3 +146,74 @@ def overwrite_partitions(frame: DataFrame, path: str, *by: str) -> None:
     leaves the old ones in place.
     """
     frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def overwrite_all_of(frame: DataFrame, path: str, **partition: str) -> int:
+    """Replace one partition, whose columns the frame has with these values, and return its rows.
+
+    The old files go when the new ones are committed. A frame without rows commits no partition, so that the old one is
+    deleted then.
+    """
+    written = Observation()
+    overwrite_partitions(frame.observe(written, F.count(F.lit(1)).alias("rows")), path, *partition)
+    rows = written.get["rows"]
+    if not rows:
+        delete(frame.sparkSession, "/".join([path, *(f"{name}={value}" for name, value in partition.items())]))
+    return rows
+
+
+# Publication of several partitions. New content is written aside and each partition is exchanged by two renames. Until the
+# last one is done, REPLACED holds what was there before: old partitions, and marks for those that are new.
+
+STAGED, REPLACED, DROPPED, NEW = "_staged", "_replaced", "_dropped", "new-"
+
+
+def recover(spark: SparkSession, path: str) -> int:
+    """Undo a publication that did not end, and drop what one has left; the number of partitions undone."""
+    fs, _ = _file_system(spark, path)
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    undone = 0
+    for status in fs.globStatus(as_path(f"{path}/{REPLACED}/*/*")) or []:
+        name = status.getPath().getName()
+        live = as_path(f"{path}/{name.removeprefix(NEW)}")
+        fs.delete(live, True)
+        if not name.startswith(NEW) and not fs.rename(status.getPath(), live):
+            raise OSError(f"cannot put back {name}")
+        undone += 1
+    for rest in (REPLACED, STAGED, DROPPED):
+        delete(spark, f"{path}/{rest}")
+    return undone
+
+
+def publish_partitions(frame: DataFrame, path: str, by: str) -> None:
+    """Replace the partitions that occur in the frame, all or none; it may have been read from the same path.
+
+    A failure is undone at once. If the driver dies meanwhile, ``recover`` undoes it, which every writer calls first;
+    readers may miss a partition until then. There is one writer at a time.
+    """
+    spark = frame.sparkSession
+    mark = uuid.uuid4().hex
+    staged, replaced = f"{path}/{STAGED}/{mark}", f"{path}/{REPLACED}/{mark}"
+    frame.write.partitionBy(by).parquet(staged)
+    fs, _ = _file_system(spark, path)
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(as_path(replaced))
+    try:
+        for status in fs.globStatus(as_path(f"{staged}/{by}=*")) or []:
+            name = status.getPath().getName()
+            live = as_path(f"{path}/{name}")
+            if not fs.exists(live):
+                fs.mkdirs(as_path(f"{replaced}/{NEW}{name}"))
+            elif not fs.rename(live, as_path(f"{replaced}/{name}")):
+                raise OSError(f"cannot move {name}")
+            _rename(fs, status.getPath(), live)
+        # The new state holds from here.
+        fs.mkdirs(as_path(f"{path}/{DROPPED}"))
+        _rename(fs, as_path(replaced), as_path(f"{path}/{DROPPED}/{mark}"))
+    finally:
+        recover(spark, path)
+
+
+def _rename(fs, old, new) -> None:
+    if not fs.rename(old, new):
+        raise OSError(f"cannot publish {new.getName()}")

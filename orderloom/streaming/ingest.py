@@ -59,7 +59,10 @@ def _run(
     load time; for rows without a full key see the README.
     """
 
+    taken = 0
+
     def take(batch: DataFrame, batch_id: int) -> None:
+        nonlocal taken
         spark, load_id = batch.sparkSession, batch_load_id(batch_id)
         known = load_history(spark, table.history_path, table.schema_name, table.name)
         if not known.filter(F.col("load_id") == load_id).isEmpty():
@@ -69,7 +72,7 @@ def _run(
         merged = merge_orders(spark, target, from_staging(spark, table, load_id), **merge_options)
         if summary is not None:
             refresh_touched(spark, target, summary, merged.periods, merged.has_null_period)
-        record_load(spark, table, load_id, None, at)
+        taken += record_load(spark, table, load_id, None, at).rows
 
     query = (
         rows.writeStream.foreachBatch(take)
@@ -78,7 +81,7 @@ def _run(
         .start()
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return taken
 
 
 def ingest_csv(

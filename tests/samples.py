@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
-CUSTOMER = "New Bistro"
-TYPES = ["Baguette", "Whole Wheat Loaf", "White Loaf", "Croissant"]
-
-# order date -> delivery day -> quantities in the order of TYPES
-ORDERED = {
-    "2023-08-04": {"2023-08-07": [15, 12, 10, 30], "2023-08-08": [12, 12, 10, 20]},
-    "2023-08-07": {"2023-08-08": [12, 12, 10, 20], "2023-08-09": [9, 8, 10, 24]},
-    "2023-08-08": {"2023-08-09": [9, 8, 10, 24], "2023-08-10": [15, 10, 11, 36]},
-}
+# The order dates of three delivered files, and their rows.
+DAYS = ["2023-08-04", "2023-08-07", "2023-08-08"]
+
+CSV_ROWS = [
+    "New Bistro,2023-08-04,2023-08-07,Baguette,15",
+    "New Bistro,2023-08-04,2023-08-07,Whole Wheat Loaf,12",
+    "New Bistro,2023-08-04,2023-08-07,White Loaf,10",
+    "New Bistro,2023-08-04,2023-08-07,Croissant,30",
+    "New Bistro,2023-08-04,2023-08-08,Baguette,12",
+    "New Bistro,2023-08-04,2023-08-08,Whole Wheat Loaf,12",
+    "New Bistro,2023-08-04,2023-08-08,White Loaf,10",
+    "New Bistro,2023-08-04,2023-08-08,Croissant,20",
+    "New Bistro,2023-08-07,2023-08-08,Baguette,12",
+    "New Bistro,2023-08-07,2023-08-08,Whole Wheat Loaf,12",
+    "New Bistro,2023-08-07,2023-08-08,White Loaf,10",
+    "New Bistro,2023-08-07,2023-08-08,Croissant,20",
+    "New Bistro,2023-08-07,2023-08-09,Baguette,9",
+    "New Bistro,2023-08-07,2023-08-09,Whole Wheat Loaf,8",
+    "New Bistro,2023-08-07,2023-08-09,White Loaf,10",
+    "New Bistro,2023-08-07,2023-08-09,Croissant,24",
+    "New Bistro,2023-08-08,2023-08-09,Baguette,9",
+    "New Bistro,2023-08-08,2023-08-09,Whole Wheat Loaf,8",
+    "New Bistro,2023-08-08,2023-08-09,White Loaf,10",
+    "New Bistro,2023-08-08,2023-08-09,Croissant,24",
+    "New Bistro,2023-08-08,2023-08-10,Baguette,15",
+    "New Bistro,2023-08-08,2023-08-10,Whole Wheat Loaf,10",
+    "New Bistro,2023-08-08,2023-08-10,White Loaf,11",
+    "New Bistro,2023-08-08,2023-08-10,Croissant,36",
+]
 
 DOCUMENT = {
     "Customer": "Park Inn",
@@ -44,8 +64,4 @@ def csv_name(order_date: str) -> str:
 
 
 def csv_lines(order_date: str) -> list[str]:
-    return [
-        f"{CUSTOMER},{order_date},{day},{kind},{quantity}"
-        for day, quantities in ORDERED[order_date].items()
-        for kind, quantity in zip(TYPES, quantities, strict=True)
-    ]
+    return [row for row in CSV_ROWS if row.split(",")[1] == order_date]

@@ -17,6 +17,8 @@ from orderloom.operators.load import (
     truncate_staging,
 )
 from orderloom.schema import ORDERS
+from orderloom.sources.json_files import DOCUMENT_PER_FILE, DOCUMENT_PER_LINE, scan_json_typed
+from orderloom.sources.stage import Stage
 from samples import DOCUMENT, csv_lines, csv_name
 
 
@@ -71,13 +73,76 @@ def test_load_under_the_same_id_replaces_itself(spark, workspace, stage):
     deliver(stage, "a.csv", *csv_lines("2023-08-04"))
     for _ in range(2):
         load_csv(spark, stage, workspace.internal_staging, "l1")
-    load_csv(spark, stage, workspace.internal_staging, "l2")
-    assert read_staged_orders(spark, workspace.internal_staging).count() == 16
-    assert read_staged_orders(spark, workspace.internal_staging, "l1").count() == 8
+    assert read_staged_orders(spark, workspace.internal_staging).count() == 8
     with pytest.raises(ValueError):
         load_csv(spark, stage, workspace.internal_staging, "a/b")
 
 
+def test_files_that_another_load_has_taken_are_left_out(spark, workspace, stage):
+    table = workspace.internal_staging
+    deliver(stage, "a [1].csv", *csv_lines("2023-08-04"))
+    load_csv(spark, stage, table, "l1")
+    assert load_csv(spark, stage, table, "l2").rows == 0
+    deliver(stage, "b+é {x}*.csv", *csv_lines("2023-08-07"))
+    result = load_csv(spark, stage, table, "l3")
+    assert (result.rows, result.files) == (8, 1)
+    assert read_staged_orders(spark, table).count() == 16
+    assert load_csv(spark, stage, table, "l4", force=True).rows == 16
+    deliver_text(stage, "docs/a.json", json.dumps(DOCUMENT))
+    documents = Stage(f"{stage.root}/docs")
+    assert load_json(spark, documents, workspace.document_staging, "l1").rows == 1
+    assert load_json(spark, documents, workspace.document_staging, "l2").rows == 0
+
+
+def test_a_failing_reload_keeps_the_rows_loaded_before(spark, workspace, stage):
+    table = workspace.internal_staging
+    deliver(stage, "a.csv", *csv_lines("2023-08-04"))
+    load_csv(spark, stage, table, "l1")
+    deliver(stage, "bad.csv", "X,2023-08,2023-08-02,Rye,1")
+    with pytest.raises(ABORTS):
+        load_csv(spark, stage, table, "l1")
+    assert read_staged_orders(spark, table, "l1").count() == 8
+    history = load_history(spark, table.history_path, table.schema_name, table.name)
+    assert rows(history, "load_id", "row_count") == [("l1", 8)]
+
+
+@pytest.mark.parametrize("date", ["2023", "2023-08", "2023-08-04 junk", "2023-08-04T00:00:00", "2023-13-01", " 2023-08-04"])
+def test_damaged_dates_abort_by_every_route(spark, workspace, stage, date):
+    deliver(stage, "a.csv", f"X,{date},2023-08-05,Rye,1")
+    with pytest.raises(ABORTS):
+        load_csv(spark, stage, workspace.internal_staging, "l1")
+    body = json.dumps({**DOCUMENT, "Order date": date})
+    deliver_text(stage, "docs/a.json", body)
+    documents = Stage(f"{stage.root}/docs")
+    load_json(spark, documents, workspace.document_staging, "l1")
+    with pytest.raises(ABORTS):
+        workspace.document_orders(spark).collect()
+    with pytest.raises(ABORTS):
+        scan_json_typed(spark, documents).collect()
+    workspace.register(spark, "damaged", replace=True)
+    with pytest.raises(ABORTS):
+        spark.sql("SELECT * FROM damaged.orders_json_stg").collect()
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['{"a":1}],[{"b":2}', '{"a":1}] junk', '{"a":1}]', '{"a":1}} junk', '{"a":1},"end":1}', '{"a":1},"x":2', '{"a":1} {"b":2}', '{"a":'],
+)
+def test_text_after_a_document_aborts(spark, workspace, stage, text):
+    deliver_text(stage, "a.json", text)
+    for layout in (DOCUMENT_PER_FILE, DOCUMENT_PER_LINE):
+        with pytest.raises(ABORTS):
+            load_json(spark, stage, workspace.document_staging, "l1", layout)
+
+
+@pytest.mark.parametrize("name", ["_Orders.csv", ".Orders.csv", "2023/08/_Orders.csv"])
+def test_files_that_spark_passes_over_are_refused(spark, workspace, stage, name):
+    deliver(stage, "a.csv", *csv_lines("2023-08-04"))
+    deliver(stage, name, *csv_lines("2023-08-07"))
+    with pytest.raises(ValueError, match="Orders.csv"):
+        load_csv(spark, stage, workspace.internal_staging, "l1")
+
+
 def test_history_is_per_table_and_lists_files_without_rows(spark, workspace, stage):
     deliver(stage, "a.csv", *csv_lines("2023-08-04"))
     deliver(stage, "empty.csv")

@@ -20,7 +20,7 @@ from orderloom.plans.jobs import load_customer_orders
 from orderloom.sources.stage import Stage
 from orderloom.storage import OrderTable, SummaryTable
 from orderloom.streaming.ingest import ingest_csv, ingest_json, purge_options
-from samples import DOCUMENT, ORDERED, csv_lines, csv_name
+from samples import DAYS, DOCUMENT, csv_lines, csv_name
 from test_merge import FIRST, content, frame, order
 
 
@@ -169,7 +169,7 @@ def test_errors_become_statuses_and_are_logged(spark, workspace):
 
 def test_daily_runs_over_the_internal_stage(spark, workspace, stage):
     counts = []
-    for number, day in enumerate(ORDERED):
+    for number, day in enumerate(DAYS):
         deliver(stage, csv_name(day), *csv_lines(day))
         mode = "full" if number == 1 else "touched"
         result = process_orders(spark, workspace, stage, f"run{number}", summary=mode)
@@ -231,7 +231,7 @@ def run_stream(spark, workspace, stage, **options):
 
 
 def test_stream_takes_new_files_once(spark, workspace, stage):
-    days = list(ORDERED)
+    days = list(DAYS)
     deliver(stage, csv_name(days[0]), *csv_lines(days[0]))
     assert run_stream(spark, workspace, stage) == 8
     state = content(spark, workspace.customer_orders), totals(spark, workspace.summary_orders)
@@ -247,6 +247,20 @@ def test_stream_takes_new_files_once(spark, workspace, stage):
     assert rows(history, "load_id", "row_count") == [(f"batch-{i:012d}", 8) for i in range(3)]
 
 
+def test_all_rows_of_a_long_run_are_counted(spark, workspace, stage):
+    """Spark keeps the progress of some batches only."""
+    for day in DAYS:
+        deliver(stage, csv_name(day), *csv_lines(day))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        assert run_stream(spark, workspace, stage, source_options={"maxFilesPerTrigger": "1"}) == 24
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    table = workspace.external_staging
+    history = load_history(spark, workspace.history_path, table.schema_name, table.name)
+    assert history.where("file_size > 0 and file_modification_time is not null").count() == 3
+
+
 def test_repeated_batch_is_not_merged_again(spark, workspace, stage):
     deliver(stage, "a.csv", "A,2023-08-01,2023-08-02,,1")  # lacks a key: merging it again would add a row
     run_stream(spark, workspace, stage)
@@ -275,11 +289,11 @@ def test_stream_of_documents(spark, workspace, stage):
 
 def test_stream_archives_taken_files(spark, workspace, stage, tmp_path):
     options = {"source_options": {**purge_options(str(tmp_path / "archive")), "maxFilesPerTrigger": "1"}}
-    for day in ORDERED:
+    for day in DAYS:
         deliver(stage, csv_name(day), *csv_lines(day))
     run_stream(spark, workspace, stage, **options)
     archived = {p.name for p in (tmp_path / "archive").rglob("Orders*")}
-    assert archived and archived | set(names(stage)) == {csv_name(day) for day in ORDERED}
+    assert archived and archived | set(names(stage)) == {csv_name(day) for day in DAYS}
     assert purge_options() == {"cleanSource": "delete"}
     assert sum(totals(spark, workspace.summary_orders).values()) == 244
 

@@ -10,9 +10,11 @@ from orderloom.operators.flatten import flatten_orders, flatten_typed
 from orderloom.sources.csv_files import CsvFormat, scan_csv
 from orderloom.sources.external import (
     create_external_table,
+    drop_external_table,
     read_external_table,
     read_snapshot,
     refresh_external_table,
+    register_snapshot,
     refresh_snapshot,
 )
 from orderloom.sources.json_files import DOCUMENT_PER_LINE, scan_json, scan_json_typed
@@ -130,28 +132,32 @@ def test_directory_table_shows_its_last_refresh(spark, stage, tmp_path):
 def test_external_table_needs_a_refresh(spark, stage):
     deliver(stage, "202308/" + csv_name("2023-08-04"), *csv_lines("2023-08-04"))
     create_external_table(spark, "ext_orders", stage)
-    table = read_external_table(spark, "ext_orders", stage)
+    table = read_external_table(spark, "ext_orders")
     assert [t for _, t in table.dtypes] == ["string", "date", "date", "string", "decimal(38,0)", "string"]
     assert table.count() == 8
     deliver(stage, "202308/" + csv_name("2023-08-07"), *csv_lines("2023-08-07"))
-    assert read_external_table(spark, "ext_orders", stage).count() == 8
+    assert read_external_table(spark, "ext_orders").count() == 8
     refresh_external_table(spark, "ext_orders")
-    assert read_external_table(spark, "ext_orders", stage).count() == 16
-    assert {r[0] for r in rows(read_external_table(spark, "ext_orders", stage), "source_file_name")} == {
+    assert read_external_table(spark, "ext_orders").count() == 16
+    assert {r[0] for r in rows(read_external_table(spark, "ext_orders"), "source_file_name")} == {
         "202308/Orders_2023-08-04.csv",
         "202308/Orders_2023-08-07.csv",
     }
-    spark.sql("DROP TABLE ext_orders")
+    drop_external_table(spark, "ext_orders")
 
 
 def test_snapshot_is_replaced_also_by_nothing(spark, stage, tmp_path):
     path = str(tmp_path / "snapshot")
     deliver(stage, csv_name("2023-08-04"), *csv_lines("2023-08-04"))
     create_external_table(spark, "ext_snapshot", stage)
-    table = read_external_table(spark, "ext_snapshot", stage)
+    table = read_external_table(spark, "ext_snapshot")
     refresh_snapshot(table, path)
     refresh_snapshot(table, path)
     assert rows(read_snapshot(spark, path)) == rows(table)
     refresh_snapshot(table.filter("quantity < 0"), path)
     assert read_snapshot(spark, path).count() == 0
-    spark.sql("DROP TABLE ext_snapshot")
+    refresh_snapshot(table, path)
+    register_snapshot(spark, "ext_stored", path)
+    assert spark.sql("SELECT quantity FROM ext_stored WHERE delivery_date IS NOT NULL").count() == 8
+    spark.sql("DROP TABLE ext_stored")
+    drop_external_table(spark, "ext_snapshot")
