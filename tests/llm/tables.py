@@ -14,8 +14,3 @@ def documents(spark):
         return spark.createDataFrame(filled, SCHEMA)
 
     return make
-
-
-def by_id(frame, *columns):
-    rows = frame.select("doc_id", *columns).collect()
-    return sorted((tuple(row) for row in rows), key=repr)

@@ -3,11 +3,11 @@ from __future__ import annotations
 import random
 
 import pytest
-
 from pyspark.sql import functions as F
 
 import brute
 from orderloom.llm import components, line_dedup, near_dedup, substring_dedup
+from tables import documents  # noqa: F401
 
 
 def generated(seed, n, length=120):

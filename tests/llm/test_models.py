@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom.llm import language, pieces, toxicity
+from tables import documents  # noqa: F401
 
 SAMPLES = Path("/root/testdata/sf0.01")
 

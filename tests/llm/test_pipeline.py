@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 import brute
+from tables import documents  # noqa: F401
 import corpus_pipeline
 from orderloom.llm import pieces
 from orderloom.llm.queries import ORACLES, QUERIES

@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 import brute
+from tables import documents  # noqa: F401
 from orderloom.llm import decontamination, fingerprints, licences, oracles, sharding
 
 
