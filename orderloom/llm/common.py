@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.session import scratch, shared_folder
+from orderloom.session import scratch, shared_folder, size_session
 
 NO_ID = 2**63 - 1  # stands for a null doc_id: ids sort with nulls last, and rows without id are one document
 BATCH_BYTES = 4 << 20  # text handled at once inside a task; a longer document is handled alone
@@ -41,11 +41,14 @@ def with_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Have Spark send texts to Python a few megabytes at a time, also where rows are long.
+def sized_for(rows: DataFrame) -> None:
+    """Give the session shuffle partitions for the tables that the rows are read from, and small Arrow batches.
 
-    Settings of the session, as they count when the returned frame runs.
+    Texts then go to Python a few megabytes at a time, also where rows are long. Both are settings of the session, as they
+    count when the returned frame runs.
     """
+    spark = rows.sparkSession
+    size_session(spark, rows)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

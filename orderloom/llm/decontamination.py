@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import public_id, row_key, stored
+from orderloom.llm.common import public_id, row_key, sized_for, stored
 
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of texts before lower-casing; the words keep A-Z
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -117,6 +117,7 @@ def _spots(docs: DataFrame, shingled: DataFrame) -> DataFrame:
 
 def window_hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Occurrences (``doc_id``, ``text_hash``, ``start``, ``n``, ``window``), and the windows of each item."""
+    sized_for(docs)
     windows = stored(_windows(items), "windows")
     shingled = stored(_shingled(windows), "shingles")
     spots = stored(_spots(docs, shingled), "spots")

@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.llm.common import sized_for
+
 ROWS_A_BLOCK = 20_000
 MOST_BLOCKS = 4096  # so many ids are sent to the driver at most; with more rows, blocks are larger
 FAN = 64
@@ -122,6 +124,7 @@ def fingerprint_digest(docs: DataFrame, n: int = 5, fraction: int = 8) -> DataFr
 
     ``near_edited`` and ``near_next`` are the likeness of the text's sketch to those of the edited and the next text.
     """
+    sized_for(docs)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = with_next(with_sketch(texts, "text", "sketch", n, fraction), ["text", "sketch"])
     third = F.floor(F.char_length("text") / 3).cast("int")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import small_batches, text_batches
+from orderloom.llm.common import sized_for, text_batches
 
 LENGTHS = (1, 2, 3)
 PROFILE = 300
@@ -84,7 +84,7 @@ def profiles(training: DataFrame, length: int = PROFILE) -> dict[str, np.ndarray
 
     What reaches the driver is ``length`` numbers a language.
     """
-    small_batches(training.sparkSession)
+    sized_for(training)
     rows = training.where("lang is not null and text is not null").select("lang", "text")
     counts = rows.mapInArrow(_training_counts, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # Within parts first, so that no task ranks all n-grams of a language.
@@ -149,7 +149,7 @@ def identify(docs: DataFrame, found: dict[str, np.ndarray], length: int = PROFIL
     The score is 1 for n-grams all in their places and 0 for none known. A null text, one without letters and, if no
     language is known, any text is ``und`` with score 0. Of equally near languages the first by name is taken.
     """
-    small_batches(docs.sparkSession)
+    sized_for(docs)
     rows = docs.select("text", F.struct(*(c for c in docs.columns if c != "text")).alias("row"))
     fields = [
         T.StructField("row", rows.schema["row"].dataType),

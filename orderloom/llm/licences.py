@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import small_batches, text_batches
+from orderloom.llm.common import sized_for, text_batches
 
 LEAST = 0.6
 
@@ -97,7 +97,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     like it, if that is at least ``least`` alike. Null and empty texts, and texts of one word, match nothing. Repeated rows
     are scanned each for itself.
     """
-    small_batches(docs.sparkSession)
+    sized_for(docs)
     rows = docs.select("text", F.struct(*(c for c in docs.columns if c != "text")).alias("row"))
     fields = [T.StructField("row", rows.schema["row"].dataType), T.StructField("matches", T.ArrayType(_MATCH))]
     return rows.mapInArrow(_scanned(Templates(templates or TEMPLATES), least), T.StructType(fields))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import keyed, row_key, sha256, small_batches, text_batches, with_checkpoint_dir
+from orderloom.llm.common import keyed, row_key, sha256, sized_for, text_batches, with_checkpoint_dir
 
 SPACE = b" \t\n\x0b\x0c\r"
 _LINES = "doc_id long, text_hash int, position int, high long, low long"
@@ -127,7 +127,7 @@ def line_keep_bitmaps(docs: DataFrame, least: int = 10) -> DataFrame:
     """
     spark = docs.sparkSession
     with_checkpoint_dir(spark)
-    small_batches(spark)
+    sized_for(docs)
     lines = keyed(docs).mapInArrow(_line_hashes(least), _LINES)
     # The document is part of the range, so a line that a third of all documents share is cut into many ranges.
     ordered = (

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import keyed, public_id, row_key, small_batches, stored, text_batches
+from orderloom.llm.common import keyed, public_id, row_key, sized_for, stored, text_batches
 from orderloom.llm.components import components
 from orderloom.llm.words import mix, shingle_set, split_words
 
@@ -244,7 +244,7 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
     ``component_id`` is the least id that links reach. Documents without words are alone. Rows of one id are one document,
     and so are all rows without id.
     """
-    small_batches(docs.sparkSession)
+    sized_for(docs)
     bands, rows = bands_for(percent / 100)
     signed = stored(keyed(docs).mapInArrow(_signatures(words_each, bands, rows), _SIGNED), "signatures")
     filled = signed.where("n_shingles > 0")

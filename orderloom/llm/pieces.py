@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import row_key, small_batches, stored, text_batches
+from orderloom.llm.common import row_key, sized_for, stored, text_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -325,7 +325,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, chunk: int = C
     Null and empty texts have no ids. The vocabulary, of a fixed size, goes to every worker once.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    sized_for(docs)
     vocabulary = vocabulary or load_vocabulary()
     shared = spark.sparkContext.broadcast(vocabulary)
     row = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
@@ -345,7 +345,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, chunk: int = C
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, ids: str = "ids") -> DataFrame:
     """The frame with ``decoded``, the text that the ids spell."""
-    small_batches(encoded.sparkSession)
+    sized_for(encoded)
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

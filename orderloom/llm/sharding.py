@@ -15,7 +15,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import stored
+from orderloom.llm.common import sized_for, stored
 
 ROUNDS = 4
 STEPS = 1024  # grades of priority among those who ask for one shard
@@ -82,6 +82,7 @@ def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
     The law is ``rows``: counts of shards are at most one apart. Null texts count as empty ones, which are equal to each
     other. Rows without id and repeated rows are rows like others. An empty table gives no rows.
     """
+    sized_for(docs)
     text = F.coalesce("text", F.lit(""))
     base = stored(
         docs.select(

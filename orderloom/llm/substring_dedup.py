@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import keyed, row_key, sha256, small_batches, stored, text_batches
+from orderloom.llm.common import keyed, row_key, sha256, sized_for, stored, text_batches
 from orderloom.llm.words import grams, mix, powers, split_words
 
 _POSITION = np.uint64((1 << 24) - 1)
@@ -239,7 +239,7 @@ def repeated_spans(docs: DataFrame, window: int = 35, gram: int = 12, group_limi
 
     Spans of a document may touch and overlap. Null and short texts have none. ``doc_id`` is coded as by ``row_key``.
     """
-    small_batches(docs.sparkSession)
+    sized_for(docs)
     texts = keyed(docs)
     anchors = stored(texts.mapInArrow(_anchor_rows(window, gram), _ANCHORS), "anchors")
     found_again = anchors.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("prefix")

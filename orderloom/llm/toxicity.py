@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import small_batches, stored, text_batches
+from orderloom.llm.common import sized_for, stored, text_batches
 from orderloom.llm.language import held_out
 
 SAMPLE = 20_000  # labelled rows that the grammar is fitted to at most, about
@@ -241,7 +241,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     Labels without id or without ``toxic`` are left out. Without any label every score is 0.5.
     """
-    small_batches(docs.sparkSession)
+    sized_for(docs)
     known = labels.where("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("long").alias("toxic"))
     total = known.count()
     lot = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30))
@@ -275,7 +275,7 @@ def _scored(model: Model):
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id`` and ``score`` (0 to 1) of every row; null and empty texts match nothing."""
-    small_batches(docs.sparkSession)
+    sized_for(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_scored(model), "doc_id long, score double")
 
