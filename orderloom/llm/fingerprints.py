@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.common import sized_for
 
-ROWS_A_BLOCK = 20_000
+ROWS_A_BLOCK = 5_000
 MOST_BLOCKS = 4096  # so many ids are sent to the driver at most; with more rows, blocks are larger
 FAN = 64
 
