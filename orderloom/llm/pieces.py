@@ -30,7 +30,7 @@ from orderloom.llm.common import row_key, sized_for, stored, text_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 HELD = "\ud800"  # stands for a mark that the text itself has; no valid text holds this code point
-CHUNK = 16_384  # characters; longer texts are cut
+CHUNK = 65_536  # characters; longer texts are cut
 BLOCK = 64  # chunks whose matrices are combined in one task
 CACHED = 200_000  # words whose paths a worker keeps
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
