@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -47,13 +48,13 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 def shared_folder(spark: SparkSession) -> str:
     """The folder that every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    A session on this machine only (``local[..]``) without that setting gets a temporary one. A cluster
-    session without it is refused, as a folder of the driver's machine would be lost on the others.
+    A session within one process (``local[..]``) without that setting gets a temporary one. Any other session without it
+    is refused, as a folder of the driver's machine would be lost on the others.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="orderloom-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
