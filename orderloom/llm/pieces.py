@@ -32,7 +32,8 @@ MARK = "▁"
 HELD = "\ud800"  # stands for a mark that the text itself has; no valid text holds this code point
 CHUNK = 65_536  # characters; longer texts are cut
 BLOCK = 64  # chunks whose matrices are combined in one task
-CACHED = 200_000  # words whose paths a worker keeps
+CACHED = 400_000  # words whose paths a worker keeps
+TIE = 50  # bits of a weight below the score, for squared ids
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NEVER = -(1 << 400)  # below any sum
 
@@ -41,11 +42,13 @@ class Vocabulary:
     """Pieces with ids and weights. A weight is the score, and far below it the squared id against ties."""
 
     def __init__(self, pieces: list[tuple[str, int, float]], byte_ids: list[int], unknown: float):
-        self.arcs = {piece: (id_, (round(score * 2**20) << 64) - id_ * id_) for piece, id_, score in pieces}
+        self.arcs = {piece: (id_, (round(score * 1024) << TIE) - id_ * id_) for piece, id_, score in pieces}
         self.byte_ids = byte_ids
-        self.unknown = round(unknown * 2**20) << 64
+        self.unknown = round(unknown * 1024) << TIE
         self.longest = max((len(piece) for piece in self.arcs), default=1)
-        self.words: dict[str, tuple[int, tuple[int, ...]]] = {}
+        self.words: dict[str, tuple[int, tuple[int, ...]]] = {}  # of giant texts, with weights
+        self.seen: dict[str, tuple[int, ...]] = {}
+        self._derive()
         if any(re.search(f"[^{MARK}]{MARK}", piece) for piece in self.arcs):
             raise ValueError("a piece of this vocabulary spans two words")
         raw: list[bytes] = [b""] * (max([*(id_ for _, id_, _ in pieces), *byte_ids]) + 1)
@@ -55,6 +58,11 @@ class Vocabulary:
             raw[id_] = bytes([value])
         self.raw = raw
 
+    def _derive(self) -> None:
+        self.trie = _trie(self.arcs)
+        self.backwards = _trie({piece[::-1]: arc for piece, arc in self.arcs.items()})
+        self.units = re.compile(_unit_pattern(self.arcs))
+
     def __reduce__(self):
         return _rebuilt, (self.arcs, self.byte_ids, self.unknown, self.longest, self.raw)
 
@@ -63,27 +71,40 @@ class Vocabulary:
 
     def arcs_from(self, text: str, i: int, end: int) -> Iterator[tuple[int, int, int | None]]:
         """End, weight and id (None: spelt in bytes) of each piece of the text that starts at i."""
-        known = False
-        for j in range(i + 1, min(i + self.longest, end) + 1):
-            arc = self.arcs.get(text[i:j])
-            if arc:
-                known |= j == i + 1
-                yield j, arc[1], arc[0]
-        if not known:
+        if text[i] not in self.arcs:
             yield i + 1, self.unknown, None
+        level = self.trie
+        for j in range(i, end):
+            if text[j] not in level:
+                return
+            level, arc = level[text[j]]
+            if arc:
+                yield j + 1, arc[1], arc[0]
 
     def path(self, text: str, limit: int | None = None) -> tuple[int, tuple[int, ...]]:
         """The best path over the text; its last piece starts before ``limit`` and no node lies between that and the end."""
         n = len(text)
-        limit = n if limit is None else limit
         best, back = [NEVER] * (n + 1), [(0, None)] * (n + 1)
         best[0] = 0
-        for i in range(limit):
-            if best[i] == NEVER:
+        # As ``arcs_from``, but without its calls: most of the time goes here.
+        root, arcs, unknown, longest = self.trie, self.arcs, self.unknown, self.longest
+        for i in range(n if limit is None else limit):
+            so_far = best[i]
+            if so_far is NEVER:
                 continue
-            for j, weight, id_ in self.arcs_from(text, i, n):
-                if best[i] + weight > best[j]:
-                    best[j], back[j] = best[i] + weight, (i, id_)
+            if text[i] not in arcs and so_far + unknown > best[i + 1]:
+                best[i + 1], back[i + 1] = so_far + unknown, (i, None)
+            level, j = root, i
+            for char in text[i : i + longest]:
+                node = level.get(char)
+                if node is None:
+                    break
+                level, arc = node
+                j += 1
+                if arc is not None:
+                    total = so_far + arc[1]
+                    if total > best[j]:
+                        best[j], back[j] = total, (i, arc[0])
         ids: list[tuple[int, ...]] = []
         j = n
         while j > 0 and best[n] != NEVER:
@@ -102,8 +123,56 @@ class Vocabulary:
                 self.words[text] = found
         return found
 
-    def ids(self, prepared: str) -> np.ndarray:
-        return np.fromiter(chain.from_iterable([self.word(u)[1] for u in UNIT.findall(prepared)]), np.int32)
+    def learn(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """The ids of words, found in their order by letters: what two neighbours begin with is searched once."""
+        backwards, arcs, unknown = self.backwards, self.arcs, self.unknown
+        found, before = {}, ""
+        best: list[int] = [0]
+        back: list[tuple[int, int | None]] = [(0, None)]
+        for word in sorted(words):
+            n = 0
+            for a, b in zip(before, word, strict=False):
+                if a != b:
+                    break
+                n += 1
+            del best[n + 1 :], back[n + 1 :]
+            for j in range(n, len(word)):
+                if word[j] in arcs:
+                    most, at = NEVER, (j, None)
+                else:
+                    most, at = best[j] + unknown, (j, None)
+                level, i = backwards, j
+                while i >= 0:
+                    node = level.get(word[i])
+                    if node is None:
+                        break
+                    level, arc = node
+                    if arc is not None and best[i] + arc[1] >= most:
+                        most, at = best[i] + arc[1], (i, arc[0])
+                    i -= 1
+                best.append(most)
+                back.append(at)
+            before, j, ids = word, len(word), []
+            while j > 0:
+                i, id_ = back[j]
+                if id_ is None:
+                    ids.extend(reversed(self.spelt(word[i])))
+                else:
+                    ids.append(id_)
+                j = i
+            found[word] = tuple(reversed(ids))
+        return found
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of prepared texts. What their words are made of is remembered for the next call, within bounds."""
+        cut = [self.units.findall(text) for text in texts]
+        new = set(chain.from_iterable(cut)).difference(self.seen)
+        if len(self.seen) + len(new) > CACHED:
+            self.seen.clear()
+            new = set(chain.from_iterable(cut))
+        self.seen.update(self.learn(new))
+        known = self.seen.__getitem__
+        return [np.fromiter(chain.from_iterable(map(known, units)), np.int32) for units in cut]
 
     def text(self, ids: Iterable[int]) -> bytes:
         raw = self.raw
@@ -113,9 +182,40 @@ class Vocabulary:
 def _rebuilt(arcs, byte_ids, unknown, longest, raw) -> Vocabulary:
     made = Vocabulary.__new__(Vocabulary)
     made.arcs, made.byte_ids, made.unknown, made.longest, made.raw, made.words = arcs, byte_ids, unknown, longest, raw, {}
+    made.seen = {}
+    made._derive()
     return made
 
 
+def _unit_pattern(arcs: Iterable[str]) -> str:
+    """A pattern of the parts that no piece joins: words, cut also before marks of punctuation that no piece has behind a
+    letter or the like."""
+    pairs = {piece[i : i + 2] for piece in arcs for i in range(len(piece) - 1)}
+    marks = {chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()}
+    while bad := {pair[1] for pair in pairs if pair[1] in marks and pair[0] not in marks and pair[0] != MARK}:
+        marks -= bad
+    if not marks:
+        return UNIT.pattern
+    own = "".join(map(re.escape, sorted(marks)))
+    return f"{MARK}+[{own}]*[^{MARK}{own}]*|[{own}]+[^{MARK}{own}]*|[^{MARK}{own}]+"
+
+
+def _trie(arcs: dict[str, tuple[int, int]]) -> dict:
+    """By character, the next level and the arc (or None) of the piece that ends there."""
+    root: dict = {}
+    for length in range(1, max(map(len, arcs), default=0) + 1):
+        for piece, arc in arcs.items():
+            if len(piece) >= length:
+                level = root
+                for char in piece[: length - 1]:
+                    level = level[char][0]
+                found = arc if len(piece) == length else None
+                if found or piece[length - 1] not in level:
+                    below = level[piece[length - 1]][0] if piece[length - 1] in level else {}
+                    level[piece[length - 1]] = (below, found)
+    return root
+
+
 def load_vocabulary(model: str = MODEL) -> Vocabulary:
     """The vocabulary of a SentencePiece model file. It must have byte pieces, so that every text can be spelt."""
     import sentencepiece
@@ -219,7 +319,7 @@ def _whole(shared: Any):
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         for batch, texts in text_batches(batches):
-            found = [vocabulary.ids(prepared(text)) for text in texts]
+            found = vocabulary.ids([prepared(text) for text in texts])
             offsets = np.cumsum([0] + [len(x) for x in found])
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found), pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), ids], ["row", "text", "ids"])

@@ -40,6 +40,7 @@ def test_paths_are_best():
     for _ in range(60):
         text = "".join(r.choice("aabbé" + pieces.MARK) for _ in range(r.randint(0, 9)))
         assert vocabulary.path(text)[0] == best_score(vocabulary, text)
+        assert vocabulary.ids([text])[0].tolist() == list(vocabulary.path(text)[1])
 
 
 @pytest.mark.parametrize("chunk", [7, 12, 40])
@@ -106,6 +107,15 @@ def test_round_trip_of_short_and_giant_texts(spark, documents):
     assert pieces.piece_digest(documents()).count() == 0
 
 
+@needs_model
+def test_units_are_parts_that_no_piece_joins():
+    vocabulary, r = pieces.load_vocabulary(), random.Random(4)
+    texts = [pieces.prepared("".join(r.choice("ab .,|$-'\n()1é%") for _ in range(120)).encode()) for _ in range(60)]
+    for text, ids in zip(texts, vocabulary.ids(texts), strict=True):
+        assert "".join(vocabulary.units.findall(text)) == text
+        assert ids.tolist() == list(vocabulary.path(text)[1])
+
+
 def test_a_vocabulary_across_words_is_refused():
     with pytest.raises(ValueError):
         pieces.Vocabulary([("a" + pieces.MARK + "b", 300, -1.0)], list(range(256)), -20.0)
