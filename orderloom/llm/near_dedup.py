@@ -272,8 +272,8 @@ def near_duplicate_digest(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, words_each: int = 5, percent: int = 80) -> DataFrame:
-    """The documents, without those that are not their component's least id."""
-    found = near_duplicates(docs, words_each, percent).where("doc_id <> component_id").select("doc_id").distinct()
-    coded = row_key()[0]
-    gone = found.select(F.col("doc_id").alias("_gone_id"))
-    return docs.join(gone, coded == gone["_gone_id"], "left_anti")
+    """The documents, without those that are not their component's least id. Rows without id all stay, and link nothing."""
+    known = docs.where("doc_id is not null")
+    found = near_duplicates(known, words_each, percent).where("doc_id <> component_id")
+    gone = found.select(F.col("doc_id").alias("_gone_id")).distinct()
+    return docs.join(gone, row_key()[0] == F.col("_gone_id"), "left_anti")

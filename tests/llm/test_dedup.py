@@ -133,7 +133,7 @@ def test_a_crowded_bucket_is_compared_in_blocks(documents, monkeypatch):
 
 def test_one_document_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(30))
-    rows = [(5, text, 1), (2, text + " more", 2), (9, "other words here", 3), (9, "other words here", 3), (None, None, 4), (None, "", 5)]
+    rows = [(5, text, 1), (2, text + " more", 2), (9, "other words here", 3), (9, "other words here", 3), (None, text, 4), (None, "", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
     kept = near_dedup.one_of_each(docs)
     assert kept.columns == docs.columns
