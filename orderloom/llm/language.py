@@ -21,6 +21,7 @@ from orderloom.llm.common import sized_for, text_batches
 LENGTHS = (1, 2, 3)
 PROFILE = 300
 SPREAD = 64  # parts in which a language's n-grams are ranked before its profile is put together
+COUNTED = 500_000  # characters whose n-grams are counted at once
 UNKNOWN = "und"
 _BITS = 21  # of a code point
 
@@ -64,15 +65,26 @@ def ranked(grams: np.ndarray, counts: np.ndarray, length: int = PROFILE) -> np.n
     return grams[np.lexsort((grams, -counts))[:length]]
 
 
+def _by_language(langs: list[str], texts: list[bytes]) -> Iterator[tuple[str, list[np.ndarray]]]:
+    """The normalised texts of each language, COUNTED characters or one text at a time."""
+    waiting: dict[str, list[np.ndarray]] = {}
+    sizes: dict[str, int] = {}
+    for lang, text in zip(langs, texts, strict=True):
+        codes = code_points(text)
+        waiting.setdefault(lang, []).append(codes)
+        sizes[lang] = sizes.get(lang, 0) + len(codes)
+        if sizes[lang] >= COUNTED:
+            yield lang, waiting.pop(lang)
+            sizes[lang] = 0
+    yield from waiting.items()
+
+
 def _training_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts of each language's n-grams, for every slice of the input."""
     for batch, texts in text_batches(batches):
-        by_lang: dict[str, list[np.ndarray]] = {}
-        for lang, text in zip(batch.column("lang").to_pylist(), texts, strict=True):
-            by_lang.setdefault(lang, []).append(code_points(text))
-        for lang, codes in by_lang.items():
-            # Blanks between texts are squeezed, so that no n-gram spans two texts but for their blank.
-            grams, counts = gram_counts(np.concatenate(codes))
+        for lang, codes in _by_language(batch.column("lang").to_pylist(), texts):
+            # One blank between texts, so that no n-gram spans the letters of two.
+            grams, counts = gram_counts(np.concatenate([*(c[:-1] for c in codes), np.full(1, 32, np.uint64)]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(counts)],
                 ["lang", "gram", "n"],

@@ -1,10 +1,11 @@
 """SentencePiece encoding and decoding: the best path through a vocabulary's lattice.
 
 A text's encoding is the sequence of vocabulary pieces with the greatest sum of scores that spells it (the unigram rule).
-Blanks are written as the mark U+2581, a text gets one in front, and characters without a piece are spelt in byte pieces.
+A text gets a blank in front, blanks stand for the vocabulary's mark U+2581, and characters without a piece (a mark of the
+text's own, too) are spelt in byte pieces.
 Of equal sums the path with the least sum of squared ids is taken, so that the result doesn't hang on the order of work.
 
-No piece of such vocabularies goes on past a word's end into the next mark, so paths of words are found one by one. A
+No piece of such vocabularies goes on past a word's end into the next blank, so paths of words are found one by one. A
 giant text is cut into chunks wherever it happens, and its path is found as a max-plus parallel scan: a chunk's transfer
 matrix has the best score from each state at its start to each state at its end, a state being how many characters of a
 chunk belong to a piece from the one before. Matrices of neighbours are combined, which is associative, first in blocks
@@ -28,11 +29,10 @@ from pyspark.sql import types as T
 from orderloom.llm.common import row_key, sized_for, stored, text_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MARK = "▁"
-HELD = "\ud800"  # stands for a mark that the text itself has; no valid text holds this code point
+MARK = " "
 CHUNK = 65_536  # characters; longer texts are cut
 BLOCK = 64  # chunks whose matrices are combined in one task
-CACHED = 400_000  # words whose paths a worker keeps
+CACHED = 300_000  # words whose paths a worker keeps
 TIE = 50  # bits of a weight below the score, for squared ids
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NEVER = -(1 << 400)  # below any sum
@@ -53,7 +53,7 @@ class Vocabulary:
             raise ValueError("a piece of this vocabulary spans two words")
         raw: list[bytes] = [b""] * (max([*(id_ for _, id_, _ in pieces), *byte_ids]) + 1)
         for piece, id_, _ in pieces:
-            raw[id_] = piece.replace(MARK, " ").encode()
+            raw[id_] = piece.encode()
         for value, id_ in enumerate(byte_ids):
             raw[id_] = bytes([value])
         self.raw = raw
@@ -61,13 +61,13 @@ class Vocabulary:
     def _derive(self) -> None:
         self.trie = _trie(self.arcs)
         self.backwards = _trie({piece[::-1]: arc for piece, arc in self.arcs.items()})
-        self.units = re.compile(_unit_pattern(self.arcs))
+        self.singles = {piece for piece in self.arcs if len(piece) == 1}
 
     def __reduce__(self):
         return _rebuilt, (self.arcs, self.byte_ids, self.unknown, self.longest, self.raw)
 
     def spelt(self, char: str) -> tuple[int, ...]:
-        return tuple(self.byte_ids[b] for b in (MARK if char == HELD else char).encode("utf-8", "surrogatepass"))
+        return tuple(self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass"))
 
     def arcs_from(self, text: str, i: int, end: int) -> Iterator[tuple[int, int, int | None]]:
         """End, weight and id (None: spelt in bytes) of each piece of the text that starts at i."""
@@ -125,7 +125,7 @@ class Vocabulary:
 
     def learn(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
         """The ids of words, found in their order by letters: what two neighbours begin with is searched once."""
-        backwards, arcs, unknown = self.backwards, self.arcs, self.unknown
+        backwards, singles, unknown = self.backwards, self.singles, self.unknown
         found, before = {}, ""
         best: list[int] = [0]
         back: list[tuple[int, int | None]] = [(0, None)]
@@ -137,7 +137,7 @@ class Vocabulary:
                 n += 1
             del best[n + 1 :], back[n + 1 :]
             for j in range(n, len(word)):
-                if word[j] in arcs:
+                if word[j] in singles:
                     most, at = NEVER, (j, None)
                 else:
                     most, at = best[j] + unknown, (j, None)
@@ -147,8 +147,10 @@ class Vocabulary:
                     if node is None:
                         break
                     level, arc = node
-                    if arc is not None and best[i] + arc[1] >= most:
-                        most, at = best[i] + arc[1], (i, arc[0])
+                    if arc is not None:
+                        total = best[i] + arc[1]
+                        if total >= most:
+                            most, at = total, (i, arc[0])
                     i -= 1
                 best.append(most)
                 back.append(at)
@@ -165,7 +167,7 @@ class Vocabulary:
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of prepared texts. What their words are made of is remembered for the next call, within bounds."""
-        cut = [self.units.findall(text) for text in texts]
+        cut = [UNIT.findall(text) for text in texts]
         new = set(chain.from_iterable(cut)).difference(self.seen)
         if len(self.seen) + len(new) > CACHED:
             self.seen.clear()
@@ -187,19 +189,6 @@ def _rebuilt(arcs, byte_ids, unknown, longest, raw) -> Vocabulary:
     return made
 
 
-def _unit_pattern(arcs: Iterable[str]) -> str:
-    """A pattern of the parts that no piece joins: words, cut also before marks of punctuation that no piece has behind a
-    letter or the like."""
-    pairs = {piece[i : i + 2] for piece in arcs for i in range(len(piece) - 1)}
-    marks = {chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()}
-    while bad := {pair[1] for pair in pairs if pair[1] in marks and pair[0] not in marks and pair[0] != MARK}:
-        marks -= bad
-    if not marks:
-        return UNIT.pattern
-    own = "".join(map(re.escape, sorted(marks)))
-    return f"{MARK}+[{own}]*[^{MARK}{own}]*|[{own}]+[^{MARK}{own}]*|[^{MARK}{own}]+"
-
-
 def _trie(arcs: dict[str, tuple[int, int]]) -> dict:
     """By character, the next level and the arc (or None) of the piece that ends there."""
     root: dict = {}
@@ -226,7 +215,7 @@ def load_vocabulary(model: str = MODEL) -> Vocabulary:
         if processor.is_byte(id_):
             byte_ids[int(processor.id_to_piece(id_)[3:-1], 16)] = id_
         elif not (processor.is_control(id_) or processor.is_unknown(id_) or processor.is_unused(id_)):
-            usual.append((processor.id_to_piece(id_), id_, processor.get_score(id_)))
+            usual.append((processor.id_to_piece(id_).replace("▁", MARK), id_, processor.get_score(id_)))
     if not any(byte_ids):
         raise ValueError(f"{model} has no byte pieces")
     return Vocabulary(usual, byte_ids, min(score for _, _, score in usual) - 10)
@@ -235,7 +224,7 @@ def load_vocabulary(model: str = MODEL) -> Vocabulary:
 def prepared(text: bytes) -> str:
     """The text as the lattice has it; empty stays empty."""
     plain = text.decode("utf-8", "replace")
-    return MARK + plain.replace(MARK, HELD).replace(" ", MARK) if plain else ""
+    return MARK + plain if plain else ""
 
 
 # Transfer matrices. A row for each state at the start, a column for each at the end.
@@ -327,8 +316,7 @@ def _whole(shared: Any):
     return rows
 
 
-# Binary, as a prepared text may hold HELD.
-_CHUNKS = "doc_id long, text_hash int, chunk int, before binary, body binary, after binary"
+_CHUNKS = "doc_id long, text_hash int, chunk int, before string, body string, after string"
 
 
 def _cut(chunk: int, longest: int):
@@ -342,13 +330,12 @@ def _cut(chunk: int, longest: int):
                     for column, value in zip(columns, (n, whole[a - 1 : a] if a else "", whole[a:b], whole[b : b + longest - 1]), strict=True):
                         column.append(value)
                 size = len(columns[0])
-                packed = [[v.encode("utf-8", "surrogatepass") for v in column] for column in columns[1:]]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([batch.column("doc_id")[i].as_py()] * size, pa.int64()),
                         pa.array([batch.column("text_hash")[i].as_py()] * size, pa.int32()),
                         pa.array(columns[0], pa.int32()),
-                        *(pa.array(column, pa.binary()) for column in packed),
+                        *(pa.array(column, pa.string()) for column in columns[1:]),
                     ],
                     ["doc_id", "text_hash", "chunk", "before", "body", "after"],
                 )
@@ -356,10 +343,6 @@ def _cut(chunk: int, longest: int):
     return rows
 
 
-def _unpacked(value: bytes) -> str:
-    return value.decode("utf-8", "surrogatepass")
-
-
 def _giant(texts: DataFrame, vocabulary: Vocabulary, shared: Any, chunk: int) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``ids`` of texts longer than a chunk."""
     key = ["doc_id", "text_hash"]
@@ -373,7 +356,7 @@ def _giant(texts: DataFrame, vocabulary: Vocabulary, shared: Any, chunk: int) ->
     def matrices(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [
-                _written(transfer(shared.value, *map(_unpacked, row)))
+                _written(transfer(shared.value, *row))
                 for row in zip(frame["before"], frame["body"], frame["after"], strict=True)
             ]
             yield frame[[*key, "chunk", "block"]].assign(matrix=found)
@@ -398,7 +381,7 @@ def _giant(texts: DataFrame, vocabulary: Vocabulary, shared: Any, chunk: int) ->
     def back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [
-                traced(shared.value, _unpacked(body), _unpacked(after), entry, leave)
+                traced(shared.value, body, after, entry, leave)
                 for body, after, entry, leave in zip(frame["body"], frame["after"], frame["entry"], frame["leave"], strict=True)
             ]
             yield frame[[*key, "chunk"]].assign(ids=found)
