@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schema import QUANTITY
+from orderloom.session import partitions_for
 from orderloom.sources.stage import Stage
 
 INTERNAL, EXTERNAL, DOCUMENTS = "internal", "external", "documents"
@@ -129,8 +130,12 @@ def write_document_files(spark: SparkSession, sf_dir: str, orders: DataFrame, pa
     body = F.struct(
         F.col("region").alias("Customer"), F.col("order_date").alias("Order date"), F.col("days").alias("Orders")
     )
-    rows = whole.select(F.to_json(body).alias("value"), "region", "order_date")
-    rows.write.partitionBy("region", "order_date").text(path)
+    # A number of partitions that AQE leaves alone, as it is the files that take time, not the rows.
+    spread = whole.repartition(partitions_for(spark, orders), "region", "order_date")
+    rows = spread.select(F.to_json(body).alias("value"), "region")
+    # Tasks move their files themselves; one by one in the driver they would take long.
+    committed = rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    committed.option("maxRecordsPerFile", 1).partitionBy("region").text(path)
 
 
 def stage_of(path: str, channel: str | None = None) -> Stage:

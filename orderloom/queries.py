@@ -253,7 +253,9 @@ def load_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, raw = workspace.external_staging, workspace.document_staging
     load_csv(spark, csv_stage(spark, sf_dir), orders, "load", load_ts=at(LOAD_TS))
     load_json(spark, json_stage(spark, sf_dir), raw, "load", DOCUMENT_PER_LINE, load_ts=at(LOAD_TS))
-    cut_off = read_staged_orders(spark, orders).withColumn("order_date", F.date_format("order_date", "yyyy-MM"))
+    rows = read_staged_orders(spark, orders)
+    rows.select(*FILE_COLUMNS[:4]).write.option("header", True).csv(f"{path}/row")
+    cut_off = rows.withColumn("order_date", F.date_format("order_date", "yyyy-MM"))
     cut_off.select(*FILE_COLUMNS).write.option("header", True).csv(f"{path}/date")
     lines = spark.read.options(**json_stage(spark, sf_dir).options()).text(json_stage(spark, sf_dir).root)
     lines.select(F.concat("value", F.lit(',"more":'), "value")).write.text(f"{path}/documents")
@@ -264,7 +266,7 @@ def load_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rows.count(), history.agg(F.sum("row_count")).first()[0]
 
     attempts = {
-        "row": (orders, lambda: load_csv(spark, json_stage(spark, sf_dir), orders, "load")),
+        "row": (orders, lambda: load_csv(spark, Stage(f"{path}/row"), orders, "load")),
         "date": (orders, lambda: load_csv(spark, Stage(f"{path}/date"), orders, "load")),
         "documents": (raw, lambda: load_json(spark, Stage(f"{path}/documents"), raw, "load", DOCUMENT_PER_LINE)),
     }

@@ -37,10 +37,13 @@ def hidden_files(spark: SparkSession, root: str, pattern: str, levels: int) -> l
     Marks of Spark's own writers are none: ``_SUCCESS`` and checksums.
     """
     fs, _ = _file_system(spark, root)
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
     found = []
     for level in range(levels + 1):
-        path = root.rstrip("/") + "/*" * level + "/[_.]*"
-        for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path)) or []:
+        path = root.rstrip("/") + "/*" * level
+        if level and not len(fs.globStatus(as_path(path)) or []):
+            break
+        for status in fs.globStatus(as_path(path + "/[_.]*")) or []:
             name = status.getPath().getName()
             if status.isFile() and name != "_SUCCESS" and not name.endswith(".crc") and fnmatch(name[1:], pattern):
                 found.append(name)
