@@ -32,7 +32,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = " "
 CHUNK = 65_536  # characters; longer texts are cut
 BLOCK = 64  # chunks whose matrices are combined in one task
-CACHED = 300_000  # words whose paths a worker keeps
+CACHED = 170_000  # words whose paths a worker keeps
 TIE = 50  # bits of a weight below the score, for squared ids
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NEVER = -(1 << 400)  # below any sum
@@ -177,8 +177,12 @@ class Vocabulary:
         return [np.fromiter(chain.from_iterable(map(known, units)), np.int32) for units in cut]
 
     def text(self, ids: Iterable[int]) -> bytes:
-        raw = self.raw
-        return b"".join([raw[i] for i in ids])[1:]  # without the blank in front
+        return spelt_by(ids, self.raw)
+
+
+def spelt_by(ids: Iterable[int], raw: list[bytes]) -> bytes:
+    """The text of ids, without the blank in front."""
+    return b"".join([raw[i] for i in ids])[1:]
 
 
 def _rebuilt(arcs, byte_ids, unknown, longest, raw) -> Vocabulary:
@@ -429,12 +433,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, chunk: int = C
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, ids: str = "ids") -> DataFrame:
     """The frame with ``decoded``, the text that the ids spell."""
     sized_for(encoded)
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary or load_vocabulary())
+    # Only the pieces' bytes: workers that decode need no tries and remember no words.
+    shared = encoded.sparkSession.sparkContext.broadcast((vocabulary or load_vocabulary()).raw)
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(ids)
-            texts = [shared.value.text(x.values.to_numpy().tolist()) if x.is_valid else b"" for x in column]
+            texts = [spelt_by(x.values.to_numpy().tolist(), shared.value) if x.is_valid else b"" for x in column]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.binary()).cast(pa.string(), safe=False)], [*batch.schema.names, "decoded"]
             )
