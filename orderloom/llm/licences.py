@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +39,14 @@ TEMPLATES = {
 _WORD = re.compile(rb"[a-z0-9]+")
 
 
+def _pairs(text: bytes) -> list[bytes]:
+    words = _WORD.findall(text.lower())
+    return [a + b" " + b for a, b in zip(words, words[1:], strict=False)]
+
+
 def bigrams(text: bytes) -> set[bytes]:
     """The different pairs of neighbouring words; words are runs of a-z and 0-9 after A-Z is lower-cased."""
-    words = _WORD.findall(text.lower())
-    return {a + b" " + b for a, b in zip(words, words[1:], strict=False)}
+    return set(_pairs(text))
 
 
 class Templates:
@@ -47,7 +54,8 @@ class Templates:
 
     def __init__(self, texts: dict[str, str]):
         sets = {name: bigrams(text.encode()) for name, text in sorted(texts.items())}
-        self.sizes = {name: len(found) for name, found in sets.items() if found}
+        self.sets = {name: found for name, found in sets.items() if found}
+        self.sizes = {name: len(found) for name, found in self.sets.items()}
         self.having: dict[bytes, list[str]] = {}
         for name, found in sets.items():
             for bigram in found:
@@ -69,48 +77,160 @@ class Templates:
         passing = [x for x in scored if x[0] >= least]
         return min(passing, key=lambda x: (-x[0], x[1])) if passing else None
 
+    def spans(self, text: bytes, least: float) -> list[tuple[float, str, int, int]]:
+        """Of each template the span of words most like it, if ``least`` alike: coefficient, name, first word, word behind.
+
+        A template of which the text has fewer than ``least / (2 - least)`` of the bigrams, in whatever places, is like no
+        span of it, and is not searched for.
+        """
+        pairs = _pairs(text)
+        found = set(pairs)
+        common = Counter(name for bigram in found & self.having.keys() for name in self.having[bigram])
+        names = sorted(name for name, count in common.items() if count >= _needed(self.sizes[name], least))
+        if not names:
+            return []
+        numbers: dict[bytes, int] = {}
+        ids = np.array([numbers.setdefault(pair, len(numbers)) for pair in pairs])
+        order = np.argsort(ids, kind="stable")
+        before = np.full(len(ids), -1)
+        again = ids[order[1:]] == ids[order[:-1]]
+        before[order[1:][again]] = order[:-1][again]
+        spans = []
+        for name in names:
+            wanted = np.zeros(len(numbers), bool)
+            wanted[[numbers[bigram] for bigram in self.sets[name] & found]] = True
+            best = _best_window(wanted[ids], before, self.sizes[name], least)
+            if best:
+                spans.append((best[0], name, best[1], best[2] + 1))
+        return spans
+
+
+def _needed(size: int, least: float) -> int:
+    """So many common bigrams make a set ``least`` like one of ``size``, at the fewest; never more for rounding."""
+    return max(1, math.ceil(least * size / (2 - least) - 1e-9))
+
+
+def _best_window(hit: np.ndarray, before: np.ndarray, size: int, least: float) -> tuple[float, int, int] | None:
+    """The window of places most like a set of ``size``: coefficient, first place, place behind; of equals the first.
+
+    ``hit`` says whether a place's bigram is in the set, ``before`` where the same bigram stood last. A window has the
+    places that a set within the size bounds could have without repeats, at most. The best one begins with a hit, as
+    without other places in front it is no less alike. Windows that begin ``d`` places later have the common bigrams of
+    the same end at most, and ``d`` different ones fewer at most: by that bound ranges of beginnings are left out, best first.
+    """
+    reach = max(1, math.floor((2 - least) / least * size + 1e-9))
+    places = np.flatnonzero(hit)
+    starts = places[np.searchsorted(places, places + reach) - np.arange(len(places)) >= _needed(size, least)]
+    best: tuple[float, int, int] | None = None
+
+    def bound(common: np.ndarray, different: np.ndarray, later: int) -> float:
+        return float((2 * common / (np.maximum(different - later, common) + size)).max())
+
+    edges = [0, *(np.flatnonzero(np.diff(starts // reach)) + 1).tolist(), len(starts)]
+    ranges = [(-math.inf, a, b) for a, b in zip(edges, edges[1:], strict=False) if a < b]
+    while ranges:
+        most, a, b = heapq.heappop(ranges)
+        if -most < (best[0] if best else least):
+            break
+        start = int(starts[a])
+        new = before[start : start + 2 * reach] < start
+        different = np.cumsum(new)
+        common = np.cumsum(new & hit[start : start + 2 * reach])
+        dice = 2 * common[:reach] / (different[:reach] + size)
+        end = int(dice.argmax())
+        if dice[end] >= least and (not best or (-dice[end], start) < (-best[0], best[1])):
+            best = (float(dice[end]), start, start + end + 1)
+        middle = (a + 1 + b) // 2
+        for low, high in ((a + 1, middle), (middle, b)):
+            if low < high:
+                most = bound(common, different, int(starts[high - 1]) - start)
+                if most >= (best[0] if best else least):
+                    heapq.heappush(ranges, (-most, low, high))
+    return best
+
 
 _MATCH = T.StructType(
     [T.StructField("unit", T.IntegerType()), T.StructField("licence", T.StringType()), T.StructField("dice", T.DoubleType())]
 )
+_SPAN = T.StructType(
+    [
+        *_MATCH.fields,
+        T.StructField("first_word", T.IntegerType()),
+        T.StructField("n_words", T.IntegerType()),
+        T.StructField("apart", T.BooleanType()),
+    ]
+)
+
+
+def _matches(templates: Templates, least: float, text: bytes) -> tuple[list[dict], list[dict]]:
+    """What ``scan`` says of a text: matches and spans."""
+    lines = text.split(b"\n")
+    units = [text, *lines] if len(lines) > 1 else [text]
+    best = [(unit, templates.best(part, least)) for unit, part in enumerate(units)]
+    matches = [{"unit": unit, "licence": found[1], "dice": found[0]} for unit, found in best if found]
+    spans = templates.spans(text, least)
+    if not spans:
+        return matches, []
+    ends = np.cumsum([len(_WORD.findall(line.lower())) for line in lines])  # of each line, in words of the text
+    taken = [(0, int(ends[-1])) if unit == 0 else (int(ends[unit - 2]) if unit > 1 else 0, int(ends[unit - 1])) for unit in (m["unit"] for m in matches)]
+    rows = []
+    for dice, name, first, behind in sorted(spans, key=lambda x: (-x[0], x[2], x[1])):
+        apart = all(behind <= a or b <= first for a, b in taken)
+        if apart:
+            taken.append((first, behind))
+        unit = int(np.searchsorted(ends, first, "right")) + 1 if len(lines) > 1 else 0
+        rows.append({"unit": unit, "licence": name, "dice": dice, "first_word": first, "n_words": behind - first, "apart": apart})
+    return matches, rows
 
 
 def _scanned(templates: Templates, least: float):
+    match = [("unit", pa.int32()), ("licence", pa.string()), ("dice", pa.float64())]
+    span = [*match, ("first_word", pa.int32()), ("n_words", pa.int32()), ("apart", pa.bool_())]
+
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches):
-            matches = []
-            for text in texts:
-                lines = text.split(b"\n")
-                units = [text, *lines] if len(lines) > 1 else [text]
-                best = [(unit, templates.best(part, least)) for unit, part in enumerate(units)]
-                matches.append([{"unit": unit, "licence": found[1], "dice": found[0]} for unit, found in best if found])
-            kind = pa.list_(pa.struct([("unit", pa.int32()), ("licence", pa.string()), ("dice", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(matches, kind)], ["row", "matches"])
+            found = [_matches(templates, least, text) for text in texts]
+            matches = pa.array([m for m, _ in found], pa.list_(pa.struct(match)))
+            spans = pa.array([s for _, s in found], pa.list_(pa.struct(span)))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), matches, spans], ["row", "matches", "spans"])
 
     return rows
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
-    """``row`` (the document's columns but the text, as a struct) and ``matches`` (unit, licence, dice).
+    """``row`` (the document's columns but the text, as a struct), ``matches`` (unit, licence, dice) and ``spans`` (the same
+    of the unit that a span begins in, ``first_word`` from 0, ``n_words``, ``apart``).
 
     Unit 0 is the whole text, units from 1 its lines; a text of one line is unit 0 only. Each unit has the template most
-    like it, if that is at least ``least`` alike. Null and empty texts, and texts of one word, match nothing. Repeated rows
-    are scanned each for itself.
+    like it, if that is at least ``least`` alike. Spans are runs of words, in a line or over several, at most as long as a
+    text that could be ``least`` like the template: each template has the one most like it, under the same condition, best
+    first. A span is ``apart`` if it has no word of a unit that matches or of a better span that is apart. Null and empty
+    texts, and texts of one word, match nothing. Repeated rows are scanned each for itself.
     """
     sized_for(docs)
     rows = docs.select("text", F.struct(*(c for c in docs.columns if c != "text")).alias("row"))
-    fields = [T.StructField("row", rows.schema["row"].dataType), T.StructField("matches", T.ArrayType(_MATCH))]
+    fields = [
+        T.StructField("row", rows.schema["row"].dataType),
+        T.StructField("matches", T.ArrayType(_MATCH)),
+        T.StructField("spans", T.ArrayType(_SPAN)),
+    ]
     return rows.mapInArrow(_scanned(Templates(templates or TEMPLATES), least), T.StructType(fields))
 
 
 def licence_digest(docs: DataFrame) -> DataFrame:
-    """Per document: ``doc_id``, ``n_matched`` units, and the best match: greatest ``dice``, then least ``unit``."""
-    best = F.array_min(
-        F.transform("matches", lambda m: F.struct((-m["dice"]).alias("minus"), m["unit"].alias("unit"), m["licence"].alias("licence")))
+    """Per document: ``doc_id``, ``n_matched`` units and spans apart from them, and the best match.
+
+    The best has the greatest ``dice``, a unit coming before a span, then the least ``unit``, which of a span is the one
+    that it begins in.
+    """
+    ranked = lambda name, later: F.transform(
+        name,
+        lambda m: F.struct((-m["dice"]).alias("minus"), F.lit(later).alias("later"), m["unit"].alias("unit"), m["licence"].alias("licence")),
     )
+    best = F.array_min(F.concat(ranked("matches", 0), ranked("spans", 1)))
     return scan(docs.select("doc_id", "text")).select(
         F.col("row")["doc_id"].alias("doc_id"),
-        F.size("matches").cast("long").alias("n_matched"),
+        (F.size("matches") + F.size(F.filter("spans", lambda s: s["apart"]))).cast("long").alias("n_matched"),
         best["licence"].alias("licence"),
         (-best["minus"]).alias("dice"),
         best["unit"].alias("unit"),

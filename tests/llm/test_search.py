@@ -142,3 +142,47 @@ def test_size_bounds_lose_no_match():
         best = max(2 * len(found & licences.bigrams(t.encode())) / (len(found) + len(licences.bigrams(t.encode()))) for t in licences.TEMPLATES.values())
         got = templates.best(" ".join(own).encode(), 0.6)
         assert (got[0] if got else None) == (best if best >= 0.6 else None)
+
+
+MIT_BODY = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+
+
+def test_licences_inside_documents(spark, documents):
+    prose = " ".join(f"word{i}" for i in range(200))
+    docs = documents(
+        (1, f"{prose}\n{MIT_BODY}\n{prose}\nend"),
+        (2, f"{prose} Released under the MIT License. {prose}"),
+        (3, f"{prose}\n{prose}"),
+        (4, f"Released under the MIT License.\n{prose} licensed under CC BY 4.0 {prose}"),
+    )
+    rows = {r["row"]["doc_id"]: r for r in licences.scan(docs, {"own": MIT_BODY, "other": "nothing of the kind here"}).collect()}
+    assert rows[1]["matches"] == [] and rows[2]["spans"] == rows[3]["spans"] == []
+    n = len(MIT_BODY.replace("/", " ").split())
+    assert [tuple(s) for s in rows[1]["spans"]] == [(2, "own", 1.0, 200, n, True)]
+    got = {r["doc_id"]: tuple(r)[1:] for r in licences.licence_digest(docs).collect()}
+    assert got[2] == (1, "MIT", 1.0, 0) and got[3] == (0, None, None, None)
+    assert got[4] == (2, "MIT", 1.0, 1)
+
+
+def test_best_spans_against_all_windows():
+    r = random.Random(4)
+    for _ in range(300):
+        template = " ".join(r.choice("abcdefgh") for _ in range(r.randint(3, 12)))
+        words = [r.choice("abcdefghij") for _ in range(r.randint(2, 60))]
+        if r.random() < 0.5:
+            words[10:10] = template.split()
+        size = len(licences.bigrams(template.encode()))
+        best = None
+        for i in range(len(words)):
+            for j in range(i + 2, min(len(words), i + 1 + int((2 - 0.6) / 0.6 * size + 1e-9)) + 1):
+                found = licences.bigrams(" ".join(words[i:j]).encode())
+                dice = 2 * len(found & licences.bigrams(template.encode())) / (len(found) + size)
+                if dice >= 0.6 and (best is None or dice > best[0]):
+                    best = (dice, "t", i, j)
+        got = licences.Templates({"t": template}).spans(" ".join(words).encode(), 0.6)
+        assert got == ([best] if best else [])
