@@ -1,4 +1,4 @@
-"""Find licence notices by Dice coefficient over word bigrams."""
+"""Find licence notices, headers and texts by Dice coefficient over word bigrams."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,78 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+_BY_GNU = (
+    "This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU {1} as published by "
+    "the Free Software Foundation, either version {2} of the License, or (at your option) any later version."
+)
+
+# The headers of files, as the licences' texts give them.
+HEADERS = {
+    "AGPL-3.0": _BY_GNU.format(":", "Affero General Public License", 3),
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with '
+        "the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by "
+        'applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, '
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language "
+        "governing permissions and limitations under the License."
+    ),
+    "GPL-2.0": _BY_GNU.format(";", "General Public License", 2),
+    "GPL-3.0": _BY_GNU.format(":", "General Public License", 3),
+    "LGPL-2.1": _BY_GNU.format(";", "Lesser General Public License", "2.1"),
+    "LGPL-3.0": _BY_GNU.format(":", "Lesser General Public License", 3),
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+}
+
+# Names that say the licence, and the version, by themselves; "under .." one of them counts word for word only.
+_GNU = ("{0} v{1}", "{0} v{1}.0", "{0} version {1}", "{0}, version {1}.0", "{0} {1}.0", "{2} v{1}", "{2}v{1}", "{2} {1}", "{2}-{1}.0")
+_CC = ("CC {0} 4.0", "Creative Commons {1} 4.0 International", "Creative Commons {1} 4.0")
+NAMES = {
+    "AGPL-3.0": [x.format("GNU Affero General Public License", 3, "AGPL") for x in _GNU],
+    "Apache-1.1": ["Apache License, Version 1.1", "Apache License 1.1", "Apache 1.1"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache License v2.0", "Apache 2.0", "Apache-2.0 License"],
+    "BSD-2-Clause": ["2-clause BSD License", "BSD 2-Clause", "BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["3-clause BSD License", "BSD 3-Clause", "BSD 3-Clause License", "New BSD License", "Modified BSD License"],
+    "CC-BY-4.0": [x.format("BY", "Attribution") for x in _CC],
+    "CC-BY-NC-4.0": [x.format("BY-NC", "Attribution-NonCommercial") for x in _CC],
+    "CC-BY-SA-4.0": [x.format("BY-SA", "Attribution-ShareAlike") for x in _CC],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "Creative Commons CC0 1.0", "Creative Commons Zero v1.0"],
+    "GPL-1.0": [x.format("GNU General Public License", 1, "GPL") for x in _GNU],
+    "GPL-2.0": [x.format("GNU General Public License", 2, "GPL") for x in _GNU],
+    "GPL-3.0": [x.format("GNU General Public License", 3, "GPL") for x in _GNU],
+    "LGPL-2.1": ["GNU Lesser General Public License v2.1", "GNU Lesser General Public License, version 2.1", "LGPL v2.1", "LGPLv2.1"],
+    "LGPL-3.0": [x.format("GNU Lesser General Public License", 3, "LGPL") for x in _GNU],
+    "MIT": ["MIT License", "MIT Licence"],
+    "MPL-1.1": ["Mozilla Public License, version 1.1", "Mozilla Public License 1.1", "MPL 1.1"],
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "Mozilla Public License, v. 2.0", "MPL 2.0"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+_UNDER = ("under {0}", "under the {0}", "under a {0}", "under the terms of {0}", "under the terms of the {0}")
+# Titles of texts that otherwise hardly differ from one another.
+_TITLES = {
+    "AGPL-3.0": ["GNU Affero General Public License Version 3, 19 November 2007"],
+    "CC-BY-4.0": ["Creative Commons Attribution 4.0 International Public License"],
+    "CC-BY-NC-4.0": ["Creative Commons Attribution-NonCommercial 4.0 International Public License"],
+    "CC-BY-NC-SA-4.0": ["Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International Public License"],
+}
+
+
+def known() -> tuple[dict[str, list[str]], dict[str, list[str]]]:
+    """What is scanned for by default: notices, headers and whole texts, and phrases that count word for word only."""
+    texts = {file.stem: file.read_text("utf-8") for file in (Path(__file__).parent / "licence_texts").glob("*.txt")}
+    alike = {name: [x[name] for x in (TEMPLATES, HEADERS, texts) if name in x] for name in {*TEMPLATES, *HEADERS, *texts}}
+    phrases = {name: [under.format(x) for x in names for under in _UNDER] for name, names in NAMES.items()}
+    for name, titles in _TITLES.items():
+        phrases[name] = phrases.get(name, []) + titles
+    return alike, phrases
+
+
+_TAG = re.compile(rb"spdx-license-identifier:[ \t]*([a-z0-9.+() \t-]+)")
+_ID = re.compile(rb"[a-z0-9.-]+")
+_SUFFIX = re.compile(rb"(-only|-or-later)$")
+
 _WORD = re.compile(rb"[a-z0-9]+")
 
 
@@ -50,16 +123,22 @@ def bigrams(text: bytes) -> set[bytes]:
 
 
 class Templates:
-    """Templates by their bigrams."""
-
-    def __init__(self, texts: dict[str, str]):
-        sets = {name: bigrams(text.encode()) for name, text in sorted(texts.items())}
-        self.sets = {name: found for name, found in sets.items() if found}
-        self.sizes = {name: len(found) for name, found in self.sets.items()}
-        self.having: dict[bytes, list[str]] = {}
-        for name, found in sets.items():
+    """Templates by their bigrams: texts of each licence, and phrases that count only if all is the same.
+
+    A template is a licence's name, its place among the licence's, and its least coefficient if that is fixed.
+    """
+
+    def __init__(self, texts: dict[str, str | list[str]], phrases: dict[str, list[str]] | None = None):
+        listed = {name: [own] if isinstance(own, str) else own for name, own in texts.items()}
+        sets = {(name, i, 0.0): bigrams(x.encode()) for name, own in listed.items() for i, x in enumerate(own)}
+        sets |= {(name, i, 1.0): bigrams(x.encode()) for name, own in (phrases or {}).items() for i, x in enumerate(own)}
+        self.tags = {name.lower().encode(): name for name in [*texts, *phrases]} if phrases else {}
+        self.sets = {key: found for key, found in sorted(sets.items()) if found}
+        self.sizes = {key: len(found) for key, found in self.sets.items()}
+        self.having: dict[bytes, list[tuple[str, int, float]]] = {}
+        for key, found in self.sets.items():
             for bigram in found:
-                self.having.setdefault(bigram, []).append(name)
+                self.having.setdefault(bigram, []).append(key)
 
     def best(self, text: bytes, least: float) -> tuple[float, str] | None:
         """The greatest coefficient, if it is ``least`` or more; of equals the first template by name.
@@ -69,39 +148,49 @@ class Templates:
         """
         found = bigrams(text)
         n, low, high = len(found), least / (2 - least), (2 - least) / least
-        near = {name for name, size in self.sizes.items() if low * size <= n <= high * size}
-        if not near:
-            return None
-        common = Counter(name for bigram in found for name in self.having.get(bigram, ()) if name in near)
-        scored = [(2 * count / (n + self.sizes[name]), name) for name, count in common.items()]
-        passing = [x for x in scored if x[0] >= least]
+        common = Counter(key for bigram in found & self.having.keys() for key in self.having[bigram])
+        near = ((key, count) for key, count in common.items() if low * self.sizes[key] <= n <= high * self.sizes[key])
+        scored = [(2 * count / (n + self.sizes[key]), key) for key, count in near]
+        passing = [(dice, key[0]) for dice, key in scored if dice >= max(least, key[2])]
         return min(passing, key=lambda x: (-x[0], x[1])) if passing else None
 
+    def _tagged(self, text: bytes) -> list[tuple[float, str, int, int]]:
+        """The licences that SPDX tags name, as spans: each one where it is named first."""
+        spans = {}
+        lower = text.lower()
+        for tag in _TAG.finditer(lower) if self.tags else ():
+            for found in _ID.finditer(tag[1]):
+                name = self.tags.get(_SUFFIX.sub(b"", found[0]))
+                if name and name not in spans:
+                    first, behind = (len(_WORD.findall(lower[:end])) for end in (tag.start(), tag.start(1) + found.end()))
+                    spans[name] = (1.0, name, first, behind)
+        return list(spans.values())
+
     def spans(self, text: bytes, least: float) -> list[tuple[float, str, int, int]]:
         """Of each template the span of words most like it, if ``least`` alike: coefficient, name, first word, word behind.
 
         A template of which the text has fewer than ``least / (2 - least)`` of the bigrams, in whatever places, is like no
-        span of it, and is not searched for.
+        span of it, and is not searched for. With phrases, SPDX tags are spans too.
         """
         pairs = _pairs(text)
         found = set(pairs)
-        common = Counter(name for bigram in found & self.having.keys() for name in self.having[bigram])
-        names = sorted(name for name, count in common.items() if count >= _needed(self.sizes[name], least))
-        if not names:
-            return []
+        common = Counter(key for bigram in found & self.having.keys() for key in self.having[bigram])
+        keys = sorted(key for key, count in common.items() if count >= _needed(self.sizes[key], max(least, key[2])))
+        spans = self._tagged(text)
+        if not keys:
+            return spans
         numbers: dict[bytes, int] = {}
         ids = np.array([numbers.setdefault(pair, len(numbers)) for pair in pairs])
         order = np.argsort(ids, kind="stable")
         before = np.full(len(ids), -1)
         again = ids[order[1:]] == ids[order[:-1]]
         before[order[1:][again]] = order[:-1][again]
-        spans = []
-        for name in names:
+        for key in keys:
             wanted = np.zeros(len(numbers), bool)
-            wanted[[numbers[bigram] for bigram in self.sets[name] & found]] = True
-            best = _best_window(wanted[ids], before, self.sizes[name], least)
+            wanted[[numbers[bigram] for bigram in self.sets[key] & found]] = True
+            best = _best_window(wanted[ids], before, self.sizes[key], max(least, key[2]))
             if best:
-                spans.append((best[0], name, best[1], best[2] + 1))
+                spans.append((best[0], key[0], best[1], best[2] + 1))
         return spans
 
 
@@ -123,6 +212,10 @@ def _best_window(hit: np.ndarray, before: np.ndarray, size: int, least: float) -
     starts = places[np.searchsorted(places, places + reach) - np.arange(len(places)) >= _needed(size, least)]
     best: tuple[float, int, int] | None = None
 
+    def behind(most: float, place: int) -> bool:
+        """Whether windows at most so alike, beginning here or later, are no better than the best."""
+        return most < least or (best is not None and (-most, place) > (-best[0], best[1]))
+
     def bound(common: np.ndarray, different: np.ndarray, later: int) -> float:
         return float((2 * common / (np.maximum(different - later, common) + size)).max())
 
@@ -130,9 +223,9 @@ def _best_window(hit: np.ndarray, before: np.ndarray, size: int, least: float) -
     ranges = [(-math.inf, a, b) for a, b in zip(edges, edges[1:], strict=False) if a < b]
     while ranges:
         most, a, b = heapq.heappop(ranges)
-        if -most < (best[0] if best else least):
-            break
         start = int(starts[a])
+        if behind(-most, start):
+            continue
         new = before[start : start + 2 * reach] < start
         different = np.cumsum(new)
         common = np.cumsum(new & hit[start : start + 2 * reach])
@@ -144,7 +237,7 @@ def _best_window(hit: np.ndarray, before: np.ndarray, size: int, least: float) -
         for low, high in ((a + 1, middle), (middle, b)):
             if low < high:
                 most = bound(common, different, int(starts[high - 1]) - start)
-                if most >= (best[0] if best else least):
+                if not behind(most, int(starts[low])):
                     heapq.heappush(ranges, (-most, low, high))
     return best
 
@@ -197,14 +290,14 @@ def _scanned(templates: Templates, least: float):
     return rows
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str | list[str]] | None = None, least: float = LEAST) -> DataFrame:
     """``row`` (the document's columns but the text, as a struct), ``matches`` (unit, licence, dice) and ``spans`` (the same
     of the unit that a span begins in, ``first_word`` from 0, ``n_words``, ``apart``).
 
     Unit 0 is the whole text, units from 1 its lines; a text of one line is unit 0 only. Each unit has the template most
     like it, if that is at least ``least`` alike. Spans are runs of words, in a line or over several, at most as long as a
     text that could be ``least`` like the template: each template has the one most like it, under the same condition, best
-    first. A span is ``apart`` if it has no word of a unit that matches or of a better span that is apart. Null and empty
+    first. Without ``templates``, ``known()`` is scanned for, and the ids of SPDX tags. A span is ``apart`` if it has no word of a unit that matches or of a better span that is apart. Null and empty
     texts, and texts of one word, match nothing. Repeated rows are scanned each for itself.
     """
     sized_for(docs)
@@ -214,7 +307,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
         T.StructField("matches", T.ArrayType(_MATCH)),
         T.StructField("spans", T.ArrayType(_SPAN)),
     ]
-    return rows.mapInArrow(_scanned(Templates(templates or TEMPLATES), least), T.StructType(fields))
+    return rows.mapInArrow(_scanned(Templates(templates) if templates else Templates(*known()), least), T.StructType(fields))
 
 
 def licence_digest(docs: DataFrame) -> DataFrame:

@@ -186,3 +186,20 @@ def test_best_spans_against_all_windows():
                     best = (dice, "t", i, j)
         got = licences.Templates({"t": template}).spans(" ".join(words).encode(), 0.6)
         assert got == ([best] if best else [])
+
+
+def test_licence_texts_headers_and_tags(documents):
+    alike, _ = licences.known()
+    prose = "\n".join(f"some words of line {i}" for i in range(20))
+    said = {
+        "MIT": ["// SPDX-License-Identifier: MIT", "This project is licensed under the MIT License.", MIT_BODY + " " + alike["MIT"][-1][450:]],
+        "GPL-3.0": ["Distributed under the terms of the GNU General Public License v3.", "SPDX-License-Identifier: GPL-3.0-or-later"],
+        "GPL-2.0": [licences.HEADERS["GPL-2.0"]],
+        "Apache-1.1": ["Licensed under the Apache License, Version 1.1."],
+    }
+    rows = [(name, text) for name, texts in said.items() for text in texts]
+    rows += [(name, text) for name, texts in alike.items() for text in texts]
+    rows += [(None, "SPDX-License-Identifier: MIT-0"), (None, "This project is licensed under the ISC License."), (None, prose)]
+    docs = documents(*((i, text if i % 2 else f"{prose}\n{text}\n{prose}") for i, (_, text) in enumerate(rows)))
+    got = {r["doc_id"]: r["licence"] for r in licences.licence_digest(docs).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(rows)}
