@@ -1,7 +1,7 @@
-"""Remove passages that occur more than once, by prefix-partitioned suffix trees.
+"""Remove passages that occur more than once, by anchors and window counts in place of prefix-partitioned suffix trees.
 
-A repeated passage is a node of string depth ``window`` or more in the tree of all suffixes. That tree is never built
-whole:
+A repeated passage is a node of string depth ``window`` or more in the tree of all suffixes. No tree is built, and maximal
+repeats are not given, only the spans of repeated windows:
 
 * Only suffixes whose window could share a prefix are looked at. Every window of 35 words has one anchor, its 12-word
   gram of least hash, so equal windows have equal anchors at equal places; about one word in twelve is an anchor. An
