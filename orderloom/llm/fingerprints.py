@@ -118,11 +118,12 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     ).where("not _place.guest").drop("_place")
 
 
-def fingerprint_digest(docs: DataFrame, n: int = 5, fraction: int = 8) -> DataFrame:
+def fingerprint_digest(docs: DataFrame, n: int = 5, fraction: int = 2) -> DataFrame:
     """Fingerprints of every text and of its edited text: its last third (``floor(n_chars / 3)`` code points) replaced
     by the first as many of the next document.
 
-    ``near_edited`` and ``near_next`` are the likeness of the text's sketch to those of the edited and the next text.
+    ``near_edited`` and ``near_next`` are the likeness of the text's sketch to those of the edited and the next text. Half
+    of all hashes are kept, as short texts would seldom have a common one among fewer.
     """
     sized_for(docs)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

@@ -203,3 +203,10 @@ def test_licence_texts_headers_and_tags(documents):
     docs = documents(*((i, text if i % 2 else f"{prose}\n{text}\n{prose}") for i, (_, text) in enumerate(rows)))
     got = {r["doc_id"]: r["licence"] for r in licences.licence_digest(docs).collect()}
     assert got == {i: name for i, (name, _) in enumerate(rows)}
+
+
+def test_short_texts_are_like_their_edited_texts(documents):
+    docs = documents(*((d, " ".join(f"d{d}w{i:02}" for i in range(30))) for d in range(100, 300)))
+    found = [r["near_edited"] for r in fingerprints.fingerprint_digest(docs).collect()]
+    assert min(found) > 0  # 15 or 16 of 26 shingles stay, and as many others come
+    assert abs(sum(found) / len(found) - 0.44) < 0.05
