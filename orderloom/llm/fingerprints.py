@@ -8,6 +8,7 @@ text that has words but no hash below the threshold keeps its least hash, which
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import sized_for
 
 ROWS_A_BLOCK = 5_000
-MOST_BLOCKS = 4096  # so many ids are sent to the driver at most; with more rows, blocks are larger
+MOST_BLOCKS = 4096  # with more rows, blocks are larger; about three times as many heads are sent to the driver at most
 FAN = 64
 
 
@@ -87,33 +88,58 @@ def _block(splits: list[int], order: Column) -> Column:
     return F.when(coarse == 0, 0).otherwise((coarse - 1) * FAN + F.size(F.filter(fine, lambda s: s <= order)))
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
-    """The rows with ``next_..`` of the row after them by descending ``doc_id``; after the last comes the first.
+def _placed(docs: DataFrame) -> DataFrame:
+    """The rows with ``_order`` and ``_place`` (block, guest), and the first row of each block in the block before too.
 
-    Rows without id come last, and rows of one id by their text's hash. Rows are ordered within blocks of ids; the first
-    row of each block is copied into the block before, so that no task sees all rows.
+    Blocks are ranges of (id, hash of the text). An id that holds several blocks' worth of rows is cut by hash into as many
+    parts, so that only copies of one row stay together. (Ids beyond 2^53 are cut only if a double has them.)
     """
     spark = docs.sparkSession
-    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("order"))
+    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    ids = docs.select(order.alias("order"), F.hash("text").cast("long").alias("hash"))
     blocks = min(MOST_BLOCKS, math.ceil(ids.count() / ROWS_A_BLOCK))
-    splits = []
+    splits: Counter = Counter()
     if blocks > 1:
         steps = [i / blocks for i in range(1, blocks)]
-        splits = sorted(set(ids.agg(F.percentile_approx("order", steps, 50 * MOST_BLOCKS)).first()[0]))
-    rows = docs.withColumn("_order", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))))
-    rows = rows.withColumn("_block", _block(splits, F.col("_order")))
-    heads = ids.withColumn("block", _block(splits, F.col("order"))).groupBy("block").agg(F.max("order").alias("head"))
-    found = sorted(heads.collect(), key=lambda row: -row["block"])  # MOST_BLOCKS rows at most
-    guests = [(found[(i + 1) % len(found)]["head"], row["block"]) for i, row in enumerate(found)]
-    guest_frame = spark.createDataFrame(guests, "_head long, _to int")
+        splits = Counter(ids.agg(F.percentile_approx("order", steps, 50 * MOST_BLOCKS)).first()[0])
+    parts = {split: count + 1 for split, count in splits.items() if count > 1}
+
+    def block(order: Column, text_hash: Column) -> Column:
+        """Later rows have smaller numbers; rows of a crowded id come last in their block, and are its further parts."""
+        whole = _block(sorted(splits), order) * F.lit(2 * MOST_BLOCKS)
+        if not parts:
+            return whole
+        text = ",".join(f"{split}:{n}" for split, n in sorted(parts.items()))
+        n = F.try_element_at(F.str_to_map(F.lit(text), F.lit(","), F.lit(":")), order.cast("string")).cast("long")
+        part = F.floor((text_hash + F.lit(2**31)) * n / F.lit(2**32)).cast("int") + 1
+        return whole - F.coalesce(part, F.lit(0))
+
+    rows = docs.withColumn("_order", order).withColumn("_hash", F.hash("text").cast("long"))
+    rows = rows.withColumn("_block", block(F.col("_order"), F.col("_hash")))
+    first = F.max(F.struct("order", (-F.col("hash")).alias("minus"))).alias("head")
+    heads = ids.withColumn("block", block(F.col("order"), F.col("hash"))).groupBy("block").agg(first)
+    found = sorted(heads.collect(), key=lambda row: -row["block"])  # three times MOST_BLOCKS rows at most
+    guests = [(*found[(i + 1) % len(found)]["head"], row["block"]) for i, row in enumerate(found)]
+    guest_frame = spark.createDataFrame(guests, "_head long, _minus long, _to int")
     own = F.struct(F.col("_block").alias("block"), F.lit(False).alias("guest"))
     other = F.struct(F.col("_to").alias("block"), F.lit(True).alias("guest"))
-    # The broadcast side has MOST_BLOCKS rows of two numbers at most.
-    placed = rows.join(F.broadcast(guest_frame), rows["_order"] == guest_frame["_head"], "left").select(
-        *rows.columns, F.explode(F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, other))).alias("_place")
+    # The broadcast side has a row of three numbers for each block.
+    same = (rows["_order"] == guest_frame["_head"]) & (-rows["_hash"] == guest_frame["_minus"])
+    return rows.join(F.broadcast(guest_frame), same, "left").select(
+        *docs.columns,
+        "_order",
+        F.explode(F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, other))).alias("_place"),
     )
+
+
+def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
+    """The rows with ``next_..`` of the row after them by descending ``doc_id``; after the last comes the first.
+
+    Rows without id come last, and rows of one id by their text's hash. Rows are ordered within blocks of ids and hashes;
+    the first row of each block is copied into the block before, so that no task sees all rows.
+    """
     by_block = Window.partitionBy("_place.block").orderBy("_place.guest", F.desc("_order"), F.hash("text"))
-    return placed.select(
+    return _placed(docs).select(
         *docs.columns, "_place", *(F.lead(name).over(by_block).alias(f"next_{name}") for name in carried)
     ).where("not _place.guest").drop("_place")
 

@@ -210,3 +210,13 @@ def test_short_texts_are_like_their_edited_texts(documents):
     found = [r["near_edited"] for r in fingerprints.fingerprint_digest(docs).collect()]
     assert min(found) > 0  # 15 or 16 of 26 shingles stay, and as many others come
     assert abs(sum(found) / len(found) - 0.44) < 0.05
+
+
+def test_rows_of_one_id_are_cut_into_blocks(documents, monkeypatch):
+    monkeypatch.setattr(fingerprints, "ROWS_A_BLOCK", 10)
+    docs = documents(*((7, f"seven {i}") for i in range(150)), *((None, f"none {i}") for i in range(150)), *((i, f"text {i}") for i in range(100)))
+    rows = docs.select("doc_id", "text", F.hash("text").alias("h")).collect()
+    order = [r["text"] for r in sorted(rows, key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["h"]))]
+    got = {r["text"]: r["next_text"] for r in fingerprints.with_next(docs, ["text"]).collect()}
+    assert got == dict(zip(order, order[1:] + order[:1], strict=True))
+    assert fingerprints._placed(docs).groupBy("_place.block").count().agg(F.max("count")).first()[0] < 40
