@@ -5,8 +5,8 @@ or not at all, so the necessary prefix of its shingles, ordered by rarity in the
 document positions that hold a shingle of any item are found first, and counted; then only the rarest shingle of each
 window is joined with them, positions at which the window would not fit are left out, and the words are compared.
 
-Shingles are hashed from words folded by ``lower``, which never parts words that A-Z lower-casing makes equal. The final
-comparison is on the words with A-Z lower-cased, and so exact.
+Shingles are hashed from words with A-Z lower-cased, and so is the final comparison made, which is exact: ``lower`` would
+fold a capital sigma by what stands around it, beyond separators too.
 """
 
 from __future__ import annotations
@@ -54,7 +54,7 @@ def _shingled(windows: DataFrame) -> DataFrame:
     """``window``, ``n``, ``size``, ``offset`` and ``shingle``: every shingle of every different window."""
     different = windows.select("window", "n", "words").distinct()
     hashed = different.select(
-        "window", "n", F.least("n", F.lit(SHINGLE)).alias("size"), F.transform("words", lambda w: F.xxhash64(F.lower(w))).alias("h")
+        "window", "n", F.least("n", F.lit(SHINGLE)).alias("size"), F.transform("words", lambda w: F.xxhash64(w)).alias("h")
     )
     rows = hashed.select("window", "n", "size", "h", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("size"))).alias("offset"))
     shingle = F.lit(None).cast("long")
@@ -89,7 +89,7 @@ def _spots(docs: DataFrame, shingled: DataFrame) -> DataFrame:
     sizes = sorted(row["size"] for row in shingled.select("size").distinct().collect())  # SHINGLE rows at most
     reach = WINDOW - 1
     hashed = docs.select(
-        *row_key(), "text", F.transform(_words(F.lower("text")), lambda w: F.xxhash64(w)).alias("h")
+        *row_key(), "text", F.transform(_words(F.translate("text", UPPER, LOWER)), lambda w: F.xxhash64(w)).alias("h")
     )
 
     def found(size: int) -> Column:

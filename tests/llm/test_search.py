@@ -220,3 +220,11 @@ def test_rows_of_one_id_are_cut_into_blocks(documents, monkeypatch):
     got = {r["text"]: r["next_text"] for r in fingerprints.with_next(docs, ["text"]).collect()}
     assert got == dict(zip(order, order[1:] + order[:1], strict=True))
     assert fingerprints._placed(docs).groupBy("_place.block").count().agg(F.max("count")).first()[0] < 40
+
+
+def test_capital_sigma_before_separators(spark, documents):
+    passage = "Α.Σ Β γ δ.Σ ε " + " ".join(f"w{i}.Σ" for i in range(20))
+    items = spark.createDataFrame([(1, passage), (2, "Α.Σ Β")], "item_id long, text string")
+    docs = documents((1, passage), (2, "one Α.Σ Β two"), (3, "α.σ β"))
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in decontamination.contamination_digest(docs, items).collect()}
+    assert got == {1: (47, 2), 2: (3, 1), 3: (0, 0)}
