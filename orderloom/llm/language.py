@@ -188,13 +188,20 @@ def language_digest(docs: DataFrame) -> DataFrame:
     return result.select(doc_id, "lang_pred", "score").select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def _lettered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows whose text has a letter."""
+    for batch, texts in text_batches(batches):
+        yield batch.filter(pa.array([len(code_points(text)) > 0 for text in texts], pa.bool_()))
+
+
 def with_known_language(docs: DataFrame, least: float = 0.2) -> DataFrame:
     """The documents whose language is recognised: not ``und``, and with a score of ``least`` or more.
 
-    Profiles are learned from the documents themselves and their ``lang``.
+    Profiles are learned from the documents themselves and their ``lang``. If no row names a language, all documents with
+    a letter stay.
     """
     found = profiles(docs.select("text", "lang"))
     if not found:
-        return docs
+        return docs.mapInArrow(_lettered, docs.schema)
     result = identify(docs, found).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return result.select(*(F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

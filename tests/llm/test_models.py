@@ -184,3 +184,10 @@ def test_toxicity_without_labels_and_with_odd_rows(spark, documents):
     assert toxicity.toxicity_digest(documents(), none).count() == 0
     labels = spark.createDataFrame([(1, 1, None), (None, 0, 1), (2, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.toxicity_digest(docs, labels).count() == 4
+
+
+def test_letterless_documents_go_without_any_language(documents):
+    rows = [(1, "some words", None, "s", 10), (2, None, None, "s", 0), (3, "", None, "s", 0), (4, "12 + 3!", None, "s", 7), (5, "é1", None, "s", 2)]
+    kept = language.with_known_language(documents(*rows))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 5]
+    assert kept.columns == documents().columns
