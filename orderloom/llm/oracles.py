@@ -153,3 +153,35 @@ best AS (
 SELECT d.doc_id, coalesce(b.n_matched, 0) AS n_matched, b.licence, b.dice, CAST(b.unit AS INTEGER) AS unit
 FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id AND b.place = 1
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+grams AS (
+  SELECT lang, k, unnest([array_to_string(words[i : i + k - 1], ' ') FOR i IN range(1, len(words) - k + 2)]) AS phrase
+  FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(words) >= k),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts WHERE k > 1 AND f >= 30),
+inner_phrases AS (
+  SELECT lang, a, array_to_string(words[i : i + size - 1], ' ') AS phrase
+  FROM candidates, (VALUES (2), (3)) AS sizes(size), (VALUES (1), (2), (3)) AS places(i)
+  WHERE size < k AND i + size - 1 <= k),
+around AS (SELECT lang, phrase, max(a) AS most FROM inner_phrases GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN around o USING (lang, phrase)
+  WHERE o.most IS NULL OR 100 * o.most::HUGEINT < 80 * c.a::HUGEINT),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, (2000000 * c.a::HUGEINT // (l.f::HUGEINT + r.f::HUGEINT))::BIGINT AS score
+  FROM kept c, (VALUES (1), (2), (3)) AS cuts(cut)
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1 : cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[cut + 1 : ], ' ')
+  WHERE cut < c.k),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.llm import (
+    collocations,
     decontamination,
     fingerprints,
     language,
@@ -17,7 +18,9 @@ from orderloom.llm import (
     pieces,
     sharding,
     substring_dedup,
+    token_files,
     toxicity,
+    whitening,
 )
 from orderloom.llm.common import table
 
@@ -62,6 +65,18 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.packed_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_licence_scan": op2_licence_scan,
@@ -73,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op11_token_files": op11_token_files,
+    "op12_collocations": op12_collocations,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
@@ -81,4 +99,5 @@ ORACLES: dict[str, str] = {
     "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op9_decontamination": oracles.DECONTAMINATION,
     "op10_minhash_dedup": oracles.NEAR_DEDUP,
+    "op12_collocations": oracles.COLLOCATIONS,
 }
