@@ -64,7 +64,9 @@ class Grammar:
     def expanded(self, symbols: np.ndarray) -> np.ndarray:
         """The ids that the symbols stand for, copied from the rules' own."""
         sizes = self.sizes(symbols)
-        used = np.unique(symbols[symbols >= self.base])
+        met = np.zeros(len(self.rules), bool)
+        met[symbols[symbols >= self.base] - self.base] = True
+        used = np.flatnonzero(met).astype(np.uint32) + np.uint32(self.base)
         ids_of_used = self._unfolded(used)
         starts = np.zeros(len(self.rules), np.int64)
         starts[used - self.base] = np.cumsum(self.sizes(used)) - self.sizes(used)
@@ -105,7 +107,7 @@ def _frequent_pairs(symbols: np.ndarray, least: int, seed: int) -> tuple[np.ndar
     factor = np.uint64((0x9E3779B97F4A7C15 * (2 * seed + 1)) % 2**64)
 
     def bucket(of: np.ndarray) -> np.ndarray:
-        return ((of * factor) >> np.uint64(44)).astype(np.int32)
+        return ((of * factor) >> np.uint64(44)).astype(np.int64)
 
     buckets = bucket(pairs)
     places = np.flatnonzero((np.bincount(buckets, minlength=1 << 20) >= least)[buckets])
@@ -166,7 +168,7 @@ def compress(ids: np.ndarray, base: int) -> Grammar:
             keep = np.ones(len(symbols), bool)
             keep[places + 1] = False
             symbols = symbols[keep]
-        if least == USES and before - len(symbols) <= before // 64:
+        if least == USES and before - len(symbols) <= before // 16:
             break
         least = max(USES, least // FALL)
     return Grammar(base, np.concatenate(rules), np.concatenate(lengths), symbols)
@@ -273,19 +275,23 @@ class Encoder:
         s, e, w = starts[short], ends[short], width[short]
         keep = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
         head = eights[s] & keep[np.minimum(w, 8)]
-        tail = np.where(w > 8, eights[np.maximum(e - 8, 0)], np.uint64(0))
+        tail, wide = np.zeros(len(s), np.uint64), np.flatnonzero(w > 8)
+        tail[wide] = eights[e[wide] - 8]
         key = mix(mix(head) + tail * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64))
         order = np.argsort(key, kind="stable")
-        same = (key[order][1:] == key[order][:-1])
-        equal = (head[order][1:] == head[order][:-1]) & (tail[order][1:] == tail[order][:-1]) & (w[order][1:] == w[order][:-1])
-        if (same & ~equal).any():  # two pieces of one key: put them in order by themselves
+
+        def like_the_one_before() -> np.ndarray:
+            return np.logical_and.reduce([np.diff(column[order]) == 0 for column in (head, tail, w)])
+
+        equal = like_the_one_before()
+        if (equal != (np.diff(key[order]) == 0)).any():  # two pieces of one key: put them in order by themselves
             order = np.lexsort((w, tail, head))
-            equal = (head[order][1:] == head[order][:-1]) & (tail[order][1:] == tail[order][:-1]) & (w[order][1:] == w[order][:-1])
+            equal = like_the_one_before()
         new = np.concatenate(([True], ~equal)) if len(order) else np.zeros(0, bool)
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
         one = order[new]
-        head, tail, w, slot = head[one], tail[one], w[one].astype(np.uint8), (key[one] >> np.uint64(44)).astype(np.int64)
+        head, tail, w, slot = head[one], tail[one], w[one].astype(np.uint8), (key[one] & np.uint64(SLOTS - 1)).astype(np.int64)
         hit = (self.head[slot] == head) & (self.tail[slot] == tail) & (self.width[slot] == w)
         counts, flat = self.n_ids[slot].astype(np.int64), self.ids[slot]
         missing = np.flatnonzero(~hit)
