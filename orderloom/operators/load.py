@@ -24,6 +24,8 @@ from orderloom.sources.listing import list_stage
 from orderloom.sources.stage import Stage
 
 
+# States of a file in the history. Files that are staged only are not taken yet: their run may still fail.
+LOADED, STAGED = "LOADED", "STAGED"
 _STAGED_FILES = T.StructType([ORDERS["source_file_name"], *FILE_FIELDS, LOAD_ID])
 
 
@@ -94,12 +96,13 @@ def load_csv(
     prefix: str | None = None,
     load_ts: Column | None = None,
     force: bool = False,
+    status: str = LOADED,
 ) -> LoadResult:
-    """Append the stage's new files to a staging table, or fail as a whole."""
+    """Append the stage's new files to a staging table, or fail as a whole. ``status`` is what the history says of them."""
     load_ts = F.current_timestamp() if load_ts is None else load_ts
     listed, paths = _new_files(spark, stage, prefix, table, load_id, force)
     write_load(order_rows(scan_csv(spark, stage, fmt, prefix, paths=paths), load_ts), table, load_id)
-    return record_load(spark, table, load_id, listed, load_ts)
+    return record_load(spark, table, load_id, listed, load_ts, status)
 
 
 def load_json(
@@ -130,15 +133,32 @@ def _new_files(
     listed = list_stage(spark, stage, prefix)
     if force:
         return listed, None
-    known = load_history(spark, table.history_path, table.schema_name, table.name).where(F.col("load_id") != load_id)
+    known = taken_files(spark, table, load_id)
     if known.isEmpty():
         return listed, None
-    new = listed.join(known.select(*_file_columns()), _file_columns(), "left_anti")
+    new = listed.join(known, _file_columns(), "left_anti")
     return new, [row["file_path"] for row in new.select("file_path").collect()]
 
 
+def taken_files(spark: SparkSession, table: StagingTable, load_id: str) -> DataFrame:
+    """Files that other loads than this one have taken, whether in batches or in a stream."""
+    history = load_history(spark, table.history_path, table.schema_name, table.name)
+    return history.where((F.col("load_id") != load_id) & (F.col("status") == LOADED)).select(*_file_columns())
+
+
+def without_taken(spark: SparkSession, rows: DataFrame, table: StagingTable, load_id: str) -> DataFrame:
+    """Scanned rows but for those of files that another load has taken."""
+    known = taken_files(spark, table, load_id)
+    return rows if known.isEmpty() else rows.join(known.distinct(), _file_columns(), "left_anti")
+
+
 def record_load(
-    spark: SparkSession, table: StagingTable, load_id: str, listed: DataFrame | None, load_ts: Column
+    spark: SparkSession,
+    table: StagingTable,
+    load_id: str,
+    listed: DataFrame | None,
+    load_ts: Column,
+    status: str = LOADED,
 ) -> LoadResult:
     """Write the history of one load: a row per file, counted from what was written.
 
@@ -155,10 +175,10 @@ def record_load(
         F.col("file_size").cast("long").alias("file_size"),
         F.col("file_modification_time").cast("timestamp").alias("file_modification_time"),
         F.coalesce("counted", F.lit(0)).alias("row_count"),
-        F.lit("LOADED").alias("status"),
+        F.lit(status).alias("status"),
         load_ts.alias("last_load_time"),
     )
-    place = {"schema_name": table.schema_name, "table_name": table.name, "load_id": load_id}
+    place = _place(table, load_id)
     written = Observation()
     observed = history.observe(written, F.sum("row_count").alias("rows"))
     files_written = storage.overwrite_all_of(
@@ -167,6 +187,30 @@ def record_load(
     return LoadResult(load_id, written.get["rows"] or 0, files_written)
 
 
+def _place(table: StagingTable, load_id: str) -> dict[str, str]:
+    return {"schema_name": table.schema_name, "table_name": table.name, "load_id": load_id}
+
+
+def _history_of(spark: SparkSession, table: StagingTable, load_id: str) -> DataFrame:
+    history = load_history(spark, table.history_path, table.schema_name, table.name)
+    return history.filter(F.col("load_id") == load_id)
+
+
+def mark_loaded(spark: SparkSession, table: StagingTable, load_id: str) -> LoadResult:
+    """Let the files of a load count as taken; returns what the history has of it."""
+    rows, written = _history_of(spark, table, load_id).withColumn("status", F.lit(LOADED)), Observation()
+    observed = rows.observe(written, F.sum("row_count").alias("rows"))
+    files = storage.overwrite_all_of(observed, table.history_path, **_place(table, load_id))
+    return LoadResult(load_id, written.get["rows"] or 0, files)
+
+
+def forget_load(spark: SparkSession, table: StagingTable, load_id: str) -> None:
+    """Drop the staged rows and the history of a load that came to nothing."""
+    place = "/".join(f"{name}={value}" for name, value in _place(table, load_id).items())
+    storage.delete(spark, f"{table.history_path}/{place}")
+    storage.delete(spark, f"{table.path}/{LOAD_ID.name}={load_id}")
+
+
 def load_history(spark: SparkSession, history_path: str, schema_name: str, table_name: str) -> DataFrame:
     """Files loaded into one table. Schema and table are partitions, so only their files are read."""
     storage.make_folder(spark, history_path)
@@ -180,7 +224,7 @@ def purge_loaded(spark: SparkSession, table: StagingTable, load_id: str) -> int:
 
     The names come from the history a partition at a time; files delivered since the load are not in it.
     """
-    files = load_history(spark, table.history_path, table.schema_name, table.name).filter(F.col("load_id") == load_id)
+    files = _history_of(spark, table, load_id)
     uris = (row["file_path"] for row in files.select("file_path").toLocalIterator())
     return storage.delete_file_uris(spark, uris)
 

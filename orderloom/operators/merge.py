@@ -13,20 +13,24 @@ Only the periods named by the source are read and rewritten.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orderloom import storage
-from orderloom.schema import MERGE_KEYS, ORDER_COLUMNS, PERIOD
+from orderloom import storage, versions
+from orderloom.schema import MERGE_KEYS, ORDER_COLUMNS, ORDERS, PERIOD, QUANTITY
 from orderloom.session import scratch, shuffles_sized_for
 from orderloom.storage import OrderTable
 
 UPDATE, INSERT, KEEP = "update", "insert", "keep"
 OPERATION = "merge_op"
+OLD_QUANTITY = "old_quantity"  # of updated rows, what they had before
 DEFAULT_ORDER = ("order_date", "load_ts", "source_file_name")
 
 
@@ -59,6 +63,8 @@ class MergeResult:
     kept: int = 0
     periods: list = field(default_factory=list)
     has_null_period: bool = False
+    version: int | None = None  # of the table, from which its changes can be read; None if the merge published nothing
+    repeated: bool = False  # the merge of this id was published before
 
     @property
     def affected(self) -> int:
@@ -187,12 +193,13 @@ def _planned(
         F.when(was_hit, merge_ts).otherwise(F.col("load_ts")).alias("load_ts"),
         PERIOD.name,
         F.when(was_hit, F.lit(UPDATE)).otherwise(F.lit(KEEP)).alias(OPERATION),
+        F.when(was_hit, F.col("quantity")).alias(OLD_QUANTITY),
     )
 
     def inserts(frame: DataFrame) -> DataFrame:
         return frame.select(
             *kept_columns, "quantity", "source_file_name", insert_ts.alias("load_ts"),
-            period.alias(PERIOD.name), F.lit(INSERT).alias(OPERATION),
+            period.alias(PERIOD.name), F.lit(INSERT).alias(OPERATION), F.lit(None).cast(QUANTITY).alias(OLD_QUANTITY),
         )
 
     merged = updates.unionByName(inserts(fresh))
@@ -201,32 +208,80 @@ def _planned(
     return MergePlan(merged, periods, has_null, tuple(paths), (touched, rows))
 
 
-def merge_orders(spark: SparkSession, target: OrderTable, source: DataFrame, **options) -> MergeResult:
+def merge_orders(
+    spark: SparkSession, target: OrderTable, source: DataFrame, merge_id: str | None = None, **options
+) -> MergeResult:
     """Merge the source into the target; options as for ``plan_merge``.
 
-    The touched periods are replaced all or none, after all rows have been written. Rows are spread by period first, so that a period gets few large files;
-    AQE splits a period that is too large for one task.
+    The touched periods are replaced in one step, after all rows have been written. Rows are spread by period first, so that
+    a period gets few large files; AQE splits a period that is too large for one task. A merge with an id is published
+    together with it: repeated, it changes nothing and returns what it did the first time.
     """
-    storage.recover(spark, target.path)
+    if merge_id is not None:
+        if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", merge_id):
+            raise ValueError(f"merge id {merge_id!r} cannot name a file")
+        done = versions.merge_done(spark, target.path, merge_id)
+        if done:
+            _show(spark, target)  # in case that the first one came no further than its publication
+            return replace(_result(done), repeated=True)
+    versions.clean(spark, target.path)
     plan = plan_merge(spark, target, source, **options)
     try:
-        return _apply(spark, target, plan)
+        return _apply(spark, target, plan, merge_id)
     finally:
         drop_scratch(spark, plan.scratch_paths)
 
 
-def _apply(spark: SparkSession, target: OrderTable, plan: MergePlan) -> MergeResult:
-    if plan.empty:
+def _apply(spark: SparkSession, target: OrderTable, plan: MergePlan, merge_id: str | None) -> MergeResult:
+    done = dict.fromkeys((UPDATE, INSERT, KEEP), 0)
+    mark = None
+    if not plan.empty:
+        # Counted in the writing stage, where a repeated task is not counted again.
+        counts = Observation()
+        rows = plan.rows.hint("rebalance", F.col(PERIOD.name)).observe(
+            counts, *(F.count_if(F.col(OPERATION) == op).alias(op) for op in (UPDATE, INSERT, KEEP))
+        )
+        part = F.when(F.col(OPERATION) == KEEP, F.lit(versions.KEPT)).otherwise(F.lit(versions.CHANGED))
+        with shuffles_sized_for(spark, *plan.inputs):
+            mark = versions.write(rows.withColumn(versions.PART, part), target.path)
+        done = counts.get
+    elif merge_id is None:
         return MergeResult()
-    # Counted in the writing stage, where a repeated task is not counted again.
-    counts = Observation()
-    rows = plan.rows.hint("rebalance", F.col(PERIOD.name)).observe(
-        counts, *(F.count_if(F.col(OPERATION) == op).alias(op) for op in (UPDATE, INSERT, KEEP))
-    )
-    with shuffles_sized_for(spark, *plan.inputs):
-        storage.publish_partitions(rows.drop(OPERATION), target.path, PERIOD.name)
-    done = counts.get
-    return MergeResult(done[UPDATE], done[INSERT], done[KEEP], plan.periods, plan.has_null_period)
+    merge = {"id": merge_id, "done": done, "periods": [p.isoformat() for p in plan.periods], "undated": plan.has_null_period, "mark": mark}
+    published = versions.commit(spark, target.path, mark, merge=merge)
+    _show(spark, target)
+    return _result(published.merge)
+
+
+def _result(merge: dict) -> MergeResult:
+    done = merge["done"]
+    periods = [date.fromisoformat(p) for p in merge["periods"]]
+    return MergeResult(done[UPDATE], done[INSERT], done[KEEP], periods, merge["undated"], merge["number"])
+
+
+def _show(spark: SparkSession, target: OrderTable) -> None:
+    if target.name:
+        versions.show_named(spark, target.name, target.path, ORDERS)
+
+
+def changes(spark: SparkSession, target: OrderTable, version: int | None = None) -> DataFrame:
+    """Rows that a recent publication wrote, ``merge_op`` and what updated ones had before in ``old_quantity``.
+
+    They have files of their own, so no other row of the order table is read.
+    """
+    known = {v.number: v for v in versions.recent(spark, target.path)}
+    number = max(known, default=None) if version is None else version
+    schema = T.StructType([*ORDERS.fields, T.StructField(OPERATION, T.StringType()), T.StructField(OLD_QUANTITY, QUANTITY)])
+    if number is None:
+        return spark.createDataFrame([], schema)
+    if number not in known:
+        raise LookupError(f"version {number} is no longer kept")
+    mark = known[number].merge.get("mark")
+    wrote = any(part.startswith(f"{versions.PART}={versions.CHANGED}/") for part in known[number].parts.get(mark, []))
+    if not wrote:
+        return spark.createDataFrame([], schema)
+    folder = f"{target.path}/{versions.DATA}/{versions.VERSION}={mark}/{versions.PART}={versions.CHANGED}"
+    return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
 
 
 def drop_scratch(spark: SparkSession, paths: Sequence[str]) -> None:

@@ -168,6 +168,7 @@ UNION ALL SELECT 'truncated', CAST(0 AS BIGINT)""",
 SELECT CAST(delivery_date AS VARCHAR) AS delivery_date, baked_good_type, total_quantity FROM grouped""",
     "summary_refresh": f"WITH {STAGED} {_summary('staged')}",
     "summary_incremental": f"{FROM_BOTH_CSV}, merged AS ({_merged_rows('t', 's', '', '', '')}) {_summary('merged')}",
+    "summary_from_changes": f"{FROM_BOTH_CSV}, merged AS ({_merged_rows('t', 's', '', '', '')}) {_summary('merged')}",
     "orders_sorted": f"{_COMBINED} ORDER BY staged.delivery_date DESC",
     "event_log_scan": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value
 FROM events ORDER BY events.ts DESC""",
@@ -187,6 +188,9 @@ t AS (SELECT * FROM staged WHERE channel = '{INTERNAL}'),
 twice AS ({_merged_rows('t', 's', '', '', '')}),
 merged AS ({_merged_rows('twice', 'd', '', '', '')})
 {_summary('merged')}""",
+    "resume_run": f"""WITH {STAGED}, {_last('i', (INTERNAL,))}, {_last('e', (EXTERNAL,))},
+merged AS ({_merged_rows('i', 'e', '', '', '')}), summary AS ({_summary('merged')})
+SELECT *, CAST(0 AS BIGINT) AS files_left, TRUE AS first_failed FROM summary""",
     "feeds_to_summary": f"WITH {STAGED}, {_last('s', ALL)} {_summary('s')}",
     "stream_ingest": f"""WITH {STAGED}, {_last('i', (INTERNAL,))}, {_last('e', (EXTERNAL,))}, {_last('d', (DOCUMENTS,))},
 csv_feeds AS ({_merged_rows('i', 'e', '', '', '')})

@@ -6,20 +6,27 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderloom import storage
+from orderloom import storage, versions
 from orderloom.functions.casts import strict_sql
 from orderloom.operators.combine import combine_feeds
 from orderloom.operators.flatten import flattened_view
+from orderloom.operators.ledger import RunLedger
 from orderloom.operators.load import StagingTable, read_staged_documents, read_staged_orders
 from orderloom.plans.event_log import EventLog
-from orderloom.schema import EVENT_LOG, LOAD_HISTORY, LOAD_ID, ORDERS, PERIOD, RAW_DOCUMENTS, SUMMARY, with_fields
+from orderloom.schema import EVENT_LOG, LOAD_HISTORY, LOAD_ID, ORDERS, RAW_DOCUMENTS, RUN_LEDGER, SUMMARY, with_fields
 from orderloom.storage import OrderTable, SummaryTable
 
 
 @dataclass(frozen=True)
 class Workspace:
+    """``database`` is where order tables and summaries have SQL names that each publication keeps up to date."""
+
     root: str
     grain: str = "month"
+    database: str | None = None
+
+    def _name(self, name: str) -> str | None:
+        return self.database and f"{self.database}.{name}"
 
     def _staging(self, schema_name: str, name: str) -> StagingTable:
         return StagingTable(f"{self.root}/{schema_name}/{name}", schema_name, name, self.history_path)
@@ -42,29 +49,35 @@ class Workspace:
 
     @property
     def customer_orders(self) -> OrderTable:
-        return OrderTable(f"{self.root}/orders/customer_orders", self.grain)
+        return OrderTable(f"{self.root}/orders/customer_orders", self.grain, self._name("customer_orders"))
 
     @property
     def summary_orders(self) -> SummaryTable:
-        return SummaryTable(f"{self.root}/orders/summary_orders")
+        return SummaryTable(f"{self.root}/orders/summary_orders", self._name("summary_orders"))
 
     @property
     def customer_orders_combined(self) -> OrderTable:
-        return OrderTable(f"{self.root}/transform/customer_orders_combined", self.grain)
+        return OrderTable(
+            f"{self.root}/transform/customer_orders_combined", self.grain, self._name("customer_orders_combined")
+        )
 
     @property
     def summary_orders_combined(self) -> SummaryTable:
-        return SummaryTable(f"{self.root}/transform/summary_orders")
+        return SummaryTable(f"{self.root}/transform/summary_orders", self._name("summary_orders_combined"))
 
     @property
     def event_log(self) -> EventLog:
         return EventLog(f"{self.root}/transform/events")
 
+    @property
+    def run_ledger(self) -> RunLedger:
+        return RunLedger(f"{self.root}/orders/run_ledger")
+
     def create(self, spark: SparkSession) -> Workspace:
         """Create all tables that do not exist yet."""
         for table in (self.internal_staging, self.external_staging, self.document_staging):
             storage.make_folder(spark, table.path)
-        for path in (self.history_path, self.event_log.path):
+        for path in (self.history_path, self.event_log.path, self.run_ledger.path):
             storage.make_folder(spark, path)
         for target in (self.customer_orders, self.customer_orders_combined):
             target.create(spark)
@@ -86,17 +99,22 @@ class Workspace:
 
     def _tables(self) -> list[tuple[str, str, object, list[str]]]:
         """Name, path, schema and partition columns of each table."""
-        orders, summary = with_fields(ORDERS, PERIOD), with_fields(SUMMARY, PERIOD)
         return [
             ("orders_stg", self.internal_staging.path, with_fields(ORDERS, LOAD_ID), [LOAD_ID.name]),
             ("orders_external_stg", self.external_staging.path, with_fields(ORDERS, LOAD_ID), [LOAD_ID.name]),
             ("orders_json_raw_stg", self.document_staging.path, with_fields(RAW_DOCUMENTS, LOAD_ID), [LOAD_ID.name]),
-            ("customer_orders", self.customer_orders.path, orders, [PERIOD.name]),
-            ("customer_orders_combined", self.customer_orders_combined.path, orders, [PERIOD.name]),
-            ("summary_orders", self.summary_orders.path, summary, [PERIOD.name]),
-            ("summary_orders_combined", self.summary_orders_combined.path, summary, [PERIOD.name]),
             ("load_history", self.history_path, LOAD_HISTORY, ["schema_name", "table_name", "load_id"]),
             ("event_log", self.event_log.path, EVENT_LOG, []),
+            ("run_ledger", self.run_ledger.path, RUN_LEDGER, []),
+        ]
+
+    def _versioned(self) -> list[tuple[str, str, object]]:
+        """Name, path and schema of the tables that are published in versions."""
+        return [
+            ("customer_orders", self.customer_orders.path, ORDERS),
+            ("customer_orders_combined", self.customer_orders_combined.path, ORDERS),
+            ("summary_orders", self.summary_orders.path, SUMMARY),
+            ("summary_orders_combined", self.summary_orders_combined.path, SUMMARY),
         ]
 
     def register(self, spark: SparkSession, database: str = "default", replace: bool = False) -> None:
@@ -108,6 +126,9 @@ class Workspace:
             by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
             spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {by} LOCATION '{path}'")
+        for name, _, _ in self._versioned():
+            if replace:
+                versions.drop_named(spark, f"{database}.{name}")
         columns = "customer, order_date, delivery_date, baked_good_type, quantity, source_file_name, load_ts"
         date = ORDERS["order_date"].dataType
         order_date = strict_sql("variant_get(r.customer_orders, '$[\"Order date\"]', 'string')", date, "Order date")
@@ -138,3 +159,5 @@ class Workspace:
             if partitions:
                 spark.catalog.recoverPartitions(f"{database}.{name}")
             spark.catalog.refreshTable(f"{database}.{name}")
+        for name, path, schema in self._versioned():
+            versions.show_named(spark, f"{database}.{name}", path, schema)

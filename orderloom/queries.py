@@ -27,9 +27,24 @@ from orderloom.operators.load import (
     truncate_staging,
     write_load,
 )
-from orderloom.operators.merge import INSERT, OPERATION, UPDATE, matched_keys, merge_orders, plan_merge, reduce_to_winners
+from orderloom.operators.merge import (
+    INSERT,
+    OPERATION,
+    UPDATE,
+    changes,
+    matched_keys,
+    merge_orders,
+    plan_merge,
+    reduce_to_winners,
+)
 from orderloom.operators.ordering import newest_first, orders_newest_first
-from orderloom.operators.summary import refresh_summary, refresh_touched, summarise, summarise_group_by_all
+from orderloom.operators.summary import (
+    refresh_from_changes,
+    refresh_summary,
+    refresh_touched,
+    summarise,
+    summarise_group_by_all,
+)
 from orderloom.plans.event_log import scan_events
 from orderloom.plans.feed import (
     DOCUMENTS,
@@ -575,6 +590,16 @@ def summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(table.read(spark))
 
 
+@query
+def summary_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After a merge, the summary takes over the rows that it changed; the order table is not read."""
+    target, table = first_target(spark, sf_dir), SummaryTable(scratch(spark, "summary"))
+    refresh_summary(spark, target.read(spark), table)
+    merged = merge_orders(spark, target, feed_of(spark, sf_dir, DOCUMENTS), on_duplicate="last")
+    refresh_from_changes(spark, changes(spark, target, merged.version), table)
+    return portable(table.read(spark))
+
+
 @query
 def orders_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(orders_newest_first(staged(spark, sf_dir).combined_staging(spark)))
@@ -642,6 +667,19 @@ def ingest_to_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(workspace.summary_orders.read(spark))
 
 
+@query
+def resume_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run fails in its merge; the next day's, under its own id, finishes it and takes the files delivered since."""
+    workspace, path = new_workspace(spark), scratch(spark, "deliveries")
+    stage = deliver_copy(spark, sf_dir, INTERNAL, path)
+    lost = F.raise_error(F.lit("executor lost")).cast("timestamp")
+    failed = run_job(spark, "first", lambda: process_orders(spark, workspace, stage, "first", insert_ts=lost, on_duplicate="last"))
+    stage = deliver_copy(spark, sf_dir, EXTERNAL, path)
+    process_orders(spark, workspace, stage, "second", on_duplicate="last", summary="changes")
+    told = {"files_left": F.lit(list_stage(spark, stage).count()), "first_failed": F.lit(not failed.ok)}
+    return portable(workspace.summary_orders.read(spark).withColumns(told))
+
+
 @query
 def feeds_to_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of all three channels -> staging -> combined view -> merge -> summary."""

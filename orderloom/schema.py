@@ -67,6 +67,9 @@ SUMMARY = T.StructType(
     ]
 )
 
+# What the sums are of: a group without rows is gone, a sum of no quantities is NULL.
+SUMMARY_COUNTS = [T.StructField("order_rows", T.LongType()), T.StructField("quantities", T.LongType())]
+
 # Staging tables keep the physical file of each row for the load history; readers do not see it.
 FILE_PATH = T.StructField("file_path", T.StringType())
 FILE_FIELDS = [
@@ -94,6 +97,17 @@ LOAD_HISTORY = T.StructType(
     ]
 )
 
+RUN_LEDGER = T.StructType(
+    [
+        T.StructField("process", T.StringType()),
+        T.StructField("load_id", T.StringType()),
+        T.StructField("token", T.StringType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("step", T.IntegerType()),
+        T.StructField("at", T.TimestampType()),
+    ]
+)
+
 EVENT_LOG = T.StructType(
     [
         T.StructField("timestamp", T.TimestampType()),

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from fnmatch import fnmatch
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.schema import ORDER_COLUMNS, ORDERS, PERIOD, SUMMARY, with_fields
+from orderloom import versions
+from orderloom.schema import ORDER_COLUMNS, ORDERS, PERIOD, SUMMARY, SUMMARY_COUNTS, with_fields
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -67,9 +68,12 @@ def delete_file_uri(spark: SparkSession, uri: str) -> bool:
 
 
 def delete_file_uris(spark: SparkSession, uris, at_once: int = 16) -> int:
-    """Delete files, several at a time; the number that were there."""
+    """Delete files, several at a time; the number that were there. Names are taken in portions, not all at once."""
+    names, deleted = iter(uris), 0
     with ThreadPoolExecutor(at_once) as pool:
-        return sum(pool.map(lambda uri: delete_file_uri(spark, uri), uris))
+        while portion := list(islice(names, 1000)):
+            deleted += sum(pool.map(lambda uri: delete_file_uri(spark, uri), portion))
+    return deleted
 
 
 def truncate(spark: SparkSession, path: str) -> None:
@@ -101,15 +105,16 @@ def in_periods(periods: list, has_null: bool, column: Column | None = None) -> C
 
 @dataclass(frozen=True)
 class OrderTable:
-    """Merge target: parquet partitioned by delivery period.
+    """Merge target: versions of parquet partitioned by delivery period.
 
     The period is a function of a merge key, so a merge needs only the periods its source names. A month
     suits deliveries spread over many days; take ``grain='day'`` where a day alone fills large files, ``'year'`` where
-    a month does not fill one.
+    a month does not fill one. ``name`` is a SQL name that publications keep up to date.
     """
 
     path: str
     grain: str = "month"
+    name: str | None = None
 
     def create(self, spark: SparkSession, replace: bool = False) -> OrderTable:
         if replace:
@@ -119,7 +124,7 @@ class OrderTable:
         return self
 
     def read_partitioned(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.path, with_fields(ORDERS, PERIOD))
+        return versions.read(spark, self.path, ORDERS)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self.read_partitioned(spark).select(*ORDER_COLUMNS)
@@ -127,16 +132,20 @@ class OrderTable:
 
 @dataclass(frozen=True)
 class SummaryTable:
-    """Quantities per delivery day and type, a few rows per day, hence partitioned by delivery year."""
+    """Quantities per delivery day and type, a few rows per day, hence partitioned by delivery year.
+
+    Beside the sums it keeps how many rows and quantities they are of, so that it can be kept up to date from changes.
+    """
 
     path: str
+    name: str | None = None
 
     def create(self, spark: SparkSession) -> SummaryTable:
         make_folder(spark, self.path)
         return self
 
     def read_partitioned(self, spark: SparkSession) -> DataFrame:
-        return read_table(spark, self.path, with_fields(SUMMARY, PERIOD))
+        return versions.read(spark, self.path, with_fields(SUMMARY, *SUMMARY_COUNTS))
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self.read_partitioned(spark).select(*SUMMARY.fieldNames())
@@ -163,60 +172,3 @@ def overwrite_all_of(frame: DataFrame, path: str, **partition: str) -> int:
     if not rows:
         delete(frame.sparkSession, "/".join([path, *(f"{name}={value}" for name, value in partition.items())]))
     return rows
-
-
-# Publication of several partitions. New content is written aside and each partition is exchanged by two renames. Until the
-# last one is done, REPLACED holds what was there before: old partitions, and marks for those that are new.
-
-STAGED, REPLACED, DROPPED, NEW = "_staged", "_replaced", "_dropped", "new-"
-
-
-def recover(spark: SparkSession, path: str) -> int:
-    """Undo a publication that did not end, and drop what one has left; the number of partitions undone."""
-    fs, _ = _file_system(spark, path)
-    as_path = spark._jvm.org.apache.hadoop.fs.Path
-    undone = 0
-    for status in fs.globStatus(as_path(f"{path}/{REPLACED}/*/*")) or []:
-        name = status.getPath().getName()
-        live = as_path(f"{path}/{name.removeprefix(NEW)}")
-        fs.delete(live, True)
-        if not name.startswith(NEW) and not fs.rename(status.getPath(), live):
-            raise OSError(f"cannot put back {name}")
-        undone += 1
-    for rest in (REPLACED, STAGED, DROPPED):
-        delete(spark, f"{path}/{rest}")
-    return undone
-
-
-def publish_partitions(frame: DataFrame, path: str, by: str) -> None:
-    """Replace the partitions that occur in the frame, all or none; it may have been read from the same path.
-
-    A failure is undone at once. If the driver dies meanwhile, ``recover`` undoes it, which every writer calls first;
-    readers may miss a partition until then. There is one writer at a time.
-    """
-    spark = frame.sparkSession
-    mark = uuid.uuid4().hex
-    staged, replaced = f"{path}/{STAGED}/{mark}", f"{path}/{REPLACED}/{mark}"
-    frame.write.partitionBy(by).parquet(staged)
-    fs, _ = _file_system(spark, path)
-    as_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs.mkdirs(as_path(replaced))
-    try:
-        for status in fs.globStatus(as_path(f"{staged}/{by}=*")) or []:
-            name = status.getPath().getName()
-            live = as_path(f"{path}/{name}")
-            if not fs.exists(live):
-                fs.mkdirs(as_path(f"{replaced}/{NEW}{name}"))
-            elif not fs.rename(live, as_path(f"{replaced}/{name}")):
-                raise OSError(f"cannot move {name}")
-            _rename(fs, status.getPath(), live)
-        # The new state holds from here.
-        fs.mkdirs(as_path(f"{path}/{DROPPED}"))
-        _rename(fs, as_path(replaced), as_path(f"{path}/{DROPPED}/{mark}"))
-    finally:
-        recover(spark, path)
-
-
-def _rename(fs, old, new) -> None:
-    if not fs.rename(old, new):
-        raise OSError(f"cannot publish {new.getName()}")

@@ -17,6 +17,7 @@ from orderloom.operators.load import (
     read_staged_documents,
     read_staged_orders,
     record_load,
+    without_taken,
     write_load,
 )
 from orderloom.operators.flatten import flattened_view
@@ -55,8 +56,8 @@ def _run(
     """Drain the stream batch by batch: stage, merge, summarise, and only then record the load.
 
     A batch that is repeated after a failure finds its record and is skipped, or has none and replaces its own
-    staged rows. Between merge and record a crash makes the merge run twice, which by key changes nothing but the
-    load time; for rows without a full key see the README.
+    staged rows. Its merge is published with the batch's id, so that it is not done again if only the record is missing.
+    Files that a batch load has taken, or another stream into the same table, are left out.
     """
 
     taken = 0
@@ -68,8 +69,9 @@ def _run(
         if not known.filter(F.col("load_id") == load_id).isEmpty():
             return
         at = F.current_timestamp() if load_ts is None else load_ts
-        write_load(to_staging(batch, at), table, load_id)
-        merged = merge_orders(spark, target, from_staging(spark, table, load_id), **merge_options)
+        write_load(to_staging(without_taken(spark, batch, table, load_id), at), table, load_id)
+        merge_id = f"{table.schema_name}.{table.name}.{load_id}"
+        merged = merge_orders(spark, target, from_staging(spark, table, load_id), merge_id=merge_id, **merge_options)
         if summary is not None:
             refresh_touched(spark, target, summary, merged.periods, merged.has_null_period)
         taken += record_load(spark, table, load_id, None, at).rows

@@ -10,12 +10,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from orderloom import session, storage
+from orderloom import session, versions
 from orderloom.operators.flatten import flatten_orders
 from orderloom.operators.merge import MERGE_KEYS, matched_keys, merge_orders, plan_merge, reduce_to_winners
 from orderloom.operators.summary import summarise
 from orderloom.plans.feed import LINES_PER_DOCUMENT, documents, order_feed, write_csv_delivery
 from orderloom.queries import QUERIES
+from orderloom.schema import ORDERS
 from orderloom.storage import OrderTable
 
 
@@ -223,26 +224,69 @@ def test_results_run_with_enough_partitions(spark, monkeypatch):
 def test_a_publication_that_fails_leaves_every_old_row(spark, target, monkeypatch):
     merge_orders(spark, target, many_orders(spark, 500, 0))
     before = sorted(map(tuple, target.read(spark).collect()))
-    plain, calls = storage._rename, []
-
-    def failing(fs, old, new):
-        calls.append(new.getName())
-        if len(calls) == 2:
-            raise OSError("lost")
-        plain(fs, old, new)
-
-    monkeypatch.setattr(storage, "_rename", failing)
-    with pytest.raises(OSError):
-        merge_orders(spark, target, many_orders(spark, 500, 1))
-    assert len(calls) == 2 and sorted(map(tuple, target.read(spark).collect())) == before
-
-    # As if the driver had died there: nothing is undone before the next writer comes.
-    calls.clear()
-    monkeypatch.setattr(storage, "recover", lambda *_: 0)
-    with pytest.raises(OSError):
-        merge_orders(spark, target, many_orders(spark, 500, 1))
-    monkeypatch.undo()
-    assert storage.recover(spark, target.path) > 0
+
+    def failing(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "_appear", failing)  # all rows are written, the version's file is not
+        with pytest.raises(OSError):
+            merge_orders(spark, target, many_orders(spark, 500, 1))
     assert sorted(map(tuple, target.read(spark).collect())) == before
+    assert len(list(Path(target.path).glob("data/*"))) == 2
+    assert versions.clean(spark, target.path) == 1  # what was written for nothing
     assert merge_orders(spark, target, many_orders(spark, 500, 1)).affected == 500
-    assert not list(Path(target.path).glob("_*"))
+    assert target.read(spark).count() == 1000 and not list(Path(target.path).glob("*/_*"))
+
+
+def test_readers_see_whole_versions_between_all_steps(spark, tmp_path, monkeypatch):
+    """By path and by name, at each call that writes, renames, deletes or alters something."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS steps")
+    target = OrderTable(str(tmp_path / "orders"), "day", "steps.orders").create(spark)
+
+    def orders_of(number):
+        return many_orders(spark, 300 + 10 * number, 0).withColumn("quantity", F.lit(number).cast("decimal(38,0)"))
+
+    merge_orders(spark, target, orders_of(0))
+
+    def seen():
+        by_path = target.read(spark).groupBy("quantity").count().collect()
+        by_name = spark.sql("SELECT quantity, count(*) AS count FROM steps.orders GROUP BY ALL").collect()
+        return [{int(q): n for q, n in found} for found in (by_path, by_name)]
+
+    old = seen()
+    assert old[0] == old[1]
+    looks = []
+
+    def looking(function):
+        def looked(*args, **options):
+            looks.append(seen())
+            result = function(*args, **options)
+            looks.append(seen())
+            return result
+
+        return looked
+
+    class Session:  # a session whose statements are looked at
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+        def sql(self, text, **options):
+            alters = text.lstrip().startswith(("ALTER", "CREATE OR", "DROP"))
+            return looking(spark.sql)(text, **options) if alters else spark.sql(text, **options)
+
+    shown = versions.show_named
+    with monkeypatch.context() as patched:
+        for name in ("write", "commit", "clean", "_appear", "_delete"):
+            patched.setattr(versions, name, looking(getattr(versions, name)))
+        patched.setattr(versions, "show_named", lambda _, *rest: shown(Session(), *rest))
+        for round_ in (1, 2, 3):
+            looks.clear()
+            merge_orders(spark, target, orders_of(round_))
+            new = seen()
+            assert new[0] == new[1] != old[0] and len(looks) > 10
+            assert all(found in (old[0], new[0]) for look in looks for found in look)
+            old = new
+    assert spark.sql("SELECT * FROM steps.orders").columns == [*ORDERS.fieldNames(), "delivery_period"]
+    versions.drop_named(spark, "steps.orders")
+    spark.sql("DROP DATABASE steps CASCADE")

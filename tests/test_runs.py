@@ -10,15 +10,22 @@ from pyspark.sql import functions as F
 
 from conftest import ABORTS, deliver, deliver_text, rows
 from orderloom.operators.combine import combine_feeds
-from orderloom.operators.load import load_history, read_staged_orders
-from orderloom.operators.merge import merge_orders
+from orderloom.operators.load import load_csv, load_history, read_staged_orders
+from orderloom.operators.merge import MergeCardinalityError, changes, merge_orders
 from orderloom.operators.ordering import newest_first, orders_newest_first
-from orderloom.operators.summary import refresh_summary, refresh_touched, summarise, summarise_group_by_all
+from orderloom.operators.summary import (
+    refresh_from_changes,
+    refresh_summary,
+    refresh_touched,
+    summarise,
+    summarise_group_by_all,
+)
 from orderloom.plans import ingest
 from orderloom.plans.ingest import load_feeds, process_combined, process_orders
 from orderloom.plans.jobs import load_customer_orders
 from orderloom.sources.stage import Stage
 from orderloom.storage import OrderTable, SummaryTable
+from orderloom.streaming import ingest as streaming
 from orderloom.streaming.ingest import ingest_csv, ingest_json, purge_options
 from samples import DAYS, DOCUMENT, csv_lines, csv_name
 from test_merge import FIRST, content, frame, order
@@ -203,6 +210,108 @@ def test_failing_run_keeps_the_files_and_can_be_repeated(spark, workspace, stage
     assert names(stage) == []
 
 
+class Lost(RuntimeError):
+    pass
+
+
+def lost(*_, **__):
+    raise Lost("executor lost")
+
+
+@pytest.mark.parametrize("step", ["load_csv", "merge_orders", "mark_loaded", "_summarised", "purge_loaded"])
+@pytest.mark.parametrize("summary", ["full", "changes"])
+def test_next_run_finishes_what_a_failed_one_has_left(spark, workspace, stage, monkeypatch, step, summary):
+    deliver(stage, "a.csv", *csv_lines("2023-08-04"), ",,,,3")  # the last row lacks its keys: merged twice, it would be there twice
+    with monkeypatch.context() as patched:
+        patched.setattr(ingest, step, lost)
+        with pytest.raises(Lost):
+            process_orders(spark, workspace, stage, "2024-01-01", summary=summary, on_duplicate="last")
+    assert names_of_files(stage) == ["a.csv"]
+    deliver(stage, "b.csv", *csv_lines("2023-08-07"))
+    second = process_orders(spark, workspace, stage, "2024-01-02", summary=summary, on_duplicate="last")
+    assert second.merge.affected == (13 if step == "load_csv" else 8)
+    assert names_of_files(stage) == []
+    merged = workspace.customer_orders.read(spark)
+    assert merged.count() == 13 and merged.where("customer IS NULL").count() == 1
+    assert sum(totals(spark, workspace.summary_orders).values()) == merged.agg(F.sum("quantity")).first()[0]
+    states = {row["load_id"]: row["state"] for row in workspace.run_ledger.runs(spark).collect()}
+    assert states == {"2024-01-01": "ABANDONED" if step == "load_csv" else "DONE", "2024-01-02": "DONE"}
+    assert workspace.run_ledger.unfinished(spark, ingest.PROCESS) == []
+    history = load_history(spark, workspace.history_path, "orders", "orders_stg")
+    assert {row["status"] for row in history.collect()} == {"LOADED"}
+
+
+def names_of_files(stage):
+    return sorted(p.name for p in Path(stage.root).rglob("*.csv"))
+
+
+def test_a_refused_merge_is_finished_with_the_next_runs_options(spark, workspace, stage):
+    deliver(stage, "a.csv", *csv_lines("2023-08-04"))
+    process_orders(spark, workspace, stage, "1")
+    deliver(stage, "b.csv", *csv_lines("2023-08-04"), *csv_lines("2023-08-04"))
+    for load_id in ("2", "3"):
+        with pytest.raises(MergeCardinalityError):
+            process_orders(spark, workspace, stage, load_id)
+    assert names_of_files(stage) == ["b.csv"]
+    result = process_orders(spark, workspace, stage, "4", on_duplicate="last")
+    assert (result.load.rows, names_of_files(stage)) == (0, [])
+    assert workspace.customer_orders.read(spark).count() == 8
+
+
+def test_merge_of_an_id_is_done_once(spark, workspace):
+    target = workspace.customer_orders
+    source = frame(spark, order(), order(None, quantity=7))
+    first = merge_orders(spark, target, source, merge_id="run-1")
+    again = merge_orders(spark, target, source, merge_id="run-1")
+    assert (first.repeated, again.repeated) == (False, True)
+    assert (again.inserted, again.updated, again.periods, again.version) == (2, 0, first.periods, first.version)
+    for number in range(4):  # its version is dropped, not what is known of it
+        merge_orders(spark, target, frame(spark, order(quantity=number)))
+    assert merge_orders(spark, target, source, merge_id="run-1").inserted == 2
+    assert merge_orders(spark, target, frame(spark), merge_id="empty").affected == 0
+    assert merge_orders(spark, target, source, merge_id="empty").repeated
+    assert target.read(spark).count() == 2
+    with pytest.raises(ValueError):
+        merge_orders(spark, target, source, merge_id="a/b")
+    with pytest.raises(LookupError):
+        changes(spark, target, first.version)
+
+
+@pytest.mark.parametrize("grain", ["day", "year"])
+def test_summary_from_changes_equals_full_refresh(spark, tmp_path, grain):
+    target = OrderTable(str(tmp_path / "orders"), grain).create(spark)
+    kept, full = SummaryTable(str(tmp_path / "kept")), SummaryTable(str(tmp_path / "full"))
+    days = ["2022-12-31", "2023-01-01", "2023-01-02", None]
+    batches = [
+        [order(c, d, quantity=i) for i, d in enumerate(days) for c in "AB"] + [order("N", quantity=None)],
+        [order("A", "2023-01-02", quantity=50), order("C", None, quantity=60), order("A", "2024-01-01"), order("N", quantity=4)],
+        [order("N", quantity=None), order("A", "2023-01-01", quantity=None), order("B", "2023-01-01", quantity=None), order(None)],
+        [],
+    ]
+    assert refresh_from_changes(spark, changes(spark, target), kept) == 0
+    for number, batch in enumerate(batches):
+        merged = merge_orders(spark, target, frame(spark, *batch))
+        for _ in range(2):  # the second time nothing is added, as the id is known
+            if merged.version:
+                refresh_from_changes(spark, changes(spark, target, merged.version), kept, f"change-{number}")
+        refresh_summary(spark, target.read(spark), full)
+        assert totals(spark, kept) == totals(spark, full)
+    assert rows(kept.read_partitioned(spark)) == rows(full.read_partitioned(spark))
+    assert totals(spark, kept)[("2023-01-01", "Rye")] is None
+
+
+def test_changes_are_read_without_the_other_rows(spark, tmp_path):
+    target = OrderTable(str(tmp_path / "orders"), "year").create(spark)
+    merge_orders(spark, target, frame(spark, *(order(str(i)) for i in range(50))))
+    merged = merge_orders(spark, target, frame(spark, order("7", quantity=9), order("new")))
+    changed = changes(spark, target, merged.version)
+    assert rows(changed, "customer", "quantity", "merge_op", "old_quantity") == rows(
+        spark.sql("SELECT '7', 9BD, 'update', 1BD UNION ALL SELECT 'new', 1BD, 'insert', NULL")
+    )
+    assert all("/part=changed/" in name for name in changed.inputFiles())
+    assert target.read(spark).count() == 51
+
+
 def test_tables_can_be_queried_by_name(spark, workspace, feeds):
     load_feeds(spark, workspace, *feeds, "l1")
     workspace.register(spark, "shop")
@@ -271,6 +380,28 @@ def test_repeated_batch_is_not_merged_again(spark, workspace, stage):
     assert workspace.customer_orders.read(spark).count() == 1
 
 
+def test_batch_that_fails_between_merge_and_record_is_merged_once(spark, workspace, stage, monkeypatch):
+    deliver(stage, "a.csv", "A,2023-08-01,2023-08-02,,1", "B,2023-08-01,2023-08-02,Rye,2")
+    with monkeypatch.context() as patched:
+        patched.setattr(streaming, "record_load", lost)
+        with pytest.raises(Exception, match="executor lost"):
+            run_stream(spark, workspace, stage)
+    assert workspace.customer_orders.read(spark).count() == 2
+    run_stream(spark, workspace, stage)
+    assert workspace.customer_orders.read(spark).count() == 2
+    assert totals(spark, workspace.summary_orders) == {("2023-08-02", None): 1, ("2023-08-02", "Rye"): 2}
+
+
+def test_batches_and_streams_share_a_history(spark, workspace, stage):
+    table = workspace.external_staging
+    deliver(stage, "a.csv", *csv_lines("2023-08-04"))
+    load_csv(spark, stage, table, "batch")
+    deliver(stage, "b.csv", *csv_lines("2023-08-07"))
+    assert run_stream(spark, workspace, stage) == 8  # the new file only
+    assert load_csv(spark, stage, table, "later").rows == 0
+    assert read_staged_orders(spark, table).count() == 16
+
+
 def test_bad_file_fails_the_stream_and_lands_nowhere(spark, workspace, stage):
     deliver(stage, "a.csv", *csv_lines("2023-08-04"))
     deliver(stage, "b.csv", "X,2023-08-01,soon,Rye,1")
