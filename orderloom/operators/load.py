@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from orderloom import storage
 from orderloom.functions.casts import typed_order_columns
+from orderloom.operators.rejects import csv_rejects, write_rejects
 from orderloom.schema import FILE_COLUMNS, FILE_FIELDS, LOAD_HISTORY, LOAD_ID, ORDERS, RAW_DOCUMENTS, with_fields
 from orderloom.sources.csv_files import CsvFormat, ordinals, scan_csv
 from orderloom.sources.json_files import DOCUMENT_PER_FILE, scan_json
@@ -97,11 +98,21 @@ def load_csv(
     load_ts: Column | None = None,
     force: bool = False,
     status: str = LOADED,
+    rejects: str | None = None,
 ) -> LoadResult:
-    """Append the stage's new files to a staging table, or fail as a whole. ``status`` is what the history says of them."""
+    """Append the stage's new files to a staging table, or fail as a whole. ``status`` is what the history says of them.
+
+    With ``rejects``, the path of a table, a load that fails leaves all of its bad rows there before it raises.
+    """
     load_ts = F.current_timestamp() if load_ts is None else load_ts
     listed, paths = _new_files(spark, stage, prefix, table, load_id, force)
-    write_load(order_rows(scan_csv(spark, stage, fmt, prefix, paths=paths), load_ts), table, load_id)
+    try:
+        write_load(order_rows(scan_csv(spark, stage, fmt, prefix, paths=paths), load_ts), table, load_id)
+    except Exception:
+        if rejects:
+            found = csv_rejects(spark, stage, fmt, prefix, paths)
+            write_rejects(found, rejects, table.schema_name, table.name, load_id)
+        raise
     return record_load(spark, table, load_id, listed, load_ts, status)
 
 

@@ -107,6 +107,14 @@ ORACLES: dict[str, str] = {
 SELECT 'row' AS bad, FALSE AS ok, 'row' AS kind, order_rows AS staged_rows, order_rows AS history_rows FROM counts
 UNION ALL SELECT 'date', FALSE, 'date', order_rows, order_rows FROM counts
 UNION ALL SELECT 'documents', FALSE, 'documents', raw_rows, raw_rows FROM counts""",
+    "load_rejects": f"""WITH {FEED}, bad AS (
+  SELECT 'Orders_' || CAST(year(order_date) AS VARCHAR) || '.csv' AS source_file_name, quantity FROM feed
+  WHERE channel = '{INTERNAL}' AND quantity IN (7, 8)),
+faults AS (
+  SELECT source_file_name, 'quantity' AS column_name, 'not decimal(38,0)' AS reason FROM bad
+  UNION ALL SELECT source_file_name, 'order_date', 'not date' FROM bad WHERE quantity = 7)
+SELECT source_file_name, column_name, reason, 'bad' AS load_id, count(*) AS faults, count(*) AS bad_lines, FALSE AS ok,
+  CAST(0 AS BIGINT) AS staged_rows FROM faults GROUP BY source_file_name, column_name, reason""",
     "load_again": f"""WITH {FEED} SELECT 'first' AS load_id, count(*) AS load_rows FROM feed WHERE channel = '{INTERNAL}'
 UNION ALL SELECT 'second', count(*) FROM feed WHERE channel <> '{INTERNAL}'
 UNION ALL SELECT 'third', count(*) FROM feed""",
@@ -130,6 +138,14 @@ SELECT state, via, CAST(year(delivery_date) AS INTEGER) AS delivery_year, source
   CAST(sum(quantity) AS BIGINT) AS total_quantity, count(*) AS order_rows
 FROM seen, (SELECT unnest(['external', 'stored']) AS via) GROUP BY ALL""",
     "materialized_projection": _EXTERNAL_ROWS,
+    "projection_delta": f"""WITH {FEED} SELECT {_row()} FROM feed
+WHERE channel = '{EXTERNAL}' OR (channel = '{INTERNAL}' AND year(order_date) > (
+  SELECT min(year(order_date)) FROM feed WHERE channel = '{INTERNAL}'))""",
+    "directory_changes": f"""WITH {FEED}, files AS (
+  SELECT DISTINCT channel, 'Orders_' || CAST(year(order_date) AS VARCHAR) || '.csv' AS relative_path FROM feed)
+SELECT 'first' AS refresh_id, 'added' AS change, relative_path FROM files WHERE channel = '{INTERNAL}'
+UNION ALL SELECT 'second', 'removed', relative_path FROM files WHERE channel = '{INTERNAL}'
+UNION ALL SELECT 'second', 'added', relative_path FROM files WHERE channel = '{EXTERNAL}'""",
     "json_top_level": f"""WITH {FEED}, {DOCUMENTS_OF} SELECT customer, CAST(order_date AS VARCHAR) AS order_date,
   CAST(sum(documents) AS BIGINT) AS documents FROM documents_of GROUP BY customer, documents_of.order_date""",
     "flatten_one_level": f"""WITH {FEED} SELECT customer, {_DATES}, count(*) AS items

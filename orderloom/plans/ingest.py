@@ -74,7 +74,10 @@ def process_orders(
             return result
     run = ledger.start(spark, PROCESS, load_id)
     truncate_staging(spark, table)
-    load_csv(spark, stage, table, load_id, fmt, load_ts=load_ts, force=force, status=STAGED_ONLY)
+    load_csv(
+        spark, stage, table, load_id, fmt, load_ts=load_ts, force=force, status=STAGED_ONLY,
+        rejects=workspace.rejects_path,
+    )
     run = ledger.write(spark, run, STAGED)
     return _finish(spark, workspace, run, purge, summary, merge_options)
 

@@ -13,10 +13,13 @@ from orderloom.operators.flatten import flattened_view
 from orderloom.operators.ledger import RunLedger
 from orderloom.operators.load import StagingTable, read_staged_documents, read_staged_orders
 from orderloom.plans.event_log import EventLog
-from orderloom.schema import EVENT_LOG, LOAD_HISTORY, LOAD_ID, ORDERS, RAW_DOCUMENTS, RUN_LEDGER, SUMMARY, with_fields
+from orderloom.schema import EVENT_LOG, LOAD_HISTORY, LOAD_ID, ORDERS, RAW_DOCUMENTS, REJECTS, RUN_LEDGER, SUMMARY, with_fields
 from orderloom.storage import OrderTable, SummaryTable
 
 
+PLACE = [*(LOAD_HISTORY[name] for name in ("schema_name", "table_name")), LOAD_ID]
+
+
 @dataclass(frozen=True)
 class Workspace:
     """``database`` is where order tables and summaries have SQL names that each publication keeps up to date."""
@@ -69,6 +72,10 @@ class Workspace:
     def event_log(self) -> EventLog:
         return EventLog(f"{self.root}/transform/events")
 
+    @property
+    def rejects_path(self) -> str:
+        return f"{self.root}/load_rejects"
+
     @property
     def run_ledger(self) -> RunLedger:
         return RunLedger(f"{self.root}/orders/run_ledger")
@@ -77,7 +84,7 @@ class Workspace:
         """Create all tables that do not exist yet."""
         for table in (self.internal_staging, self.external_staging, self.document_staging):
             storage.make_folder(spark, table.path)
-        for path in (self.history_path, self.event_log.path, self.run_ledger.path):
+        for path in (self.history_path, self.event_log.path, self.run_ledger.path, self.rejects_path):
             storage.make_folder(spark, path)
         for target in (self.customer_orders, self.customer_orders_combined):
             target.create(spark)
@@ -104,6 +111,7 @@ class Workspace:
             ("orders_external_stg", self.external_staging.path, with_fields(ORDERS, LOAD_ID), [LOAD_ID.name]),
             ("orders_json_raw_stg", self.document_staging.path, with_fields(RAW_DOCUMENTS, LOAD_ID), [LOAD_ID.name]),
             ("load_history", self.history_path, LOAD_HISTORY, ["schema_name", "table_name", "load_id"]),
+            ("load_rejects", self.rejects_path, with_fields(REJECTS, *PLACE), [field.name for field in PLACE]),
             ("event_log", self.event_log.path, EVENT_LOG, []),
             ("run_ledger", self.run_ledger.path, RUN_LEDGER, []),
         ]

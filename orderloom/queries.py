@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom import storage
 from orderloom.functions.casts import typed_order_columns
 from orderloom.functions.status import rows_affected
 from orderloom.operators import flatten
@@ -38,6 +39,7 @@ from orderloom.operators.merge import (
     reduce_to_winners,
 )
 from orderloom.operators.ordering import newest_first, orders_newest_first
+from orderloom.operators.rejects import read_rejects
 from orderloom.operators.summary import (
     refresh_from_changes,
     refresh_summary,
@@ -64,16 +66,25 @@ from orderloom.schema import FILE_COLUMNS, FILE_FIELDS, ORDER_COLUMNS
 from orderloom.session import scratch, size_session, stored
 from orderloom.sources.csv_files import ordinals, scan_csv
 from orderloom.sources.external import (
+    FILE_KEY,
     create_external_table,
     drop_external_table,
     read_external_table,
+    read_projection,
     read_snapshot,
     refresh_external_table,
+    refresh_projection,
     refresh_snapshot,
     register_snapshot,
 )
 from orderloom.sources.json_files import DOCUMENT_PER_LINE, scan_json, scan_json_typed
-from orderloom.sources.listing import list_stage, read_directory, refresh_directory
+from orderloom.sources.listing import (
+    list_stage,
+    read_directory,
+    read_directory_changes,
+    refresh_directory,
+    refresh_with_changes,
+)
 from orderloom.sources.stage import LINEAGE, Stage
 from orderloom.storage import OrderTable, SummaryTable
 from orderloom.streaming.ingest import ingest_csv, ingest_json
@@ -292,6 +303,26 @@ def load_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, "bad string, ok boolean, kind string, staged_rows long, history_rows long")
 
 
+@query
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of files in which several rows are bad in several ways leaves all of them in a table, and nothing staged."""
+    workspace, path = new_workspace(spark), scratch(spark, "bad")
+    rows = feed_of(spark, sf_dir, INTERNAL)
+    texts = rows.select(*(F.col(name).cast("string").alias(name) for name in FILE_COLUMNS), F.col("source_file_name").alias("file"))
+    spoilt = texts.withColumns(
+        {
+            "order_date": F.when(F.col("quantity") == "7", F.substring("order_date", 1, 7)).otherwise(F.col("order_date")),
+            "quantity": F.when(F.col("quantity").isin("7", "8"), F.concat("quantity", F.lit("x"))).otherwise(F.col("quantity")),
+        }
+    )
+    spoilt.hint("rebalance", F.col("file")).write.option("header", True).partitionBy("file").csv(path)
+    table, stage = workspace.internal_staging, stage_of(path)
+    status = run_job(spark, "load", lambda: rows_affected(load_csv(spark, stage, table, "bad", rejects=workspace.rejects_path).rows))
+    faults = read_rejects(spark, workspace.rejects_path).groupBy("source_file_name", "column_name", "reason", "load_id")
+    told = {"ok": F.lit(status.ok), "staged_rows": F.lit(read_staged_orders(spark, table).count())}
+    return faults.agg(F.count(F.lit(1)).alias("faults"), F.countDistinct("file_path", "line").alias("bad_lines")).withColumns(told)
+
+
 @query
 def load_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load takes the files that came since the first; a third, forced, takes all."""
@@ -405,6 +436,36 @@ def materialized_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(read_snapshot(spark, path))
 
 
+@query
+def projection_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A projection kept by file: files are added and removed between two refreshes, the second of which reads only the new."""
+    path, kept = scratch(spark, "deliveries"), scratch(spark, "projection")
+    stage = deliver_copy(spark, sf_dir, INTERNAL, path)
+    refresh_projection(spark, stage, kept)
+    early = read_projection(spark, kept).agg(F.min("source_file_name")).first()[0]
+    storage.delete(spark, f"{path}/file={early}")
+    deliver_copy(spark, sf_dir, EXTERNAL, path)
+    delta = refresh_projection(spark, stage, kept)
+    read = delta.rows.select(FILE_KEY.name).distinct()
+    if delta.rows is None or read.count() != len(delta.fresh) or not delta.gone:
+        raise RuntimeError("the refresh did not read what is new")
+    return portable(read_projection(spark, kept))
+
+
+@query
+def directory_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the log of a stage's changes has after each of three refreshes, by kind of change and delivered file."""
+    path, catalog, log = scratch(spark, "deliveries"), scratch(spark, "directory"), scratch(spark, "changes")
+    stage = deliver_copy(spark, sf_dir, INTERNAL, path)
+    refresh_with_changes(spark, stage, catalog, log, "first")
+    storage.delete(spark, path)
+    deliver_copy(spark, sf_dir, EXTERNAL, path)
+    refresh_with_changes(spark, stage, catalog, log, "second")
+    refresh_with_changes(spark, stage, catalog, log, "third")
+    found = read_directory_changes(spark, log)
+    return found.select("refresh_id", "change", "relative_path").distinct()
+
+
 # Documents
 
 

@@ -97,6 +97,17 @@ LOAD_HISTORY = T.StructType(
     ]
 )
 
+REJECTS = T.StructType(
+    [
+        T.StructField("source_file_name", T.StringType()),
+        T.StructField("file_path", T.StringType()),
+        T.StructField("line", T.LongType()),
+        T.StructField("column_name", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("text", T.StringType()),
+    ]
+)
+
 RUN_LEDGER = T.StructType(
     [
         T.StructField("process", T.StringType()),

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom import storage
-from orderloom.functions.casts import strict_sql
+from orderloom import storage, versions
+from orderloom.functions.casts import strict_sql, typed_order_columns
 from orderloom.functions.lineage import relative_file_name_sql
 from orderloom.schema import FILE_COLUMNS, ORDER_COLUMNS, ORDERS
-from orderloom.sources.csv_files import CsvFormat, ordinals, text_schema
+from orderloom.sources.csv_files import CsvFormat, ordinals, scan_csv, text_schema
+from orderloom.sources.listing import list_stage
 from orderloom.sources.stage import Stage
 
 EXTERNAL_COLUMNS = ORDER_COLUMNS[:6]
@@ -79,3 +82,56 @@ def refresh_snapshot(frame: DataFrame, path: str) -> None:
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return storage.read_table(spark, path, SNAPSHOT).select(*EXTERNAL_COLUMNS)
+
+
+# A projection kept by source file: a file that was read is not read again while its path, size and time stay the same.
+
+FILE_KEY = T.StructField("file_key", T.StringType())
+
+
+@dataclass(frozen=True)
+class ProjectionDelta:
+    """``rows`` are those of the files to read, None if there are none; ``fresh`` and ``gone`` are keys of files."""
+
+    rows: DataFrame | None
+    fresh: list[str]
+    gone: list[str]
+
+
+def _file_key() -> Column:
+    return F.md5(F.concat_ws("|", "file_path", F.col("file_size").cast("string"), F.unix_micros("file_modification_time").cast("string")))
+
+
+def projection_delta(spark: SparkSession, stage: Stage, path: str, fmt: CsvFormat = CsvFormat()) -> ProjectionDelta:
+    """What a refresh has to read and to drop. The driver compares names of files, which it lists anyway."""
+    listed = {row["key"]: row["file_path"] for row in list_stage(spark, stage).select(_file_key().alias("key"), "file_path").collect()}
+    known = versions.current(spark, path).periods
+    fresh = sorted(key for key in listed if key not in known)
+    gone = sorted(key for key in known if key not in listed)
+    if not fresh:
+        return ProjectionDelta(None, fresh, gone)
+    scanned = scan_csv(spark, stage, fmt, paths=[listed[key] for key in fresh])
+    typed = typed_order_columns([F.col(c) for c in ordinals(len(FILE_COLUMNS))])
+    return ProjectionDelta(scanned.select(*typed, "source_file_name", _file_key().alias(FILE_KEY.name)), fresh, gone)
+
+
+def refresh_projection(spark: SparkSession, stage: Stage, path: str, fmt: CsvFormat = CsvFormat()) -> ProjectionDelta:
+    """Bring the stored projection up to date: new and changed files are read, rows of files that are gone are dropped.
+
+    Readers see the former state until the new one holds, all of it at once. A bad row fails the refresh, which changes
+    nothing then.
+    """
+    versions.clean(spark, path)
+    delta = projection_delta(spark, stage, path, fmt)
+    if not delta.fresh and not delta.gone:
+        return delta
+    mark = None
+    if delta.rows is not None:
+        rows = delta.rows.withColumn(versions.PART, F.lit(versions.KEPT)).hint("rebalance", F.col(FILE_KEY.name))
+        mark = versions.write(rows, path, FILE_KEY)
+    versions.commit(spark, path, mark, empty=delta.fresh, gone=delta.gone)
+    return delta
+
+
+def read_projection(spark: SparkSession, path: str) -> DataFrame:
+    return versions.read(spark, path, SNAPSHOT, FILE_KEY).select(*EXTERNAL_COLUMNS)

@@ -1,26 +1,40 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import ABORTS, deliver, deliver_text, rows
 from orderloom.operators.flatten import flatten_orders, flatten_typed
+from orderloom.operators.load import load_csv, read_staged_orders
+from orderloom.operators.rejects import csv_rejects, read_rejects
+from orderloom.plans.ingest import process_orders
 from orderloom.sources.csv_files import CsvFormat, scan_csv
 from orderloom.sources.external import (
     create_external_table,
     drop_external_table,
     read_external_table,
+    read_projection,
     read_snapshot,
     refresh_external_table,
+    refresh_projection,
     register_snapshot,
     refresh_snapshot,
 )
 from orderloom.sources.json_files import DOCUMENT_PER_LINE, scan_json, scan_json_typed
-from orderloom.sources.listing import list_stage, read_directory, refresh_directory
+from orderloom.sources.listing import (
+    directory_changes,
+    list_stage,
+    read_directory,
+    read_directory_changes,
+    refresh_directory,
+    refresh_with_changes,
+)
 from orderloom.sources.stage import Stage
-from samples import DOCUMENT, csv_lines, csv_name
+from samples import DAYS, DOCUMENT, csv_lines, csv_name
 
 
 def test_csv_is_read_by_position_with_lineage(spark, stage):
@@ -161,3 +175,99 @@ def test_snapshot_is_replaced_also_by_nothing(spark, stage, tmp_path):
     assert spark.sql("SELECT quantity FROM ext_stored WHERE delivery_date IS NOT NULL").count() == 8
     spark.sql("DROP TABLE ext_stored")
     drop_external_table(spark, "ext_snapshot")
+
+
+# Projections kept by file, changes of a directory, rejects
+
+
+def read_files(delta):
+    return sorted(Path(unquote(urlparse(name).path)).name for name in delta.rows.inputFiles()) if delta.rows is not None else []
+
+
+def test_projection_reads_only_files_that_are_new_or_changed(spark, stage, tmp_path):
+    path = str(tmp_path / "projection")
+    assert read_projection(spark, path).count() == 0
+    for day in DAYS:
+        deliver(stage, csv_name(day), *csv_lines(day))
+    deliver(stage, "none é.csv")  # a header only
+    first = refresh_projection(spark, stage, path)
+    assert (len(first.fresh), first.gone, read_projection(spark, path).count()) == (4, [], 24)
+    again = refresh_projection(spark, stage, path)
+    assert (again.fresh, again.gone, again.rows) == ([], [], None)
+    deliver(stage, "new [1].csv", "X,2023-08-01,2023-08-02,Rye,1")
+    deliver(stage, csv_name(DAYS[0]), "Y,2023-08-01,2023-08-02,Rye,2")  # other content
+    (Path(stage.root) / csv_name(DAYS[1])).unlink()
+    second = refresh_projection(spark, stage, path)
+    assert read_files(second) == sorted(["new [1].csv", csv_name(DAYS[0])])
+    assert (len(second.fresh), len(second.gone)) == (2, 2)
+    assert read_projection(spark, path).count() == 10
+    deliver(stage, "bad.csv", "X,2023-08-01,soon,Rye,1")
+    with pytest.raises(ABORTS):
+        refresh_projection(spark, stage, path)
+    assert read_projection(spark, path).count() == 10
+    for file in Path(stage.root).glob("*"):
+        file.unlink()
+    assert len(refresh_projection(spark, stage, path).gone) == 4
+    assert read_projection(spark, path).count() == 0
+
+
+def test_changes_of_a_directory(spark, stage, tmp_path):
+    catalog, log = str(tmp_path / "catalog"), str(tmp_path / "log")
+    for name in ("a.csv", "b.csv", "c.csv"):
+        deliver(stage, name, *csv_lines("2023-08-04"))
+    assert refresh_with_changes(spark, stage, catalog, log, "1") == 3
+    assert refresh_with_changes(spark, stage, catalog, log, "2") == 0
+    deliver(stage, "a.csv", *csv_lines("2023-08-07"), *csv_lines("2023-08-08"))
+    (Path(stage.root) / "b.csv").unlink()
+    deliver(stage, "d.csv", *csv_lines("2023-08-04"))
+    assert refresh_with_changes(spark, stage, catalog, log, "3", checksums=True) == 3
+    found = read_directory_changes(spark, log).where("refresh_id = '3'")
+    assert rows(found, "relative_path", "change") == [("a.csv", "changed"), ("b.csv", "removed"), ("d.csv", "added")]
+    assert found.where("change = 'changed' AND new_size > old_size AND old_modified <= new_modified").count() == 1
+    assert rows(read_directory(spark, catalog), "relative_path") == [("a.csv",), ("c.csv",), ("d.csv",)]
+    # Checksums tell of a change that size and time do not.
+    before = read_directory(spark, catalog)
+    after = before.withColumn("md5", F.when(F.col("relative_path") != "c.csv", F.col("md5")).otherwise("0"))
+    assert rows(directory_changes(before, after), "relative_path", "change") == [("c.csv", "changed")]
+    assert directory_changes(before, before.withColumn("md5", F.lit(None).cast("string"))).count() == 0
+
+
+def test_rejects_have_places_and_reasons(spark, workspace, stage):
+    sound = "X,2023-08-01,2023-08-02,Rye,1"
+    deliver(stage, "a.csv", sound, "", "X,2023-08-01,soon,Rye,1", "X,2023-08,2023-08-02,Rye,many", "X,Y", sound + ",more", ",,,,")
+    deliver(stage, "b.csv", sound)
+    deliver(stage, "long.csv", *([sound] * 3000), "bad", *([sound] * 2000), "X,2023-08-01,2023-08-02,Rye,x")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")  # the long file in blocks
+    try:
+        with pytest.raises(ABORTS):
+            load_csv(spark, stage, workspace.internal_staging, "l1", rejects=workspace.rejects_path)
+        assert csv_rejects(spark, Stage(stage.root, "long*")).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    found = read_rejects(spark, workspace.rejects_path)
+    assert rows(found, "source_file_name", "line", "column_name", "reason") == sorted(
+        [
+            ("a.csv", 4, "delivery_date", "not date"),
+            ("a.csv", 5, "order_date", "not date"),
+            ("a.csv", 5, "quantity", "not decimal(38,0)"),
+            ("a.csv", 6, None, "number of columns"),
+            ("a.csv", 7, None, "number of columns"),
+            ("long.csv", 3002, None, "number of columns"),
+            ("long.csv", 5003, "quantity", "not decimal(38,0)"),
+        ],
+        key=repr,
+    )
+    assert {(row["table_name"], row["load_id"]) for row in found.collect()} == {("orders_stg", "l1")}
+    assert rows(found.where("line = 4"), "text") == [("X,2023-08-01,soon,Rye,1",)]
+    assert read_staged_orders(spark, workspace.internal_staging).count() == 0
+    assert csv_rejects(spark, Stage(stage.root, "b*")).count() == 0
+
+
+def test_a_run_tells_of_all_bad_rows(spark, workspace, stage):
+    deliver(stage, "a.csv", "X,2023-08-01,soon,Rye,1", "X,2023-08-01,2023-08-02,Rye,x")
+    with pytest.raises(ABORTS):
+        process_orders(spark, workspace, stage, "run")
+    assert read_rejects(spark, workspace.rejects_path).count() == 2
+    deliver(stage, "a.csv", "X,2023-08-01,2023-08-02,Rye,1")
+    assert process_orders(spark, workspace, stage, "next").merge.inserted == 1
