@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -77,17 +79,31 @@ def public_id(name: str = "doc_id") -> Column:
 def text_batches(
     batches: Iterable[pa.RecordBatch], column: str = "text"
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with at most BATCH_BYTES of text (or one row), and their texts; null is empty."""
-    for batch in batches:
-        texts = batch.column(column).cast(pa.binary())
-        sizes = pc.binary_length(texts).to_pylist()
-        start, total = 0, 0
-        for i, size in enumerate([*sizes, None]):
-            if i == len(sizes) or (total and total + (size or 0) > BATCH_BYTES):
-                if i > start:
-                    yield batch.slice(start, i - start), [text or b"" for text in texts.slice(start, i - start).to_pylist()]
-                start, total = i, 0
-            total += size or 0
+    """Slices of the batches with at most BATCH_BYTES of text (or one row), and their texts; null is empty.
+
+    Workers stay for later tasks, so what was used for the texts is given back to the system at the end.
+    """
+    try:
+        for batch in batches:
+            texts = batch.column(column).cast(pa.binary())
+            sizes = pc.binary_length(texts).to_pylist()
+            start, total = 0, 0
+            for i, size in enumerate([*sizes, None]):
+                if i == len(sizes) or (total and total + (size or 0) > BATCH_BYTES):
+                    if i > start:
+                        yield batch.slice(start, i - start), [text or b"" for text in texts.slice(start, i - start).to_pylist()]
+                    start, total = i, 0
+                total += size or 0
+    finally:
+        batch = texts = None
+        give_back_memory()
+
+
+def give_back_memory() -> None:
+    """What Arrow and the C library hold of memory that is free."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other systems have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def sha256(data: bytes) -> str:

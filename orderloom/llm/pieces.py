@@ -33,6 +33,7 @@ MARK = " "
 CHUNK = 65_536  # characters; longer texts are cut
 BLOCK = 64  # chunks whose matrices are combined in one task
 CACHED = 170_000  # words whose paths a worker keeps
+KEPT = 64  # characters of a word that is kept
 TIE = 50  # bits of a weight below the score, for squared ids
 UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 NEVER = -(1 << 400)  # below any sum
@@ -119,7 +120,7 @@ class Vocabulary:
             if len(self.words) >= CACHED:
                 self.words.clear()
             found = self.path(text)
-            if len(text) <= 64:
+            if len(text) <= KEPT:
                 self.words[text] = found
         return found
 
@@ -174,7 +175,11 @@ class Vocabulary:
             new = set(chain.from_iterable(cut))
         self.seen.update(self.learn(new))
         known = self.seen.__getitem__
-        return [np.fromiter(chain.from_iterable(map(known, units)), np.int32) for units in cut]
+        found = [np.fromiter(chain.from_iterable(map(known, units)), np.int32) for units in cut]
+        for word in new:
+            if len(word) > KEPT:
+                del self.seen[word]
+        return found
 
     def text(self, ids: Iterable[int]) -> bytes:
         return spelt_by(ids, self.raw)
@@ -242,7 +247,7 @@ def transfer(vocabulary: Vocabulary, before: str, body: str, after: str) -> list
     """The matrix of a chunk, given the character before it and ``longest - 1`` characters after it."""
     states, m = vocabulary.longest, len(body)
     text = body + after
-    starts = [0] * (before not in ("", MARK) and body[:1] == MARK) + [s for s in word_starts(text) if s < m]
+    starts = _inner_starts(before, body, text)
 
     def forward(origin: int) -> list[int]:
         best = [NEVER] * (len(text) + states + 1)
@@ -272,30 +277,86 @@ def combined(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
     ]
 
 
-def states_on_path(matrices: list[list[list[int]]], entry: int, leave: int) -> list[int]:
-    """The states at the boundaries of the chunks on the best path from one state to another."""
-    vectors = [[0 if s == entry else NEVER for s in range(len(matrices[0]))]]
+def vectors_along(matrices: list[list[list[int]]], vector: list[int]) -> list[list[int]]:
+    """The best sums from the text's start to each state, at the boundaries of the chunks."""
+    vectors = [vector]
     for matrix in matrices:
         vectors.append(combined([vectors[-1]], matrix)[0])
-    states = [leave]
-    for vector, matrix in zip(reversed(vectors[:-1]), reversed(matrices), strict=True):
-        sums = [x + row[states[-1]] if x != NEVER and row[states[-1]] != NEVER else NEVER for x, row in zip(vector, matrix, strict=True)]
-        states.append(max(range(len(sums)), key=lambda s: sums[s]))
-    return states[::-1]
+    return vectors
+
+
+def _from_entry(vocabulary: Vocabulary, text: str, vector: list[int], limit: int) -> tuple[list[int], list]:
+    """Best sums and ways back of the nodes of a text, given those of the states at its start; pieces start before the limit.
+
+    Of equal ways to a node the one whose piece starts first counts, as everywhere: one that starts before the text comes first.
+    """
+    best = [NEVER] * (len(text) + 1)
+    back: list[tuple[int, int | None] | None] = [None] * (len(text) + 1)
+    best[: len(vector)] = vector[: len(text) + 1]
+    for i in range(limit):
+        if best[i] == NEVER:
+            continue
+        for j, weight, id_ in vocabulary.arcs_from(text, i, len(text)):
+            if best[i] + weight > best[j]:
+                best[j], back[j] = best[i] + weight, (i, id_)
+    return best, back
+
 
+def _way_back(vocabulary: Vocabulary, text: str, back: list, node: int) -> tuple[int, list[int]]:
+    """The state at the start of the best path to a node, and its ids."""
+    ids: list[tuple[int, ...]] = []
+    while back[node] is not None:
+        i, id_ = back[node]
+        ids.append((id_,) if id_ is not None else vocabulary.spelt(text[i]))
+        node = i
+    return node, list(chain.from_iterable(reversed(ids)))
 
-def traced(vocabulary: Vocabulary, body: str, after: str, entry: int, leave: int) -> list[int]:
-    """A chunk's ids between its two states."""
+
+def _inner_starts(before: str, body: str, text: str) -> list[int]:
+    """Word starts within a chunk; its own start is one if a word begins there."""
+    return [0] * (before not in ("", MARK) and body[:1] == MARK) + [s for s in word_starts(text) if s < len(body)]
+
+
+def entries(vocabulary: Vocabulary, before: str, body: str, after: str, vector: list[int]) -> list[int]:
+    """For each state at a chunk's end the state at its start on the best path there, -1 if there is none.
+
+    All paths meet at the first word start, so that there the end does not matter.
+    """
+    text, states = body + after, vocabulary.longest
+    starts = _inner_starts(before, body, text)
+    if starts:
+        head = text[: starts[0]]
+        _, back = _from_entry(vocabulary, head, vector, len(head))
+        return [_way_back(vocabulary, head, back, len(head))[0]] * states
+    best, back = _from_entry(vocabulary, text, vector, len(body))
+    ends = [len(body) + s for s in range(states)]
+    return [_way_back(vocabulary, text, back, e)[0] if e < len(best) and best[e] != NEVER else -1 for e in ends]
+
+
+def traced(vocabulary: Vocabulary, before: str, body: str, after: str, vector: list[int], leave: int) -> list[int]:
+    """A chunk's ids on the best path, given the sums at its start and the state at its end."""
     text, m = body + after, len(body)
-    end = m + leave
-    starts = [s for s in word_starts(text) if entry < s < m]
-    edges = [entry, *starts]
-    ids = [vocabulary.word(text[a:b])[1] for a, b in zip(edges, edges[1:], strict=False)]
-    if edges[-1] < m:
-        ids.append(vocabulary.path(text[edges[-1] : end], m - edges[-1])[1])
+    starts = _inner_starts(before, body, text)
+    if not starts:
+        _, back = _from_entry(vocabulary, text, vector, m)
+        return _way_back(vocabulary, text, back, m + leave)[1]
+    head = text[: starts[0]]
+    _, back = _from_entry(vocabulary, head, vector, len(head))
+    ids = [_way_back(vocabulary, head, back, len(head))[1]]
+    ids += [vocabulary.word(text[a:b])[1] for a, b in zip(starts, starts[1:], strict=False)]
+    ids.append(vocabulary.path(text[starts[-1] : m + leave], m - starts[-1])[1])
     return list(chain.from_iterable(ids))
 
 
+def leaves(maps: list[list[int]], leave: int = 0) -> list[int]:
+    """The states at the ends of the chunks, from the maps of end states to start states, the last chunk's end first."""
+    result = []
+    for of_end in reversed(maps):
+        result.append(leave)
+        leave = of_end[leave]
+    return result[::-1]
+
+
 def _written(matrix: list[list[int]]) -> list[str]:
     return [str(x) for row in matrix for x in row]
 
@@ -372,62 +433,120 @@ def _giant(texts: DataFrame, vocabulary: Vocabulary, shared: Any, chunk: int) ->
             total = combined(total, matrix)
         return frame[[*key, "block"]].head(1).assign(matrix=[_written(total)])
 
-    def block_states(frame: pd.DataFrame) -> pd.DataFrame:
+    def block_vectors(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        states = states_on_path([_read(m) for m in frame["matrix"]], 0, 0)
-        return frame[[*key, "block"]].assign(entry=states[:-1], leave=states[1:])
+        first = [0] + [NEVER] * (vocabulary_states - 1)
+        vectors = vectors_along([_read(m) for m in frame["matrix"]], first)[:-1]
+        return frame[[*key, "block"]].assign(vector=[list(map(str, v)) for v in vectors])
+
+    def chunk_vectors(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("chunk")
+        vectors = vectors_along([_read(m) for m in frame["matrix"]], list(map(int, frame["vector"].iloc[0])))[:-1]
+        return frame[[*key, "chunk"]].assign(vector=[list(map(str, v)) for v in vectors])
+
+    def chunk_entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            columns = (frame[name] for name in ("before", "body", "after", "vector"))
+            found = [entries(shared.value, b, t, a, list(map(int, v))) for b, t, a, v in zip(*columns, strict=True)]
+            yield frame[[*key, "chunk"]].assign(of_end=found)
 
-    def chunk_states(frame: pd.DataFrame) -> pd.DataFrame:
+    def chunk_leaves(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("chunk")
-        states = states_on_path([_read(m) for m in frame["matrix"]], int(frame["entry"].iloc[0]), int(frame["leave"].iloc[0]))
-        return frame[[*key, "chunk"]].assign(entry=states[:-1], leave=states[1:])
+        return frame[[*key, "chunk"]].assign(leave=leaves(frame["of_end"].tolist()))
 
     def back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [
-                traced(shared.value, body, after, entry, leave)
-                for body, after, entry, leave in zip(frame["body"], frame["after"], frame["entry"], frame["leave"], strict=True)
-            ]
+            columns = (frame[name] for name in ("before", "body", "after", "vector", "leave"))
+            found = [traced(shared.value, b, t, a, list(map(int, v)), e) for b, t, a, v, e in zip(*columns, strict=True)]
             yield frame[[*key, "chunk"]].assign(ids=found)
 
-    keys = "doc_id long, text_hash int"
+    keys, vocabulary_states = "doc_id long, text_hash int", vocabulary.longest
     by_chunk = stored(
         chunks.repartition(*key, "chunk").mapInPandas(matrices, f"{keys}, chunk int, block int, matrix array<string>"), "matrices"
     )
     by_block = by_chunk.groupBy(*key, "block").applyInPandas(product, f"{keys}, block int, matrix array<string>")
-    of_blocks = by_block.groupBy(*key).applyInPandas(block_states, f"{keys}, block int, entry int, leave int")
-    of_chunks = (
+    of_blocks = by_block.groupBy(*key).applyInPandas(block_vectors, f"{keys}, block int, vector array<string>")
+    vectors = (
         by_chunk.join(of_blocks, [*key, "block"])
         .groupBy(*key, "block")
-        .applyInPandas(chunk_states, f"{keys}, chunk int, entry int, leave int")
+        .applyInPandas(chunk_vectors, f"{keys}, chunk int, vector array<string>")
     )
-    ids = chunks.join(of_chunks, [*key, "chunk"]).mapInPandas(back, f"{keys}, chunk int, ids array<int>")
+    entered = stored(chunks.join(vectors, [*key, "chunk"]), "entered")
+    of_ends = entered.repartition(*key, "chunk").mapInPandas(chunk_entries, f"{keys}, chunk int, of_end array<int>")
+    # A few numbers for each chunk of a text.
+    ends = of_ends.groupBy(*key).applyInPandas(chunk_leaves, f"{keys}, chunk int, leave int")
+    ids = entered.join(ends, [*key, "chunk"]).mapInPandas(back, f"{keys}, chunk int, ids array<int>")
     ordered = F.sort_array(F.collect_list(F.struct("chunk", "ids")))
     return ids.groupBy(*key).agg(F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
 
 
+def _parts(docs: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of texts up to a chunk, and of longer ones if there are any: ``row`` (the other columns) and ``text``."""
+    row = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
+    long = F.char_length(F.coalesce("text", F.lit(""))) >= chunk
+    giant = docs.where(long)
+    return docs.where(~long).select(row, "text"), None if giant.isEmpty() else giant.select(*row_key(), row, "text")
+
+
+def _giant_rows(rows: DataFrame, vocabulary: Vocabulary, shared: Any, chunk: int) -> DataFrame:
+    ids = _giant(rows.select("doc_id", "text_hash", "text"), vocabulary, shared, chunk)
+    return rows.join(ids, ["doc_id", "text_hash"]).select("row", "text", "ids")
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary | None = None, chunk: int = CHUNK) -> DataFrame:
     """``row`` (the document's columns but the text, as a struct), ``text`` and ``ids``.
 
-    Null and empty texts have no ids. The vocabulary, of a fixed size, goes to every worker once.
+    Null and empty texts have no ids. The vocabulary, of a fixed size, goes to every worker once. Where a text is cut makes no
+    difference to its ids.
     """
-    spark = docs.sparkSession
     sized_for(docs)
     vocabulary = vocabulary or load_vocabulary()
-    shared = spark.sparkContext.broadcast(vocabulary)
-    row = F.struct(*(c for c in docs.columns if c != "text")).alias("row")
-    long = F.char_length(F.coalesce("text", F.lit(""))) >= chunk
-    short_rows = docs.where(~long).select(row, "text")
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    short, giant = _parts(docs, chunk)
     fields = [
-        T.StructField("row", short_rows.schema["row"].dataType),
+        T.StructField("row", short.schema["row"].dataType),
         T.StructField("text", T.StringType()),
         T.StructField("ids", T.ArrayType(T.IntegerType())),
     ]
-    short = short_rows.mapInArrow(_whole(shared), T.StructType(fields))
-    long_rows = docs.where(long).select(*row_key(), row, "text")
-    long_ids = _giant(long_rows.select("doc_id", "text_hash", "text"), vocabulary, shared, chunk)
-    giant = long_rows.join(long_ids, ["doc_id", "text_hash"]).select("row", "text", "ids")
-    return short.unionByName(giant)
+    encoded = short.mapInArrow(_whole(shared), T.StructType(fields))
+    return encoded if giant is None else encoded.unionByName(_giant_rows(giant, vocabulary, shared, chunk))
+
+
+def _checked(shared: Any, encoded: bool):
+    """``row``, ``ids`` and whether they spell the text; the ids are there already, or are found here."""
+
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
+        for batch, texts in text_batches(batches):
+            if encoded:
+                ids = batch.column("ids")
+                found = [x.values.to_numpy() if x.is_valid else np.zeros(0, np.int32) for x in ids]
+            else:
+                found = vocabulary.ids([prepared(text) for text in texts])
+                offsets = np.cumsum([0] + [len(x) for x in found])
+                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found), pa.int32()))
+            same = [spelt_by(x.tolist(), vocabulary.raw) == text for x, text in zip(found, texts, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), ids, pa.array(same, pa.bool_())], ["row", "ids", "round_trip"])
+
+    return rows
+
+
+def encode_and_check(docs: DataFrame, vocabulary: Vocabulary | None = None, chunk: int = CHUNK) -> DataFrame:
+    """``row``, ``ids`` and ``round_trip``: whether the ids decode to the text. One worker does all, and no text goes back."""
+    sized_for(docs)
+    vocabulary = vocabulary or load_vocabulary()
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    short, giant = _parts(docs, chunk)
+    fields = [
+        T.StructField("row", short.schema["row"].dataType),
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("round_trip", T.BooleanType()),
+    ]
+    checked = short.mapInArrow(_checked(shared, False), T.StructType(fields))
+    if giant is None:
+        return checked
+    found = _giant_rows(giant, vocabulary, shared, chunk)
+    return checked.unionByName(found.mapInArrow(_checked(shared, True), T.StructType(fields)))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, ids: str = "ids") -> DataFrame:
@@ -449,23 +568,21 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary | None = None, ids: str =
 
 def piece_digest(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """Per document: ``doc_id``, ``n_tokens``, ``ids_sha256`` (ids joined by commas) and ``round_trip``."""
-    vocabulary = load_vocabulary(model)
-    rows = decode(encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
+    rows = encode_and_check(docs.select("doc_id", "text"), load_vocabulary(model))
     return rows.select(
         F.col("row")["doc_id"].alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        "round_trip",
     )
 
 
 def as_tokens(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """Per document: its columns but the text, and ``ids``, ``n_tokens`` and ``round_trip`` (decoding gives the text)."""
-    vocabulary = load_vocabulary(model)
-    rows = decode(encode(docs, vocabulary), vocabulary)
-    return rows.select(
-        "row.*",
-        "ids",
-        F.size("ids").cast("long").alias("n_tokens"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
-    )
+    """Per document: its columns but the text, and ``ids``, ``n_tokens`` and ``round_trip`` (decoding gives the text).
+
+    These take the place of columns of their names.
+    """
+    rows = encode_and_check(docs, load_vocabulary(model))
+    new = {"ids": F.col("ids"), "n_tokens": F.size("ids").cast("long"), "round_trip": F.col("round_trip")}
+    own = [name for name in docs.columns if name not in ("text", *new)]
+    return rows.select(*(F.col("row")[name].alias(name) for name in own), *(column.alias(name) for name, column in new.items()))

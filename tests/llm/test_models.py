@@ -62,12 +62,15 @@ def test_chunks_give_the_path_of_the_whole(chunk):
             for matrix in reversed(matrices[:-1]):
                 right = pieces.combined(matrix, right)
             assert left[0][0] == right[0][0] == vocabulary.path(text)[0]
-            states = pieces.states_on_path(matrices, 0, 0)
+            vectors = pieces.vectors_along(matrices, [0] + [pieces.NEVER] * (vocabulary.longest - 1))[:-1]
+            maps = [pieces.entries(vocabulary, *part, vector) for part, vector in zip(parts, vectors, strict=True)]
+            ends = pieces.leaves(maps)
             ids = [
                 i
-                for (_, body, after), a, b in zip(parts, states, states[1:], strict=False)
-                for i in pieces.traced(vocabulary, body, after, a, b)
+                for part, vector, leave in zip(parts, vectors, ends, strict=True)
+                for i in pieces.traced(vocabulary, *part, vector, leave)
             ]
+            assert ids == list(vocabulary.path(text)[1])
             assert vocabulary.text(ids) == text.encode()[1:]
             weights = {id_: weight for id_, weight in vocabulary.arcs.values()}
             # Bytes come in runs of one unknown character each.
@@ -107,6 +110,45 @@ def test_round_trip_of_short_and_giant_texts(spark, documents):
     assert pieces.piece_digest(documents()).count() == 0
 
 
+def chunked_ids(vocabulary, text, chunk):
+    """The steps of giant texts one after the other."""
+    edges = [*range(0, len(text) - vocabulary.longest, chunk), len(text)]
+    parts = [
+        (text[a - 1 : a] if a else "", text[a:b], text[b : b + vocabulary.longest - 1]) for a, b in zip(edges, edges[1:], strict=False)
+    ]
+    matrices = [pieces.transfer(vocabulary, *part) for part in parts]
+    vectors = pieces.vectors_along(matrices, [0] + [pieces.NEVER] * (vocabulary.longest - 1))[:-1]
+    maps = [pieces.entries(vocabulary, *part, vector) for part, vector in zip(parts, vectors, strict=True)]
+    ends = pieces.leaves(maps)
+    return [i for part, v, e in zip(parts, vectors, ends, strict=True) for i in pieces.traced(vocabulary, *part, v, e)]
+
+
+@needs_model
+@pytest.mark.parametrize("run", ["-", "x", "a", ".", "=", "ab"])
+def test_runs_of_one_character_are_cut_without_a_difference(run):
+    """Such runs have many paths of one score, which only the order of pieces tells apart."""
+    vocabulary = pieces.load_vocabulary()
+    for length in (1999, 2000, 2003):
+        text = pieces.prepared((run * length)[:length].encode())
+        wanted = vocabulary.ids([text])[0].tolist()
+        for chunk in (500, 501, 502, 503, 504):
+            assert chunked_ids(vocabulary, text, chunk) == wanted
+
+
+@needs_model
+def test_ids_do_not_hang_on_the_chunk(spark, documents):
+    texts = {i: (run * 65_700)[:length] for i, (run, length) in enumerate(zip("-xa.", (65_530, 65_600, 65_645, 65_700), strict=True))}
+    texts |= {9: None, 10: "", 11: "short"}
+    docs = documents(*texts.items()).withColumnsRenamed({"lang": "ids", "source": "n_tokens"}).withColumn("round_trip", F.lit(7))
+    vocabulary = pieces.load_vocabulary()
+    found = pieces.as_tokens(docs)
+    assert found.columns == ["doc_id", "n_chars", "ids", "n_tokens", "round_trip"]
+    for row in found.collect():
+        assert row["ids"] == vocabulary.ids([pieces.prepared((texts[row["doc_id"]] or "").encode())])[0].tolist()
+        assert row["round_trip"] and row["n_tokens"] == len(row["ids"])
+    assert all(len(word) <= pieces.KEPT for word in vocabulary.seen)
+
+
 @needs_model
 def test_units_are_parts_that_no_piece_joins():
     vocabulary, r = pieces.load_vocabulary(), random.Random(4)
