@@ -66,6 +66,19 @@ def row_key() -> list[Column]:
     ]
 
 
+def set_aside(docs: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with columns of these names, which an operator needs for itself, renamed, and how to name them back."""
+    taken, back = {name.lower() for name in docs.columns}, {}
+    for name in docs.columns:
+        if name.lower() in names:
+            free = f"own{name}"
+            while free.lower() in taken:
+                free = f"own_{free}"
+            taken.add(free.lower())
+            back[free] = name
+    return docs.withColumnsRenamed({name: free for free, name in back.items()}), back
+
+
 def keyed(docs: DataFrame, *columns: Column) -> DataFrame:
     """The row's key, its text (null: empty) and more columns."""
     return docs.select(*row_key(), F.coalesce("text", F.lit("")).alias("text"), *columns)

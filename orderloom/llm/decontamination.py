@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import public_id, row_key, sized_for, stored
+from orderloom.llm.common import public_id, row_key, set_aside, sized_for, stored
 
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of texts before lower-casing; the words keep A-Z
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -193,8 +193,10 @@ def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated."""
+    docs, back = set_aside(docs, "_gone_id", "_gone_hash")
     found = contamination(docs, items).where("contaminated").select(
         F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")
     )
     doc_id, text_hash = row_key()
-    return docs.join(found.distinct(), (doc_id == F.col("_gone_id")) & (text_hash == F.col("_gone_hash")), "left_anti")
+    gone = (doc_id == F.col("_gone_id")) & (text_hash == F.col("_gone_hash"))
+    return docs.join(found.distinct(), gone, "left_anti").withColumnsRenamed(back)

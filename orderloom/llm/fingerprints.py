@@ -13,7 +13,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import sized_for
+from orderloom.llm.common import set_aside, sized_for
 
 ROWS_A_BLOCK = 5_000
 MOST_BLOCKS = 4096  # with more rows, blocks are larger; about three times as many heads are sent to the driver at most
@@ -138,10 +138,11 @@ def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
     Rows without id come last, and rows of one id by their text's hash. Rows are ordered within blocks of ids and hashes;
     the first row of each block is copied into the block before, so that no task sees all rows.
     """
+    docs, back = set_aside(docs, "_order", "_hash", "_block", "_place", "_head", "_minus", "_to")
     by_block = Window.partitionBy("_place.block").orderBy("_place.guest", F.desc("_order"), F.hash("text"))
     return _placed(docs).select(
         *docs.columns, "_place", *(F.lead(name).over(by_block).alias(f"next_{name}") for name in carried)
-    ).where("not _place.guest").drop("_place")
+    ).where("not _place.guest").drop("_place").withColumnsRenamed(back)
 
 
 def fingerprint_digest(docs: DataFrame, n: int = 5, fraction: int = 2) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import keyed, public_id, row_key, sized_for, stored, text_batches
+from orderloom.llm.common import keyed, public_id, row_key, set_aside, sized_for, stored, text_batches
 from orderloom.llm.components import components
 from orderloom.llm.words import mix, shingle_set, split_words
 
@@ -273,7 +273,8 @@ def near_duplicate_digest(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, words_each: int = 5, percent: int = 80) -> DataFrame:
     """The documents, without those that are not their component's least id. Rows without id all stay, and link nothing."""
+    docs, back = set_aside(docs, "_gone_id")
     known = docs.where("doc_id is not null")
     found = near_duplicates(known, words_each, percent).where("doc_id <> component_id")
     gone = found.select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, row_key()[0] == F.col("_gone_id"), "left_anti")
+    return docs.join(gone, row_key()[0] == F.col("_gone_id"), "left_anti").withColumnsRenamed(back)
