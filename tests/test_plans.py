@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import contextlib
+import json
 import re
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import deliver_text, rows
 from orderloom import session, versions
 from orderloom.operators.flatten import flatten_orders
+from orderloom.operators.load import load_json, read_staged_documents
 from orderloom.operators.merge import MERGE_KEYS, matched_keys, merge_orders, plan_merge, reduce_to_winners
 from orderloom.operators.summary import summarise
 from orderloom.plans.feed import LINES_PER_DOCUMENT, documents, order_feed, write_csv_delivery
 from orderloom.queries import QUERIES
 from orderloom.schema import ORDERS
 from orderloom.storage import OrderTable
+from samples import DOCUMENT
 
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -290,3 +294,21 @@ def test_readers_see_whole_versions_between_all_steps(spark, tmp_path, monkeypat
     assert spark.sql("SELECT * FROM steps.orders").columns == [*ORDERS.fieldNames(), "delivery_period"]
     versions.drop_named(spark, "steps.orders")
     spark.sql("DROP DATABASE steps CASCADE")
+
+
+def test_staged_documents_are_shredded_and_read_by_field(spark, workspace, stage):
+    """A query of two fields reads their own parquet columns of the raw staging table, not the documents."""
+    for number in range(3):
+        deliver_text(stage, f"{number}.json", json.dumps(DOCUMENT))
+    load_json(spark, stage, workspace.document_staging, "l1")
+    file = next(Path(workspace.document_staging.path).rglob("*.parquet"))
+    group = pq.ParquetFile(file).metadata.row_group(0)
+    columns = {column.path_in_schema: column for column in map(group.column, range(group.num_columns))}
+    assert "customer_orders.typed_value.Customer.typed_value" in columns
+    assert "customer_orders.typed_value.Orders.typed_value.list.element.typed_value.Delivery date.typed_value" in columns
+    staged = read_staged_documents(spark, workspace.document_staging)
+    fields = staged.selectExpr("variant_get(customer_orders, '$.Customer', 'string') AS customer")
+    read = re.search(r"ReadSchema: struct<customer_orders:struct<0:string>>", fields._jdf.queryExecution().executedPlan().toString())
+    assert read and {row["customer"] for row in fields.collect()} == {DOCUMENT["Customer"]}
+    own = columns["customer_orders.typed_value.Customer.typed_value"].total_compressed_size
+    assert own < sum(column.total_compressed_size for path, column in columns.items() if path.startswith("customer_orders")) / 4
