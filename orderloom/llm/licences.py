@@ -7,7 +7,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from pathlib import Path
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -97,7 +97,11 @@ _TITLES = {
 
 def known() -> tuple[dict[str, list[str]], dict[str, list[str]]]:
     """What is scanned for by default: notices, headers and whole texts, and phrases that count word for word only."""
-    texts = {file.stem: file.read_text("utf-8") for file in (Path(__file__).parent / "licence_texts").glob("*.txt")}
+    # As resources of the package, which may be imported from an archive.
+    files = [file for file in resources.files(__package__).joinpath("licence_texts").iterdir() if file.name.endswith(".txt")]
+    if not files:
+        raise FileNotFoundError("the licence texts were not packaged")
+    texts = {file.name.removesuffix(".txt"): file.read_text("utf-8") for file in files}
     alike = {name: [x[name] for x in (TEMPLATES, HEADERS, texts) if name in x] for name in {*TEMPLATES, *HEADERS, *texts}}
     phrases = {name: [under.format(x) for x in names for under in _UNDER] for name, names in NAMES.items()}
     for name, titles in _TITLES.items():

@@ -1,9 +1,15 @@
-"""Columns of a caller's that have the names of an operator's own."""
+"""Columns of a caller's that have the names of an operator's own, and files that come with the package."""
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+import zipfile
+from pathlib import Path
+
 from tables import documents  # noqa: F401
-from orderloom.llm import decontamination, fingerprints, near_dedup
+from orderloom.llm import decontamination, fingerprints, licences, near_dedup
 
 
 def with_columns(docs, *names):
@@ -31,3 +37,16 @@ def test_next_rows_keep_such_columns(documents):
     assert sorted((r["doc_id"], r["_order"], r["_place"], r["next_text"]) for r in found.collect()) == [
         (1, 101, 401, "c"), (5, 105, 405, "a"), (9, 109, 409, "b"),
     ]
+
+
+def test_licence_texts_are_found_in_an_archive(tmp_path):
+    """As ``--py-files`` ships the package."""
+    root = Path(licences.__file__).parents[2]
+    archive = tmp_path / "package.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in (root / "orderloom").rglob("*"):
+            if file.suffix in (".py", ".txt"):
+                packed.write(file, file.relative_to(root))
+    code = "from orderloom.llm import licences as x; print(x.__file__, sum(map(len, x.known()[0].values())))"
+    told = subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYTHONPATH": str(archive)}, cwd=tmp_path, capture_output=True, text=True)
+    assert ".zip" in told.stdout and int(told.stdout.split()[-1]) == sum(map(len, licences.known()[0].values()))
