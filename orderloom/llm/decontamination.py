@@ -14,14 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import public_id, row_key, set_aside, sized_for, stored
+from orderloom.llm.common import public_id, row_key, set_aside, sized_for, stored, stored_with
 
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of texts before lower-casing; the words keep A-Z
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 13
 SHINGLE = 4
-FILTER_LONGS = 4096  # fixed size of the filter on shingles, whatever the size of the benchmark
-PROBES = 4
+MOST_SENT = 1 << 20  # shingles that are broadcast at most, some 30 MB in a task's memory
 
 
 def _words(text: Column) -> Column:
@@ -32,13 +31,8 @@ def _shingle(hashes: Column, at: Column, size: int) -> Column:
     return F.xxhash64(F.lit(size), *(F.get(hashes, at + j) for j in range(size)))
 
 
-def _bits(shingle: Column) -> list[tuple[Column, Column]]:
-    """Which long and which of its bits, for each probe."""
-    places = []
-    for probe in range(PROBES):
-        place = F.pmod(F.shiftright(shingle, 15 * probe), F.lit(FILTER_LONGS * 64))
-        places.append((F.shiftright(place, 6).cast("int"), place.bitwiseAND(F.lit(63)).cast("int")))
-    return places
+def _every_shingle(hashes: str, size: int) -> Column:
+    return F.transform(hashes, lambda _, i: _shingle(F.col(hashes), i, size))
 
 
 def _windows(items: DataFrame) -> DataFrame:
@@ -63,56 +57,41 @@ def _shingled(windows: DataFrame) -> DataFrame:
     return rows.select("window", "n", "size", "offset", shingle.alias("shingle"))
 
 
-def _filter_of(shingled: DataFrame) -> Column:
-    """A Bloom filter of the shingles as an array of FILTER_LONGS longs."""
-    places = F.array(*(F.struct(long.alias("long"), bit.alias("bit")) for long, bit in _bits(F.col("shingle"))))
-    rows = (
-        shingled.select(F.explode(places).alias("p"))
-        .groupBy("p.long")
-        .agg(F.bit_or(F.expr("shiftleft(1L, p.bit)")).alias("bits"))
-        .collect()  # FILTER_LONGS rows at most
-    )
-    longs = dict.fromkeys(range(FILTER_LONGS), 0) | {row["long"]: row["bits"] for row in rows}
-    return F.split(F.lit(",".join(str(longs[i]) for i in range(FILTER_LONGS))), ",").cast("array<bigint>")
-
-
-def _passes(bloom: Column, shingle: Column) -> Column:
-    passes = F.lit(True)
-    for long, bit in _bits(shingle):
-        passes = passes & (F.getbit(F.get(bloom, long), bit) == 1)
-    return passes
-
-
 def _spots(docs: DataFrame, shingled: DataFrame) -> DataFrame:
-    """Document positions that hold a shingle of the benchmark, with the words around them."""
-    bloom = _filter_of(shingled)
+    """Document positions that hold a shingle of the benchmark, with the words around them.
+
+    Up to MOST_SENT shingles are sent to all tasks, and the words stay where they are. Beyond that positions and shingles
+    are shuffled, without words, which are joined with the positions found.
+    """
+    shingles, seen = stored_with(shingled.select("shingle").distinct(), "benchmark", n=F.count(F.lit(1)))
     sizes = sorted(row["size"] for row in shingled.select("size").distinct().collect())  # SHINGLE rows at most
     reach = WINDOW - 1
-    hashed = docs.select(
-        *row_key(), "text", F.transform(_words(F.translate("text", UPPER, LOWER)), lambda w: F.xxhash64(w)).alias("h")
+    worded = docs.select(*row_key(), _words(F.translate("text", UPPER, LOWER)).alias("words"))
+    hashed = worded.select("doc_id", "text_hash", "words", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    # A list of shingles for each size, one behind the other, all as long as the text. Not filtered before it is exploded:
+    # that would be pushed down, and the words cut twice.
+    every = F.concat(*(_every_shingle("h", size) for size in sizes or [SHINGLE]))
+    listed = hashed.select("doc_id", "text_hash", "words", F.size("words").alias("n_words"), every.alias("every"))
+    places = listed.select(
+        "doc_id", "text_hash", "words", "n_words", F.posexplode_outer("every").alias("place", "shingle")
     )
-
-    def found(size: int) -> Column:
-        shingle = lambda _, i: F.struct(i.alias("position"), _shingle(F.col("h"), i, size).alias("shingle"))
-        return F.filter(F.transform("h", shingle), lambda x: _passes(bloom, x["shingle"]))
-
-    # No filter on ``found`` before it is exploded: it would be pushed down, and the words cut anew for every position.
-    some = hashed.select("doc_id", "text_hash", "text", F.concat(*map(found, sizes or [SHINGLE])).alias("found"))
-    words = some.select(
-        "doc_id", "text_hash", "found", F.when(F.size("found") > 0, _words(F.col("text"))).alias("words")
-    )
-    spots = words.select("doc_id", "text_hash", "words", F.explode_outer("found").alias("spot")).where("spot is not null")
-    first = F.greatest(F.col("spot.position") - reach, F.lit(0))
-    around = spots.select(
+    if seen["n"] <= MOST_SENT:
+        spots = places.join(F.broadcast(shingles), "shingle", "left_semi")
+    else:
+        slim = places.select("doc_id", "text_hash", "place", "shingle").join(shingles, "shingle", "left_semi")
+        texts = worded.select("doc_id", "text_hash", "words", F.size("words").alias("n_words"))
+        spots = stored(slim.distinct(), "positions").join(texts, ["doc_id", "text_hash"])
+    position = F.col("place") % F.col("n_words")
+    first = F.greatest(position - reach, F.lit(0))
+    return spots.select(
         "doc_id",
         "text_hash",
-        "spot.position",
-        "spot.shingle",
-        F.size("words").alias("n_words"),
+        position.alias("position"),
+        "shingle",
+        "n_words",
         first.alias("first"),
         F.slice("words", first + 1, F.lit(2 * reach + 1)).alias("around"),
     )
-    return around.join(shingled.select("shingle").distinct(), "shingle", "left_semi")
 
 
 def window_hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +110,7 @@ def window_hits(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame
         .select("window", "n", "prefix.offset", "prefix.shingle")
     )
     start = F.col("position") - F.col("offset")
-    same = F.translate(F.array_join(F.slice("around", F.col("start") - F.col("first") + 1, F.col("n")), " "), UPPER, LOWER)
+    same = F.array_join(F.slice("around", F.col("start") - F.col("first") + 1, F.col("n")), " ")
     hits = (
         spots.join(rarest, "shingle")
         .withColumn("start", start)

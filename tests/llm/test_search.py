@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 import brute
@@ -10,7 +11,9 @@ from tables import documents  # noqa: F401
 from orderloom.llm import decontamination, fingerprints, licences, oracles, sharding
 
 
-def test_contamination_against_brute_force(spark, documents):
+@pytest.mark.parametrize("sent", [decontamination.MOST_SENT, 0])
+def test_contamination_against_brute_force(spark, documents, monkeypatch, sent):
+    monkeypatch.setattr(decontamination, "MOST_SENT", sent)
     r = random.Random(1)
     word = lambda: r.choice(["the", "of", "Éa", "éa", "x1", "KEY"]) + r.choice(["", "n", "É"])
     items = [(i, " ".join(word() for _ in range(r.randint(1, 30)))) for i in range(12)]
@@ -33,7 +36,20 @@ def test_contamination_against_brute_force(spark, documents):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, x in wanted.items() if not x[3])
 
 
-def test_contamination_of_repeated_rows_and_empty_tables(spark, documents):
+def test_only_positions_of_the_benchmark_are_kept(spark, documents):
+    """A benchmark of many foreign items costs no position of the documents."""
+    r = random.Random(3)
+    item = lambda: " ".join(f"f{r.randrange(10**6)}" for _ in range(60))
+    items = spark.createDataFrame([(i, item()) for i in range(2000)] + [(9999, "known words of one")], "item_id long, text string")
+    docs = documents(*((d, " ".join(f"w{r.randrange(1000)}" for _ in range(200))) for d in range(100)), (100, "a known words of one b"))
+    shingled = decontamination._shingled(decontamination._windows(items))
+    spots = decontamination._spots(docs, shingled).select("doc_id", "position", "n_words").collect()
+    assert [tuple(row) for row in spots] == [(100, 1, 6)]
+
+
+@pytest.mark.parametrize("sent", [decontamination.MOST_SENT, 0])
+def test_contamination_of_repeated_rows_and_empty_tables(spark, documents, monkeypatch, sent):
+    monkeypatch.setattr(decontamination, "MOST_SENT", sent)
     passage = " ".join(f"w{i}" for i in range(20))
     items = spark.createDataFrame([(1, passage), (1, passage)], "item_id long, text string")
     docs = documents((4, passage), (4, passage), (None, "a " + passage), (4, "clean"))
