@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schema import DOCUMENT, FILE_FIELDS, ORDERS, with_fields
+from orderloom.sources.json_cut import cut_documents
 from orderloom.sources.stage import LINEAGE, Stage, empty_scan
 
 DOCUMENT_PER_FILE = "document"
 DOCUMENT_PER_LINE = "lines"
+DOCUMENT_CUT = "cut"  # a document per file, cut into one for each of its orders' days
 
 
 def scan_json(
@@ -24,17 +26,24 @@ def scan_json(
     """One variant row ``customer_orders`` per document; malformed text aborts.
 
     A file holding one document is read whole by one task, which a variant's size limit bounds. Large deliveries
-    should be written one document per line: such files are split. ``paths``, file URIs, read only some of the stage's
-    files.
+    should be written one document per line, as such files are split, or be read with ``DOCUMENT_CUT``, which gives a
+    document for each delivery day, that flatten to the same rows (batches only). ``paths``, file URIs, read only some of
+    the stage's files.
     """
-    if layout not in (DOCUMENT_PER_FILE, DOCUMENT_PER_LINE):
+    if layout not in (DOCUMENT_PER_FILE, DOCUMENT_PER_LINE, DOCUMENT_CUT):
         raise ValueError(f"unknown layout {layout!r}")
+    if streaming and layout == DOCUMENT_CUT:
+        raise ValueError("a stream does not cut documents")
     location = stage.location(spark, prefix) if paths is None else stage.readable(paths)
     if not location:
         return empty_scan(spark, "customer_orders variant")
-    reader = spark.readStream if streaming else spark.read
-    whole = str(layout == DOCUMENT_PER_FILE).lower()
-    text = reader.format("text").options(**stage.options(), wholetext=whole, **extra).load(location)
+    if layout == DOCUMENT_CUT:
+        text, lineage = cut_documents(spark, stage, location), LINEAGE
+    else:
+        reader = spark.readStream if streaming else spark.read
+        whole = str(layout == DOCUMENT_PER_FILE).lower()
+        text = reader.format("text").options(**stage.options(), wholetext=whole, **extra).load(location)
+        lineage = stage.lineage(spark)
     # The parser stops after the first value, so what follows would be lost unseen. The text is parsed as one of two
     # fields, the other being the text's hash, which no text can hold itself: if the text ends its value early, the object
     # has no such field, or other fields.
@@ -43,7 +52,7 @@ def scan_json(
             F.concat(F.lit('{"document":'), "value", F.lit(',"end":"'), F.sha2("value", 256), F.lit('"}'))
         ).alias("framed"),
         F.sha2("value", 256).alias("end"),
-        *stage.lineage(spark),
+        *lineage,
     )
     fields = F.map_keys(F.variant_get(F.col("framed"), "$", "map<string,variant>"))
     whole_text = (F.size(fields) == 2) & F.try_variant_get(F.col("framed"), "$.end", "string").eqNullSafe(F.col("end"))
