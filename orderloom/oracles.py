@@ -158,6 +158,13 @@ WHERE channel = '{DOCUMENTS}'""",
   CAST(sum(quantity) AS BIGINT) AS total_quantity
 FROM feed JOIN nation ON n_name = customer JOIN region ON n_regionkey = r_regionkey
 WHERE channel = '{DOCUMENTS}' GROUP BY r_name, feed.order_date, feed.delivery_date""",
+    "json_giant_documents": f"""WITH {FEED}, placed AS (
+  SELECT r_name AS customer, feed.order_date, feed.delivery_date, quantity
+  FROM feed JOIN nation ON n_name = customer JOIN region ON n_regionkey = r_regionkey)
+SELECT customer, CAST(first_date AS VARCHAR) AS order_date, CAST(delivery_date AS VARCHAR) AS delivery_date,
+  count(*) AS items, CAST(sum(quantity) AS BIGINT) AS total_quantity
+FROM placed JOIN (SELECT customer, min(order_date) AS first_date FROM placed GROUP BY customer) USING (customer)
+GROUP BY customer, first_date, delivery_date""",
     "combined_union": _COMBINED,
     "registered_views": f"""WITH {STAGED} SELECT source_file_name, CAST(delivery_date AS VARCHAR) AS delivery_date,
   count(*) AS order_rows, CAST(sum(quantity) AS BIGINT) AS total_quantity

@@ -6,7 +6,7 @@ the ship date the delivery day. The market segment decides which of three channe
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schema import QUANTITY
@@ -142,3 +142,46 @@ def stage_of(path: str, channel: str | None = None) -> Stage:
     """The delivery as a stage: of one channel, or whole."""
     root = path if channel is None else f"{path}/channel={channel}"
     return Stage(root, delivery=DELIVERY)
+
+
+def write_giant_documents(spark: SparkSession, sf_dir: str, feed: DataFrame, path: str) -> None:
+    """One file, of one document, for each region, with a day entry for each order and delivery day.
+
+    The document grows with the data, but is never put together: its entries are sorted and written as lines.
+    """
+    nations, regions = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("nation", "region"))
+    customers = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("customer"), F.col("r_name").alias("region")
+    )
+    item = F.struct(F.col("baked_good_type").alias("Baked good type"), F.col("quantity").alias("Quantity"))
+    days = (
+        feed.join(customers, "customer")
+        .groupBy("region", "delivery_date", "l_orderkey")
+        .agg(F.collect_list(item).alias("items"), F.min("order_date").alias("order_date"))
+    )
+    ends = days.groupBy("region").agg(
+        F.min("order_date").alias("order_date"), F.min(F.struct("delivery_date", "l_orderkey")).alias("first")
+    )  # a row for each region
+    is_first = (F.col("delivery_date") == F.col("first.delivery_date")) & (F.col("l_orderkey") == F.col("first.l_orderkey"))
+    entry = F.to_json(F.struct(F.col("delivery_date").alias("Delivery date"), F.col("items").alias("Orders by day")))
+    order = ["region", "place", "delivery_date", "l_orderkey"]
+    entries = days.drop("order_date").join(ends, "region").select(
+        "region",
+        F.lit(1).alias("place"),
+        "delivery_date",
+        "l_orderkey",
+        F.concat(F.when(is_first, F.lit("")).otherwise(F.lit(",")), entry).alias("value"),
+    )
+
+    def frame(place: int, value: Column) -> DataFrame:
+        no_day, no_order = F.lit(None).cast("date"), F.lit(None).cast("long")
+        return ends.select(
+            "region", F.lit(place).alias("place"), no_day.alias("delivery_date"), no_order.alias("l_orderkey"), value.alias("value")
+        )
+
+    named = F.to_json(F.struct(F.col("region").alias("Customer"), F.col("order_date").alias("Order date")))
+    head = frame(0, F.concat(F.regexp_replace(named, r"\}$", ""), F.lit(',"Orders":[')))
+    lines = entries.unionByName(head).unionByName(frame(2, F.lit("]}")))
+    # A file is written by one task, row by row.
+    ordered = lines.repartition(partitions_for(spark, feed), "region").sortWithinPartitions(*order)
+    ordered.select("value", "region").write.partitionBy("region").text(path)

@@ -57,6 +57,7 @@ from orderloom.plans.feed import (
     stage_of,
     write_csv_delivery,
     write_document_files,
+    write_giant_documents,
     write_json_delivery,
 )
 from orderloom.plans.ingest import load_feeds, process_combined, process_orders
@@ -77,7 +78,7 @@ from orderloom.sources.external import (
     refresh_snapshot,
     register_snapshot,
 )
-from orderloom.sources.json_files import DOCUMENT_PER_LINE, scan_json, scan_json_typed
+from orderloom.sources.json_files import DOCUMENT_CUT, DOCUMENT_PER_LINE, scan_json, scan_json_typed
 from orderloom.sources.listing import (
     list_stage,
     read_directory,
@@ -515,6 +516,19 @@ def json_document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(per_day)
 
 
+@query
+def json_giant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A region's orders as one document that grows with the tables, cut into its days, loaded and flattened."""
+    workspace, path = new_workspace(spark), scratch(spark, "giants")
+    feed = spark.read.parquet(f"{_delivery(spark.sparkContext.applicationId, sf_dir)}/feed")
+    write_giant_documents(spark, sf_dir, feed, path)
+    load_json(spark, Stage(path), workspace.document_staging, "giants", DOCUMENT_CUT, load_ts=at(LOAD_TS))
+    per_day = workspace.document_orders(spark).groupBy("customer", "order_date", "delivery_date").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("quantity").alias("total_quantity")
+    )
+    return portable(per_day)
+
+
 # Union and merge
 
 
