@@ -182,6 +182,7 @@ def write_giant_documents(spark: SparkSession, sf_dir: str, feed: DataFrame, pat
     named = F.to_json(F.struct(F.col("region").alias("Customer"), F.col("order_date").alias("Order date")))
     head = frame(0, F.concat(F.regexp_replace(named, r"\}$", ""), F.lit(',"Orders":[')))
     lines = entries.unionByName(head).unionByName(frame(2, F.lit("]}")))
-    # A file is written by one task, row by row.
-    ordered = lines.repartition(partitions_for(spark, feed), "region").sortWithinPartitions(*order)
+    # A file is written by one task, row by row. Dealt by a hash, as the parts of the union are dealt by region already, from
+    # which Spark would conclude that no shuffle is needed, though AQE may have split them.
+    ordered = lines.repartition(partitions_for(spark, feed), F.xxhash64("region")).sortWithinPartitions(*order)
     ordered.select("value", "region").write.partitionBy("region").text(path)

@@ -154,12 +154,14 @@ def cut_documents(spark: SparkSession, stage: Stage, location: str | list[str],
         .when(F.col("depth") == ELEMENT_DEPTH, F.regexp_extract("text", r"(?s)^\s*+,\s*+(\{.*+)\z", 1))
         .otherwise(F.lit(""))
     )
-    value = F.when(first & last, F.col("text")).otherwise(F.concat("head", "element", "tail"))
+    # The tail is part of the others. It is blank before it is dropped, as filters may be taken in any order.
+    tail = F.col("sound") & last & ~first
+    value = F.when(tail, F.lit("")).when(first & last, F.col("text")).otherwise(F.concat("head", "element", "tail"))
     refused = F.raise_error(F.concat(F.lit("cannot be cut into documents: "), "file_path")).cast("string")
-    fits = F.col("sound") & ((first & last) | (F.col("element") != ""))
+    fits = F.col("sound") & (last | (F.col("element") != ""))
     return (
         units.withColumn("element", element)
         .join(frames, "file_path")
-        .where(first | ~last | ~F.col("sound"))  # the tail is part of the others
+        .where(~tail)
         .select(F.when(fits, value).otherwise(refused).alias("value"), *LINEAGE)
     )
