@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.common import stored_with
+from orderloom.llm.common import stored, stored_with
 
 
 def _with_least(links: DataFrame) -> DataFrame:
-    """``u``, ``v`` and the least of u and all its neighbours. The join's crowded nodes can be split by AQE."""
+    """``u``, ``v`` and the least of u and all its neighbours.
+
+    The least are written first, as AQE splits crowded nodes only in a join of plain tables.
+    """
     least = links.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
-    return links.join(least, "u")
+    return links.join(stored(least, "component-least"), "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -172,7 +172,8 @@ class _Candidates:
         self.nodes, self.words_each, self.percent = nodes.drop("bands"), words_each, percent
         banded = nodes.select("node", F.explode("bands").alias("bucket"))
         shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-        self.buckets = stored(banded.join(shared, "bucket", "left_semi"), "buckets")
+        # What is joined is written first, here and below: AQE splits crowded keys only in a join of plain tables.
+        self.buckets = stored(banded.join(stored(shared, "shared-buckets"), "bucket", "left_semi"), "buckets")
         wanted = self.buckets.select(F.col("node").alias("doc_id")).distinct()
         texts = keyed(docs).select("doc_id", "text").join(wanted, "doc_id", "left_semi")
         self.texts = stored(texts.select(F.col("doc_id").alias("node"), "text"), "candidate-texts")
@@ -194,11 +195,11 @@ class _Candidates:
             .where("least < most")
             .select("bucket", "n")
         )
-        return stored(rows.join(several, "bucket").join(self.nodes, "node"), "open-buckets")
+        return stored(rows.join(stored(several, "several"), "bucket").join(self.nodes, "node"), "open-buckets")
 
     def star_pairs(self) -> DataFrame:
         """Every node with the least of its buckets' least nodes that it may be like."""
-        pivots = self.buckets.groupBy("bucket").agg(F.min("node").alias("pivot"))
+        pivots = stored(self.buckets.groupBy("bucket").agg(F.min("node").alias("pivot")), "pivots")
         pairs = self.buckets.join(pivots, "bucket").where("node <> pivot").select("node", "pivot").distinct()
         other = self.nodes.select(*(F.col(name).alias(f"p_{name}") for name in self.nodes.columns))
         near = (F.col("pivot") == F.col("p_node")) & _could_be_alike(self.percent, "p_")
@@ -248,7 +249,7 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80) ->
     bands, rows = bands_for(percent / 100)
     signed = stored(keyed(docs).mapInArrow(_signatures(words_each, bands, rows), _SIGNED), "signatures")
     filled = signed.where("n_shingles > 0")
-    classes = filled.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("node"))
+    classes = stored(filled.groupBy("set_high", "set_low").agg(F.min("doc_id").alias("node")), "classes")
     of_class = filled.join(classes, ["set_high", "set_low"])
     own = of_class.where("doc_id = node").select("node", F.col("n_shingles").alias("size"), "bands", "parity")
     nodes = stored(own.distinct(), "nodes")
