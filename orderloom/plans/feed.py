@@ -112,17 +112,23 @@ def write_json_delivery(feed: DataFrame, path: str) -> None:
     spread.write.mode("overwrite").partitionBy("channel", "file").text(path)
 
 
+def with_region(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Rows with the region of their customer. The few nations are what is broadcast: flattened documents are estimated far
+    too small, so that Spark would take them all to the driver."""
+    nations, regions = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("nation", "region"))
+    customers = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("customer"), F.col("r_name").alias("region")
+    )
+    return rows.join(F.broadcast(customers), "customer")
+
+
 def write_document_files(spark: SparkSession, sf_dir: str, orders: DataFrame, path: str) -> None:
     """One file, of one document, for each region and order date.
 
     A document is bounded by what a customer, here a region, orders in a day. Larger deliveries go one document per line.
     """
-    nations, regions = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("nation", "region"))
-    customers = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_name").alias("customer"), F.col("r_name").alias("region")
-    )
     item = F.struct(F.col("baked_good_type").alias("Baked good type"), F.col("quantity").alias("Quantity"))
-    days = orders.join(customers, "customer").groupBy("region", "order_date", "delivery_date").agg(
+    days = with_region(spark, sf_dir, orders).groupBy("region", "order_date", "delivery_date").agg(
         F.collect_list(item).alias("items")
     )
     day = F.struct(F.col("delivery_date").alias("Delivery date"), F.col("items").alias("Orders by day"))
@@ -149,13 +155,9 @@ def write_giant_documents(spark: SparkSession, sf_dir: str, feed: DataFrame, pat
 
     The document grows with the data, but is never put together: its entries are sorted and written as lines.
     """
-    nations, regions = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("nation", "region"))
-    customers = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_name").alias("customer"), F.col("r_name").alias("region")
-    )
     item = F.struct(F.col("baked_good_type").alias("Baked good type"), F.col("quantity").alias("Quantity"))
     days = (
-        feed.join(customers, "customer")
+        with_region(spark, sf_dir, feed)
         .groupBy("region", "delivery_date", "l_orderkey")
         .agg(F.collect_list(item).alias("items"), F.min("order_date").alias("order_date"))
     )

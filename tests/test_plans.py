@@ -17,6 +17,7 @@ from orderloom.operators.flatten import flatten_orders
 from orderloom.operators.load import load_json, read_staged_documents
 from orderloom.operators.merge import MERGE_KEYS, matched_keys, merge_orders, plan_merge, reduce_to_winners
 from orderloom.operators.summary import summarise
+from orderloom.plans import feed as feeds
 from orderloom.plans.feed import LINES_PER_DOCUMENT, documents, order_feed, write_csv_delivery
 from orderloom.queries import QUERIES
 from orderloom.schema import ORDERS
@@ -206,6 +207,13 @@ def test_shuffles_grow_with_the_inputs(spark, target, monkeypatch):
     assert session.partitions_for(spark, joined) <= 2 * session.partitions_for(spark, target.read(spark))
 
 
+def test_regions_are_broadcast_not_orders(spark):
+    few = order_feed(spark, SF_DIR).limit(1).selectExpr("customer").distinct()  # estimated smaller than the nations
+    plan = feeds.with_region(spark, SF_DIR, few)._jdf.queryExecution().executedPlan().toString()
+    join = next(line for line in plan.splitlines() if "HashJoin [customer" in line)
+    assert "BuildRight" in join
+
+
 def test_results_run_with_enough_partitions(spark, monkeypatch):
     """Sorts, merges, flattening and the feed join, in plans of queries that run after they were returned."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
