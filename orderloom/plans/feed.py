@@ -24,6 +24,9 @@ CHANNELS = {
 # Name of a delivered file, which Spark writes as a folder of part files.
 DELIVERY = r"Orders_[0-9]{4}\.(csv|json)"
 LINES_PER_DOCUMENT = 4  # a document has one such window of its order's line numbers
+# Feed, as stored, whose documents one task puts together: a row takes some sixty times as much there, and must not spill.
+DOCUMENT_TASK_BYTES = 2 << 20
+TASKS_PER_FILE = 8  # of those that put documents together: a delivered file is dealt over an eighth of them
 
 # Seven years of deliveries, all of which every channel touches.
 GRAIN = "year"
@@ -80,13 +83,20 @@ def write_csv_delivery(feed: DataFrame, path: str) -> None:
 
 def documents(feed: DataFrame) -> DataFrame:
     """One nested document per order and window of LINES_PER_DOCUMENT line numbers, so that no document and no group grows
-    with the data."""
-    # One shuffle serves both groupings, as their keys contain the two it goes by.
-    document = ["l_orderkey", "part", "channel", "customer", "order_date"]
+    with the data; with the name of its yearly file."""
+    # One shuffle serves both groupings, as their keys contain those it goes by, and the writing: a file comes from some of
+    # the tasks. Their number is given, as AQE would merge them by their compressed size, which says little about the lists
+    # made of them.
+    tasks = partitions_for(feed.sparkSession, feed, each=DOCUMENT_TASK_BYTES)
+    dealt = ["channel", "file", "deal"]
+    document = [*dealt, "l_orderkey", "part", "customer", "order_date"]
     item = F.struct(F.col("baked_good_type").alias("Baked good type"), F.col("quantity").alias("Quantity"))
+    deal = F.pmod(F.xxhash64("l_orderkey", "part"), F.lit(tasks // TASKS_PER_FILE + 1))
     return (
-        feed.withColumn("part", F.floor((F.col("l_linenumber") - 1) / LINES_PER_DOCUMENT))
-        .repartition("l_orderkey", "part")
+        _delivered(feed, ".json")
+        .withColumn("part", F.floor((F.col("l_linenumber") - 1) / LINES_PER_DOCUMENT))
+        .withColumn("deal", deal)
+        .repartition(tasks, *dealt)
         .groupBy(*document, "delivery_date")
         .agg(F.collect_list(item).alias("items"))
         .groupBy(*document)
@@ -107,9 +117,8 @@ def write_json_delivery(feed: DataFrame, path: str) -> None:
             F.col("days").alias("Orders"),
         )
     )
-    rows = _delivered(documents(feed), ".json").select(body.alias("value"), "channel", "file")
-    spread = rows.hint("rebalance", F.col("channel"), F.col("file"))
-    spread.write.mode("overwrite").partitionBy("channel", "file").text(path)
+    rows = documents(feed).select(body.alias("value"), "channel", "file")
+    rows.write.mode("overwrite").partitionBy("channel", "file").text(path)
 
 
 def with_region(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:

@@ -82,8 +82,9 @@ def _drop(jvm, folder: str) -> None:
         path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
 
 
-def partitions_for(spark: SparkSession, *inputs: DataFrame) -> int:
-    """Shuffle partitions for these inputs: the session's number, or more if the sizes of the tables read add up to more.
+def partitions_for(spark: SparkSession, *inputs: DataFrame, each: int | None = None) -> int:
+    """Shuffle partitions for these inputs: the session's number, or more if the sizes of the tables read add up to more
+    than ``each`` bytes a partition (SHUFFLE_BYTES).
 
     Only the leaves of the plans are counted, as Catalyst takes a join's size for the product of its inputs'. Rows that the
     driver itself has made have no estimate, and count nothing.
@@ -93,7 +94,7 @@ def partitions_for(spark: SparkSession, *inputs: DataFrame) -> int:
         leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
         sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
         total += sum(size for size in sizes if size < unknown)
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // SHUFFLE_BYTES)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (each or SHUFFLE_BYTES))
 
 
 def size_session(spark: SparkSession, *inputs: DataFrame) -> None:

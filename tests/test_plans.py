@@ -207,6 +207,13 @@ def test_shuffles_grow_with_the_inputs(spark, target, monkeypatch):
     assert session.partitions_for(spark, joined) <= 2 * session.partitions_for(spark, target.read(spark))
 
 
+def test_documents_are_made_by_more_tasks_as_the_feed_grows(spark, tmp_path, monkeypatch):
+    order_feed(spark, SF_DIR).write.parquet(str(tmp_path / "feed"))
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    monkeypatch.setattr(feeds, "DOCUMENT_TASK_BYTES", 1 << 10)
+    assert documents(feed).rdd.getNumPartitions() > 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_regions_are_broadcast_not_orders(spark):
     few = order_feed(spark, SF_DIR).limit(1).selectExpr("customer").distinct()  # estimated smaller than the nations
     plan = feeds.with_region(spark, SF_DIR, few)._jdf.queryExecution().executedPlan().toString()
