@@ -27,6 +27,9 @@ DEFAULTS = {
 # Input per shuffle partition. Files are compressed, so a partition holds a few times this much in memory.
 SHUFFLE_BYTES = 64 << 20
 
+# Table files per task where each row is sorted. Order rows take some thirty times as much there.
+SCAN_BYTES = 16 << 20
+
 _TO_DROP: set[str] = set()
 
 
@@ -102,17 +105,33 @@ def size_session(spark: SparkSession, *inputs: DataFrame) -> None:
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions_for(spark, *inputs)))
 
 
+@contextlib.contextmanager
+def configured(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of ``spark.sql`` within this block, for what runs in it; ``_`` stands for a dot."""
+    names = {f"spark.sql.{name.replace('_', '.')}": value for name, value in values.items()}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def at_most(spark: SparkSession, most: int) -> str:
+    """A scan's bytes per task: the session's, but no more than this."""
+    return str(min(most, int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())))
+
+
 @contextlib.contextmanager
 def shuffles_sized_for(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
-    """Within this block, shuffles have as many partitions as the inputs' size asks for.
+    """Within this block, shuffles have as many partitions as the inputs' size asks for, and scans no large tasks.
 
     AQE merges partitions that are too small and splits those that stand out, but it does not split partitions that are
-    all too large. So the session's number is raised, never lowered.
+    all too large. So the session's number is raised, never lowered. A task of a scan takes SCAN_BYTES at most, or less if
+    the session says so.
     """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    size_session(spark, *inputs)
-    try:
+    shuffles = str(partitions_for(spark, *inputs))
+    with configured(spark, shuffle_partitions=shuffles, files_maxPartitionBytes=at_most(spark, SCAN_BYTES)):
         yield
-    finally:
-        spark.conf.set(name, before)

@@ -214,6 +214,14 @@ def test_documents_are_made_by_more_tasks_as_the_feed_grows(spark, tmp_path, mon
     assert documents(feed).rdd.getNumPartitions() > 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_scans_of_a_merge_take_little_per_task(spark, target):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with session.shuffles_sized_for(spark, target.read(spark)):
+        assert int(spark.conf.get(name)) == session.SCAN_BYTES
+    assert spark.conf.get(name) == before
+
+
 def test_regions_are_broadcast_not_orders(spark):
     few = order_feed(spark, SF_DIR).limit(1).selectExpr("customer").distinct()  # estimated smaller than the nations
     plan = feeds.with_region(spark, SF_DIR, few)._jdf.queryExecution().executedPlan().toString()
