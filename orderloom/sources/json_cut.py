@@ -11,18 +11,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.session import stored
+from orderloom.session import at_most, configured, stored
 from orderloom.sources.stage import LINEAGE, Stage
 
 # Text without brackets but for those in strings, which are whole.
 BARE = r'[^"{}\[\]]*+(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"[^"{}\[\]]*+)*+'
 BLOCK = ["file_path", "block"]
+# Text per block, and shuffled bytes per task: a fragment is a row with its lineage, ten times its text, and is sorted.
+BLOCK_BYTES = 16 << 20
 ELEMENT_DEPTH = 2  # brackets around an element: the document's and the array's
 
 
+def _count(text: Column, sign: str) -> Column:
+    # By replacement, which searches bytes; translate looks up each character.
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(sign), F.lit("")))
+
+
 def _net(text: Column) -> Column:
     """Brackets opened less brackets closed."""
-    return F.length(F.translate(text, "]}", "")) - F.length(F.translate(text, "[{", ""))
+    opened, closed = (sum(_count(text, bracket) for bracket in brackets) for brackets in ("[{", "]}"))
+    return opened - closed
 
 
 def _sum_before(value: Column, window) -> Column:
@@ -34,11 +42,12 @@ def _fragments(text: DataFrame) -> DataFrame:
     block that begins outside (0) or inside (1) a string, ``step0``, ``step1`` (change of depth, its ``}`` included) and
     ``before0``, ``before1`` (the block's changes before it)."""
     # A backslash can't stand before a fragment's end: it would escape the bracket, which JSON does not allow.
-    plain = text.withColumn("plain", F.regexp_replace("value", r"(?s)\\.", ""))
+    escapes = F.contains("value", F.lit("\\"))
+    plain = text.withColumn("plain", F.when(escapes, F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value")))
     quoted = r'"[^"]*+(?:"|\z)'
     counted = plain.select(
         *(c for c in text.columns),
-        ((F.length("plain") - F.length(F.translate("plain", '"', ""))) % 2).alias("quotes"),
+        (_count(F.col("plain"), '"') % 2).alias("quotes"),
         _net(F.regexp_replace("plain", quoted, "")).alias("outside"),
         _net(F.regexp_replace(F.concat(F.lit('"'), "plain"), quoted, "")).alias("inside"),
     )
@@ -113,8 +122,15 @@ def cut_documents(spark: SparkSession, stage: Stage, location: str | list[str],
     has no objects in it; and the file's lineage.
 
     Elements are objects, and the document's other fields scalars; anything else aborts, as do cut-off files and text
-    behind the document. A block of a file (``spark.sql.files.maxPartitionBytes``) and an element are each one task's.
+    behind the document. A block of a file (BLOCK_BYTES) and an element are each one task's.
     """
+    with configured(
+        spark, files_maxPartitionBytes=at_most(spark, BLOCK_BYTES), adaptive_advisoryPartitionSizeInBytes=str(BLOCK_BYTES)
+    ):
+        return _cut_documents(spark, stage, location, array)
+
+
+def _cut_documents(spark: SparkSession, stage: Stage, location: str | list[str], array: str) -> DataFrame:
     text = spark.read.format("text").options(**stage.options(), lineSep="}").load(location)
     # Stored, as the ids are those of one reading.
     fragments = stored(

@@ -10,6 +10,7 @@ import pytest
 from conftest import ABORTS, deliver_text, rows
 from orderloom.operators.flatten import flatten_orders
 from orderloom.operators.load import load_json
+from orderloom.sources import json_cut
 from orderloom.sources.json_files import DOCUMENT_CUT, DOCUMENT_PER_FILE, scan_json
 
 COLUMNS = ["customer", "order_date", "delivery_date", "baked_good_type", "quantity", "source_file_name"]
@@ -93,3 +94,21 @@ def test_cut_documents_are_loaded_and_streams_refuse(spark, stage, workspace):
     assert workspace.document_orders(spark).count() == 1
     with pytest.raises(ValueError, match="stream"):
         scan_json(spark, stage, DOCUMENT_CUT, streaming=True)
+
+
+def test_blocks_are_small_whatever_the_session_reads(spark, stage, monkeypatch):
+    """A block's fragments are sorted by one task."""
+    deliver_text(stage, "a.json", document(random.Random(7), 40))
+    monkeypatch.setattr(json_cut, "BLOCK_BYTES", 300)
+    made, stored = {}, json_cut.stored
+
+    def recorded(frame, purpose):
+        made[purpose] = stored(frame, purpose)
+        return made[purpose]
+
+    monkeypatch.setattr(json_cut, "stored", recorded)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    got = flat(spark, stage, DOCUMENT_CUT)
+    assert got == flat(spark, stage, DOCUMENT_PER_FILE)
+    assert made["blocks"].count() > 1
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
