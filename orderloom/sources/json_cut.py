@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderloom.session import at_most, configured, stored
+from orderloom.session import at_most, configured, partitions_for, stored
 from orderloom.sources.stage import LINEAGE, Stage
 
 # Text without brackets but for those in strings, which are whole.
 BARE = r'[^"{}\[\]]*+(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"[^"{}\[\]]*+)*+'
 BLOCK = ["file_path", "block"]
 # Text per block, and shuffled bytes per task: a fragment is a row with its lineage, ten times its text, and is sorted.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 ELEMENT_DEPTH = 2  # brackets around an element: the document's and the array's
 
 
@@ -124,14 +124,17 @@ def cut_documents(spark: SparkSession, stage: Stage, location: str | list[str],
     Elements are objects, and the document's other fields scalars; anything else aborts, as do cut-off files and text
     behind the document. A block of a file (BLOCK_BYTES) and an element are each one task's.
     """
+    text = spark.read.format("text").options(**stage.options(), lineSep="}").load(location)
     with configured(
-        spark, files_maxPartitionBytes=at_most(spark, BLOCK_BYTES), adaptive_advisoryPartitionSizeInBytes=str(BLOCK_BYTES)
+        spark,
+        files_maxPartitionBytes=at_most(spark, BLOCK_BYTES),
+        shuffle_partitions=str(partitions_for(spark, text, each=BLOCK_BYTES)),
+        adaptive_advisoryPartitionSizeInBytes=str(BLOCK_BYTES),
     ):
-        return _cut_documents(spark, stage, location, array)
+        return _cut(spark, stage, text, array)
 
 
-def _cut_documents(spark: SparkSession, stage: Stage, location: str | list[str], array: str) -> DataFrame:
-    text = spark.read.format("text").options(**stage.options(), lineSep="}").load(location)
+def _cut(spark: SparkSession, stage: Stage, text: DataFrame, array: str) -> DataFrame:
     # Stored, as the ids are those of one reading.
     fragments = stored(
         _fragments(
