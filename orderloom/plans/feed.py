@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schema import QUANTITY
-from orderloom.session import partitions_for
+from orderloom.session import partitions_for, unsorted_writes
 from orderloom.sources.stage import Stage
 
 INTERNAL, EXTERNAL, DOCUMENTS = "internal", "external", "documents"
@@ -78,7 +78,8 @@ def write_csv_delivery(feed: DataFrame, path: str) -> None:
         "channel", "file",
     )
     spread = rows.hint("rebalance", F.col("channel"), F.col("file"))
-    spread.write.mode("overwrite").option("header", True).partitionBy("channel", "file").csv(path)
+    with unsorted_writes(feed.sparkSession):
+        spread.write.mode("overwrite").option("header", True).partitionBy("channel", "file").csv(path)
 
 
 def documents(feed: DataFrame) -> DataFrame:
@@ -118,7 +119,8 @@ def write_json_delivery(feed: DataFrame, path: str) -> None:
         )
     )
     rows = documents(feed).select(body.alias("value"), "channel", "file")
-    rows.write.mode("overwrite").partitionBy("channel", "file").text(path)
+    with unsorted_writes(feed.sparkSession):
+        rows.write.mode("overwrite").partitionBy("channel", "file").text(path)
 
 
 def with_region(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:

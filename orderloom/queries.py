@@ -64,7 +64,7 @@ from orderloom.plans.ingest import load_feeds, process_combined, process_orders
 from orderloom.plans.jobs import load_customer_orders, load_customer_summary_orders, run_job
 from orderloom.plans.workspace import Workspace
 from orderloom.schema import FILE_COLUMNS, FILE_FIELDS, ORDER_COLUMNS
-from orderloom.session import scratch, size_session, stored
+from orderloom.session import scratch, size_session, stored, unsorted_writes
 from orderloom.sources.csv_files import ordinals, scan_csv
 from orderloom.sources.external import (
     FILE_KEY,
@@ -194,7 +194,8 @@ def deliver_copy(spark: SparkSession, sf_dir: str, channel: str, path: str) -> S
     """A copy of a channel's CSV files of one's own, to purge or to add to."""
     rows = feed_of(spark, sf_dir, channel)
     spread = rows.select(*FILE_COLUMNS, F.col("source_file_name").alias("file")).hint("rebalance", F.col("file"))
-    spread.write.mode("append").option("header", True).partitionBy("file").csv(path)
+    with unsorted_writes(spark):
+        spread.write.mode("append").option("header", True).partitionBy("file").csv(path)
     return stage_of(path)
 
 

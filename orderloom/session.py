@@ -30,6 +30,9 @@ SHUFFLE_BYTES = 64 << 20
 # Table files per task where each row is sorted. Order rows take some thirty times as much there.
 SCAN_BYTES = 16 << 20
 
+# Files that a task keeps open at once where it writes folders by value; only with more of them it sorts what is left.
+OPEN_FILES = 32
+
 _TO_DROP: set[str] = set()
 
 
@@ -124,6 +127,12 @@ def at_most(spark: SparkSession, most: int) -> str:
     return str(min(most, int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())))
 
 
+def unsorted_writes(spark: SparkSession):
+    """Within this block, tasks that write to few folders do so without sorting their rows by folder first. Not for parquet
+    files of many folders, each of which is put together in memory."""
+    return configured(spark, maxConcurrentOutputFileWriters=str(OPEN_FILES))
+
+
 @contextlib.contextmanager
 def shuffles_sized_for(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
     """Within this block, shuffles have as many partitions as the inputs' size asks for, and scans no large tasks.

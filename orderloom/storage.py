@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from orderloom import versions
 from orderloom.schema import ORDER_COLUMNS, ORDERS, PERIOD, SUMMARY, SUMMARY_COUNTS, with_fields
+from orderloom.session import unsorted_writes
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -164,10 +165,11 @@ def overwrite_all_of(frame: DataFrame, path: str, **partition: str) -> int:
     """Replace one partition, whose columns the frame has with these values, and return its rows.
 
     The old files go when the new ones are committed. A frame without rows commits no partition, so that the old one is
-    deleted then.
+    deleted then. All rows go to one folder, by which they need not be sorted.
     """
     written = Observation()
-    overwrite_partitions(frame.observe(written, F.count(F.lit(1)).alias("rows")), path, *partition)
+    with unsorted_writes(frame.sparkSession):
+        overwrite_partitions(frame.observe(written, F.count(F.lit(1)).alias("rows")), path, *partition)
     rows = written.get["rows"]
     if not rows:
         delete(frame.sparkSession, "/".join([path, *(f"{name}={value}" for name, value in partition.items())]))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ABORTS, deliver, deliver_text, rows
+from orderloom import storage
 from orderloom.operators.load import (
     load_csv,
     load_history,
@@ -193,3 +194,19 @@ def test_truncate_keeps_the_history(spark, workspace, stage):
     truncate_staging(spark, table)
     assert read_staged_orders(spark, table).count() == 0
     assert load_history(spark, table.history_path, table.schema_name, table.name).count() == 1
+
+
+def test_loads_are_not_sorted_by_their_folder(spark, workspace, stage, monkeypatch):
+    """All rows of a load go to one folder, for which a task needs to hold none of them."""
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], storage.overwrite_partitions
+    before = spark.conf.get(name)
+
+    def writing(*args):
+        seen.append(int(spark.conf.get(name)))
+        write(*args)
+
+    deliver(stage, csv_name("2023-08-04"), *csv_lines("2023-08-04"))
+    with monkeypatch.context() as patched:
+        patched.setattr(storage, "overwrite_partitions", writing)
+        assert load_csv(spark, stage, workspace.internal_staging, "l1").rows == 8
+    assert seen and min(seen) > 0 and spark.conf.get(name) == before
