@@ -19,6 +19,7 @@ from orderloom import storage
 from orderloom.functions.casts import typed_order_columns
 from orderloom.operators.rejects import csv_rejects, write_rejects
 from orderloom.schema import FILE_COLUMNS, FILE_FIELDS, LOAD_HISTORY, LOAD_ID, ORDERS, RAW_DOCUMENTS, with_fields
+from orderloom.session import scans_spread
 from orderloom.sources.csv_files import CsvFormat, ordinals, scan_csv
 from orderloom.sources.json_files import DOCUMENT_PER_FILE, scan_json
 from orderloom.sources.listing import list_stage
@@ -107,7 +108,8 @@ def load_csv(
     load_ts = F.current_timestamp() if load_ts is None else load_ts
     listed, paths = _new_files(spark, stage, prefix, table, load_id, force)
     try:
-        write_load(order_rows(scan_csv(spark, stage, fmt, prefix, paths=paths), load_ts), table, load_id)
+        with scans_spread(spark):
+            write_load(order_rows(scan_csv(spark, stage, fmt, prefix, paths=paths), load_ts), table, load_id)
     except Exception:
         if rejects:
             found = csv_rejects(spark, stage, fmt, prefix, paths)
@@ -129,7 +131,9 @@ def load_json(
     """Append the stage's new documents, unflattened, to a raw staging table, or fail as a whole."""
     load_ts = F.current_timestamp() if load_ts is None else load_ts
     listed, paths = _new_files(spark, stage, prefix, table, load_id, force)
-    write_load(raw_documents(scan_json(spark, stage, layout, prefix, paths=paths), load_ts), table, load_id)
+    documents = raw_documents(scan_json(spark, stage, layout, prefix, paths=paths), load_ts)
+    with scans_spread(spark):
+        write_load(documents, table, load_id)
     return record_load(spark, table, load_id, listed, load_ts)
 
 

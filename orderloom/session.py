@@ -133,6 +133,17 @@ def unsorted_writes(spark: SparkSession):
     return configured(spark, maxConcurrentOutputFileWriters=str(OPEN_FILES))
 
 
+def scans_spread(spark: SparkSession):
+    """Within this block, a task of a scan takes SCAN_BYTES of files at most, so that tasks end together. Small files are
+    packed as before: what opening one counts for goes down in proportion."""
+    conf = spark._jsparkSession.sessionState().conf()
+    before, opening = int(conf.filesMaxPartitionBytes()), int(conf.filesOpenCostInBytes())
+    most = min(SCAN_BYTES, before)
+    return configured(
+        spark, files_maxPartitionBytes=str(most), files_openCostInBytes=str(max(1, opening * most // max(before, 1)))
+    )
+
+
 @contextlib.contextmanager
 def shuffles_sized_for(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
     """Within this block, shuffles have as many partitions as the inputs' size asks for, and scans no large tasks.

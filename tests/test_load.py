@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ABORTS, deliver, deliver_text, rows
-from orderloom import storage
+from orderloom import session, storage
 from orderloom.operators.load import (
     load_csv,
     load_history,
@@ -210,3 +210,16 @@ def test_loads_are_not_sorted_by_their_folder(spark, workspace, stage, monkeypat
         patched.setattr(storage, "overwrite_partitions", writing)
         assert load_csv(spark, stage, workspace.internal_staging, "l1").rows == 8
     assert seen and min(seen) > 0 and spark.conf.get(name) == before
+
+
+def test_a_load_is_spread_over_tasks(spark, workspace, stage, monkeypatch):
+    lines = [f"Park Inn,2023-08-01,2023-08-02,Rye,{number}" for number in range(5000)]
+    deliver(stage, "large.csv", *lines)
+    monkeypatch.setattr(session, "SCAN_BYTES", 20_000)
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(name) for name in names]
+    load_csv(spark, stage, workspace.internal_staging, "l1")
+    staged = read_staged_orders(spark, workspace.internal_staging)
+    assert staged.agg(F.count("quantity"), F.sum("quantity")).first()[:] == (5000, sum(range(5000)))
+    assert len(list(Path(workspace.internal_staging.path).rglob("*.parquet"))) > 5
+    assert [spark.conf.get(name) for name in names] == before
