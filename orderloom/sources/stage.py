@@ -54,7 +54,7 @@ class Stage:
 
     def source_file_name(self, spark: SparkSession, file_path: Column | None = None) -> Column:
         path = F.col("_metadata.file_path") if file_path is None else file_path
-        return relative_file_name(path, storage.encoded_path(spark, self.root), self.delivery)
+        return relative_file_name(path, storage.encoded_path(spark, self.root), self.delivery, storage.origins(spark, self.root))
 
     def lineage(self, spark: SparkSession) -> list[Column]:
         return [

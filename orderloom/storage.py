@@ -27,6 +27,14 @@ def encoded_path(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(jvm_path).toUri().getRawPath()
 
 
+def origins(spark: SparkSession, path: str) -> list[str]:
+    """Scheme and host of a path, as ``_metadata.file_path`` mostly has them. Without a host there are two spellings."""
+    fs, jvm_path = _file_system(spark, path)
+    uri = fs.makeQualified(jvm_path).toUri()
+    host = uri.getRawAuthority()
+    return [f"{uri.getScheme()}://{host}"] if host else [f"{uri.getScheme()}:", f"{uri.getScheme()}://"]
+
+
 def glob_matches(spark: SparkSession, pattern: str) -> bool:
     fs, jvm_path = _file_system(spark, pattern)
     found = fs.globStatus(jvm_path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import ABORTS, deliver, deliver_text, rows
 from orderloom import session, storage
+from orderloom.functions.lineage import relative_file_name
 from orderloom.operators.load import (
     load_csv,
     load_history,
@@ -223,3 +224,18 @@ def test_a_load_is_spread_over_tasks(spark, workspace, stage, monkeypatch):
     assert staged.agg(F.count("quantity"), F.sum("quantity")).first()[:] == (5000, sum(range(5000)))
     assert len(list(Path(workspace.internal_staging.path).rglob("*.parquet"))) > 5
     assert [spark.conf.get(name) for name in names] == before
+
+
+@pytest.mark.parametrize("root", ["/in/box", "/in/box/", "/", "/a"])
+@pytest.mark.parametrize("delivery", [None, "[ab]+"])
+def test_usual_paths_are_named_as_all_others(spark, root, delivery):
+    """With and without the spellings of scheme and host that are cut off by searching bytes."""
+    folder = root.rstrip("/")
+    names = ["b.csv", "a%20b+c%2B.csv", "x/file:" + folder + "/b.csv", "é/%C3%A9.csv", ""]
+    heads = ["file:", "file://", "FILE:", "hdfs://a", "hdfs://a:1", "s3a://a%20b", ""]
+    paths = spark.createDataFrame([(f"{head}{folder}/{name}",) for head in heads for name in names] + [(None,)], "path string")
+    plain = relative_file_name(F.col("path"), root, delivery)
+    for origins in (["file:", "file://"], ["hdfs://a"]):
+        quick = relative_file_name(F.col("path"), root, delivery, origins)
+        assert paths.where(~plain.eqNullSafe(quick)).count() == 0
+        assert paths.select(quick).distinct().count() > 1
