@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schema import QUANTITY
-from orderloom.session import partitions_for, unsorted_writes
+from orderloom.session import partitions_for, shuffles_dropped, unsorted_writes
 from orderloom.sources.stage import Stage
 
 INTERNAL, EXTERNAL, DOCUMENTS = "internal", "external", "documents"
@@ -67,8 +67,14 @@ def _delivered(rows: DataFrame, suffix: str) -> DataFrame:
     return rows.withColumn("file", F.concat(F.lit("Orders_"), F.date_format("order_date", "yyyy"), F.lit(suffix)))
 
 
+def write_feed(feed: DataFrame, path: str) -> None:
+    """The feed as a table by channel, of which deliveries are made."""
+    with unsorted_writes(feed.sparkSession), shuffles_dropped(feed.sparkSession):
+        feed.write.partitionBy("channel").parquet(path)
+
+
 def write_csv_delivery(feed: DataFrame, path: str) -> None:
-    """Yearly CSV files per channel. A year too large for one task becomes several part files."""
+    """Yearly CSV files per channel, added to what the folder has. A year too large for one task becomes several part files."""
     rows = _delivered(feed, ".csv").select(
         F.col("customer").alias("Customer"),
         F.col("order_date").alias("Order date"),
@@ -78,8 +84,8 @@ def write_csv_delivery(feed: DataFrame, path: str) -> None:
         "channel", "file",
     )
     spread = rows.hint("rebalance", F.col("channel"), F.col("file"))
-    with unsorted_writes(feed.sparkSession):
-        spread.write.mode("overwrite").option("header", True).partitionBy("channel", "file").csv(path)
+    with unsorted_writes(feed.sparkSession), shuffles_dropped(feed.sparkSession):
+        spread.write.mode("append").option("header", True).partitionBy("channel", "file").csv(path)
 
 
 def documents(feed: DataFrame) -> DataFrame:
@@ -110,7 +116,8 @@ def documents(feed: DataFrame) -> DataFrame:
 
 
 def write_json_delivery(feed: DataFrame, path: str) -> None:
-    """Yearly files per channel, one document per line."""
+    """Yearly files per channel, one document per line, added to what the folder has. Compressed, as the names of the fields
+    are most of the text; a task writes little enough to a file that none need be split."""
     body = F.to_json(
         F.struct(
             F.col("customer").alias("Customer"),
@@ -119,8 +126,8 @@ def write_json_delivery(feed: DataFrame, path: str) -> None:
         )
     )
     rows = documents(feed).select(body.alias("value"), "channel", "file")
-    with unsorted_writes(feed.sparkSession):
-        rows.write.mode("overwrite").partitionBy("channel", "file").text(path)
+    with unsorted_writes(feed.sparkSession), shuffles_dropped(feed.sparkSession):
+        rows.write.mode("append").option("compression", "gzip").partitionBy("channel", "file").text(path)
 
 
 def with_region(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:

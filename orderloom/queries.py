@@ -1,8 +1,8 @@
 """The registered queries: every operator over the driver tables.
 
-The order feed of the driver tables is delivered as CSV files and as JSON documents once per session and data folder,
-and all three channels are loaded into staging once; each query then runs its operator on files or tables from
-there. What a query writes goes to a new folder in the shared one.
+The order feed of the driver tables is delivered as CSV files and as JSON documents once per session and data folder, a
+channel of either when a query first reads it, and all three channels are loaded into staging once; each query then runs its
+operator on files or tables from there. What a query writes goes to a new folder in the shared one.
 """
 
 from __future__ import annotations
@@ -57,6 +57,7 @@ from orderloom.plans.feed import (
     stage_of,
     write_csv_delivery,
     write_document_files,
+    write_feed,
     write_giant_documents,
     write_json_delivery,
 )
@@ -64,7 +65,7 @@ from orderloom.plans.ingest import load_feeds, process_combined, process_orders
 from orderloom.plans.jobs import load_customer_orders, load_customer_summary_orders, run_job
 from orderloom.plans.workspace import Workspace
 from orderloom.schema import FILE_COLUMNS, FILE_FIELDS, ORDER_COLUMNS
-from orderloom.session import scratch, size_session, stored, unsorted_writes
+from orderloom.session import scratch, shuffles_dropped, size_session, stored, unsorted_writes
 from orderloom.sources.csv_files import ordinals, scan_csv
 from orderloom.sources.external import (
     FILE_KEY,
@@ -129,26 +130,42 @@ def portable(rows: DataFrame) -> DataFrame:
 
 
 @cache
-def _delivery(application: str, sf_dir: str) -> str:
+def _feed(application: str, sf_dir: str) -> str:
+    """The folder of the deliveries, with the feed that they are made of: it is joined once."""
     spark = SparkSession.active()
     path = scratch(spark, "delivery")
     feed = order_feed(spark, sf_dir)
     # Results run after their query has returned, so the session itself is sized, for the largest input of all.
     size_session(spark, feed)
-    # Both deliveries are made of the feed: it is joined once.
-    feed.write.parquet(f"{path}/feed")
-    feed = spark.read.parquet(f"{path}/feed")
-    write_csv_delivery(feed, f"{path}/csv")
-    write_json_delivery(feed, f"{path}/json")
+    write_feed(feed, f"{path}/feed")
     return path
 
 
+def stored_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_feed(spark.sparkContext.applicationId, sf_dir)}/feed")
+
+
+@cache
+def _deliver(application: str, sf_dir: str, layout: str, channel: str) -> None:
+    write = {"csv": write_csv_delivery, "json": write_json_delivery}[layout]
+    feed = stored_feed(SparkSession.active(), sf_dir)
+    write(feed.where(F.col("channel") == channel), f"{_feed(application, sf_dir)}/{layout}")
+
+
+def _delivered(spark: SparkSession, sf_dir: str, layout: str, channel: str | None) -> Stage:
+    """Files of one channel, or of all, which are written when they are first asked for."""
+    application = spark.sparkContext.applicationId
+    for each in (INTERNAL, EXTERNAL, DOCUMENTS) if channel is None else (channel,):
+        _deliver(application, sf_dir, layout, each)
+    return stage_of(f"{_feed(application, sf_dir)}/{layout}", channel)
+
+
 def csv_stage(spark: SparkSession, sf_dir: str, channel: str | None = None) -> Stage:
-    return stage_of(f"{_delivery(spark.sparkContext.applicationId, sf_dir)}/csv", channel)
+    return _delivered(spark, sf_dir, "csv", channel)
 
 
 def json_stage(spark: SparkSession, sf_dir: str, channel: str | None = None) -> Stage:
-    return stage_of(f"{_delivery(spark.sparkContext.applicationId, sf_dir)}/json", channel)
+    return _delivered(spark, sf_dir, "json", channel)
 
 
 @cache
@@ -194,7 +211,7 @@ def deliver_copy(spark: SparkSession, sf_dir: str, channel: str, path: str) -> S
     """A copy of a channel's CSV files of one's own, to purge or to add to."""
     rows = feed_of(spark, sf_dir, channel)
     spread = rows.select(*FILE_COLUMNS, F.col("source_file_name").alias("file")).hint("rebalance", F.col("file"))
-    with unsorted_writes(spark):
+    with unsorted_writes(spark), shuffles_dropped(spark):
         spread.write.mode("append").option("header", True).partitionBy("file").csv(path)
     return stage_of(path)
 
@@ -521,8 +538,7 @@ def json_document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_giant_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A region's orders as one document that grows with the tables, cut into its days, loaded and flattened."""
     workspace, path = new_workspace(spark), scratch(spark, "giants")
-    feed = spark.read.parquet(f"{_delivery(spark.sparkContext.applicationId, sf_dir)}/feed")
-    write_giant_documents(spark, sf_dir, feed, path)
+    write_giant_documents(spark, sf_dir, stored_feed(spark, sf_dir), path)
     load_json(spark, Stage(path), workspace.document_staging, "giants", DOCUMENT_CUT, load_ts=at(LOAD_TS))
     per_day = workspace.document_orders(spark).groupBy("customer", "order_date", "delivery_date").agg(
         F.count(F.lit(1)).alias("items"), F.sum("quantity").alias("total_quantity")

@@ -33,6 +33,8 @@ SCAN_BYTES = 16 << 20
 # Files that a task keeps open at once where it writes folders by value; only with more of them it sorts what is left.
 OPEN_FILES = 32
 
+_DROPPED = {"classic_shuffleDependency_fileCleanup_enabled": "true"}
+
 _TO_DROP: set[str] = set()
 
 
@@ -78,7 +80,8 @@ def scratch(spark: SparkSession, purpose: str) -> str:
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame written to and read back from the shared folder, which cuts its lineage."""
     path = scratch(frame.sparkSession, purpose)
-    frame.write.option("compression", "zstd").parquet(path)
+    with shuffles_dropped(frame.sparkSession):
+        frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
@@ -127,6 +130,12 @@ def at_most(spark: SparkSession, most: int) -> str:
     return str(min(most, int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())))
 
 
+def shuffles_dropped(spark: SparkSession):
+    """Within this block, what an action has shuffled is deleted when the action ends. Else it stays until the driver's memory
+    is next cleaned, which a driver with little to do puts off for half an hour."""
+    return configured(spark, **_DROPPED)
+
+
 def unsorted_writes(spark: SparkSession):
     """Within this block, tasks that write to few folders do so without sorting their rows by folder first. Not for parquet
     files of many folders, each of which is put together in memory."""
@@ -146,12 +155,13 @@ def scans_spread(spark: SparkSession):
 
 @contextlib.contextmanager
 def shuffles_sized_for(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
-    """Within this block, shuffles have as many partitions as the inputs' size asks for, and scans no large tasks.
+    """Within this block, shuffles have as many partitions as the inputs' size asks for and go when an action ends, and scans
+    have no large tasks.
 
     AQE merges partitions that are too small and splits those that stand out, but it does not split partitions that are
     all too large. So the session's number is raised, never lowered. A task of a scan takes SCAN_BYTES at most, or less if
     the session says so.
     """
     shuffles = str(partitions_for(spark, *inputs))
-    with configured(spark, shuffle_partitions=shuffles, files_maxPartitionBytes=at_most(spark, SCAN_BYTES)):
+    with configured(spark, shuffle_partitions=shuffles, files_maxPartitionBytes=at_most(spark, SCAN_BYTES), **_DROPPED):
         yield

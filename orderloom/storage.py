@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from orderloom import versions
 from orderloom.schema import ORDER_COLUMNS, ORDERS, PERIOD, SUMMARY, SUMMARY_COUNTS, with_fields
-from orderloom.session import unsorted_writes
+from orderloom.session import shuffles_dropped, unsorted_writes
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -176,7 +176,7 @@ def overwrite_all_of(frame: DataFrame, path: str, **partition: str) -> int:
     deleted then. All rows go to one folder, by which they need not be sorted.
     """
     written = Observation()
-    with unsorted_writes(frame.sparkSession):
+    with unsorted_writes(frame.sparkSession), shuffles_dropped(frame.sparkSession):
         overwrite_partitions(frame.observe(written, F.count(F.lit(1)).alias("rows")), path, *partition)
     rows = written.get["rows"]
     if not rows:

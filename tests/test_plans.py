@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import json
 import re
+import time
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -12,14 +13,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import deliver_text, rows
-from orderloom import session, versions
+from orderloom import session, storage, versions
 from orderloom.operators.flatten import flatten_orders
 from orderloom.operators.load import load_json, read_staged_documents
 from orderloom.operators.merge import MERGE_KEYS, matched_keys, merge_orders, plan_merge, reduce_to_winners
 from orderloom.operators.summary import summarise
 from orderloom.plans import feed as feeds
 from orderloom.plans.feed import LINES_PER_DOCUMENT, documents, order_feed, write_csv_delivery
-from orderloom.queries import QUERIES
+from orderloom.queries import QUERIES, csv_stage, json_stage, stored_feed
 from orderloom.schema import ORDERS
 from orderloom.storage import OrderTable
 from samples import DOCUMENT
@@ -191,6 +192,74 @@ def test_crowded_delivery_becomes_several_part_files(spark, tmp_path):
     assert spark.read.csv(path, header=True).count() == 20800
 
 
+def small_tables(spark, path) -> str:
+    """The order feed's tables, with an order of each market segment."""
+    segments = ["BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE"]
+    day = "timestamp_ntz'2001-02-03 00:00:00'"
+    made = {
+        "nation": spark.sql("SELECT 0 AS n_nationkey, 'PERU' AS n_name, 1 AS n_regionkey"),
+        "part": spark.sql("SELECT 7L AS p_partkey, 'SMALL' AS p_type"),
+        "customer": spark.createDataFrame(list(enumerate(segments)), "c_custkey long, c_mktsegment string").selectExpr("*", "0 AS c_nationkey"),
+        "orders": spark.range(5).selectExpr("id AS o_orderkey", "id AS o_custkey", f"{day} AS o_orderdate"),
+        "lineitem": spark.range(40).selectExpr(
+            "id % 5 AS l_orderkey", "7L AS l_partkey", "2D AS l_quantity", f"{day} AS l_shipdate", "int(id DIV 5) + 1 AS l_linenumber"
+        ),
+    }
+    for name, table in made.items():
+        table.write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_a_channel_is_delivered_when_it_is_first_read(spark, tmp_path):
+    sf_dir = small_tables(spark, tmp_path)
+    stage = json_stage(spark, sf_dir, feeds.DOCUMENTS)
+    base = Path(stage.root).parents[1]
+
+    def delivered():
+        return sorted(str(p.relative_to(base)) for p in base.glob("*/channel=*") if p.parent.name != "feed")
+
+    assert delivered() == ["json/channel=documents"]
+    assert {p.suffix for p in Path(stage.root).rglob("part-*")} == {".gz"}
+    first = [p.name for p in Path(stage.root).rglob("part-*")]
+    assert spark.read.option("recursiveFileLookup", True).json(stage.root).count() == 2  # an order of eight lines
+    assert csv_stage(spark, sf_dir, feeds.INTERNAL).root == f"{base}/csv/channel=internal"
+    assert delivered() == ["csv/channel=internal", "json/channel=documents"]
+    whole = csv_stage(spark, sf_dir)
+    assert delivered() == [*(f"csv/channel={c}" for c in ("documents", "external", "internal")), "json/channel=documents"]
+    assert spark.read.csv(whole.root, header=True).groupBy("channel").count().count() == 3
+    assert spark.read.csv(whole.root, header=True).count() == stored_feed(spark, sf_dir).count() == 40
+    json_stage(spark, sf_dir)
+    assert len(delivered()) == 6
+    assert [p.name for p in Path(stage.root).rglob("part-*")] == first  # a channel is delivered once
+
+
+def shuffled(spark) -> set[str]:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_shuffled_files_go_when_a_write_ends(spark, target, tmp_path):
+    def left_by(write) -> set[str]:
+        before = shuffled(spark)
+        write()
+        for _ in range(50):  # they are deleted in the background
+            left = shuffled(spark) - before
+            if not left:
+                break
+            time.sleep(0.1)
+        return left
+
+    lines = order_lines(spark, 200).repartition(4)
+    assert left_by(lambda: write_csv_delivery(lines, str(tmp_path / "csv"))) == set()
+    assert left_by(lambda: feeds.write_json_delivery(lines, str(tmp_path / "json"))) == set()
+    assert left_by(lambda: feeds.write_feed(lines, str(tmp_path / "feed"))) == set()
+    assert left_by(lambda: session.stored(lines, "lines")) == set()
+    orders = many_orders(spark, 500, 0.1).repartition(4)
+    assert left_by(lambda: storage.overwrite_all_of(orders.withColumn("p", F.lit("x")), str(tmp_path / "p"), p="x")) == set()
+    with session.shuffles_sized_for(spark, orders):
+        assert left_by(lambda: orders.write.parquet(str(tmp_path / "sized"))) == set()
+
+
 def test_shuffles_grow_with_the_inputs(spark, target, monkeypatch):
     merge_orders(spark, target, many_orders(spark, 5000, 0))
     number = "spark.sql.shuffle.partitions"
