@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.schema import QUANTITY
-from orderloom.session import partitions_for, shuffles_dropped, unsorted_writes
+from orderloom import storage
+from orderloom.session import partitions_for, scratch, shuffles_dropped, stored, stored_at, unsorted_writes
 from orderloom.sources.stage import Stage
 
 INTERNAL, EXTERNAL, DOCUMENTS = "internal", "external", "documents"
@@ -174,18 +175,16 @@ def write_giant_documents(spark: SparkSession, sf_dir: str, feed: DataFrame, pat
     The document grows with the data, but is never put together: its entries are sorted and written as lines.
     """
     item = F.struct(F.col("baked_good_type").alias("Baked good type"), F.col("quantity").alias("Quantity"))
-    days = (
-        with_region(spark, sf_dir, feed)
-        .groupBy("region", "delivery_date", "l_orderkey")
-        .agg(F.collect_list(item).alias("items"), F.min("order_date").alias("order_date"))
-    )
-    ends = days.groupBy("region").agg(
-        F.min("order_date").alias("order_date"), F.min(F.struct("delivery_date", "l_orderkey")).alias("first")
-    )  # a row for each region
+    lines = with_region(spark, sf_dir, feed)
+    # Stored, so that what it takes to group the lines is gone when the entries are sorted.
+    kept = scratch(spark, "days")
+    days = stored_at(lines.groupBy("region", "delivery_date", "l_orderkey").agg(F.collect_list(item).alias("items")), kept)
+    first = F.min(F.struct("delivery_date", "l_orderkey")).alias("first")
+    ends = stored(lines.groupBy("region").agg(F.min("order_date").alias("order_date"), first), "ends")  # a row for each region
     is_first = (F.col("delivery_date") == F.col("first.delivery_date")) & (F.col("l_orderkey") == F.col("first.l_orderkey"))
     entry = F.to_json(F.struct(F.col("delivery_date").alias("Delivery date"), F.col("items").alias("Orders by day")))
     order = ["region", "place", "delivery_date", "l_orderkey"]
-    entries = days.drop("order_date").join(ends, "region").select(
+    entries = days.join(ends, "region").select(
         "region",
         F.lit(1).alias("place"),
         "delivery_date",
@@ -201,8 +200,10 @@ def write_giant_documents(spark: SparkSession, sf_dir: str, feed: DataFrame, pat
 
     named = F.to_json(F.struct(F.col("region").alias("Customer"), F.col("order_date").alias("Order date")))
     head = frame(0, F.concat(F.regexp_replace(named, r"\}$", ""), F.lit(',"Orders":[')))
-    lines = entries.unionByName(head).unionByName(frame(2, F.lit("]}")))
+    texts = entries.unionByName(head).unionByName(frame(2, F.lit("]}")))
     # A file is written by one task, row by row. Dealt by a hash, as the parts of the union are dealt by region already, from
     # which Spark would conclude that no shuffle is needed, though AQE may have split them.
-    ordered = lines.repartition(partitions_for(spark, feed), F.xxhash64("region")).sortWithinPartitions(*order)
-    ordered.select("value", "region").write.partitionBy("region").text(path)
+    ordered = texts.repartition(partitions_for(spark, feed), F.xxhash64("region")).sortWithinPartitions(*order)
+    with shuffles_dropped(spark):
+        ordered.select("value", "region").write.partitionBy("region").text(path)
+    storage.delete(spark, kept)

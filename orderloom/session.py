@@ -79,7 +79,11 @@ def scratch(spark: SparkSession, purpose: str) -> str:
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame written to and read back from the shared folder, which cuts its lineage."""
-    path = scratch(frame.sparkSession, purpose)
+    return stored_at(frame, scratch(frame.sparkSession, purpose))
+
+
+def stored_at(frame: DataFrame, path: str) -> DataFrame:
+    """The same at a path of one's own, to be deleted when it has served."""
     with shuffles_dropped(frame.sparkSession):
         frame.write.option("compression", "zstd").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

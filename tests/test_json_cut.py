@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import json
 import random
+import re
+from datetime import date
+from pathlib import Path
 
 import pytest
 
 from conftest import ABORTS, deliver_text, rows
 from orderloom.operators.flatten import flatten_orders
 from orderloom.operators.load import load_json
+from orderloom.plans.feed import write_giant_documents
+from orderloom.session import scratch
 from orderloom.sources import json_cut
 from orderloom.sources.json_files import DOCUMENT_CUT, DOCUMENT_PER_FILE, scan_json
+from orderloom.sources.stage import Stage
 
 COLUMNS = ["customer", "order_date", "delivery_date", "baked_good_type", "quantity", "source_file_name"]
 NASTY = ['}', '{"', "a]}[{", '\\"}', "\\\\", "é}ü", '"', "x, {", "\n}\t", ""]
@@ -112,3 +118,43 @@ def test_blocks_are_small_whatever_the_session_reads(spark, stage, monkeypatch):
     assert got == flat(spark, stage, DOCUMENT_PER_FILE)
     assert made["blocks"].count() > 1
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_text_is_shuffled_once_by_block(spark, stage, small_blocks, monkeypatch):
+    deliver_text(stage, "a.json", document(random.Random(3), 40))
+    plans = {}
+
+    def stored(frame, purpose):
+        plans[purpose] = frame._jdf.queryExecution().executedPlan().toString()
+        return keep(frame, purpose)
+
+    keep = json_cut.stored
+    monkeypatch.setattr(json_cut, "stored", stored)
+    assert scan_json(spark, stage, DOCUMENT_CUT).count() == 40
+    assert len(re.findall(r"Exchange hashpartitioning", plans["pieces"])) == 1
+    assert "value#" not in plans["blocks"]  # numbers only
+    assert not re.search(r"Exchange hashpartitioning.*block", plans["frames"])
+
+
+def test_scratch_of_the_cut_is_dropped_as_it_is_used(spark, stage, tmp_path):
+    before = set(scratch_folders(spark))
+    deliver_text(stage, "a.json", document(random.Random(4), 5))
+    cut = scan_json(spark, stage, DOCUMENT_CUT)
+    made = {name.rpartition("-")[0] for name in set(scratch_folders(spark)) - before}
+    assert "fragments" not in made and "pieces" in made
+    assert cut.count() == 5
+    feed = spark.sql(
+        "SELECT 'PERU' AS customer, date'2024-01-02' AS order_date, date'2024-01-03' AS delivery_date, 'Rye' AS baked_good_type,"
+        " CAST(2 AS DECIMAL(38,0)) AS quantity, id DIV 2 AS l_orderkey FROM range(6)"
+    )
+    spark.sql("SELECT 1 AS n_nationkey, 'PERU' AS n_name, 3 AS n_regionkey").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.sql("SELECT 3 AS r_regionkey, 'AMERICA' AS r_name").write.parquet(str(tmp_path / "region.parquet"))
+    before = set(scratch_folders(spark))
+    write_giant_documents(spark, str(tmp_path), feed, str(tmp_path / "giants"))
+    assert not [name for name in set(scratch_folders(spark)) - before if name.startswith("days-")]
+    flattened = flat(spark, Stage(str(tmp_path / "giants")), DOCUMENT_CUT)
+    assert [row[:5] for row in flattened] == [("AMERICA", date(2024, 1, 2), date(2024, 1, 3), "Rye", 2)] * 6
+
+
+def scratch_folders(spark) -> list[str]:
+    return [path.name for path in Path(scratch(spark, "x")).parent.glob("*-*")]
