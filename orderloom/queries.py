@@ -65,7 +65,7 @@ from orderloom.plans.ingest import load_feeds, process_combined, process_orders
 from orderloom.plans.jobs import load_customer_orders, load_customer_summary_orders, run_job
 from orderloom.plans.workspace import Workspace
 from orderloom.schema import FILE_COLUMNS, FILE_FIELDS, ORDER_COLUMNS
-from orderloom.session import scratch, shuffles_dropped, size_session, stored, unsorted_writes
+from orderloom.session import scans_spread, scratch, shuffles_dropped, size_session, stored, unsorted_writes
 from orderloom.sources.csv_files import ordinals, scan_csv
 from orderloom.sources.external import (
     FILE_KEY,
@@ -299,26 +299,36 @@ def load_abort(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_csv(spark, csv_stage(spark, sf_dir), orders, "load", load_ts=at(LOAD_TS))
     load_json(spark, json_stage(spark, sf_dir), raw, "load", DOCUMENT_PER_LINE, load_ts=at(LOAD_TS))
     rows = read_staged_orders(spark, orders)
-    rows.select(*FILE_COLUMNS[:4]).write.option("header", True).csv(f"{path}/row")
     cut_off = rows.withColumn("order_date", F.date_format("order_date", "yyyy-MM"))
-    cut_off.select(*FILE_COLUMNS).write.option("header", True).csv(f"{path}/date")
     lines = spark.read.options(**json_stage(spark, sf_dir).options()).text(json_stage(spark, sf_dir).root)
-    lines.select(F.concat("value", F.lit(',"more":'), "value")).write.text(f"{path}/documents")
+    twice = lines.select(F.concat("value", F.lit(',"more":'), "value"))
 
     def state(table: StagingTable) -> tuple[int, int]:
         rows = read_staged_orders(spark, table) if table is orders else read_staged_documents(spark, table)
         history = load_history(spark, table.history_path, table.schema_name, table.name)
         return rows.count(), history.agg(F.sum("row_count")).first()[0]
 
+    def load_orders(stage: Stage):
+        return load_csv(spark, stage, orders, "load")
+
+    csv = {"header": True, "compression": "lz4"}
     attempts = {
-        "row": (orders, lambda: load_csv(spark, Stage(f"{path}/row"), orders, "load")),
-        "date": (orders, lambda: load_csv(spark, Stage(f"{path}/date"), orders, "load")),
-        "documents": (raw, lambda: load_json(spark, Stage(f"{path}/documents"), raw, "load", DOCUMENT_PER_LINE)),
+        "row": (orders, lambda to: rows.select(*FILE_COLUMNS[:4]).write.options(**csv).csv(to), load_orders),
+        "date": (orders, lambda to: cut_off.select(*FILE_COLUMNS).write.options(**csv).csv(to), load_orders),
+        "documents": (
+            raw,
+            lambda to: twice.write.option("compression", "lz4").text(to),
+            lambda stage: load_json(spark, stage, raw, "load", DOCUMENT_PER_LINE),
+        ),
     }
     found = []
-    for bad, (table, attempt) in attempts.items():
-        status = run_job(spark, "load", lambda attempt=attempt: rows_affected(attempt().rows))
+    for bad, (table, deliver, load) in attempts.items():
+        # All rows once more: the files are there for their own attempt only, and compressed by what takes no time.
+        with scans_spread(spark):
+            deliver(f"{path}/{bad}")
+        status = run_job(spark, "load", lambda load=load, bad=bad: rows_affected(load(Stage(f"{path}/{bad}")).rows))
         found.append((bad, status.ok, _kind(status.message), *state(table)))
+        storage.delete(spark, f"{path}/{bad}")
     return spark.createDataFrame(found, "bad string, ok boolean, kind string, staged_rows long, history_rows long")
 
 

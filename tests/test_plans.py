@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import deliver_text, rows
-from orderloom import session, storage, versions
+from orderloom import queries, session, storage, versions
 from orderloom.operators.flatten import flatten_orders
 from orderloom.operators.load import load_json, read_staged_documents
 from orderloom.operators.merge import MERGE_KEYS, matched_keys, merge_orders, plan_merge, reduce_to_winners
@@ -233,6 +233,21 @@ def test_a_channel_is_delivered_when_it_is_first_read(spark, tmp_path):
     assert [p.name for p in Path(stage.root).rglob("part-*")] == first  # a channel is delivered once
 
 
+def test_bad_files_are_there_for_their_own_attempt_only(spark, tmp_path, monkeypatch):
+    sf_dir, seen = small_tables(spark, tmp_path), []
+
+    def run_job(spark, name, job):
+        folder = Path(session.scratch(spark, "x")).parent
+        seen.append(sorted(p.name for p in folder.glob("bad-*/*") if str(p.parent) not in old))
+        return keep(spark, name, job)
+
+    old, keep = {str(p) for p in Path(session.scratch(spark, "x")).parent.glob("bad-*")}, queries.run_job
+    monkeypatch.setattr(queries, "run_job", run_job)
+    got = rows(QUERIES["load_abort"](spark, sf_dir))
+    assert seen == [["row"], ["date"], ["documents"]]
+    assert got == [("date", False, "date", 40, 40), ("documents", False, "documents", 10, 10), ("row", False, "row", 40, 40)]
+
+
 def shuffled(spark) -> set[str]:
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
